@@ -381,3 +381,6 @@ FROM sales_reps r LEFT JOIN (
   SELECT assigned_rep_id AS rep_id, count(*) AS open_sqls FROM sql_leads
   WHERE status IN ('sql_new','contacted') GROUP BY assigned_rep_id) o ON r.rep_id = o.rep_id
 """, "sql_leads", "sales_reps"))(_workload)
+
+
+from . import registry_rules  # noqa: E402,F401  (registers the rule queries)
