@@ -202,9 +202,9 @@ OURS: dict[str, Any] = {
     "deal_size_midpoints": {"<$10K": 5000.0, "$10K-$50K": 30000.0, "$50K-$200K": 125000.0, "$200K+": 200000.0},
     "human_review_confidence": 0.7,
     "stuck_statuses": ["new", "processing", "accepted", "mql", "sql"],
-    # rows per key above which the duplicate fold switches to the streaming
-    # (sorted, constant-memory) form
-    "fold_key_limit": 100_000,
+    # rows per key above which the duplicate fold leaves the in-memory array
+    # fold (quadratic in the key's rows) for the sorted, constant-memory fold
+    "fold_key_limit": 2_000,
 }
 
 

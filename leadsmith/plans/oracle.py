@@ -170,6 +170,8 @@ def with_tables(sql: str, *names: str) -> str:
     """Prefix ``sql`` with CTEs for the named derived tables (in the order given)."""
     ctes = ",\n".join(f"{n} AS ({TABLES[n]})" for n in names)
     body = sql.lstrip()
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body[:5].upper() == "WITH ":  # merge the query's own CTEs after ours
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{sql}"
