@@ -385,3 +385,4 @@ FROM sales_reps r LEFT JOIN (
 
 from . import registry_rules  # noqa: E402,F401  (registers the rule queries)
 from . import registry_policies  # noqa: E402,F401
+from . import registry_lifecycle  # noqa: E402,F401
