@@ -382,7 +382,3 @@ FROM sales_reps r LEFT JOIN (
   WHERE status IN ('sql_new','contacted') GROUP BY assigned_rep_id) o ON r.rep_id = o.rep_id
 """, "sql_leads", "sales_reps"))(_workload)
 
-
-from . import registry_rules  # noqa: E402,F401  (registers the rule queries)
-from . import registry_policies  # noqa: E402,F401
-from . import registry_lifecycle  # noqa: E402,F401
