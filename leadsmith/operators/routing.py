@@ -15,12 +15,12 @@ from .scoring import assign_team_col  # noqa: F401  (R1 lives with the scoring c
 REP_FIELDS = ["current_load", "rep_id", "name", "email", "team"]
 
 
-def available_reps(reps: DataFrame) -> DataFrame:
+def available_reps(reps: DataFrame, ordered: bool = True) -> DataFrame:
     """R2: active reps under capacity; name = first + ' ' + last; least loaded first."""
-    return (reps.filter(F.col("is_active") & (F.col("current_load") < F.col("max_load")))
-            .select("rep_id", F.concat_ws(" ", "first_name", "last_name").alias("name"), "email",
-                    "team", "current_load", "max_load")
-            .orderBy("current_load", "rep_id"))
+    out = (reps.filter(F.col("is_active") & (F.col("current_load") < F.col("max_load")))
+           .select("rep_id", F.concat_ws(" ", "first_name", "last_name").alias("name"), "email",
+                   "team", "current_load", "max_load"))
+    return out.orderBy("current_load", "rep_id") if ordered else out
 
 
 def _best(df: DataFrame, *by: str) -> DataFrame:
@@ -31,7 +31,7 @@ def _best(df: DataFrame, *by: str) -> DataFrame:
 def assign_rep(leads: DataFrame, reps: DataFrame, team_col: str = "assigned_team") -> DataFrame:
     """Least-loaded available rep of the lead's team, else least-loaded overall,
     else null (ties by rep_id)."""
-    avail = available_reps(reps)
+    avail = available_reps(reps, ordered=False)
     per_team = _best(avail, "team").withColumnRenamed("team", "_team")
     overall = _best(avail).select("best").scalar()
     j = leads.join(per_team, leads[team_col] == per_team["_team"], "left")
@@ -64,7 +64,7 @@ def _lead_ranks(leads: DataFrame, team_col: str, buckets_hex: int = 2) -> DataFr
 def rep_slots(reps: DataFrame) -> DataFrame:
     """Free capacity as rows: one slot per unit between current and max load, numbered per
     team in water-filling order (lowest load level first, then rep_id)."""
-    avail = available_reps(reps)
+    avail = available_reps(reps, ordered=False)
     slots = avail.select("rep_id", "name", "email", "team",
                          F.explode(F.sequence(F.col("current_load"), F.col("max_load") - 1)).alias("slot_load"))
     n = F.row_number().over(Window.partitionBy("team").orderBy("slot_load", "rep_id"))

@@ -8,6 +8,7 @@ from . import registry_lifecycle  # noqa: F401
 
 
 from . import registry_sources  # noqa: E402,F401
+from . import registry_streams  # noqa: E402,F401
 
 QUERIES = registry.QUERIES
 ORACLE = registry.ORACLE
