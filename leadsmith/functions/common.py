@@ -17,6 +17,17 @@ def ts(as_of: AsOf) -> Column:
     return F.lit(as_of).cast("timestamp")
 
 
+def spread(df):
+    """Give a narrow, single-file input at least one partition per core.
+
+    Large inputs already arrive in many file splits and pass through unchanged;
+    a table stored as one row group would otherwise be processed (scan, joins
+    against broadcast dimensions, rule projections) by a single task.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def days_before(as_of: AsOf, days: int) -> Column:
     return F.timestamp_add("DAY", F.lit(-int(days)), ts(as_of))
 

@@ -7,6 +7,7 @@ import copy
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
+from ..functions.common import spread
 from ..operators import policies as P
 from ..operators import scoring as S
 from ..operators import screening as W
@@ -80,7 +81,7 @@ FROM (SELECT lead_id, unnest({_pii_array_sql(LEAD_PII_FIELDS)}) AS f FROM raw_le
 register("pii_documents", f"""
 SELECT doc_id, f.field AS field, f.pii_type AS pii_type, f.severity AS severity, f.action AS action
 FROM (SELECT doc_id, unnest({_pii_array_sql(['text'])}) AS f FROM documents) x
-""")(lambda s, d: P.pii_findings(s.read.parquet(f"{d}/documents.parquet").select("doc_id", "text"),
+""")(lambda s, d: P.pii_findings(spread(s.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")),
                                  key="doc_id", fields=["text"]))
 
 _RANK = "(CASE x.action WHEN 'deny' THEN 2 WHEN 'escalate' THEN 1 ELSE 0 END)"
@@ -108,7 +109,7 @@ SELECT lead_id, {', '.join(f'{_mask_sql(c)} AS {c}' for c in LEAD_PII_FIELDS)} F
 
 register("pii_mask_documents", f"""
 SELECT doc_id, {_mask_sql('text')} AS text FROM documents
-""")(lambda s, d: P.pii_mask(s.read.parquet(f"{d}/documents.parquet").select("doc_id", "text"),
+""")(lambda s, d: P.pii_mask(spread(s.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")),
                              fields=["text"]))
 
 

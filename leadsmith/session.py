@@ -26,14 +26,28 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # call-site capture costs milliseconds per Column call when building wide rule projections
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    fast_column_building(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def fast_column_building(spark: SparkSession) -> None:
+    """Turn off per-call origin capture for Column building (a debugging aid)."""
+    try:
+        spark.conf.set("spark.python.sql.dataFrameDebugging.enabled", "false")
+        import pyspark.errors.utils as eu
+
+        eu._enable_debugging_cache = None
+    except Exception:  # pragma: no cover - older or remote sessions
+        pass
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only if unset.
 

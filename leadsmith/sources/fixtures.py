@@ -63,6 +63,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    from ..functions.common import spread
+
+    return spread(df)
+
+
 def _pick(index: Column, values: list) -> Column:
     """values[index] as a CASE chain (keeps the expression inside codegen)."""
     expr = None
@@ -81,8 +87,8 @@ def _lead_date(ts: Column) -> Column:
 
 
 def raw_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    o = _spread(_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"))
     c = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     k = F.col("o_orderkey")
     cust = F.col("o_custkey")
@@ -137,7 +143,7 @@ def _pick_map(col: Column, mapping: dict) -> Column:
 def _orders_k(spark: SparkSession, sf_dir: str, statuses: tuple[int, ...]) -> DataFrame:
     """Orders whose derived status (k % 20) is in ``statuses`` — pushed as a filter."""
     o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return o.filter((F.col("o_orderkey") % 20).isin(*statuses))
+    return _spread(o.filter((F.col("o_orderkey") % 20).isin(*statuses)))
 
 
 def mql_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,7 +226,7 @@ def sales_reps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Agent tool-call log: one row per event (run = user)."""
-    e = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    e = _spread(_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
     eid = F.col("event_id")
     ok = eid % 50 != 0
     return e.select(
@@ -241,7 +247,7 @@ def lead_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     Derived from orders alone (status, timestamps are functions of k), then
     unpivoted with ``inline`` — one pass, no join, no shuffle.
     """
-    o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    o = _spread(_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"))
     k = F.col("o_orderkey")
     created = _seconds(F.col("o_orderdate"), (k * 7919) % 86400)
     mql_q = _seconds(created, 600 + (k * 104729) % 172800)
