@@ -66,12 +66,7 @@ def stage_columns(leads: DataFrame, reps: DataFrame, review_answers: DataFrame |
         (F.col("sql_score") >= cfg["scoring"]["bant_threshold"]).alias("sql_qualified"),
         S.deal_size(F.col("_need"), emp=F.col("_emp")).alias("estimated_deal_size"),
         S.close_date(F.col("_timeline"), as_of).alias("estimated_close_date")).drop("_need", "_timeline", "_emp")
-    if approvals is not None:
-        st = P.approval_gate(st, approvals, as_of, cfg["policies"], requested_col="created_at")
-    else:
-        st = st.withColumn("needs_approval", F.lit(False)).withColumn("approval_action", F.lit("allow")) \
-            .withColumn("approval_resolved_by", F.lit("not_required"))
-    return st
+    return P.approval_gate(st, approvals, as_of, cfg["policies"], requested_col="created_at")
 
 
 def run_outcome() -> Column:

@@ -170,7 +170,7 @@ def pii_mask(df: DataFrame, cfg: dict | None = None, fields: Sequence[str] | Non
 
 # ----------------------------------------------------------------- P6
 
-def approval_gate(qualified: DataFrame, approvals: DataFrame, as_of: AsOf = None,
+def approval_gate(qualified: DataFrame, approvals: DataFrame | None, as_of: AsOf = None,
                   cfg: dict | None = None, timeout_s: int | None = None, on_timeout: str = "allow",
                   requested_col: str = "qualified_at") -> DataFrame:
     """Big deals or low BANT need an operator answer; y/yes/empty or a timeout allow.
@@ -185,10 +185,14 @@ def approval_gate(qualified: DataFrame, approvals: DataFrame, as_of: AsOf = None
              | (F.col("sql_score") < p["approval_min_bant"]))
     if not enabled("approval_gate", p):
         needs = F.lit(False)
-    first = (approvals.groupBy("lead_id")
-             .agg(F.min_by("answer", "answered_at").alias("answer"),
-                  F.min("answered_at").alias("answered_at")))
-    j = qualified.join(first, "lead_id", "left")
+    if approvals is None:  # nobody answers: every request runs into the timeout
+        j = qualified.withColumn("answer", F.lit(None).cast("string")) \
+            .withColumn("answered_at", F.lit(None).cast("timestamp"))
+    else:
+        first = (approvals.groupBy("lead_id")
+                 .agg(F.min_by("answer", "answered_at").alias("answer"),
+                      F.min("answered_at").alias("answered_at")))
+        j = qualified.join(first, "lead_id", "left")
     deadline = F.timestamp_add("SECOND", F.lit(timeout_s), F.col(requested_col))
     in_time = F.col("answered_at").isNotNull() & (F.col("answered_at") <= deadline)
     yes = F.lower(F.trim(F.coalesce(F.col("answer"), F.lit("")))).isin("y", "yes", "")

@@ -213,10 +213,13 @@ def route(bot: Column, quality: Column, rules: dict | None = None) -> Column:
 
 
 def all_rules(rules: dict | None = None, sensitivity: str | None = None,
-              start_col: str = "page_load_time", end_col: str = "processed_at") -> list[Rule]:
+              start_col: str = "page_load_time", end_col: str = "processed_at",
+              columns: list[str] | None = None) -> list[Rule]:
+    """All rules in flag order; the fill-time rule needs both time columns to exist."""
+    timing = (columns is None or (start_col in columns and end_col in columns))
     return [screen_email(rules), screen_required(rules), screen_spam(rules), screen_names(rules),
             screen_common_name(rules, sensitivity),
-            screen_timing(rules, sensitivity, start_col, end_col),
+            *([screen_timing(rules, sensitivity, start_col, end_col)] if timing else []),
             screen_message(rules, sensitivity), screen_title(rules), screen_firmographic(rules)]
 
 
@@ -228,7 +231,7 @@ def screen_leads(leads: DataFrame, rules: dict | None = None, sensitivity: str |
                  start_col: str = "page_load_time", end_col: str = "processed_at",
                  keep: list[str] | None = None) -> DataFrame:
     """Flags, capped bot and quality scores, risk level and route per lead."""
-    rs = all_rules(rules, sensitivity, start_col, end_col)
+    rs = all_rules(rules, sensitivity, start_col, end_col, leads.columns)
     bot = cap(sum((r.bot for r in rs), F.lit(0)))
     quality = cap(sum((r.quality for r in rs), F.lit(0)))
     keep = keep if keep is not None else leads.columns
