@@ -41,6 +41,20 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def compact(items: list[Column], elem_type: str = "string") -> Column:
+    """Array of the non-null ``items`` in order, built without a lambda.
+
+    ``filter(array(...), x -> x is not null)`` is a higher-order function and is
+    evaluated interpretively together with every expression under it; this
+    form (``flatten`` of one- or zero-element arrays) stays in generated code.
+    """
+    if not items:
+        return F.array().cast(f"array<{elem_type}>")
+    # slice(array(c), 1, 0) is the empty array of c's own type
+    return F.flatten(F.array(*[F.when(c.isNotNull(), F.array(c)).otherwise(F.slice(F.array(c), 1, 0))
+                               for c in items]))
+
+
 def blank(x: Column | str) -> Column:
     """True when the value is null or the empty string (Python falsiness of a str)."""
     c = _c(x)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT
 from ..functions.common import AsOf, ts
+from ..functions.helpers import drop_helpers, with_helpers
 from . import policies as P
 from . import routing as R
 from . import scoring as S
@@ -41,6 +42,7 @@ def stage_columns(leads: DataFrame, reps: DataFrame, review_answers: DataFrame |
                   cfg: dict | None = None) -> DataFrame:
     """Every stage's verdict per lead, before the duplicate fold decides which count."""
     cfg = cfg or DEFAULT
+    leads = with_helpers(leads)
     keep = leads.columns
     sc = W.screen_leads(leads, cfg["form"], end_col=end_col, keep=keep)
     if review_answers is not None:
@@ -48,8 +50,8 @@ def stage_columns(leads: DataFrame, reps: DataFrame, review_answers: DataFrame |
     else:
         sc = sc.withColumn("review_decision", F.when(F.col("route") == "reject", "rejected")
                            .otherwise("accepted")).withColumn("resolved_by", F.lit("timeout"))
-    action, triggered, types = P.pii_verdict_cols(P.pii_finding_array(leads, cfg["policies"]),
-                                                  cfg["policies"])
+    action, triggered, types = P.pii_verdict_from_hits(
+        P._pii_hits(leads.columns, cfg["policies"], None), cfg["policies"])
     decision, reason = S.triage_rules(cfg["scoring"])
     mql = S.mql_parts(cfg["scoring"])
     bant = S.bant_parts(cfg["scoring"])
@@ -59,13 +61,13 @@ def stage_columns(leads: DataFrame, reps: DataFrame, review_answers: DataFrame |
         "*", action.alias("pii_action"), types.alias("pii_types"), decision.alias("decision"),
         reason.alias("triage_reason"), mql_total.cast("int").alias("mql_score"),
         bant_total.cast("int").alias("sql_score"), bant["need"].cast("int").alias("_need"),
-        bant["timeline"].cast("int").alias("_timeline"), S.assign_team_col(cfg["scoring"]).alias("assigned_team"),
-        S.employees().alias("_emp"))
+        bant["timeline"].cast("int").alias("_timeline"), S.assign_team_col(cfg["scoring"]).alias("assigned_team"))
     st = st.select(
         "*", (F.col("mql_score") >= cfg["scoring"]["mql_threshold"]).alias("mql_qualified"),
         (F.col("sql_score") >= cfg["scoring"]["bant_threshold"]).alias("sql_qualified"),
-        S.deal_size(F.col("_need"), emp=F.col("_emp")).alias("estimated_deal_size"),
-        S.close_date(F.col("_timeline"), as_of).alias("estimated_close_date")).drop("_need", "_timeline", "_emp")
+        S.deal_size(F.col("_need")).alias("estimated_deal_size"),
+        S.close_date(F.col("_timeline"), as_of).alias("estimated_close_date")).drop("_need", "_timeline")
+    st = drop_helpers(st)
     return P.approval_gate(st, approvals, as_of, cfg["policies"], requested_col="created_at")
 
 
@@ -98,15 +100,23 @@ def final_status() -> Column:
 
 def qualify_leads(leads: DataFrame, reps: DataFrame, review_answers: DataFrame | None = None,
                   approvals: DataFrame | None = None, as_of: AsOf = None, end_col: str = "created_at",
-                  cfg: dict | None = None, hot_key_rows: int | None = None) -> DataFrame:
+                  cfg: dict | None = None, hot_key_rows: int | None = None,
+                  materialize: bool = True) -> DataFrame:
     """screening -> review -> duplicate -> PII -> triage -> MQL -> BANT -> rep -> approval.
 
     Stage verdicts are columns of one projection; the duplicate fold (P9) runs on
     the leads the form stage let through, keyed by email; reps are attached to
     leads that reach the SQL stage (R3).  Each row keeps its first stop reason.
+
+    The stage table feeds both the fold and the final join, so with
+    ``materialize`` it is written once as a reliable checkpoint (the shared
+    ``spark.checkpoint.dir``) instead of evaluating every rule twice; the
+    checkpoint also cuts the lineage, so a lost executor re-reads it.
     """
     cfg = cfg or DEFAULT
     st = stage_columns(leads, reps, review_answers, approvals, as_of, end_col, cfg)
+    if materialize:
+        st = st.checkpoint(eager=True)
     passed = st.filter(F.col("review_decision") == "accepted")
     dup = P.duplicate_lookback(passed.withColumn("_outcome", run_outcome()), outcome=F.col("_outcome"),
                                cfg=cfg["policies"], hot_key_rows=hot_key_rows)

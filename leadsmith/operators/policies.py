@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT
-from ..functions.common import AsOf, ts
+from ..functions.common import AsOf, compact, ts
 
 MICRO = 1_000_000
 
@@ -95,18 +95,25 @@ def _scan_fields(df: DataFrame, cfg: dict) -> list[str]:
     return [f for f in cfg["pii_scan_fields"] if f in df.columns]
 
 
+def _pii_hits(df_columns: list[str], cfg: dict, fields: Sequence[str] | None):
+    """(field, type, severity, action, hit Column) in field x pattern order."""
+    fields = list(fields or [f for f in cfg["pii_scan_fields"] if f in df_columns])
+    out = []
+    for f in fields:
+        v = (F.col("_msg") if f == "message" and "_msg" in df_columns
+             else F.coalesce(F.col(f).cast("string"), F.lit("")))
+        for typ, pattern, sev, act in cfg["pii_patterns"]:
+            out.append((f, typ, sev, act, v.rlike("(?i)" + pattern)))
+    return out
+
+
 def pii_finding_array(df: DataFrame, cfg: dict | None = None, fields: Sequence[str] | None = None) -> Column:
     """All (field, type, severity, action) hits of the row, in field x pattern order."""
     p = _p(cfg)
-    fields = list(fields or _scan_fields(df, p))
-    hits = []
-    for f in fields:
-        v = F.coalesce(F.col(f).cast("string"), F.lit(""))
-        for typ, pattern, sev, act in p["pii_patterns"]:
-            hits.append(F.when(v.rlike("(?i)" + pattern), F.struct(
-                F.lit(f).alias("field"), F.lit(typ).alias("pii_type"),
-                F.lit(sev).alias("severity"), F.lit(act).alias("action"))))
-    return F.filter(F.array(*hits), lambda x: x.isNotNull())
+    return compact([F.when(hit, F.struct(F.lit(f).alias("field"), F.lit(t).alias("pii_type"),
+                                         F.lit(sev).alias("severity"), F.lit(act).alias("action")))
+                    for f, t, sev, act, hit in _pii_hits(df.columns, p, fields)],
+                   "struct<field:string,pii_type:string,severity:string,action:string>")
 
 
 def pii_findings(df: DataFrame, key: str = "lead_id", cfg: dict | None = None,
@@ -141,15 +148,35 @@ def _rank_expr(c: Column, rank: dict) -> Column:
     return out.otherwise(0)
 
 
+def pii_verdict_from_hits(hits, cfg: dict | None = None) -> tuple[Column, Column, Column]:
+    """P4 without arrays of structs: worst action over all hits; allow and not triggered
+    when every hit is low severity; the notable types in finding order."""
+    p = _p(cfg)
+    rank = p["action_rank"]
+    notable = [h for h in hits if h[2] != "low"]
+    triggered = F.lit(False)
+    for h in notable:
+        triggered = triggered | h[4]
+    worst = None
+    for name, r_ in sorted(rank.items(), key=lambda kv: -kv[1]):
+        any_hit = F.lit(False)
+        for h in hits:
+            if h[3] == name:
+                any_hit = any_hit | h[4]
+        worst = F.when(any_hit, name) if worst is None else worst.when(any_hit, name)
+    action = F.when(triggered, worst.otherwise("allow")).otherwise("allow")
+    types = compact([F.when(h[4], F.lit(h[1])) for h in notable])
+    return action, triggered, types
+
+
 def pii_verdict(df: DataFrame, key: str = "lead_id", cfg: dict | None = None,
                 fields: Sequence[str] | None = None) -> DataFrame:
     if not enabled("pii_detection", cfg):
         return df.select(key, F.lit("allow").alias("pii_action"), F.lit(False).alias("pii_triggered"),
                          F.array().cast("array<string>").alias("pii_types"))
-    action, triggered, types = pii_verdict_cols(F.col("_f"), cfg)
-    return (df.select(key, pii_finding_array(df, cfg, fields).alias("_f"))
-            .select(key, action.alias("pii_action"), triggered.alias("pii_triggered"),
-                    types.alias("pii_types")))
+    action, triggered, types = pii_verdict_from_hits(_pii_hits(df.columns, _p(cfg), fields), cfg)
+    return df.select(key, action.alias("pii_action"), triggered.alias("pii_triggered"),
+                     types.alias("pii_types"))
 
 
 def pii_mask(df: DataFrame, cfg: dict | None = None, fields: Sequence[str] | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT
 from ..functions.common import AsOf, any_word_regex, blank, ts, word_regex
+from ..functions.helpers import drop_helpers, h, with_helpers
 from .screening import email_domain, spam_keyword
 
 
@@ -52,7 +53,7 @@ def triage_leads(leads: DataFrame, cfg: dict | None = None, keep: list[str] | No
     decision, reason = triage_rules(cfg)
     status, nxt = triage_status(decision)
     keep = keep if keep is not None else leads.columns
-    return leads.select(*keep, decision.alias("decision"), reason.alias("triage_reason"),
+    return with_helpers(leads).select(*keep, decision.alias("decision"), reason.alias("triage_reason"),
                         status.alias("triage_status"), nxt.alias("next_agent"))
 
 
@@ -70,7 +71,7 @@ def _count_words(text: Column, keywords: list[str]) -> Column:
 def mql_parts(cfg: dict | None = None) -> dict[str, Column]:
     """M1-M7 as named integer Columns."""
     c = cfg or DEFAULT["scoring"]
-    emp = employees()
+    emp = h("_emp")
     size = None
     for mn, pts in c["mql_company_size_tiers"]:
         size = F.when(emp >= mn, pts) if size is None else size.when(emp >= mn, pts)
@@ -78,12 +79,12 @@ def mql_parts(cfg: dict | None = None) -> dict[str, Column]:
     for ft, pts in c["mql_form_type_scores"].items():
         cond = F.col("form_type") == ft
         form = F.when(cond, pts) if form is None else form.when(cond, pts)
-    d = email_domain()
-    intent = _count_words(_s("message"), c["mql_intent_keywords"])
+    d = h("_dom")
+    intent = _count_words(h("_msg"), c["mql_intent_keywords"])
     complete = sum((F.when(~blank(f), c["mql_completeness_per_field"]).otherwise(0)
                     for f in c["mql_completeness_fields"]), F.lit(0))
     return {
-        "job_title": F.when(_s("job_title").rlike(any_word_regex(c["mql_qualifying_titles"])),
+        "job_title": F.when(h("_title").rlike(any_word_regex(c["mql_qualifying_titles"])),
                             c["mql_title_score"]).otherwise(c["mql_title_default"]),
         "company_size": size.otherwise(0),
         "industry": F.when(F.col("industry").isin(*c["mql_high_value_industries"]),
@@ -102,7 +103,7 @@ def score_mql(leads: DataFrame, cfg: dict | None = None, keep: list[str] | None
     parts = mql_parts(c)
     keep = keep if keep is not None else leads.columns
     bd = F.struct(*[parts[p].cast("int").alias(p) for p in MQL_PARTS])
-    out = leads.select(*keep, bd.alias("score_breakdown"))
+    out = with_helpers(leads).select(*keep, bd.alias("score_breakdown"))
     total = sum((F.col(f"score_breakdown.{p}") for p in MQL_PARTS), F.lit(0))
     return out.select("*", total.alias("mql_score"), (total >= c["mql_threshold"]).alias("qualified"))
 
@@ -115,7 +116,7 @@ TIMELINE_RE = r"(?i)\bwithin\s+(\d+)\s+(day|week|month)s?\b"
 def timeline_days(cfg: dict | None = None) -> Column:
     """B4 parsing: 0 for asap/urgent/immediately, else the smallest "within N unit"."""
     ours = cfg or DEFAULT["ours"]
-    msg = _s("message")
+    msg = h("_msg")
     per = F.transform(
         F.regexp_extract_all(msg, F.lit(TIMELINE_RE), 0),
         lambda m: F.regexp_extract(m, r"(\d+)", 1).try_cast("long")
@@ -127,12 +128,12 @@ def timeline_days(cfg: dict | None = None) -> Column:
 def bant_parts(cfg: dict | None = None, ours: dict | None = None) -> dict[str, Column]:
     c = cfg or DEFAULT["scoring"]
     ours = ours or DEFAULT["ours"]
-    msg, title = _s("message"), _s("job_title")
+    msg, title = h("_msg"), h("_title")
     decision = title.rlike(any_word_regex(c["bant_decision_titles"]))
     influencer = title.rlike(any_word_regex(ours["bant_influencer_titles"]))
     budget = (F.when(msg.rlike(any_word_regex(ours["bant_budget_keywords"], plural=True)),
                      c["bant_budget_confirmed"])
-              .when(decision | (F.coalesce(employees(), F.lit(0)) >= 200), c["bant_budget_implied"])
+              .when(decision | (F.coalesce(h("_emp"), F.lit(0)) >= 200), c["bant_budget_implied"])
               .otherwise(c["bant_budget_unknown"]))
     authority = (F.when(decision, c["bant_authority_score"])
                  .when(influencer, c["bant_influencer_score"])
@@ -150,7 +151,7 @@ def bant_parts(cfg: dict | None = None, ours: dict | None = None) -> dict[str, C
 def deal_size(need: Column, ours: dict | None = None, emp: Column | None = None) -> Column:
     """Deal-size label from company size and need (our formula)."""
     labels = (ours or DEFAULT["ours"])["deal_size_labels"]
-    emp = employees() if emp is None else emp
+    emp = h("_emp") if emp is None else emp
     return (F.when((emp >= 1000) & (need >= 15), labels[0]).when(emp >= 1000, labels[1])
             .when(emp >= 200, labels[2]).otherwise(labels[3]))
 
@@ -166,7 +167,7 @@ def close_date(timeline: Column, as_of: AsOf = None, ours: dict | None = None) -
 def assign_team_col(cfg: dict | None = None) -> Column:
     """Team by employees; unknown size routes to the smallest team."""
     c = cfg or DEFAULT["scoring"]
-    emp = employees()
+    emp = h("_emp")
     out = None
     for mn, team in c["sales_routing"]:
         out = F.when(emp >= mn, team) if out is None else out.when(emp >= mn, team)
@@ -179,10 +180,10 @@ def score_bant(leads: DataFrame, cfg: dict | None = None, as_of: AsOf = None,
     c = cfg or DEFAULT["scoring"]
     parts = bant_parts(c)
     keep = keep if keep is not None else leads.columns
-    out = leads.select(*keep, *[parts[p].cast("int").alias(f"bant_score_{p}") for p in parts],
-                       assign_team_col(c).alias("assigned_team"), employees().alias("_emp"))
+    out = with_helpers(leads).select(*keep, *[parts[p].cast("int").alias(f"bant_score_{p}") for p in parts],
+                                     assign_team_col(c).alias("assigned_team"), h("_emp").alias("_e"))
     total = sum((F.col(f"bant_score_{p}") for p in parts), F.lit(0))
-    return out.select(*[x for x in out.columns if x != "_emp"], total.alias("sql_score"),
+    return out.select(*[x for x in out.columns if x != "_e"], total.alias("sql_score"),
                       (total >= c["bant_threshold"]).alias("qualified"),
-                      deal_size(F.col("bant_score_need"), emp=F.col("_emp")).alias("estimated_deal_size"),
+                      deal_size(F.col("bant_score_need"), emp=F.col("_e")).alias("estimated_deal_size"),
                       close_date(F.col("bant_score_timeline"), as_of).alias("estimated_close_date"))

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
-from ..functions.common import AsOf, blank, ts
+from ..functions.common import AsOf, blank, compact, ts
+from ..functions.helpers import drop_helpers, h, with_helpers
 
 
 @dataclass
@@ -41,7 +42,7 @@ def email_domain(email: Column | str = "email") -> Column:
 def screen_email(rules: dict | None = None) -> Rule:
     """Personal domain -> bot points and a flag; any other domain -> quality points."""
     r = _rules(rules)
-    d = email_domain()
+    d = h("_dom")
     personal = d.isin(*r["personal_email_domains"])
     return Rule(
         bot=F.when(personal, r["bot_weights"]["personal_email"]).otherwise(0),
@@ -70,7 +71,7 @@ def screen_required(rules: dict | None = None) -> Rule:
 def spam_keyword(rules: dict | None = None, keywords: list[str] | None = None) -> Column:
     """First keyword (list order) contained in the lower-cased message, else null."""
     kws = keywords or _rules(rules)["spam_keywords"]
-    msg = F.lower(_s("message"))
+    msg = h("_msg_l")
     out = None
     for kw in kws:
         hit = F.instr(msg, kw) > 0
@@ -87,7 +88,7 @@ def screen_spam(rules: dict | None = None) -> Rule:
 
 
 def _name_check(col: str, r: dict) -> tuple[Column, Column]:
-    name = F.lower(F.trim(_s(col)))
+    name = h({"first_name": "_fn", "last_name": "_ln"}[col])
     w = r["bot_weights"]
     blocked = name.isin(*r["blocked_names"])
     short = F.length(name) < r["name_min_length"]
@@ -142,15 +143,15 @@ def screen_timing(rules: dict | None = None, sensitivity: str | None = None,
 
 
 def word_count(col: str = "message") -> Column:
-    """Whitespace-separated words (empty message -> 0)."""
-    return F.size(F.filter(F.split(_s(col), r"\s+"), lambda w: w != ""))
+    """Whitespace-separated words (empty message -> 0): the number of non-space runs."""
+    return F.regexp_count(_s(col), F.lit(r"\S+")).cast("int")
 
 
 def screen_message(rules: dict | None = None, sensitivity: str | None = None) -> Rule:
     """Short message for the form type -> bot points; >= 20 words -> quality points."""
     r = _rules(rules)
     sensitivity = sensitivity or r["sensitivity"]
-    wc = word_count()
+    wc = h("_wc")
     form = F.coalesce(F.col("form_type"), F.lit("contact_us"))
     form_min = None
     for ft, n in r["form_type_min_words"].items():
@@ -170,7 +171,7 @@ def screen_message(rules: dict | None = None, sensitivity: str | None = None) ->
 def screen_title(rules: dict | None = None) -> Rule:
     """Senior-title keyword contained in the lower-cased title -> quality points."""
     r = _rules(rules)
-    title = F.lower(_s("job_title"))
+    title = h("_title_l")
     hit = None
     for kw in r["senior_title_keywords"]:
         c = F.instr(title, kw) > 0
@@ -224,7 +225,7 @@ def all_rules(rules: dict | None = None, sensitivity: str | None = None,
 
 
 def flags_of(rules_: list[Rule]) -> Column:
-    return F.filter(F.array(*[f for r in rules_ for f in r.flags]), lambda x: x.isNotNull())
+    return compact([f for r in rules_ for f in r.flags])
 
 
 def screen_leads(leads: DataFrame, rules: dict | None = None, sensitivity: str | None = None,
@@ -235,6 +236,7 @@ def screen_leads(leads: DataFrame, rules: dict | None = None, sensitivity: str |
     bot = cap(sum((r.bot for r in rs), F.lit(0)))
     quality = cap(sum((r.quality for r in rs), F.lit(0)))
     keep = keep if keep is not None else leads.columns
+    leads = with_helpers(leads)
     scored = leads.select(*keep, flags_of(rs).alias("flags"), bot.alias("bot_score"),
                           quality.alias("quality_score"))
     return scored.select("*", risk_level(F.col("bot_score"), rules).alias("risk_level"),
@@ -243,9 +245,8 @@ def screen_leads(leads: DataFrame, rules: dict | None = None, sensitivity: str |
 
 def rule_columns(leads: DataFrame, rule: Rule, keep: list[str] = ("lead_id",)) -> DataFrame:
     """One rule's raw contribution (uncapped) — used to test rules one by one."""
-    return leads.select(*keep, rule.bot.alias("bot_points"), rule.quality.alias("quality_points"),
-                        F.filter(F.array(*(rule.flags or [F.lit(None).cast("string")])),
-                                 lambda x: x.isNotNull()).alias("flags"))
+    return with_helpers(leads).select(*keep, rule.bot.alias("bot_points"), rule.quality.alias("quality_points"),
+                        compact(rule.flags).alias("flags"))
 
 
 def resolve_reviews(screened: DataFrame, answers: DataFrame, submitted_col: str = "created_at",

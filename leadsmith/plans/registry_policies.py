@@ -119,7 +119,7 @@ def approvals(s, d):
     """Operator answers to approval requests, derived from the lead key: k % 5 = 0 'no',
     1 'yes', 2 'Y', 3 '' (enter), 4 none; answered k % 200 seconds after the request."""
     k = _k()
-    return (fx.raw_leads(s, d).filter(k % 5 != 4)
+    return (fx.lead_keys(s, d).filter(k % 5 != 4)
             .select("lead_id", F.when(k % 5 == 0, "no").when(k % 5 == 1, "yes").when(k % 5 == 2, "Y")
                     .otherwise("").alias("answer"),
                     F.timestamp_add("SECOND", (k % 200).cast("int"), F.col("created_at")).alias("answered_at")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.helpers import with_helpers
 from ..operators import screening as W
 from ..operators import scoring as S
 from ..sources import fixtures as fx
@@ -78,7 +79,7 @@ _K = "CAST(substr(lead_id, length(lead_id) - 7) AS BIGINT)"
 
 def review_answers(s, d):
     k = F.substring(F.col("lead_id"), -8, 8).cast("long")
-    return (_leads(s, d).filter(k % 4 != 3)
+    return (fx.lead_keys(s, d).filter(k % 4 != 3)
             .select("lead_id",
                     F.when(k % 4 == 0, "n").when(k % 4 == 1, " Y ").otherwise("").alias("answer"),
                     F.timestamp_add("SECOND", (k % 90).cast("int"), F.col("created_at")).alias("answered_at")))
@@ -192,7 +193,7 @@ SELECT triage_status, next_agent, count(*) AS leads FROM (
 _MP = O.mql_parts()
 for _p in S.MQL_PARTS:
     def _one(s, d, _p=_p):
-        return _leads(s, d).select("lead_id", S.mql_parts()[_p].cast("int").alias("points"))
+        return with_helpers(_leads(s, d)).select("lead_id", S.mql_parts()[_p].cast("int").alias("points"))
     register(f"mql_{_p}", with_tables(f"SELECT lead_id, CAST({_MP[_p]} AS INTEGER) AS points FROM raw_leads",
                                       "raw_leads"))(_one)
 
@@ -219,13 +220,13 @@ FROM ({MQL_SQL}) m
 _BP = O.bant_parts()
 for _p in ("budget", "authority", "need", "timeline"):
     def _bone(s, d, _p=_p):
-        return _leads(s, d).select("lead_id", S.bant_parts()[_p].cast("int").alias("points"))
+        return with_helpers(_leads(s, d)).select("lead_id", S.bant_parts()[_p].cast("int").alias("points"))
     register(f"bant_{_p}", with_tables(f"SELECT lead_id, CAST({_BP[_p]} AS INTEGER) AS points FROM raw_leads",
                                        "raw_leads"))(_bone)
 
 register("timeline_days", with_tables(f"""
 SELECT lead_id, message, {O.timeline_days()} AS timeline_days FROM raw_leads
-""", "raw_leads"))(lambda s, d: _leads(s, d).select("lead_id", "message", S.timeline_days().alias("timeline_days")))
+""", "raw_leads"))(lambda s, d: with_helpers(_leads(s, d)).select("lead_id", "message", S.timeline_days().alias("timeline_days")))
 
 _EMP = O.company_employees()
 BANT_SQL = f"""
@@ -261,5 +262,5 @@ SELECT lead_id, {_EMP} AS employees,
   CASE WHEN {_EMP} >= 1000 THEN 'enterprise_sales' WHEN {_EMP} >= 200 THEN 'mid_market_sales'
        ELSE 'smb_sales' END AS assigned_team
 FROM raw_leads
-""", "raw_leads"))(lambda s, d: _leads(s, d).select("lead_id", S.employees().alias("employees"),
+""", "raw_leads"))(lambda s, d: with_helpers(_leads(s, d)).select("lead_id", S.employees().alias("employees"),
                                                     S.assign_team_col().alias("assigned_team")))

@@ -268,13 +268,15 @@ def lead_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             (score if isinstance(score, Column) else F.lit(score)).cast("int").alias("score_at_event"),
         ))
 
-    events = F.filter(F.array(
+    from ..functions.common import compact
+
+    events = compact([
         ev(1, "lead_captured", created, None, "new", "WebFormAgent", None, F.lit(True)),
         ev(2, "triage_completed", triage_ts, "processing", triage_status, "TriageAgent", None, F.lit(True)),
         ev(3, "mql_qualified", mql_q, "accepted", "mql", "MQLAgent", 50 + k % 51, (r >= 12) & (r <= 18)),
         ev(4, "sql_qualified", sql_q, "mql", "sql", "SQLAgent", 40 + k % 61, (r >= 16) & (r <= 18)),
         ev(5, "sales_assigned", handoff, "sql", "sales_owned", "SQLAgent", None, r == 18),
-    ), lambda x: x.isNotNull())
+    ])
     return (o.select(lead_id.alias("lead_id"), k.alias("_k"), F.inline(events))
             .select(
                 F.concat(F.lit("EVT-"), F.date_format("event_timestamp", "yyyyMMdd"), F.lit("-"),
@@ -285,6 +287,16 @@ def lead_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             ))
 
 
+def lead_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lead_id and created_at of every lead, from orders alone (no customer join)."""
+    o = _spread(_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"))
+    k = F.col("o_orderkey")
+    return o.select(
+        F.concat(F.lit("LD-"), _lead_date(F.col("o_orderdate")), F.lit("-"),
+                 F.lpad(k.cast("string"), 8, "0")).alias("lead_id"),
+        _seconds(F.col("o_orderdate"), (k * 7919) % 86400).alias("created_at"))
+
+
 def load_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "raw_leads": raw_leads(spark, sf_dir),

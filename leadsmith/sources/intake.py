@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.common import blank
+from ..functions.common import blank, compact
 
 # Allowed values of the lead model (fixed values of the reference data model).
 SOURCE_CHANNELS = ["web_form", "linkedin", "twitter", "facebook", "instagram", "email_campaign",
@@ -73,11 +73,11 @@ def apply_defaults(df: DataFrame, form_path: bool = True) -> DataFrame:
 
 def validation_errors(df: DataFrame) -> Column:
     """Error codes of a lead row (empty when valid)."""
-    return F.filter(F.array(
+    return compact([
         F.when(blank("email"), F.lit("email_required")),
         F.when(~F.col("source_channel").isin(*SOURCE_CHANNELS), F.lit("invalid_source_channel")),
         F.when(~F.col("form_type").isin(*FORM_TYPES), F.lit("invalid_form_type")),
-    ), lambda x: x.isNotNull())
+    ])
 
 
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -99,11 +99,11 @@ def parse_mql_results(answers: DataFrame, col: str = "answer", key: str = "lead_
     parsed = F.col("r").isNotNull() & ~F.col("_missing") & F.col("r._corrupt").isNull()
     score = F.col("r.mql_score")
     conf = F.col("r.confidence_score")
-    errors = F.filter(F.array(
+    errors = compact([
         F.when(parsed & F.col("r.qualified").isNull(), F.lit("qualified_required")),
         F.when(parsed & (score.isNull() | ~score.between(0, 100)), F.lit("mql_score_out_of_range")),
         F.when(parsed & conf.isNotNull() & ~conf.between(0.0, 1.0), F.lit("confidence_out_of_range")),
-    ), lambda x: x.isNotNull())
+    ])
     fb = MQL_FALLBACK
     return r.select(
         key,

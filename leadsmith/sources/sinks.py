@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.common import AsOf, days_before, ts
+from ..functions.common import AsOf, compact, days_before, ts
 from ..operators.lifecycle import gen_id
 from .intake import LEAD_FIELDS
 
@@ -87,7 +87,7 @@ def events_from_stages(staged: DataFrame, as_of: AsOf = None) -> DataFrame:
             F.lit(frm).cast("string").alias("from_status"), to_c.alias("to_status"),
             F.lit(agent).alias("agent_name"),
             (F.col(score) if score else F.lit(None)).cast("int").alias("score_at_event"))))
-    ev = staged.select("lead_id", F.inline(F.filter(F.array(*items), lambda x: x.isNotNull())))
+    ev = staged.select("lead_id", F.inline(compact(items)))
     return ev.select(gen_id("EVT", now, "lead_id", F.col("seq").cast("string")).alias("event_id"), "lead_id",
                      now.alias("event_timestamp"), "event_type", "from_status", "to_status", "agent_name",
                      "score_at_event")

@@ -111,7 +111,9 @@ def test_bant(leads):
 def test_word_matching(spark):
     df = spark.createDataFrame([("CTO",), ("Director",), ("VP of Engineering",), ("Senior director of cto office",),
                                 ("Directory clerk",), ("Factotum",)], "job_title string")
-    got = [r.p for r in df.select(S.mql_parts()["job_title"].alias("p")).collect()]
+    from leadsmith.functions.helpers import with_helpers
+
+    got = [r.p for r in with_helpers(df).select(S.mql_parts()["job_title"].alias("p")).collect()]
     assert got == [20, 20, 20, 20, 5, 5]
 
 
