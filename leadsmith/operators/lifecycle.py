@@ -124,14 +124,7 @@ def qualify_leads(leads: DataFrame, reps: DataFrame, review_answers: DataFrame |
     staged = staged.withColumn("final_status", final_status())
     reached_sql = F.col("final_status").isin("sales_owned", "rejected_by_operator", "pending_approval",
                                               "mql_nurture")
-    to_assign = staged.filter(reached_sql & F.col("sql_qualified"))
-    rest = staged.filter(~(reached_sql & F.col("sql_qualified")))
-    assigned = R.assign_rep(to_assign, reps)
-    rest = (rest.withColumn("assigned_rep_id", F.lit(None).cast("string"))
-            .withColumn("assigned_rep_name", F.lit(None).cast("string"))
-            .withColumn("assigned_rep_email", F.lit(None).cast("string"))
-            .withColumn("assignment_reason", F.lit(None).cast("string")))
-    return assigned.unionByName(rest)
+    return R.assign_rep(staged, reps, eligible=reached_sql & F.col("sql_qualified"))
 
 
 # ----------------------------------------------------------------- F3-F6

@@ -236,14 +236,15 @@ def approval_gate(qualified: DataFrame, approvals: DataFrame | None, as_of: AsOf
 def retry_plan(failures: DataFrame, cfg: dict | None = None) -> DataFrame:
     """Attempt n of an agent's failures for a lead: n <= max_retries -> retry after
     delay * multiplier^(n-1) seconds; else the agent's fallback (escalate)."""
+    from ..functions.windows import bucketed_row_number
+
     p = _p(cfg)
-    w = Window.partitionBy("lead_id", "agent").orderBy("ts", "call_id")
-    attempt = F.row_number().over(w)
     fb = None
     for agent, act in p["fallback_actions"].items():
         fb = F.when(F.col("agent") == agent, act) if fb is None else fb.when(F.col("agent") == agent, act)
     fb = fb.otherwise("escalate")
-    a = failures.withColumn("attempt", attempt)
+    a = bucketed_row_number(failures, ["lead_id", "agent"], ["ts", "call_id"], F.date_trunc("hour", "ts"),
+                            out="attempt")
     retry = F.col("attempt") <= p["max_retries"]
     delay = p["retry_delay_seconds"] * F.pow(F.lit(float(p["backoff_multiplier"])), F.col("attempt") - 1)
     return a.select("call_id", "lead_id", "agent", "tool", "ts", "attempt",
@@ -348,9 +349,10 @@ def duplicate_lookback(leads: DataFrame, key: str = "email", ts_col: str = "crea
     keyed = base.filter(F.col("_em").isNotNull() & (F.col("_em") != ""))
     counts = keyed.groupBy("_em").agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.filter(F.col("_n") > hot_key_rows).select("_em")
-    # hot keys are at most rows / hot_key_rows in number: a bounded broadcast
-    normal_rows = keyed.join(F.broadcast(hot), "_em", "left_anti")
-    hot_rows = keyed.join(F.broadcast(hot), "_em", "left_semi")
+    # no broadcast hint: the hot-key set is usually tiny and AQE broadcasts it after
+    # measuring it; if it is not, the anti/semi joins stay shuffle joins
+    normal_rows = keyed.join(hot, "_em", "left_anti")
+    hot_rows = keyed.join(hot, "_em", "left_semi")
 
     # --- native fold for normal keys
     limit_us = (days + 1) * 86_400_000_000
@@ -411,10 +413,12 @@ def tool_access_map(calls: DataFrame) -> DataFrame:
 
 
 def tool_call_timeline(calls: DataFrame) -> DataFrame:
-    """P11 (ordered form): each lead's calls in time order with their position."""
-    w = Window.partitionBy("lead_id").orderBy("ts", "call_id")
-    return calls.select("lead_id", "call_id", "ts", "agent", "tool", "status", "duration_ms",
-                        F.row_number().over(w).alias("seq"))
+    """P11 (ordered form): each lead's calls in time order with their position
+    (skew-safe row numbers over hour buckets)."""
+    from ..functions.windows import bucketed_row_number
+
+    c = calls.select("lead_id", "call_id", "ts", "agent", "tool", "status", "duration_ms")
+    return bucketed_row_number(c, ["lead_id"], ["ts", "call_id"], F.date_trunc("hour", "ts"), out="seq")
 
 
 def audit_log(spark: SparkSession, calls: DataFrame, cfg: dict | None = None) -> DataFrame:

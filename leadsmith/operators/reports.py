@@ -447,14 +447,16 @@ def stage_durations(events: DataFrame) -> DataFrame:
 
 
 def _with_previous(events: DataFrame) -> DataFrame:
-    from pyspark.sql import Window
-
-    win = Window.partitionBy("lead_id").orderBy("event_timestamp", "event_id")
-    prev_ts = F.lag("event_timestamp").over(win)
-    return events.select(
-        "lead_id", "event_type", "event_timestamp",
-        F.lag("event_type").over(win).alias("prev_type"),
-        F.timestamp_diff("SECOND", prev_ts, F.col("event_timestamp")).alias("seconds"))
+    """Each event with its lead's previous event (type, time); skew-safe two-level lag
+    over day buckets, so a lead with a huge history is not one window partition."""
+    from ..functions.windows import bucketed_lag
+
+    ev = events.select("lead_id", "event_id", "event_type", "event_timestamp")
+    w = bucketed_lag(ev, ["lead_id"], ["event_timestamp", "event_id"],
+                     F.date_trunc("day", F.col("event_timestamp")), ["event_type", "event_timestamp"])
+    return w.select("lead_id", "event_type", "event_timestamp", F.col("prev_event_type").alias("prev_type"),
+                    F.timestamp_diff("SECOND", F.col("prev_event_timestamp"), F.col("event_timestamp"))
+                    .alias("seconds"))
 
 
 def stage_duration_quantiles(events: DataFrame, accuracy: int = 10000) -> DataFrame:

@@ -28,47 +28,47 @@ def _best(df: DataFrame, *by: str) -> DataFrame:
     return df.groupBy(*by).agg(best) if by else df.agg(best)
 
 
-def assign_rep(leads: DataFrame, reps: DataFrame, team_col: str = "assigned_team") -> DataFrame:
+def assign_rep(leads: DataFrame, reps: DataFrame, team_col: str = "assigned_team",
+               eligible: Column | None = None) -> DataFrame:
     """Least-loaded available rep of the lead's team, else least-loaded overall,
-    else null (ties by rep_id)."""
+    else null (ties by rep_id).  Rows where ``eligible`` is false get no rep — one
+    pass over the leads instead of splitting and re-uniting them."""
     avail = available_reps(reps, ordered=False)
     per_team = _best(avail, "team").withColumnRenamed("team", "_team")
     overall = _best(avail).select("best").scalar()
     j = leads.join(per_team, leads[team_col] == per_team["_team"], "left")
     pick = F.coalesce(F.col("best"), overall)
-    return j.select(*leads.columns, pick["rep_id"].alias("assigned_rep_id"),
-                    pick["name"].alias("assigned_rep_name"), pick["email"].alias("assigned_rep_email"),
-                    F.when(F.col("best").isNotNull(), "team").when(pick.isNotNull(), "fallback_any_team")
-                    .otherwise("no_rep_available").alias("assignment_reason"))
+    ok = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
+    reason = (F.when(F.col("best").isNotNull(), "team").when(pick.isNotNull(), "fallback_any_team")
+              .otherwise("no_rep_available"))
+    return j.select(*leads.columns, F.when(ok, pick["rep_id"]).alias("assigned_rep_id"),
+                    F.when(ok, pick["name"]).alias("assigned_rep_name"),
+                    F.when(ok, pick["email"]).alias("assigned_rep_email"),
+                    F.when(ok, reason).alias("assignment_reason"))
 
 
 def _lead_ranks(leads: DataFrame, team_col: str, buckets_hex: int = 2) -> DataFrame:
-    """Rank leads inside their team by (sha256(lead_id), lead_id) without a per-team window.
+    """Rank leads inside their team by (sha256(lead_id), lead_id) without a per-team window:
+    the hash prefix cuts every team into 16**buckets_hex ordered buckets, so a team
+    holding a third of all leads is spread over many window partitions."""
+    from ..functions.windows import bucketed_row_number
 
-    The hash prefix splits every team into 16**buckets_hex ordered buckets;
-    bucket sizes get a prefix sum per team (a small table), rows a row_number
-    inside (team, bucket).  A team holding a third of all leads is thus spread
-    over many window partitions.
-    """
-    h = F.sha2(F.col("lead_id"), 256)
-    b = leads.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, buckets_hex))
-    sizes = b.groupBy(team_col, "_b").agg(F.count(F.lit(1)).alias("_size"))
-    offsets = sizes.select(team_col, "_b", F.coalesce(F.sum("_size").over(
-        Window.partitionBy(team_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_off"))
-    rn = F.row_number().over(Window.partitionBy(team_col, "_b").orderBy("_h", "lead_id"))
-    return (b.withColumn("_rn", rn).join(offsets, [team_col, "_b"])
-            .withColumn("_n", F.col("_off") + F.col("_rn")).drop("_h", "_b", "_off", "_rn"))
+    b = leads.withColumn("_h", F.sha2(F.col("lead_id"), 256))
+    r = bucketed_row_number(b, [team_col], ["_h", "lead_id"], F.substring("_h", 1, buckets_hex), out="_n")
+    return r.withColumn("_n", F.col("_n").cast("long")).drop("_h")
 
 
 def rep_slots(reps: DataFrame) -> DataFrame:
     """Free capacity as rows: one slot per unit between current and max load, numbered per
-    team in water-filling order (lowest load level first, then rep_id)."""
+    team in water-filling order (lowest load level first, then rep_id); the load level
+    is the bucket, so large teams still number their slots in parallel."""
+    from ..functions.windows import bucketed_row_number
+
     avail = available_reps(reps, ordered=False)
     slots = avail.select("rep_id", "name", "email", "team",
                          F.explode(F.sequence(F.col("current_load"), F.col("max_load") - 1)).alias("slot_load"))
-    n = F.row_number().over(Window.partitionBy("team").orderBy("slot_load", "rep_id"))
-    return slots.withColumn("_n", n.cast("long"))
+    r = bucketed_row_number(slots, ["team"], ["slot_load", "rep_id"], F.col("slot_load"), out="_n")
+    return r.withColumn("_n", F.col("_n").cast("long"))
 
 
 def assign_balanced(leads: DataFrame, reps: DataFrame, team_col: str = "assigned_team") -> DataFrame:
@@ -83,13 +83,16 @@ def assign_balanced(leads: DataFrame, reps: DataFrame, team_col: str = "assigned
                                    F.col("name").alias("_rname"), F.col("email").alias("_remail"))
     j = ranked.join(slots, (ranked[team_col] == slots["_st"]) & (ranked["_n"] == slots["_n"]), "left") \
         .drop(slots["_n"])
-    placed = j.filter(F.col("_rid").isNotNull()).select(
-        *leads.columns, F.col("_rid").alias("assigned_rep_id"), F.col("_rname").alias("assigned_rep_name"),
-        F.col("_remail").alias("assigned_rep_email"), F.lit("balanced").alias("assignment_reason"))
-    overflow = j.filter(F.col("_rid").isNull()).select(*leads.columns)
-    fb = assign_rep(overflow, reps, team_col)
-    fb = fb.withColumn("assignment_reason", F.concat(F.lit("overflow_"), F.col("assignment_reason")))
-    return placed.unionByName(fb)
+    # leads past the team's free capacity take the R3 choice (same pass, no split)
+    fb = assign_rep(j, reps, team_col, eligible=F.col("_rid").isNull())
+    placed = F.col("_rid").isNotNull()
+    return fb.select(
+        *leads.columns,
+        F.when(placed, F.col("_rid")).otherwise(F.col("assigned_rep_id")).alias("assigned_rep_id"),
+        F.when(placed, F.col("_rname")).otherwise(F.col("assigned_rep_name")).alias("assigned_rep_name"),
+        F.when(placed, F.col("_remail")).otherwise(F.col("assigned_rep_email")).alias("assigned_rep_email"),
+        F.when(placed, F.lit("balanced")).otherwise(F.concat(F.lit("overflow_"), F.col("assignment_reason")))
+        .alias("assignment_reason"))
 
 
 def handoff_outbox(sql_leads: DataFrame, leads: DataFrame, reps: DataFrame) -> DataFrame:
