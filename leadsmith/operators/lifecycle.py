@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT
 from ..functions.common import AsOf, ts
 from ..functions.helpers import drop_helpers, with_helpers
+from ..session import ensure_checkpoint_dir
 from . import policies as P
 from . import routing as R
 from . import scoring as S
@@ -116,6 +117,7 @@ def qualify_leads(leads: DataFrame, reps: DataFrame, review_answers: DataFrame |
     cfg = cfg or DEFAULT
     st = stage_columns(leads, reps, review_answers, approvals, as_of, end_col, cfg)
     if materialize:
+        ensure_checkpoint_dir(st.sparkSession)
         st = st.checkpoint(eager=True)
     passed = st.filter(F.col("review_decision") == "accepted")
     dup = P.duplicate_lookback(passed.withColumn("_outcome", run_outcome()), outcome=F.col("_outcome"),
@@ -179,7 +181,8 @@ def lead_status_rows(leads: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def lead_status_doc(leads: DataFrame, events: DataFrame, lead_ids: DataFrame) -> DataFrame:
-    """F6 (document form) for requested leads: the status page's nested record.
+    """F6 (document form) for requested leads: the status page's nested record, with
+    the timeline also as the JSON text the page serves (``timeline_json``).
 
     Nesting happens after a semi-join to the requested ids, so only the leads
     asked for are ever gathered into one row each."""
@@ -191,7 +194,8 @@ def lead_status_doc(leads: DataFrame, events: DataFrame, lead_ids: DataFrame) ->
                     F.transform("_t", lambda e: F.struct(
                         e["event"].alias("event"), e["agent"].alias("agent"), e["from"].alias("from"),
                         e["to"].alias("to"), e["score"].alias("score"),
-                        e["timestamp"].cast("string").alias("timestamp"))).alias("timeline")))
+                        e["timestamp"].cast("string").alias("timestamp"))).alias("timeline"))
+            .withColumn("timeline_json", F.to_json("timeline", {"ignoreNullFields": "false"})))
 
 
 # ----------------------------------------------------------------- S9, S10, S14

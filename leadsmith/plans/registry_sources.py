@@ -291,7 +291,17 @@ FROM raw_leads r LEFT JOIN lead_events e ON r.lead_id = e.lead_id
 def _status_doc(s, d):
     leads = fx.raw_leads(s, d)
     ids = leads.filter(F.col("lead_id").endswith(TIMELINE_LEAD_SUFFIX)).select("lead_id")
-    return L.lead_status_doc(leads, fx.lead_events(s, d), ids)
+    # the JSON text is what the status page serves; nested rows stay in ``timeline``
+    return L.lead_status_doc(leads, fx.lead_events(s, d), ids).drop("timeline")
 
 
-register("lead_status_doc")(_status_doc)
+register("lead_status_doc", with_tables(f"""
+SELECT lead_id, status, email, company, to_json(timeline) AS timeline_json FROM (
+SELECT r.lead_id, r.status, r.email, r.company,
+  list({{'event': e.event_type, 'agent': e.agent_name, 'from': e.from_status, 'to': e.to_status,
+        'score': e.score_at_event, 'timestamp': CAST(e.event_timestamp AS VARCHAR)}}
+       ORDER BY e.event_timestamp, e.event_id) AS timeline
+FROM raw_leads r LEFT JOIN lead_events e ON r.lead_id = e.lead_id
+WHERE suffix(r.lead_id, '{TIMELINE_LEAD_SUFFIX}')
+GROUP BY r.lead_id, r.status, r.email, r.company) d
+""", "raw_leads", "lead_events"))(_status_doc)
