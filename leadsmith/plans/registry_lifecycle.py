@@ -248,3 +248,40 @@ SELECT count(*) AS total, count_if(final_status = 'sales_owned') AS sales_owned,
   count_if(final_status = 'rejected_by_operator') AS rejected_by_operator
 FROM ({FEED_SQL}) r
 """))(lambda s, d: L.dashboard_counts(feed(s, d)))
+
+
+# ----------------------------------------------------------------- S8 / T3
+
+def _events(s, d):
+    from ..sources import sinks as K
+
+    return K.events_from_stages(qualified_run(s, d), AS_OF)
+
+
+def _events_sql() -> str:
+    gid = ("'EVT-' || strftime({t}, '%Y%m%d') || '-' || upper(substr(sha256(lead_id || '|' || '{i}'), 1, 8))")
+    started = ("(final_status NOT IN ('rejected_duplicate', 'rejected_pii', 'pending_review') "
+               "AND review_decision = 'accepted')")
+    mql_ran = "final_status IN ('nurture','sales_owned','mql_nurture','rejected_by_operator','pending_approval')"
+    sql_ran = "final_status IN ('sales_owned','mql_nurture','rejected_by_operator','pending_approval')"
+    parts = [
+        (0, "lead_captured", "NULL", "'new'", "WebFormAgent", "NULL", "review_decision = 'accepted'"),
+        (1, "triage_started", "'new'", "'processing'", "TriageAgent", "NULL", started),
+        (2, "triage_completed", "'processing'",
+         "CASE decision WHEN 'accepted' THEN 'accepted' WHEN 'rejected' THEN 'rejected' ELSE 'processing' END",
+         "TriageAgent", "NULL", started),
+        (3, "mql_scored", "'accepted'", "CASE WHEN mql_qualified THEN 'mql' ELSE 'accepted' END", "MQLAgent",
+         "mql_score", f"{started} AND {mql_ran}"),
+        (4, "sql_scored", "'mql'", "CASE WHEN sql_qualified THEN 'sql' ELSE 'mql' END", "SQLAgent", "sql_score",
+         f"{started} AND {sql_ran}"),
+        (5, "sales_assigned", "'sql'", "'sales_owned'", "SQLAgent", "NULL", f"{started} AND final_status = 'sales_owned'"),
+    ]
+    sel = "\nUNION ALL\n".join(
+        f"SELECT {gid.format(t=SQL_AS_OF, i=i)} AS event_id, lead_id, {SQL_AS_OF} AS event_timestamp, "
+        f"'{e}' AS event_type, CAST({frm} AS VARCHAR) AS from_status, {to} AS to_status, '{agent}' AS agent_name, "
+        f"CAST({score} AS INTEGER) AS score_at_event FROM qa WHERE {cond}"
+        for i, e, frm, to, agent, score, cond in parts)
+    return _qualify_sql(sel)
+
+
+register("lead_event_append", _events_sql())(_events)

@@ -264,3 +264,59 @@ SELECT lead_id, {_EMP} AS employees,
 FROM raw_leads
 """, "raw_leads"))(lambda s, d: with_helpers(_leads(s, d)).select("lead_id", S.employees().alias("employees"),
                                                     S.assign_team_col().alias("assigned_team")))
+
+
+# ----------------------------------------------------------------- W12, W13, M9, B8 (separate keys)
+
+register("screen_scores", with_tables(f"""
+SELECT lead_id, bot_score, quality_score FROM ({SCREEN_SQL}) x
+""", "raw_leads"))(lambda s, d: screened(s, d).select("lead_id", "bot_score", "quality_score"))
+
+register("risk_level", with_tables(f"""
+SELECT lead_id, bot_score, risk_level FROM ({SCREEN_SQL}) x
+""", "raw_leads"))(lambda s, d: screened(s, d).select("lead_id", "bot_score", "risk_level"))
+
+_TRIAGE_OK = (f"NOT ({O.blank('email')} OR {O.blank('company')} OR "
+              f"{O.spam_keyword(keywords=S.DEFAULT['scoring']['triage_spam_keywords'])} IS NOT NULL)")
+
+
+def _triaged(s, d):
+    t = S.triage_leads(_leads(s, d))
+    return t.filter(F.col("decision") == "accepted")
+
+
+def mql_route(s, d):
+    """M9: MQL scoring of triage-accepted leads; qualified -> status mql, else the lead
+    stays accepted and goes to nurture."""
+    sc = S.score_mql(_triaged(s, d), keep=["lead_id"])
+    return sc.select("lead_id", "mql_score", F.when(F.col("qualified"), "mql").otherwise("accepted")
+                     .alias("new_status"), (~F.col("qualified")).alias("nurture"))
+
+
+register("mql_route", with_tables(f"""
+SELECT lead_id, mql_score, CASE WHEN mql_score >= 50 THEN 'mql' ELSE 'accepted' END AS new_status,
+       mql_score < 50 AS nurture
+FROM (SELECT lead_id, CAST({' + '.join(_MP[p] for p in S.MQL_PARTS)} AS INTEGER) AS mql_score
+      FROM raw_leads WHERE {_TRIAGE_OK}) m
+""", "raw_leads"))(mql_route)
+
+
+def bant_route(s, d):
+    """BANT scoring of MQL-qualified leads; qualified -> status sql, else back to mql."""
+    m = S.score_mql(_triaged(s, d)).filter("qualified").drop("qualified", "score_breakdown", "mql_score")
+    sc = S.score_bant(m, as_of=AS_OF, keep=["lead_id"])
+    return sc.select("lead_id", "sql_score", F.when(F.col("qualified"), "sql").otherwise("mql").alias("new_status"),
+                     "estimated_deal_size")
+
+
+register("bant_route", with_tables(f"""
+SELECT lead_id, sql_score, CASE WHEN sql_score >= 70 THEN 'sql' ELSE 'mql' END AS new_status, estimated_deal_size
+FROM (SELECT lead_id, b + a + n + t AS sql_score,
+        CASE WHEN emp >= 1000 AND n >= 15 THEN '$200K+' WHEN emp >= 1000 THEN '$50K-$200K'
+             WHEN emp >= 200 THEN '$10K-$50K' ELSE '<$10K' END AS estimated_deal_size
+      FROM (SELECT lead_id, {_EMP} AS emp, CAST({_BP['budget']} AS INTEGER) AS b,
+                   CAST({_BP['authority']} AS INTEGER) AS a, CAST({_BP['need']} AS INTEGER) AS n,
+                   CAST({_BP['timeline']} AS INTEGER) AS t
+            FROM raw_leads WHERE {_TRIAGE_OK}
+              AND CAST({' + '.join(_MP[p] for p in S.MQL_PARTS)} AS INTEGER) >= 50) x) y
+""", "raw_leads"))(bant_route)
