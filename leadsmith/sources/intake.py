@@ -43,10 +43,18 @@ def read_leads(spark: SparkSession, path: str, fmt: str = "json", schema: T.Stru
     """Lead submissions from JSON / CSV / Parquet files (batch or stream) with a fixed
     schema; rows without an email are refused."""
     reader = spark.readStream if stream else spark.read
-    r = reader.schema(schema).format(fmt)
-    if fmt == "csv":
-        r = r.option("header", "true")
-    df = r.load(path)
+    if fmt == "csv" and not stream:
+        # CSV columns are matched by header name (all text, no inference), then cast;
+        # fields the file lacks (and arrays, which CSV cannot hold) become nulls
+        raw = reader.option("header", "true").csv(path)
+        df = raw.select(*[
+            (F.col(f.name).cast(f.dataType) if f.name in raw.columns and not isinstance(f.dataType, T.ArrayType)
+             else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
+    else:
+        r = reader.schema(schema).format(fmt)
+        if fmt == "csv":  # a CSV stream needs the schema's column order in the files
+            r = r.option("header", "true")
+        df = r.load(path)
     return df.filter(~blank("email"))
 
 
