@@ -214,7 +214,7 @@ qa AS (
 
 QUALIFY_SQL = _qualify_sql(f"SELECT {', '.join(QUALIFY_COLS)} FROM qa")
 register("qualify_leads", QUALIFY_SQL)(lambda s, d: qualified_run(s, d).select(*QUALIFY_COLS))
-register("qualify_leads_hot")(lambda s, d: qualified_run(s, d, hot_key_rows=2).select(*QUALIFY_COLS))
+register("qualify_leads_hot", QUALIFY_SQL)(lambda s, d: qualified_run(s, d, hot_key_rows=2).select(*QUALIFY_COLS))
 register("final_status", _qualify_sql("SELECT final_status, count(*) AS leads FROM qa GROUP BY final_status"))(
     lambda s, d: qualified_run(s, d).groupBy("final_status").agg(F.count(F.lit(1)).alias("leads")))
 

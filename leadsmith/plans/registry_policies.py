@@ -240,7 +240,7 @@ WHERE email IS NULL OR trim(email) = ''
 """, "raw_leads")
 
 register("duplicate_lookback", DUP_SQL)(lambda s, d: P.duplicate_lookback(fx.raw_leads(s, d)))
-register("duplicate_lookback_hot")(
+register("duplicate_lookback_hot", DUP_SQL)(
     lambda s, d: P.duplicate_lookback(fx.raw_leads(s, d), hot_key_rows=3))
 
 
