@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
-from ..functions.common import AsOf, ts
+from ..functions.common import AsOf
 from ..functions.helpers import drop_helpers, with_helpers
 from ..session import ensure_checkpoint_dir
 from . import policies as P

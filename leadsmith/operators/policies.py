@@ -123,31 +123,6 @@ def pii_findings(df: DataFrame, key: str = "lead_id", cfg: dict | None = None,
             .select(key, "f.field", "f.pii_type", "f.severity", "f.action"))
 
 
-def pii_verdict_cols(findings: Column, cfg: dict | None = None) -> tuple[Column, Column, Column]:
-    """(action, triggered, notable types) from a row's findings array.
-
-    Worst action over all findings; when only low-severity items were found
-    the verdict is allow and not triggered."""
-    p = _p(cfg)
-    rank = p["action_rank"]
-    by_rank = {v: k for k, v in rank.items()}
-    worst = F.array_max(F.transform(findings, lambda x: _rank_expr(x["action"], rank)))
-    notable = F.filter(findings, lambda x: x["severity"] != "low")
-    triggered = F.size(notable) > 0
-    act = None
-    for r_, name in sorted(by_rank.items()):
-        act = F.when(worst == r_, name) if act is None else act.when(worst == r_, name)
-    action = F.when(triggered, act).otherwise("allow")
-    return action, triggered, F.transform(notable, lambda x: x["pii_type"])
-
-
-def _rank_expr(c: Column, rank: dict) -> Column:
-    out = None
-    for name, r in rank.items():
-        out = F.when(c == name, r) if out is None else out.when(c == name, r)
-    return out.otherwise(0)
-
-
 def pii_verdict_from_hits(hits, cfg: dict | None = None) -> tuple[Column, Column, Column]:
     """P4 without arrays of structs: worst action over all hits; allow and not triggered
     when every hit is low severity; the notable types in finding order."""

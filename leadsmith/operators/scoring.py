@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT
 from ..functions.common import AsOf, any_word_regex, blank, ts, word_regex
-from ..functions.helpers import drop_helpers, h, with_helpers
-from .screening import email_domain, spam_keyword
+from ..functions.helpers import h, with_helpers
+from .screening import spam_keyword
 
 
 def _s(col: str) -> Column:

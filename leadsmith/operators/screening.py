@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT
 from ..functions.common import AsOf, blank, compact, ts
-from ..functions.helpers import drop_helpers, h, with_helpers
+from ..functions.helpers import h, with_helpers
 
 
 @dataclass

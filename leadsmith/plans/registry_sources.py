@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import lifecycle as L
-from ..operators import reports as Rp
 from ..operators import scoring as S
 from ..sources import fixtures as fx
 from ..sources import intake as I

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import routing as R
 from ..sources import fixtures as fx
 from ..streaming import streams as X
 from .oracle import with_tables
