@@ -25,11 +25,42 @@ AS_OF = fx.AS_OF
 SQL_AS_OF = f"TIMESTAMP '{AS_OF}'"
 
 
+def _wrap_calls(sql: str, fname: str, cast: str) -> str:
+    """Wrap every ``fname(...)`` call in ``CAST(... AS cast)`` (matching parentheses)."""
+    out, i, token = [], 0, fname + "("
+    while True:
+        j = sql.find(token, i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + len(token)])
+            i = j + len(token)
+            continue
+        depth, k = 0, j + len(fname)
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = _wrap_calls(sql[j + len(token):k], fname, cast)
+        out.append(sql[i:j] + f"CAST({fname}({inner}) AS {cast})")
+        i = k + 1
+
+
+def duck_types(sql: str) -> str:
+    """Align DuckDB result types with Spark's: ``count_if`` is BIGINT, JSON text is VARCHAR."""
+    return _wrap_calls(_wrap_calls(sql, "count_if", "BIGINT"), "to_json", "VARCHAR")
+
+
 def register(key: str, oracle: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         QUERIES[key] = fn
         if oracle is not None:
-            ORACLE[key] = oracle
+            ORACLE[key] = duck_types(oracle)
         return fn
     return deco
 

@@ -179,7 +179,7 @@ register("retry_plan", with_tables("""
 SELECT call_id, lead_id, agent, tool, ts, attempt,
   CASE WHEN attempt <= 1 THEN 'retry' WHEN agent = 'AnalyticsAgent' THEN 'allow' ELSE 'escalate' END AS action,
   CASE WHEN attempt <= 1 THEN 2 * pow(2.0, attempt - 1) END AS delay_seconds
-FROM (SELECT *, row_number() OVER (PARTITION BY lead_id, agent ORDER BY ts, call_id) AS attempt
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY lead_id, agent ORDER BY ts, call_id) AS INTEGER) AS attempt
       FROM tool_calls WHERE status <> 'success') x
 """, "tool_calls"))(lambda s, d: P.retry_plan(_failures(s, d)))
 
@@ -267,7 +267,7 @@ FROM tool_calls GROUP BY lead_id, agent, tool
 
 register("tool_call_timeline", with_tables("""
 SELECT lead_id, call_id, ts, agent, tool, status, duration_ms,
-  row_number() OVER (PARTITION BY lead_id ORDER BY ts, call_id) AS seq
+  CAST(row_number() OVER (PARTITION BY lead_id ORDER BY ts, call_id) AS INTEGER) AS seq
 FROM tool_calls
 """, "tool_calls"))(lambda s, d: P.tool_call_timeline(fx.tool_calls(s, d)))
 
