@@ -49,6 +49,37 @@ def _norm(v, tol: bool):
     return v
 
 
+def spark_type_name(t) -> str:
+    from pyspark.sql import types as T
+
+    if isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)):
+        return "INTEGER"
+    if isinstance(t, T.LongType):
+        return "BIGINT"
+    if isinstance(t, T.DoubleType):
+        return "DOUBLE"
+    if isinstance(t, T.FloatType):
+        return "FLOAT"
+    if isinstance(t, T.StringType):
+        return "VARCHAR"
+    if isinstance(t, T.BooleanType):
+        return "BOOLEAN"
+    if isinstance(t, T.DateType):
+        return "DATE"
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        return "TIMESTAMP"
+    if isinstance(t, T.ArrayType):
+        return spark_type_name(t.elementType) + "[]"
+    return str(t)
+
+
+def type_mismatches(df, con, sql: str) -> dict:
+    rel = con.sql(sql)
+    dt = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    st = {f.name: spark_type_name(f.dataType) for f in df.schema.fields}
+    return {c: (st[c], dt.get(c)) for c in st if st[c] != dt.get(c)}
+
+
 def compare(spark, sf_dir: str, key: str, con=None, tol: bool = False) -> dict:
     from __spark_entry__ import oracle_sql, queries
 
@@ -64,6 +95,7 @@ def compare(spark, sf_dir: str, key: str, con=None, tol: bool = False) -> dict:
         out["oracle"] = "none"
         return out
     con = con or duck(sf_dir)
+    out["type_mismatches"] = type_mismatches(df, con, sql)
     rel = con.execute(sql)
     ocols = [d[0] for d in rel.description]
     orows = rel.fetchall()

@@ -20,6 +20,7 @@ def test_query_matches_oracle(spark, con, key):
     r = compare(spark, SF_SMALL, key, con)
     if key in oracle_sql():
         assert r["match"], r.get("why")
+        assert not r["type_mismatches"], r["type_mismatches"]
     else:
         assert r["spark_rows"] >= 0
 
