@@ -9,12 +9,15 @@ AsOf = str | Column | None
 
 
 def ts(as_of: AsOf) -> Column:
-    """``as_of`` as a timestamp Column; ``None`` means the wall clock."""
+    """``as_of`` as a timestamp Column; ``None`` means the wall clock.
+
+    A literal is a zone-less timestamp (like the tables' event times), so results
+    carry the same wall-clock value whatever the reader's time zone."""
     if as_of is None:
-        return F.current_timestamp()
+        return F.localtimestamp()
     if isinstance(as_of, Column):
         return as_of
-    return F.lit(as_of).cast("timestamp")
+    return F.lit(as_of).cast("timestamp_ntz")
 
 
 def spread(df):

@@ -148,8 +148,8 @@ def stream_event_windows(events: DataFrame, ts_col: str = "ts", window: str = "1
     return (events.withWatermark(ts_col, watermark)
             .groupBy(F.window(ts_col, window).alias("w"), by)
             .agg(F.count(F.lit(1)).alias("events"), F.round(F.sum("value"), 2).alias("value_sum"))
-            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), by,
-                    "events", "value_sum"))
+            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), by, "events", "value_sum"))
 
 
 # ----------------------------------------------------------------- X4
