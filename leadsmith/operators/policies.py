@@ -220,6 +220,9 @@ def retry_plan(failures: DataFrame, cfg: dict | None = None) -> DataFrame:
     fb = fb.otherwise("escalate")
     a = bucketed_row_number(failures, ["lead_id", "agent"], ["ts", "call_id"], F.date_trunc("hour", "ts"),
                             out="attempt")
+    if not enabled("retry_fallback", p):  # disabled policy: every check allows
+        return a.select("call_id", "lead_id", "agent", "tool", "ts", "attempt", F.lit("allow").alias("action"),
+                        F.lit(None).cast("double").alias("delay_seconds"))
     retry = F.col("attempt") <= p["max_retries"]
     delay = p["retry_delay_seconds"] * F.pow(F.lit(float(p["backoff_multiplier"])), F.col("attempt") - 1)
     return a.select("call_id", "lead_id", "agent", "tool", "ts", "attempt",
@@ -371,9 +374,11 @@ def expected_tools(spark: SparkSession, cfg: dict | None = None) -> DataFrame:
     return spark.createDataFrame(rows, "agent string, tool string")
 
 
-def unexpected_tools(calls: DataFrame, expected: DataFrame) -> DataFrame:
+def unexpected_tools(calls: DataFrame, expected: DataFrame, cfg: dict | None = None) -> DataFrame:
     """P10: calls whose (agent, tool) is not expected -> escalate.  ``expected`` is the
     configured allow-list (a few dozen rows), so broadcasting it is bounded."""
+    if not enabled("tool_transparency", cfg):
+        calls = calls.limit(0)  # a disabled policy raises nothing
     return (calls.join(F.broadcast(expected), ["agent", "tool"], "left_anti")
             .select("call_id", "lead_id", "agent", "tool", "ts", F.lit("escalate").alias("action")))
 
@@ -405,10 +410,13 @@ def audit_log(spark: SparkSession, calls: DataFrame, cfg: dict | None = None) ->
     rp = retry_plan(fails, cfg).select(
         "lead_id", F.lit("retry_fallback").alias("policy_id"),
         F.when(F.col("action") == "retry", "allow").otherwise(F.col("action")).alias("action"), "ts")
-    ut = unexpected_tools(calls, expected_tools(spark, cfg)).select(
+    ut = unexpected_tools(calls, expected_tools(spark, cfg), cfg).select(
         "lead_id", F.lit("tool_transparency").alias("policy_id"), "action", "ts")
+    copies = 2 if enabled("decision_audit", cfg) else 0
     da = fails.select("lead_id", F.lit("decision_audit").alias("policy_id"), F.lit("allow").alias("action"),
-                      "ts", F.explode(F.array(F.lit(1), F.lit(2))).alias("_copy")).drop("_copy")
+                      "ts", F.explode(F.array_repeat(F.lit(1), copies)).alias("_copy")).drop("_copy")
+    if not enabled("retry_fallback", cfg):
+        rp = rp.limit(0)  # not triggered when disabled
     return sg.unionByName(rp).unionByName(ut).unionByName(da)
 
 

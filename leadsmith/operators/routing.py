@@ -36,7 +36,9 @@ def assign_rep(leads: DataFrame, reps: DataFrame, team_col: str = "assigned_team
     avail = available_reps(reps, ordered=False)
     per_team = _best(avail, "team").withColumnRenamed("team", "_team")
     overall = _best(avail).select("best").scalar()
-    j = leads.join(per_team, leads[team_col] == per_team["_team"], "left")
+    # one row per team, and teams are a closed set (enterprise, mid-market, SMB, channel):
+    # a bounded broadcast, so the leads are never shuffled on the 3-4 valued team key
+    j = leads.join(F.broadcast(per_team), leads[team_col] == per_team["_team"], "left")
     pick = F.coalesce(F.col("best"), overall)
     ok = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
     reason = (F.when(F.col("best").isNotNull(), "team").when(pick.isNotNull(), "fallback_any_team")

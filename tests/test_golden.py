@@ -182,3 +182,24 @@ def test_spend_guard(spark):
     df = spark.createDataFrame(rows, "call_id long, lead_id string, ts timestamp, cost_usd double")
     got = {r.call_id: (r.action, round(r.run_cost_usd, 2)) for r in P.spend_guard(df).collect()}
     assert got == {1: ("allow", 0.10), 2: ("deny", 0.30), 3: ("warn", 0.42), 4: ("deny", 0.51), 5: ("deny", 0.52)}
+
+
+def test_disabled_policies_allow(spark):
+    """A disabled policy allows everything and logs nothing."""
+    import copy
+
+    from leadsmith.config import DEFAULT
+    from leadsmith.sources import fixtures as fx
+    from tests.conftest import SF_SMALL
+
+    cfg = copy.deepcopy(DEFAULT["policies"])
+    for k in cfg["enabled"]:
+        cfg["enabled"][k] = False
+    calls = fx.tool_calls(spark, SF_SMALL)
+    assert P.spend_guard(calls, cfg).filter(F.col("action") != "allow").count() == 0
+    assert P.unexpected_tools(calls, P.expected_tools(spark, cfg), cfg).count() == 0
+    assert P.retry_plan(calls.filter(F.col("status") != "success"), cfg).filter(F.col("action") != "allow").count() == 0
+    assert P.audit_log(spark, calls, cfg).count() == 0
+    leads = fx.raw_leads(spark, SF_SMALL)
+    assert P.pii_verdict(leads, cfg=cfg).filter(F.col("pii_action") != "allow").count() == 0
+    assert P.duplicate_lookback(leads, cfg=cfg).filter(F.col("dup_action") != "allow").count() == 0
