@@ -203,3 +203,35 @@ def test_disabled_policies_allow(spark):
     leads = fx.raw_leads(spark, SF_SMALL)
     assert P.pii_verdict(leads, cfg=cfg).filter(F.col("pii_action") != "allow").count() == 0
     assert P.duplicate_lookback(leads, cfg=cfg).filter(F.col("dup_action") != "allow").count() == 0
+
+
+def test_edge_rows(spark):
+    rows = [("two_at", dict(email="x@y@Corp.COM", message="a b c d")),
+            ("no_at", dict(email="nodomain", message="a b c d")),
+            ("w19", dict(email="a@corp.com", company="C", job_title="T", first_name="Ann", last_name="Lee",
+                         form_type="contact_us", message=" ".join(["w"] * 19))),
+            ("w20", dict(email="a@corp.com", company="C", job_title="T", first_name="Ann", last_name="Lee",
+                         form_type="contact_us", message=" ".join(["w"] * 20))),
+            ("bob", dict(email="a@corp.com", first_name="Bob", last_name="Lee", message="a b c d")),
+            ("latest", dict(email="a@corp.com", message="see the latest release notes")),
+            ("unknown_form", dict(email="a@corp.com", form_type="carrier", message="a b")),
+            ("null_vs_empty", dict(email="a@corp.com", company=None, job_title="", message=None))]
+    df = frame(spark, rows)
+    got = {r.lead_id: r for r in W.screen_leads(df).collect()}
+    assert "Personal email domain" not in " ".join(got["two_at"].flags)
+    assert got["w20"].quality_score - got["w19"].quality_score == 15
+    assert "Gibberish name: 'bob'" in got["bob"].flags
+    assert "Spam keyword: 'test'" in got["latest"].flags
+    assert "Short message (2 words, min 3 for carrier)" in got["unknown_form"].flags
+    assert {"Missing company name", "Missing job title"} <= set(got["null_vs_empty"].flags)
+    dom = {r.lead_id: r.d for r in df.select("lead_id", W.email_domain().alias("d")).collect()}
+    assert dom["two_at"] == "corp.com" and dom["no_at"] == ""
+
+
+def test_risk_and_route_boundaries(spark):
+    df = spark.createDataFrame([(30, 0), (31, 0), (55, 0), (56, 0), (75, 0), (76, 0), (90, 0), (20, 80), (21, 80)],
+                               "bot int, q int")
+    got = [(r.level, r.route) for r in df.select(W.risk_level(F.col("bot")).alias("level"),
+                                                 W.route(F.col("bot"), F.col("q")).alias("route")).collect()]
+    assert [g[0] for g in got] == ["low", "medium", "medium", "high", "high", "critical", "critical", "low", "low"]
+    assert [g[1] for g in got] == ["review"] * 6 + ["reject", "accept", "review"]
