@@ -28,6 +28,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.ui.enabled", "false")
         # call-site capture costs milliseconds per Column call when building wide rule projections
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # rule projections are wide: keep generated methods small enough for the JIT (HotSpot
+        # does not compile methods over 8000 bytes; larger stages fall back to split codegen)
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
@@ -40,6 +43,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def fast_column_building(spark: SparkSession) -> None:
     """Turn off per-call origin capture for Column building (a debugging aid)."""
     try:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
         spark.conf.set("spark.python.sql.dataFrameDebugging.enabled", "false")
         import pyspark.errors.utils as eu
 
