@@ -209,15 +209,14 @@ def approval_gate(qualified: DataFrame, approvals: DataFrame | None, as_of: AsOf
 # ----------------------------------------------------------------- P7, P8
 
 def retry_plan(failures: DataFrame, cfg: dict | None = None) -> DataFrame:
-    """Attempt n of an agent's failures for a lead: n <= max_retries -> retry after
-    delay * multiplier^(n-1) seconds; else the agent's fallback (escalate)."""
+    """Attempt n of an agent's failures for a lead: n <= max_retries -> retry (allowed)
+    after delay * multiplier^(n-1) seconds; later attempts escalate to a human.
+
+    The per-agent fallback list in the policy configuration is not consulted by the
+    enforcement it mirrors (every exhausted retry escalates), so it is not applied here."""
     from ..functions.windows import bucketed_row_number
 
     p = _p(cfg)
-    fb = None
-    for agent, act in p["fallback_actions"].items():
-        fb = F.when(F.col("agent") == agent, act) if fb is None else fb.when(F.col("agent") == agent, act)
-    fb = fb.otherwise("escalate")
     a = bucketed_row_number(failures, ["lead_id", "agent"], ["ts", "call_id"], F.date_trunc("hour", "ts"),
                             out="attempt")
     if not enabled("retry_fallback", p):  # disabled policy: every check allows
@@ -226,7 +225,7 @@ def retry_plan(failures: DataFrame, cfg: dict | None = None) -> DataFrame:
     retry = F.col("attempt") <= p["max_retries"]
     delay = p["retry_delay_seconds"] * F.pow(F.lit(float(p["backoff_multiplier"])), F.col("attempt") - 1)
     return a.select("call_id", "lead_id", "agent", "tool", "ts", "attempt",
-                    F.when(retry, "retry").otherwise(fb).alias("action"),
+                    F.when(retry, "retry").otherwise("escalate").alias("action"),
                     F.when(retry, delay).alias("delay_seconds"))
 
 

@@ -177,7 +177,7 @@ def _failures(s, d):
 
 register("retry_plan", with_tables("""
 SELECT call_id, lead_id, agent, tool, ts, attempt,
-  CASE WHEN attempt <= 1 THEN 'retry' WHEN agent = 'AnalyticsAgent' THEN 'allow' ELSE 'escalate' END AS action,
+  CASE WHEN attempt <= 1 THEN 'retry' ELSE 'escalate' END AS action,
   CASE WHEN attempt <= 1 THEN 2 * pow(2.0, attempt - 1) END AS delay_seconds
 FROM (SELECT *, CAST(row_number() OVER (PARTITION BY lead_id, agent ORDER BY ts, call_id) AS INTEGER) AS attempt
       FROM tool_calls WHERE status <> 'success') x
@@ -274,7 +274,7 @@ FROM tool_calls
 register("audit_summary", with_tables(f"""
 WITH sg AS ({SPEND_SQL}),
 rp AS (SELECT lead_id, CASE WHEN row_number() OVER (PARTITION BY lead_id, agent ORDER BY ts, call_id) <= 1
-                            THEN 'allow' WHEN agent = 'AnalyticsAgent' THEN 'allow' ELSE 'escalate' END AS action
+                            THEN 'allow' ELSE 'escalate' END AS action
        FROM tool_calls WHERE status <> 'success'),
 log AS (
   SELECT lead_id, 'spend_guard' AS policy_id, action FROM sg WHERE action = 'deny'
