@@ -185,7 +185,8 @@ def lead_status_doc(leads: DataFrame, events: DataFrame, lead_ids: DataFrame) ->
     the timeline also as the JSON text the page serves (``timeline_json``).
 
     Nesting happens after a semi-join to the requested ids, so only the leads
-    asked for are ever gathered into one row each."""
+    asked for are gathered, one row each; a lead's events are one per pipeline
+    stage it reached, so each gathered group is small by construction."""
     rows = lead_status_rows(leads.join(lead_ids.select("lead_id"), "lead_id", "left_semi"), events)
     item = F.struct("timestamp", "event_id", "event", "agent", "from", "to", "score")
     return (rows.groupBy("lead_id", "status", "email", "company")

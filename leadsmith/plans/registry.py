@@ -190,20 +190,14 @@ FROM vals v JOIN rng r ON v.metric = r.metric
 
 register("benchmark_flags", _bench_sql())(_benchmarks)
 
-TIMELINE_LEAD_SUFFIX = "-00000018"
-
-
 def _timeline(s, d):
-    from pyspark.sql import functions as F
-
-    ev = fx.lead_events(s, d)
-    ids = fx.raw_leads(s, d).filter(F.col("lead_id").endswith(TIMELINE_LEAD_SUFFIX)).select("lead_id")
-    return R.lead_timeline(ev, ids)
+    # every lead's timeline (a lookup of one lead is the same call with one id)
+    return R.lead_timeline(fx.lead_events(s, d), fx.raw_leads(s, d).select("lead_id"))
 
 
 register("lead_timeline", with_tables(f"""
 SELECT lead_id, event_id, event_timestamp, event_type, agent_name, from_status, to_status, score_at_event
-FROM lead_events WHERE lead_id IN (SELECT lead_id FROM raw_leads WHERE suffix(lead_id, '{TIMELINE_LEAD_SUFFIX}'))
+FROM lead_events WHERE lead_id IN (SELECT lead_id FROM raw_leads)
 ORDER BY lead_id, event_timestamp, event_id
 """, "raw_leads", "lead_events"))(_timeline)
 

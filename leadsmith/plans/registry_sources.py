@@ -11,7 +11,7 @@ from ..sources import intake as I
 from ..sources import sinks as K
 from . import oracle_rules as O
 from .oracle import with_tables
-from .registry import AS_OF, SQL_AS_OF, register, TIMELINE_LEAD_SUFFIX
+from .registry import AS_OF, SQL_AS_OF, register
 
 _K = "CAST(substr(lead_id, length(lead_id) - 7) AS BIGINT)"
 PAYLOAD_FIELDS = [f for f in I.LEAD_FIELDS if f in (
@@ -289,7 +289,7 @@ FROM raw_leads r LEFT JOIN lead_events e ON r.lead_id = e.lead_id
 
 def _status_doc(s, d):
     leads = fx.raw_leads(s, d)
-    ids = leads.filter(F.col("lead_id").endswith(TIMELINE_LEAD_SUFFIX)).select("lead_id")
+    ids = leads.select("lead_id")  # every lead's status document
     # the JSON text is what the status page serves; nested rows stay in ``timeline``
     return L.lead_status_doc(leads, fx.lead_events(s, d), ids).drop("timeline")
 
@@ -301,6 +301,5 @@ SELECT r.lead_id, r.status, r.email, r.company,
         'score': e.score_at_event, 'timestamp': CAST(e.event_timestamp AS VARCHAR)}}
        ORDER BY e.event_timestamp, e.event_id) AS timeline
 FROM raw_leads r LEFT JOIN lead_events e ON r.lead_id = e.lead_id
-WHERE suffix(r.lead_id, '{TIMELINE_LEAD_SUFFIX}')
 GROUP BY r.lead_id, r.status, r.email, r.company) d
 """, "raw_leads", "lead_events"))(_status_doc)

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import DEFAULT
+
 AS_OF = "2001-08-02 00:00:00"
 
 # Fixed values of the derivation (shared with the DuckDB oracle text).
@@ -56,7 +58,8 @@ TEAMS = ["enterprise_sales", "mid_market_sales", "smb_sales"]
 SQL_STATUSES = ["sql_new", "contacted", "closed_won", "closed_lost", "sql_new"]
 AGENT_BY_EVENT = {"view": "WebFormAgent", "click": "TriageAgent", "signup": "MQLAgent",
                   "purchase": "SQLAgent", "error": "AnalyticsAgent"}
-TOOLS = ["claude_api", "databricks_read", "databricks_write", "rules_engine"]
+# the tool names of the configured allow-list, in name order
+TOOLS = sorted({t for tools in DEFAULT["policies"]["expected_tools_per_agent"].values() for t in tools})
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
