@@ -4,7 +4,8 @@ A plain ``Window.partitionBy(key).orderBy(...)`` sends every row of a key to one
 task.  When the ordering starts with a column that can be cut into ordered
 buckets (an hour of the timestamp, a load level, a hash prefix), the same result
 is computed in two levels: per-(key, bucket) windows in parallel, plus a small
-per-key table over the buckets (their sizes or last rows) joined back.
+per-key table over the buckets (their sizes or last rows) joined back.  The small
+table is derived from the windowed rows, so the input is shuffled once.
 """
 
 from __future__ import annotations
@@ -23,13 +24,13 @@ def bucketed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str
                         bucket: Column, out: str = "_rn") -> DataFrame:
     """``row_number() OVER (PARTITION BY keys ORDER BY order)``; ``bucket`` must be
     non-decreasing along ``order`` inside a key."""
-    b = df.withColumn("_b", bucket)
-    sizes = b.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_size"))
+    w = df.withColumn("_b", bucket).withColumn(
+        "_rn_in", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order)))
+    sizes = w.groupBy(*keys, "_b").agg(F.max("_rn_in").alias("_size"))
     offsets = sizes.select(*keys, "_b", F.coalesce(F.sum("_size").over(
         Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("_off"))
-    rn = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order))
-    return (b.withColumn("_rn_in", rn).join(offsets, _join_keys(keys))
+    return (w.join(offsets, _join_keys(keys))
             .withColumn(out, (F.col("_off") + F.col("_rn_in")).cast("int"))
             .drop("_b", "_off", "_rn_in"))
 
@@ -40,18 +41,17 @@ def bucketed_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucke
 
     Inside a bucket the previous row comes from a window over (key, bucket); the
     first row of a bucket takes the last row of the key's previous non-empty
-    bucket, found on the per-(key, bucket) summary table."""
-    b = df.withColumn("_b", bucket)
+    bucket, read from the bucket-last rows (one per key and bucket)."""
     w_in = Window.partitionBy(*keys, "_b").orderBy(*order)
-    last = (b.groupBy(*keys, "_b")
-            .agg(F.max(F.struct(*[F.col(c) for c in order], *[F.col(c).alias(f"_v_{c}") for c in cols]))
-                 .alias("_last")))
-    prev_last = last.select(*keys, "_b", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_b"))
-                            .alias("_prev_last"))
-    first = F.row_number().over(w_in) == 1
-    out = b.select("*", first.alias("_first"), *[F.lag(c).over(w_in).alias(f"_lag_{c}") for c in cols])
-    out = out.join(prev_last, _join_keys(keys))
+    w = df.withColumn("_b", bucket).select(
+        "*", (F.row_number().over(w_in) == 1).alias("_first"),
+        F.lead(F.lit(1)).over(w_in).isNull().alias("_last"),
+        *[F.lag(c).over(w_in).alias(f"_lag_{c}") for c in cols])
+    last = w.filter("_last").select(*keys, "_b", *[F.col(c).alias(f"_v_{c}") for c in cols])
+    w_b = Window.partitionBy(*keys).orderBy("_b")
+    prev_last = last.select(*keys, "_b", *[F.lag(f"_v_{c}").over(w_b).alias(f"_p_{c}") for c in cols])
+    out = w.join(prev_last, _join_keys(keys))
     return out.select(
         *df.columns,
-        *[F.when(F.col("_first"), F.col(f"_prev_last._v_{c}")).otherwise(F.col(f"_lag_{c}")).alias(f"{prefix}{c}")
+        *[F.when(F.col("_first"), F.col(f"_p_{c}")).otherwise(F.col(f"_lag_{c}")).alias(f"{prefix}{c}")
           for c in cols])
