@@ -93,6 +93,11 @@ def events_from_stages(staged: DataFrame, as_of: AsOf = None) -> DataFrame:
                      "score_at_event")
 
 
+def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """One append per stage output (not one insert per row)."""
+    df.write.mode("append").format(fmt).save(path)
+
+
 def write_partitioned(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet") -> None:
     """Idempotent partition write — dynamic overwrite replaces only the partitions
     present in ``df`` (a re-run of one report day rewrites that day only)."""

@@ -53,3 +53,26 @@ def test_audit_export(spark, tmp_path):
     K.export_audit(ev, path, "event_timestamp", fx.AS_OF, 365)
     back = spark.read.json(path)
     assert back.count() == K.audit_window(ev, "event_timestamp", fx.AS_OF, 365).count()
+
+
+def test_rep_roster_fallback_and_seed(spark, tmp_path):
+    from leadsmith.operators import routing as R
+    from leadsmith.sources import reps
+
+    fb = reps.load_reps(spark, str(tmp_path / "missing"))
+    assert [r.rep_id for r in fb.orderBy("rep_id").collect()] == ["REP001", "REP002", "REP003"]
+    seed = reps.seed_reps(spark)
+    path = str(tmp_path / "reps")
+    seed.write.parquet(path)
+    assert reps.load_reps(spark, path).count() == 5
+    # least-loaded available rep per team, names joined with a space
+    avail = R.available_reps(seed).collect()
+    assert avail[0].rep_id == "REP005" and avail[0].name == "Marcus Johnson"
+
+
+def test_append_sink(spark, tmp_path):
+    df = fx.raw_leads(spark, SF_SMALL).select("lead_id")
+    path = str(tmp_path / "raw")
+    K.append(df, path)
+    K.append(df, path)
+    assert spark.read.parquet(path).count() == 2 * df.count()
