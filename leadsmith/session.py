@@ -31,7 +31,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         # rule projections are wide: keep generated methods small enough for the JIT (HotSpot
         # does not compile methods over 8000 bytes; larger stages fall back to split codegen)
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
-        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "4g"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
