@@ -117,6 +117,15 @@ def word_regex(phrase: str, plural: bool = False) -> str:
     return rf"(?i)\b{body}{tail}\b"
 
 
+def keyword_alternation(keywords: list[str]) -> str:
+    """Lower-case pattern whose group 1 is the keyword found: whole words, the words
+    of a phrase adjacent, optional plural ``s``.  Run on lower-cased text."""
+    import re
+
+    alts = [r"\s+".join(re.escape(w.lower()) for w in k.split()) for k in keywords]
+    return r"\b(" + "|".join(alts) + r")s?\b"
+
+
 def any_word_regex(phrases: list[str], plural: bool = False) -> str:
     import re
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
-from ..functions.common import AsOf, any_word_regex, blank, ts, word_regex
+from ..functions.common import AsOf, any_word_regex, blank, keyword_alternation, ts
 from ..functions.helpers import h, with_helpers
 from .screening import spam_keyword
 
@@ -63,9 +63,11 @@ MQL_PARTS = ["job_title", "company_size", "industry", "form_type", "email_domain
              "message_intent", "completeness"]
 
 
-def _count_words(text: Column, keywords: list[str]) -> Column:
-    """Number of distinct keywords present as whole words (optional plural s)."""
-    return sum((F.when(text.rlike(word_regex(k, plural=True)), 1).otherwise(0) for k in keywords), F.lit(0))
+def _count_words(text_lower: Column, keywords: list[str]) -> Column:
+    """Number of distinct keywords present as whole words (optional plural s) — one
+    regex pass over the lower-cased text instead of one per keyword."""
+    found = F.regexp_extract_all(text_lower, F.lit(keyword_alternation(keywords)), 1)
+    return F.size(F.array_distinct(found))
 
 
 def mql_parts(cfg: dict | None = None) -> dict[str, Column]:
@@ -80,7 +82,7 @@ def mql_parts(cfg: dict | None = None) -> dict[str, Column]:
         cond = F.col("form_type") == ft
         form = F.when(cond, pts) if form is None else form.when(cond, pts)
     d = h("_dom")
-    intent = _count_words(h("_msg"), c["mql_intent_keywords"])
+    intent = _count_words(h("_msg_l"), c["mql_intent_keywords"])
     complete = sum((F.when(~blank(f), c["mql_completeness_per_field"]).otherwise(0)
                     for f in c["mql_completeness_fields"]), F.lit(0))
     return {
@@ -138,7 +140,7 @@ def bant_parts(cfg: dict | None = None, ours: dict | None = None) -> dict[str, C
     authority = (F.when(decision, c["bant_authority_score"])
                  .when(influencer, c["bant_influencer_score"])
                  .otherwise(c["bant_unknown_authority_score"]))
-    need = F.least(_count_words(msg, c["bant_need_keywords"]) * c["bant_need_per_keyword"],
+    need = F.least(_count_words(h("_msg_l"), c["bant_need_keywords"]) * c["bant_need_per_keyword"],
                    F.lit(c["bant_need_max"]))
     days = timeline_days(ours)
     tl = F.when(days.isNull(), c["bant_timeline_unknown_score"])

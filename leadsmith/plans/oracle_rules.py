@@ -7,7 +7,7 @@ and returns SQL expressions over the columns of a lead row.
 from __future__ import annotations
 
 from ..config import DEFAULT
-from ..functions.common import any_word_regex, word_regex
+from ..functions.common import any_word_regex, keyword_alternation
 
 
 def q(v) -> str:
@@ -188,6 +188,11 @@ def company_employees(col: str = "company_size") -> str:
     return f"TRY_CAST(regexp_extract({s(col)}, '^(\\d+)', 1) AS INTEGER)"
 
 
+def keyword_count(keywords) -> str:
+    return (f"len(list_distinct(regexp_extract_all(lower({s('message')}), "
+            f"{q(keyword_alternation(keywords))}, 1)))")
+
+
 def mql_parts(c=None) -> dict[str, str]:
     c = c or DEFAULT["scoring"]
     title = any_word_regex(c["mql_qualifying_titles"])
@@ -197,9 +202,7 @@ def mql_parts(c=None) -> dict[str, str]:
     form = "(CASE " + " ".join(f"WHEN form_type = {q(k)} THEN {v}" for k, v in c["mql_form_type_scores"].items()) \
         + " ELSE 0 END)"
     d = email_domain()
-    intent_hits = " + ".join(
-        f"(CASE WHEN regexp_matches({s('message')}, {q(word_regex(k, plural=True))}) THEN 1 ELSE 0 END)"
-        for k in c["mql_intent_keywords"])
+    intent_hits = keyword_count(c["mql_intent_keywords"])
     complete = " + ".join(f"(CASE WHEN NOT {blank(f)} THEN {c['mql_completeness_per_field']} ELSE 0 END)"
                           for f in c["mql_completeness_fields"])
     return {
@@ -230,9 +233,7 @@ def bant_parts(c=None, ours=None) -> dict[str, str]:
     budget = (f"(CASE WHEN regexp_matches({msg}, {q(budget_kw)}) THEN {c['bant_budget_confirmed']} "
               f"WHEN regexp_matches({s('job_title')}, {q(decision)}) OR coalesce({emp}, 0) >= 200 "
               f"THEN {c['bant_budget_implied']} ELSE {c['bant_budget_unknown']} END)")
-    need_hits = " + ".join(
-        f"(CASE WHEN regexp_matches({msg}, {q(word_regex(k, plural=True))}) THEN 1 ELSE 0 END)"
-        for k in c["bant_need_keywords"])
+    need_hits = keyword_count(c["bant_need_keywords"])
     need = f"least(({need_hits}) * {c['bant_need_per_keyword']}, {c['bant_need_max']})"
     days = timeline_days()
     tl = "(CASE WHEN " + f"{days} IS NULL THEN {c['bant_timeline_unknown_score']} " + " ".join(
