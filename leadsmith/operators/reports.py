@@ -21,9 +21,15 @@ QUALIFIED = ("mql", "sql", "sales_owned")
 
 
 def in_window(df: DataFrame, col: str, as_of: AsOf, days: int | None) -> DataFrame:
+    """Rows with ``col`` in the last ``days`` days; on a lead table stored by capture day
+    (``created_date`` partitions) the same bound also prunes the day folders."""
     if days is None:
         return df
-    return df.filter(F.col(col) >= days_before(as_of, days))
+    since = days_before(as_of, days)
+    cond = F.col(col) >= since
+    if col == "created_at" and "created_date" in df.columns:
+        cond = (F.col("created_date") >= F.to_date(since)) & cond
+    return df.filter(cond)
 
 
 def _cnt(status: str, *values: str) -> Column:

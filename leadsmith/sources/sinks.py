@@ -114,3 +114,9 @@ def export_audit(audit: DataFrame, path: str, ts_col: str, as_of: AsOf = None, d
     """Write the retained audit rows as JSON lines, partitioned by day."""
     out = audit_window(audit, ts_col, as_of, days).withColumn("event_date", F.to_date(ts_col))
     write_partitioned(out, path, ["event_date"], fmt="json")
+
+
+def write_lead_table(leads: DataFrame, path: str, ts_col: str = "created_at") -> None:
+    """Store a lead table partitioned by capture day: window filters on ``created_at``
+    then prune day folders and reach the Parquet scan as pushed filters."""
+    write_partitioned(leads.withColumn("created_date", F.to_date(ts_col)), path, ["created_date"])

@@ -76,3 +76,26 @@ def test_append_sink(spark, tmp_path):
     K.append(df, path)
     K.append(df, path)
     assert spark.read.parquet(path).count() == 2 * df.count()
+
+
+def test_stored_lead_table_prunes_and_pushes_filters(spark, tmp_path):
+    path = str(tmp_path / "leads")
+    K.write_lead_table(fx.raw_leads(spark, SF_SMALL), path)
+    stored = spark.read.parquet(path)
+    since = F.timestamp_add("DAY", F.lit(-30), F.lit(fx.AS_OF).cast("timestamp_ntz"))
+    q = stored.filter((F.col("created_date") >= F.to_date(since)) & (F.col("created_at") >= since))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(created_date" in plan
+    assert "PushedFilters: [IsNotNull(created_at), GreaterThanOrEqual(created_at" in plan
+    assert q.count() == R.funnel_stats(fx.raw_leads(spark, SF_SMALL), fx.AS_OF, 30).agg(F.sum("count")).first()[0]
+
+
+def test_reports_prune_stored_lead_days(spark, tmp_path):
+    path = str(tmp_path / "leads2")
+    K.write_lead_table(fx.raw_leads(spark, SF_SMALL), path)
+    stored = spark.read.parquet(path)
+    q = R.report_by_channel(stored, fx.AS_OF, 30)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(created_date" in plan
+    want = R.report_by_channel(fx.raw_leads(spark, SF_SMALL), fx.AS_OF, 30)
+    assert q.exceptAll(want).count() == 0 and want.exceptAll(q).count() == 0
