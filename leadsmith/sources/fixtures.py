@@ -66,6 +66,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _memo(fn):
+    """Build each derived table once per session and folder.  Only the (lazy) plan is
+    kept — no data is cached — so repeated queries skip re-building wide projections."""
+    import functools
+
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        memo = spark.__dict__.setdefault("_leadsmith_tables", {})
+        key = (fn.__name__, sf_dir)
+        if key not in memo:
+            memo[key] = fn(spark, sf_dir)
+        return memo[key]
+    return wrapper
+
+
 def _spread(df: DataFrame) -> DataFrame:
     from ..functions.common import spread
 
@@ -89,6 +104,7 @@ def _lead_date(ts: Column) -> Column:
     return F.date_format(ts, "yyyyMMdd")
 
 
+@_memo
 def raw_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _spread(_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"))
@@ -149,6 +165,7 @@ def _orders_k(spark: SparkSession, sf_dir: str, statuses: tuple[int, ...]) -> Da
     return _spread(o.filter((F.col("o_orderkey") % 20).isin(*statuses)))
 
 
+@_memo
 def mql_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MQL records for leads whose status is mql / sql / sales_owned (k % 20 in 12..18)."""
     o = _orders_k(spark, sf_dir, tuple(range(12, 19)))
@@ -172,6 +189,7 @@ def mql_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def sql_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL (sales-qualified) records for leads with status sql / sales_owned (k % 20 in 16..18)."""
     o = _orders_k(spark, sf_dir, (16, 17, 18))
@@ -210,6 +228,7 @@ def sql_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def sales_reps(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
     key = F.col("s_suppkey")
@@ -227,6 +246,7 @@ def sales_reps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Agent tool-call log: one row per event (run = user)."""
     e = _spread(_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
@@ -244,6 +264,7 @@ def tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def lead_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append-only lifecycle events: one row per lead and reached stage.
 
@@ -290,6 +311,7 @@ def lead_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             ))
 
 
+@_memo
 def lead_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lead_id and created_at of every lead, from orders alone (no customer join)."""
     o = _spread(_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"))
