@@ -22,10 +22,6 @@ from . import routing as R
 from . import scoring as S
 from . import screening as W
 
-FEED_COLS = ["lead_id", "name", "company", "email", "final_status", "mql_score", "sql_score",
-             "assigned_rep", "submitted_at"]
-
-
 # ----------------------------------------------------------------- S4
 
 def gen_id(prefix: str, at: Column, *key_cols: Column | str) -> Column:

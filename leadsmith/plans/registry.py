@@ -77,7 +77,7 @@ def pct_sql(num: str, den: str) -> str:
     return sql_round_ratio(num, den, 1, "half_up", scale=100)
 
 
-def T(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return fx.load_tables(spark, sf_dir)
 
 
@@ -124,7 +124,7 @@ register("funnel_by_industry", with_tables(_funnel_sql("", ["industry"], False,
 
 
 def _velocity(s, d):
-    t = T(s, d)
+    t = tables(s, d)
     return R.funnel_velocity(t["raw_leads"], t["mql_leads"], t["sql_leads"], AS_OF, 30)
 
 
@@ -154,7 +154,7 @@ FROM (SELECT {_h('qualified_at', 'handoff_at')} AS h FROM sql_leads) x
 
 
 def _benchmarks(s, d):
-    t = T(s, d)
+    t = tables(s, d)
     m = R.funnel_metrics(t["raw_leads"], AS_OF, 30).crossJoin(
         R.funnel_velocity(t["raw_leads"], t["mql_leads"], t["sql_leads"], AS_OF, 30))
     return R.benchmark_flags(s, m)
@@ -216,7 +216,7 @@ FROM raw_leads r LEFT JOIN mql_leads m ON r.lead_id = m.lead_id LEFT JOIN sql_le
 
 
 def _full_funnel(s, d):
-    t = T(s, d)
+    t = tables(s, d)
     return R.full_funnel(t["raw_leads"], t["mql_leads"], t["sql_leads"]).select(*R.FULL_FUNNEL_COLS)
 
 
@@ -262,7 +262,7 @@ FROM sql_leads WHERE {win()} GROUP BY assigned_team
 
 
 def _report_velocity(s, d):
-    t = T(s, d)
+    t = tables(s, d)
     return R.report_velocity(t["raw_leads"], t["mql_leads"], t["sql_leads"], AS_OF, 30)
 
 
@@ -325,7 +325,7 @@ SELECT * FROM c WHERE total_sqls = (SELECT max(total_sqls) FROM c)
 
 
 def _summary(s, d):
-    t = T(s, d)
+    t = tables(s, d)
     return R.analytics_summary(t["raw_leads"], t["mql_leads"], t["sql_leads"], AS_OF)
 
 
@@ -393,7 +393,7 @@ FROM mql_leads
 
 
 def _workload(s, d):
-    t = T(s, d)
+    t = tables(s, d)
     return R.rep_workload(t["sql_leads"], t["sales_reps"])
 
 
