@@ -189,8 +189,8 @@ def company_employees(col: str = "company_size") -> str:
 
 
 def keyword_count(keywords) -> str:
-    return (f"len(list_distinct(regexp_extract_all(lower({s('message')}), "
-            f"{q(keyword_alternation(keywords))}, 1)))")
+    return (f"CAST(len(list_distinct(regexp_extract_all(lower({s('message')}), "
+            f"{q(keyword_alternation(keywords))}, 1))) AS INTEGER)")
 
 
 def mql_parts(c=None) -> dict[str, str]:
