@@ -64,3 +64,26 @@ def test_counts_quoted_in_fixture_notes(spark):
                   ("deny", "per_call_limit"): 23}
     pii = {r["pii_type"]: r["count"] for r in q["pii_documents"](spark, SF_MID).groupBy("pii_type").count().collect()}
     assert pii == {"credit_card": 24, "phone_number": 18, "email": 11}
+
+
+def test_balanced_assignment_respects_capacity(spark):
+    """Balanced placements never push a rep past max_load; every lead gets a rep or a
+    stated reason; overflow only once a team's free slots are used up."""
+    from leadsmith.operators import routing as Rt
+    from leadsmith.plans.registry_lifecycle import qualified_leads
+
+    from tests.conftest import SF_MID
+
+    reps = fx.sales_reps(spark, SF_MID)
+    out = Rt.assign_balanced(qualified_leads(spark, SF_MID), reps)
+    assert out.count() == qualified_leads(spark, SF_MID).count()
+    placed = out.filter(F.col("assignment_reason") == "balanced").groupBy("assigned_rep_id").count()
+    over = (placed.join(reps.select(F.col("rep_id").alias("assigned_rep_id"), "current_load", "max_load"),
+                        "assigned_rep_id")
+            .filter(F.col("current_load") + F.col("count") > F.col("max_load")))
+    assert over.count() == 0
+    free = Rt.rep_slots(reps).groupBy(F.col("team").alias("assigned_team")).count().withColumnRenamed("count", "slots")
+    used = out.filter(F.col("assignment_reason") == "balanced").groupBy("assigned_team").count()
+    overflow_teams = out.filter(F.col("assignment_reason").startswith("overflow")).select("assigned_team").distinct()
+    full = used.join(free, "assigned_team").filter(F.col("count") == F.col("slots")).select("assigned_team")
+    assert overflow_teams.exceptAll(full).count() == 0
