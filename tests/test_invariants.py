@@ -87,3 +87,22 @@ def test_balanced_assignment_respects_capacity(spark):
     overflow_teams = out.filter(F.col("assignment_reason").startswith("overflow")).select("assigned_team").distinct()
     full = used.join(free, "assigned_team").filter(F.col("count") == F.col("slots")).select("assigned_team")
     assert overflow_teams.exceptAll(full).count() == 0
+
+
+def test_assign_rep_is_least_loaded_available(spark):
+    """R3 against brute force: the least-loaded active rep under capacity in the team (ties by
+    rep_id), else the least-loaded one overall."""
+    from leadsmith.operators import routing as Rt
+    from leadsmith.plans.registry_lifecycle import qualified_leads
+
+    reps = [r.asDict() for r in fx.sales_reps(spark, SF_SMALL).collect()]
+    avail = sorted((r["current_load"], r["rep_id"], r["team"]) for r in reps
+                   if r["is_active"] and r["current_load"] < r["max_load"])
+    best_team = {}
+    for load, rid, team in avail:
+        best_team.setdefault(team, rid)
+    overall = avail[0][1] if avail else None
+    got = Rt.assign_rep(qualified_leads(spark, SF_SMALL), fx.sales_reps(spark, SF_SMALL)).collect()
+    assert got
+    for r in got:
+        assert r.assigned_rep_id == best_team.get(r.assigned_team, overall)
