@@ -106,3 +106,22 @@ def test_assign_rep_is_least_loaded_available(spark):
     assert got
     for r in got:
         assert r.assigned_rep_id == best_team.get(r.assigned_team, overall)
+
+
+def test_spend_guard_against_sequential_loop(spark):
+    """P1 against a per-lead loop in call order (cost added before the checks)."""
+    from collections import defaultdict
+
+    from leadsmith.operators import policies as P
+
+    calls = fx.tool_calls(spark, SF_SMALL)
+    rows = sorted(calls.select("call_id", "lead_id", "ts", "cost_usd").collect(), key=lambda r: (r.ts, r.call_id))
+    run, want = defaultdict(int), {}
+    for r in rows:
+        c = round(r.cost_usd * 1_000_000)
+        run[r.lead_id] += c
+        t = run[r.lead_id]
+        want[r.call_id] = ("deny" if c > 150_000 else "deny" if t > 500_000 else "warn" if t >= 400_000
+                           else "allow")
+    got = {r.call_id: r.action for r in P.spend_guard(calls).select("call_id", "action").collect()}
+    assert got == want
