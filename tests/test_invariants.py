@@ -125,3 +125,21 @@ def test_spend_guard_against_sequential_loop(spark):
                            else "allow")
     got = {r.call_id: r.action for r in P.spend_guard(calls).select("call_id", "action").collect()}
     assert got == want
+
+
+def test_stage_durations_against_python(spark):
+    """A20 against per-lead ordering in Python: transitions, total and extreme seconds."""
+    from collections import defaultdict
+
+    ev = fx.lead_events(spark, SF_SMALL).select("lead_id", "event_id", "event_type", "event_timestamp").collect()
+    by_lead = defaultdict(list)
+    for r in ev:
+        by_lead[r.lead_id].append((r.event_timestamp, r.event_id, r.event_type))
+    agg = defaultdict(list)
+    for rows in by_lead.values():
+        rows.sort()
+        for (t0, _, e0), (t1, _, e1) in zip(rows, rows[1:]):
+            agg[(e0, e1)].append(int((t1 - t0).total_seconds()))
+    got = {(r.prev_type, r.event_type): (r.transitions, r.min_seconds, r.max_seconds)
+           for r in R.stage_durations(fx.lead_events(spark, SF_SMALL)).collect()}
+    assert got == {k: (len(v), min(v), max(v)) for k, v in agg.items()}
