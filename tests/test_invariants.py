@@ -143,3 +143,20 @@ def test_stage_durations_against_python(spark):
     got = {(r.prev_type, r.event_type): (r.transitions, r.min_seconds, r.max_seconds)
            for r in R.stage_durations(fx.lead_events(spark, SF_SMALL)).collect()}
     assert got == {k: (len(v), min(v), max(v)) for k, v in agg.items()}
+
+
+def test_stuck_leads_against_python(spark):
+    """A15 against Python: latest event up to as_of, open status, older than 7 days."""
+    import datetime as dt
+
+    as_of = dt.datetime(2001, 8, 2)
+    last = {}
+    for r in fx.lead_events(spark, SF_SMALL).collect():
+        if r.event_timestamp <= as_of:
+            k = (r.event_timestamp, r.event_id)
+            if r.lead_id not in last or k > last[r.lead_id][0]:
+                last[r.lead_id] = (k, r.to_status)
+    want = {lid for lid, ((t, _), st) in last.items()
+            if st in ("new", "processing", "accepted", "mql", "sql") and t < as_of - dt.timedelta(days=7)}
+    got = {r.lead_id for r in R.stuck_leads(fx.lead_events(spark, SF_SMALL), fx.AS_OF, 7).collect()}
+    assert got == want
