@@ -160,3 +160,15 @@ def test_stuck_leads_against_python(spark):
             if st in ("new", "processing", "accepted", "mql", "sql") and t < as_of - dt.timedelta(days=7)}
     got = {r.lead_id for r in R.stuck_leads(fx.lead_events(spark, SF_SMALL), fx.AS_OF, 7).collect()}
     assert got == want
+
+
+def test_top_reps_keeps_ties(spark):
+    """A18 against Python: every rep with the maximum SQL count, ties included."""
+    from collections import Counter
+
+    sql = fx.sql_leads(spark, SF_SMALL)
+    c = Counter((r.assigned_rep_id, r.assigned_rep_name) for r in sql.collect())
+    top = max(c.values())
+    want = {k for k, v in c.items() if v == top}
+    got = {(r.assigned_rep_id, r.assigned_rep_name) for r in R.top_reps(sql).collect()}
+    assert got == want
