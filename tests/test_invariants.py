@@ -172,3 +172,18 @@ def test_top_reps_keeps_ties(spark):
     want = {k for k, v in c.items() if v == top}
     got = {(r.assigned_rep_id, r.assigned_rep_name) for r in R.top_reps(sql).collect()}
     assert got == want
+
+
+def test_summary_daily_counts_against_python(spark):
+    """A19 daily all-channel rows against per-day counts computed in Python."""
+    from collections import Counter
+
+    leads = fx.raw_leads(spark, SF_SMALL)
+    rows = leads.select("created_at", "status").collect()
+    cap = Counter(r.created_at.date() for r in rows)
+    owned = Counter(r.created_at.date() for r in rows if r.status == "sales_owned")
+    t = fx.load_tables(spark, SF_SMALL)
+    s = R.analytics_summary(t["raw_leads"], t["mql_leads"], t["sql_leads"], fx.AS_OF, periods=["daily"])
+    got = {r.report_date: (r.leads_captured, r.leads_sales_owned)
+           for r in s.filter(F.col("all_channels")).collect()}
+    assert got == {d: (n, owned.get(d, 0)) for d, n in cap.items()}
