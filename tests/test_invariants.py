@@ -187,3 +187,28 @@ def test_summary_daily_counts_against_python(spark):
     got = {r.report_date: (r.leads_captured, r.leads_sales_owned)
            for r in s.filter(F.col("all_channels")).collect()}
     assert got == {d: (n, owned.get(d, 0)) for d, n in cap.items()}
+
+
+def test_duplicate_lookback_against_python(spark):
+    """P9 (plain rule) against a per-email loop in time order."""
+    import datetime as dt
+    from collections import defaultdict
+
+    from leadsmith.operators import policies as P
+
+    leads = fx.raw_leads(spark, SF_SMALL)
+    by_email = defaultdict(list)
+    for r in leads.select("lead_id", "email", "created_at").collect():
+        by_email[(r.email or "").strip().lower()].append((r.created_at, r.lead_id))
+    want = {}
+    for em, rows in by_email.items():
+        anchor = None
+        for t, i in sorted(rows):
+            if not em:
+                want[i] = "allow"
+            elif anchor is None or t - anchor >= dt.timedelta(days=31):
+                anchor, want[i] = t, "allow"
+            else:
+                want[i] = "deny"
+    got = {r.lead_id: r.dup_action for r in P.duplicate_lookback(leads).collect()}
+    assert got == want
