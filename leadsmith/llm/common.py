@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from leadsmith.session import ensure_checkpoint_dir
 
 #: Most entries a per-worker cache of words keeps; words beyond it are worked out again when met.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 1_500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,10 +31,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remember(cache: dict, fresh: dict, most: int = CACHE_WORDS) -> None:
-    """Add ``fresh`` to ``cache`` while it has room (a speed matter only, never of results)."""
-    if len(cache) + len(fresh) <= most:
-        cache.update(fresh)
+def forget(cache: dict, fresh: dict, longest: int = 64, most: int = CACHE_WORDS) -> None:
+    """Take just added words out again if the cache is full or they are very long (a speed matter only, never of results)."""
+    full = len(cache) > most
+    for key in fresh:
+        if full or len(key) > longest:
+            del cache[key]
 
 
 def blocks(items: list, size: int) -> Iterable[list]:

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadsmith.llm.common import remember
+from leadsmith.llm.common import forget
 
 MIN_WORDS = 50
 #: Texts with over this share of words in repeated three-word windows fail the base rules.
@@ -148,10 +148,10 @@ def fertility(docs: DataFrame, piece_path: str, byte_path: str, id_col: str = "d
                 split = [[w.decode("utf-8", "surrogatepass") for w in (t or "").encode("utf-8", "surrogatepass").split()]
                          if t and not t.isascii() else (t or "").encode().split() for t in b["t"]]
                 split = [s if not s or isinstance(s[0], str) else b" ".join(s).decode().split(" ") for s in split]
-                fresh = measure_words(list(set().union(*split) - cache.keys()), piece_path, byte_path)
-                known = cache if not fresh else _Both(fresh, cache)
-                rows = [_measure(t, s, known) for t, s in zip(b["t"], split)]
-                remember(cache, fresh)
+                fresh = measure_words(list(set().union(*split).difference(cache)), piece_path, byte_path)
+                cache.update(fresh)
+                rows = [_measure(t, s, cache) for t, s in zip(b["t"], split)]
+                forget(cache, fresh)
                 out = pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                                   "piece_chars", "fallback", "entropy", "byte_chars", "script"])
                 out.insert(0, "doc_id", b["i"].to_numpy())
@@ -161,17 +161,6 @@ def fertility(docs: DataFrame, piece_path: str, byte_path: str, id_col: str = "d
     return docs.select(F.col(id_col).cast("long").alias("i"), F.col("text").alias("t"), lang.alias("l")).mapInPandas(run, SCHEMA)
 
 
-class _Both(dict):
-    """Fresh words first, then the cache."""
-
-    def __init__(self, fresh: dict, cache: dict):
-        super().__init__(fresh)
-        self.cache = cache
-
-    def __missing__(self, word):
-        return self.cache[word]
-
-
 def in_band(figure: str):
     """Whether a figure lies in the band of the row's language or else script."""
     c, out = F.col(figure), None

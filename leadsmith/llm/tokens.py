@@ -14,7 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from leadsmith.llm.common import blocks, remember
+from leadsmith.llm.common import blocks, forget
 
 #: White space as Unicode defines it (the tokenisers' definition).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -68,8 +68,11 @@ class WordwiseTokenizer:
         out = {}
         for part in blocks([k for k in keys if "<|" not in k and self._literal(k)], AT_ONCE):
             ids = np.array(self.parting.encode_batch_fast([PARTING.join(map(self._literal, part))], add_special_tokens=False)[0].ids, np.uint32)
-            for key, own in zip(part, np.split(ids, np.flatnonzero(ids == self.parting_id))):
-                out[key] = (own[1:] if len(own) and own[0] == self.parting_id else own).tobytes()
+            ends = (4 * np.append(np.flatnonzero(ids == self.parting_id), len(ids))).tolist()
+            raw, start = ids.tobytes(), 0
+            for key, end in zip(part, ends):
+                out[key] = raw[start:end]
+                start = end + 4
         for key in keys:
             if key not in out:
                 out[key] = np.array(self.plain.encode(self._literal(key), add_special_tokens=False).ids if key else [], np.uint32).tobytes()
@@ -78,29 +81,20 @@ class WordwiseTokenizer:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
         keyed = [self._keys(t) if t else [] for t in texts]
-        fresh = set().union(*keyed) - self.cache.keys()
+        fresh = set().union(*keyed).difference(self.cache)
         unsafe = {k for k in fresh if not self._safe(k)}
         if unsafe:
             for i, k in enumerate(keyed):
                 if not unsafe.isdisjoint(k):
                     keyed[i] = self._exact_keys(texts[i])
-            fresh = set().union(*keyed) - self.cache.keys()
+            fresh = set().union(*keyed).difference(self.cache)
         new = self._encoded(list(fresh))
-        known = _Layered(new, self.cache)
-        out = [b"".join(map(known.__getitem__, k)) for k in keyed]
-        remember(self.cache, {k: v for k, v in new.items() if len(k) <= LONGEST})
+        self.cache.update(new)
+        out = [b"".join(map(self.cache.__getitem__, k)) for k in keyed]
+        forget(self.cache, new, LONGEST)
         return out
 
 
-class _Layered(dict):
-    def __init__(self, fresh: dict, cache: dict):
-        super().__init__(fresh)
-        self.cache = cache
-
-    def __missing__(self, key):
-        return self.cache[key]
-
-
 @lru_cache(4)
 def tokenizer(path: str, kind: str) -> WordwiseTokenizer:
     """One tokeniser (with its cache) per worker, file and kind."""
