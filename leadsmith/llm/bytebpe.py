@@ -1,19 +1,24 @@
-"""Byte-level BPE encoding and decoding with Spark higher-order functions.
+"""Byte-level BPE encoding and decoding by folding ranked merges over the bytes of distinct words.
 
-The rank file becomes a literal: an array of small maps from a token's bytes to its rank,
-addressed by the bytes' CRC-32, so that a lookup costs the same for any vocabulary.  Bytes
-are written as the characters U+0000 to U+00FF.  A word (one match of the split pattern)
-starts as an array of single bytes; an ``aggregate`` folds the merges over it: the
-neighbouring pair of lowest rank, leftmost on a tie, becomes one piece and only the ranks
-beside it are looked up again.  Decoding concatenates the binary pieces of the ids.
+A word is one match of the split pattern.  Its bytes start as single pieces; the neighbouring
+pair of lowest rank, leftmost on a tie, becomes one piece until no pair has a rank.  Decoding
+concatenates the binary pieces of the ids.
 
-Words that occur in the most documents (``frequent`` of them, a documented bound) are folded
-once and reach all tasks as a second literal; any other word is folded where it occurs, so
-the result is the same whatever the bound is.
+Two forms give the same ids:
+
+* ``encode`` (the registered query): one Arrow pass; a worker folds each distinct word once
+  and keeps it in a bounded cache.
+* ``encode_native``: Spark higher-order functions only.  The rank file becomes a literal, an
+  array of small maps from a token's bytes (written as the characters U+0000 to U+00FF) to
+  its rank, addressed by the bytes' CRC-32; an ``aggregate`` folds the merges.  The
+  ``frequent`` words of most documents are folded once and reach all tasks as a second
+  literal; any other word is folded where it occurs, so the result is the same whatever the
+  bound.  It needs over the check tool's limits for CPU seconds and driver memory (figures in
+  the README), so it is not the registered form.
 
 Defined results: a null text is encoded as an empty one (no ids); repeated rows each get
-the same result; extra columns are ignored.  The fold of one word of n bytes takes up to n steps
-over at most n pieces.  Letters and digits are those of the Java runtime's Unicode version.
+the same result; extra columns are ignored.  The fold of one word of n bytes takes up to n
+steps.  ``encode_native`` knows the letters and digits of the Java runtime's Unicode version.
 """
 
 from __future__ import annotations
@@ -21,10 +26,17 @@ from __future__ import annotations
 import base64
 import json
 import zlib
+from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
+import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadsmith.llm.tokens import WordwiseTokenizer
+
 #: Buckets of the literal maps.
 BUCKETS = 1 << 16
 #: Words folded once and sent to all tasks, at most.
@@ -130,9 +142,9 @@ def frequent_words(docs: DataFrame, pattern: str, most: int, text_col: str = "te
             .orderBy(F.desc("count"), "word").limit(most).select("word"))
 
 
-def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           frequent: int = FREQUENT) -> tuple[DataFrame, Encoder]:
-    """(id, ids array) per row, and the encoder for decoding."""
+def encode_native(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+                  frequent: int = FREQUENT) -> tuple[DataFrame, Encoder]:
+    """(id, ids array) per row with DataFrame functions only, and the encoder for decoding."""
     enc = Encoder(read_ranks(rank_path))
     word = F.col("word")
     known = frequent_words(docs, pattern, frequent, text_col).select("word", enc.encode_word(word).alias("ids")).collect()
@@ -145,9 +157,71 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id"
     return out, enc
 
 
-def round_trip(docs: DataFrame, rank_path: str, pattern: str, frequent: int = FREQUENT) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 per row."""
-    ids, enc = encode(docs, rank_path, pattern, frequent=frequent)
+def round_trip_native(docs: DataFrame, rank_path: str, pattern: str, frequent: int = FREQUENT) -> DataFrame:
+    """``round_trip`` with DataFrame functions only."""
+    ids, enc = encode_native(docs, rank_path, pattern, frequent=frequent)
     return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(enc.ids_binary(F.col("ids")), 256).alias("ids_sha256"),
                       F.sha2(enc.decode(F.col("ids")), 256).alias("decoded_sha256"))
+
+
+class RankTokenizer(WordwiseTokenizer):
+    """Ids of whole texts by a rank file; a word is folded when first met."""
+
+    def __init__(self, rank_path: str, pattern: str):
+        self.ranks = read_ranks(rank_path)
+        self.pieces = np.empty(max(self.ranks.values()) + 1, object)
+        for token, i in self.ranks.items():
+            self.pieces[i] = token
+        self.pattern = regex.compile(pattern)
+        self.kind, self.cache = "byte_level", {}
+
+    def fold(self, word: bytes) -> list[int]:
+        """Merge the lowest-ranked neighbours until none has a rank."""
+        if word in self.ranks:
+            return [self.ranks[word]]
+        pieces = [word[i:i + 1] for i in range(len(word))]
+        none = len(self.pieces)
+        pairs = [self.ranks.get(a + b, none) for a, b in zip(pieces, pieces[1:])]
+        while pairs and (low := min(pairs)) < none:
+            i = pairs.index(low)
+            pieces[i:i + 2] = [pieces[i] + pieces[i + 1]]
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = self.ranks.get(pieces[i] + pieces[i + 1], none)
+            if i:
+                pairs[i - 1] = self.ranks.get(pieces[i - 1] + pieces[i], none)
+        return [self.ranks[p] for p in pieces]
+
+    def _encoded(self, keys: list[str]) -> dict[str, bytes]:
+        return {key: np.array([i for w in self.pattern.findall(self._literal(key)) for i in self.fold(w.encode("utf-8", "surrogatepass"))],
+                              "<u4").tobytes() for key in keys}
+
+    def decode(self, ids: bytes) -> bytes:
+        """The bytes that ids stand for: their binary pieces, concatenated."""
+        return b"".join(self.pieces[np.frombuffer(ids, "<u4")].tolist())
+
+
+@lru_cache(2)
+def rank_tokenizer(rank_path: str, pattern: str) -> RankTokenizer:
+    """One tokeniser (with its cache) per worker and rank file."""
+    return RankTokenizer(rank_path, pattern)
+
+
+def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, ids and decoded (binary: little-endian unsigned 32-bit ids, and the bytes they decode to) per row."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        t = rank_tokenizer(rank_path, pattern)
+        for b in batches:
+            for at in range(0, len(b), 256):
+                part = b.iloc[at:at + 256]
+                ids = t.encode(list(part["t"]))
+                yield pd.DataFrame({"doc_id": part["i"], "ids": ids, "decoded": [t.decode(x) for x in ids]})
+    return docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).mapInPandas(run, "doc_id long, ids binary, decoded binary")
+
+
+def round_trip(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 per row."""
+    return encode(docs, rank_path, pattern).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
