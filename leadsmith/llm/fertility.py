@@ -52,6 +52,8 @@ SCRIPTS = [("latin", 0x41, 0x24F), ("greek", 0x370, 0x3FF), ("cyrillic", 0x400,
            ("han", 0x3040, 0x30FF), ("han", 0x4E00, 0x9FFF), ("han", 0xAC00, 0xD7AF)]
 #: Distinct words are split in groups of this many to encode.
 AT_ONCE = 4096
+#: Words a worker keeps; words beyond them are measured again when met.
+CACHE_WORDS = 700_000
 _seen: dict[tuple, dict] = {}
 
 
@@ -151,7 +153,7 @@ def fertility(docs: DataFrame, piece_path: str, byte_path: str, id_col: str = "d
                 fresh = measure_words(list(set().union(*split).difference(cache)), piece_path, byte_path)
                 cache.update(fresh)
                 rows = [_measure(t, s, cache) for t, s in zip(b["t"], split)]
-                forget(cache, fresh)
+                forget(cache, fresh, most=CACHE_WORDS)
                 out = pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                                   "piece_chars", "fallback", "entropy", "byte_chars", "script"])
                 out.insert(0, "doc_id", b["i"].to_numpy())
