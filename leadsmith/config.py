@@ -204,7 +204,6 @@ OURS: dict[str, Any] = {
     "stuck_statuses": ["new", "processing", "accepted", "mql", "sql"],
     # rows per key above which the duplicate fold leaves the in-memory array
     # fold (quadratic in the key's rows) for the sorted, constant-memory fold
-    "fold_key_limit": 2_000,
 }
 
 
@@ -222,9 +221,17 @@ def load_config(path: str | None = None) -> dict[str, dict[str, Any]]:
 
         with open(path, encoding="utf-8") as fh:
             overlay = yaml.safe_load(fh) or {}
-        for section, values in overlay.items():
-            cfg.setdefault(section, {}).update(values or {})
+        _merge(cfg, overlay)
     return cfg
 
 
+def _merge(into: dict, overlay: dict) -> None:
+    """Put the overlay's values in place, going into nested maps: what it does not name stays."""
+    for key, value in overlay.items():
+        if isinstance(value, dict) and isinstance(into.get(key), dict):
+            _merge(into[key], value)
+        elif value is not None:
+            into[key] = value
+
+
 DEFAULT = load_config()

@@ -20,6 +20,15 @@ def _join_keys(keys: Sequence[str]) -> list[str]:
     return [*keys, "_b"]
 
 
+def null_safe_join(rows: DataFrame, per_key: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner equi-join on ``keys`` in which null meets null, so rows with a null key or bucket stay."""
+    renamed = per_key.select(*[F.col(k).alias(f"_key_{k}") if k in keys else F.col(k) for k in per_key.columns])
+    on = F.lit(True)
+    for k in keys:
+        on = on & rows[k].eqNullSafe(renamed[f"_key_{k}"])
+    return rows.join(renamed, on).drop(*[f"_key_{k}" for k in keys])
+
+
 def bucketed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                         bucket: Column, out: str = "_rn") -> DataFrame:
     """``row_number() OVER (PARTITION BY keys ORDER BY order)``; ``bucket`` must be
@@ -30,7 +39,7 @@ def bucketed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str
     offsets = sizes.select(*keys, "_b", F.coalesce(F.sum("_size").over(
         Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("_off"))
-    return (w.join(offsets, _join_keys(keys))
+    return (null_safe_join(w, offsets, _join_keys(keys))
             .withColumn(out, (F.col("_off") + F.col("_rn_in")).cast("int"))
             .drop("_b", "_off", "_rn_in"))
 
@@ -50,7 +59,7 @@ def bucketed_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucke
     last = w.filter("_last").select(*keys, "_b", *[F.col(c).alias(f"_v_{c}") for c in cols])
     w_b = Window.partitionBy(*keys).orderBy("_b")
     prev_last = last.select(*keys, "_b", *[F.lag(f"_v_{c}").over(w_b).alias(f"_p_{c}") for c in cols])
-    out = w.join(prev_last, _join_keys(keys))
+    out = null_safe_join(w, prev_last, _join_keys(keys))
     return out.select(
         *df.columns,
         *[F.when(F.col("_first"), F.col(f"_p_{c}")).otherwise(F.col(f"_lag_{c}")).alias(f"{prefix}{c}")

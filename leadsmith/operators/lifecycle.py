@@ -97,7 +97,7 @@ def final_status() -> Column:
 
 def qualify_leads(leads: DataFrame, reps: DataFrame, review_answers: DataFrame | None = None,
                   approvals: DataFrame | None = None, as_of: AsOf = None, end_col: str = "created_at",
-                  cfg: dict | None = None, hot_key_rows: int | None = None,
+                  cfg: dict | None = None,
                   materialize: bool = True) -> DataFrame:
     """screening -> review -> duplicate -> PII -> triage -> MQL -> BANT -> rep -> approval.
 
@@ -117,7 +117,7 @@ def qualify_leads(leads: DataFrame, reps: DataFrame, review_answers: DataFrame |
         st = st.checkpoint(eager=True)
     passed = st.filter(F.col("review_decision") == "accepted")
     dup = P.duplicate_lookback(passed.withColumn("_outcome", run_outcome()), outcome=F.col("_outcome"),
-                               cfg=cfg["policies"], hot_key_rows=hot_key_rows)
+                               keeps_status=F.col("pii_action") == "deny", cfg=cfg["policies"])
     staged = st.join(dup.select("lead_id", "dup_action"), "lead_id", "left")
     staged = staged.withColumn("final_status", final_status())
     reached_sql = F.col("final_status").isin("sales_owned", "rejected_by_operator", "pending_approval",
@@ -128,15 +128,15 @@ def qualify_leads(leads: DataFrame, reps: DataFrame, review_answers: DataFrame |
 # ----------------------------------------------------------------- F3-F6
 
 def result_feed(final: DataFrame) -> DataFrame:
-    """the results-feed record; form-stage rejections carry no id and no scores;
-    scores appear once their stage ran."""
+    """the results-feed record; form-stage, duplicate and personal-data stops carry no id
+    and no scores; scores appear once their stage ran."""
     c = F.col
-    form_rejected = c("review_decision") == "rejected"
+    stopped = (c("review_decision") == "rejected") | c("final_status").isin("rejected_duplicate", "rejected_pii")
     mql_ran = c("final_status").isin("nurture", "sales_owned", "mql_nurture", "rejected_by_operator",
                                      "pending_approval")
     sql_ran = c("final_status").isin("sales_owned", "mql_nurture", "rejected_by_operator", "pending_approval")
     return final.select(
-        F.when(~form_rejected, c("lead_id")).alias("lead_id"),
+        F.when(~stopped, c("lead_id")).alias("lead_id"),
         F.trim(F.concat_ws(" ", F.coalesce(c("first_name"), F.lit("")),
                            F.coalesce(c("last_name"), F.lit("")))).alias("name"),
         "company", "email", "final_status",
@@ -198,13 +198,15 @@ def lead_status_doc(leads: DataFrame, events: DataFrame, lead_ids: DataFrame) ->
 # ----------------------------------------------------------------- S9, S10, S14
 
 def apply_status_updates(leads: DataFrame, updates: DataFrame) -> DataFrame:
-    """Latest update per lead wins; status and time replaced, reason = COALESCE(new, old).
+    """Latest update per lead wins; status and time replaced, the last reason given stays
+    (each update sets reason = COALESCE(new, old)).
 
-    The latest update is picked with one ``max_by`` aggregate (no window sort),
+    Both are picked with ``max_by`` in one aggregate (no window sort),
     then a key join; leads without an update pass through unchanged."""
     latest = (updates.groupBy("lead_id")
-              .agg(F.max_by(F.struct("status", "rejection_reason", "updated_at"),
-                            F.struct("updated_at", "status")).alias("_u")))
+              .agg(F.max_by(F.struct("status", "updated_at"), F.struct("updated_at", "status")).alias("_u"),
+                   F.max_by("rejection_reason", F.when(F.col("rejection_reason").isNotNull(),
+                                                       F.struct("updated_at", "status"))).alias("_reason")))
     j = leads.join(latest, "lead_id", "left")
     out = []
     for c in leads.columns:
@@ -213,7 +215,7 @@ def apply_status_updates(leads: DataFrame, updates: DataFrame) -> DataFrame:
         elif c == "updated_at":
             out.append(F.coalesce(F.col("_u.updated_at"), F.col("updated_at")).alias("updated_at"))
         elif c == "rejection_reason":
-            out.append(F.coalesce(F.col("_u.rejection_reason"), F.col("rejection_reason")).alias(c))
+            out.append(F.coalesce(F.col("_reason"), F.col("rejection_reason")).alias(c))
         else:
             out.append(F.col(c))
     return j.select(*out)

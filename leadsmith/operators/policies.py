@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..config import DEFAULT
 from ..functions.common import AsOf, compact, ts
+from ..functions.windows import null_safe_join
 
 MICRO = 1_000_000
 
@@ -25,8 +26,8 @@ def _p(cfg: dict | None) -> dict:
 
 
 def enabled(policy: str, cfg: dict | None = None) -> bool:
-    """Disabled or unknown policies allow everything (decided at plan time)."""
-    return bool(_p(cfg)["enabled"].get(policy, False))
+    """A known policy is on unless switched off; an unknown one allows everything (decided at plan time)."""
+    return bool(_p(cfg).get("enabled", {}).get(policy, policy in DEFAULT["policies"]["enabled"]))
 
 
 # ----------------------------------------------------------------- P1, P2
@@ -54,7 +55,7 @@ def running_total(df: DataFrame, key: str, order: Sequence[str], value: str,
                              .rowsBetween(Window.unboundedPreceding, -1))).alias("_offset"))
     within = F.sum(value).over(Window.partitionBy(key, "_bucket").orderBy(*order)
                                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (b.withColumn("_within", within).join(offsets, [key, "_bucket"], "inner")
+    return (null_safe_join(b.withColumn("_within", within), offsets, [key, "_bucket"])
             .withColumn("_running", F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_within"))
             .drop("_bucket", "_offset", "_within"))
 
@@ -269,22 +270,20 @@ def _fold_batches(days: int, allow: tuple[str, ...], idcol: str):
         cur, anchor_id, anchor_ts, status = None, None, None, None
         for b in batches:
             out_action, out_anchor, out_days = [], [], []
-            for em, t, i, o in zip(b["_em"], b["_ts"], b[idcol], b["_outcome"]):
+            for em, t, i, o, keeps in zip(b["_em"], b["_ts"], b[idcol], b["_outcome"], b["_keeps"]):
                 if em != cur:
                     cur, anchor_id, anchor_ts, status = em, None, None, None
-                if anchor_id is None:
+                if anchor_id is None or (status not in allow and t - anchor_ts >= limit):
                     anchor_id, anchor_ts, status = i, t, o
-                    out_action.append("allow"); out_anchor.append(i); out_days.append(0)
-                    continue
-                d = (t - anchor_ts).days
-                if status in allow:
-                    status = o
-                    out_action.append("allow"); out_anchor.append(anchor_id); out_days.append(d)
-                elif t - anchor_ts < limit:
-                    out_action.append("deny"); out_anchor.append(anchor_id); out_days.append(d)
+                    out_action.append("allow")
+                elif status in allow:
+                    if not keeps:
+                        status = o
+                    out_action.append("allow")
                 else:
-                    anchor_id, anchor_ts, status = i, t, o
-                    out_action.append("allow"); out_anchor.append(i); out_days.append(0)
+                    out_action.append("deny")
+                out_anchor.append(anchor_id)
+                out_days.append((t - anchor_ts).days)
             yield pd.DataFrame({idcol: b[idcol], "dup_action": out_action, "anchor_id": out_anchor,
                                 "days_since_anchor": pd.Series(out_days, dtype="int64")})
     return run
@@ -292,7 +291,7 @@ def _fold_batches(days: int, allow: tuple[str, ...], idcol: str):
 
 def duplicate_lookback(leads: DataFrame, key: str = "email", ts_col: str = "created_at",
                        id_col: str = "lead_id", days: int | None = None, outcome: Column | None = None,
-                       cfg: dict | None = None, hot_key_rows: int | None = None) -> DataFrame:
+                       keeps_status: Column | None = None, cfg: dict | None = None) -> DataFrame:
     """The anchored 30-day duplicate rule, per lower/trimmed email in time order.
 
     State per email is (anchor, status).  A row with no state registers; a row
@@ -300,70 +299,32 @@ def duplicate_lookback(leads: DataFrame, key: str = "email", ts_col: str = "crea
     outcome becomes the status, the anchor stays; a row within ``days`` whole
     days of the anchor is denied (state unchanged); otherwise it registers anew.
     ``outcome`` is the status the row's run leaves behind (default
-    ``'processing'``, i.e. the plain rule).
+    ``'processing'``, i.e. the plain rule).  A re-submitted row for which
+    ``keeps_status`` holds (its run stops before it writes a status, as a
+    personal-data stop does) leaves the old status.
 
-    Plan: normal keys fold natively — ``array_sort(collect_list(struct))`` +
-    ``aggregate`` in one hash aggregate per key; keys with more than
-    ``hot_key_rows`` rows (found by a count aggregate; bounded in number by
-    rows / limit) go through a sorted, constant-memory Arrow fold instead, so
-    no key is ever materialised whole.
+    Rows without an email or without a time take no part: they are allowed, without
+    an anchor.  One sorted pass with constant memory serves every key, whatever its
+    number of rows; no key is gathered.
     """
     p = _p(cfg)
     days = days if days is not None else p["lookback_days"]
     allow = tuple(p["allow_resubmit_statuses"])
-    hot_key_rows = hot_key_rows or DEFAULT["ours"]["fold_key_limit"]
     em = F.lower(F.trim(F.col(key)))
     base = leads.select(
-        F.col(id_col).alias("_id"), F.col(ts_col).cast("timestamp").alias("_ts"), em.alias("_em"),
-        (outcome if outcome is not None else F.lit("processing")).alias("_outcome"))
+        F.col(id_col), F.col(ts_col).cast("timestamp").alias("_ts"), em.alias("_em"),
+        (outcome if outcome is not None else F.lit("processing")).alias("_outcome"),
+        F.coalesce(keeps_status if keeps_status is not None else F.lit(False), F.lit(False)).alias("_keeps"))
+    alone = F.col("_em").isNull() | (F.col("_em") == "") | F.col("_ts").isNull()
+    if not enabled("duplicate_detection", p):
+        alone = F.lit(True)
+    passed = base.filter(alone).select(
+        id_col, F.lit("allow").alias("dup_action"), F.lit(None).cast("string").alias("anchor_id"),
+        F.lit(None).cast("long").alias("days_since_anchor"))
     if not enabled("duplicate_detection", p):
-        return base.select(F.col("_id").alias(id_col), F.lit("allow").alias("dup_action"),
-                           F.lit(None).cast("string").alias("anchor_id"),
-                           F.lit(None).cast("long").alias("days_since_anchor"))
-    blank = base.filter(F.col("_em").isNull() | (F.col("_em") == "")).select(
-        F.col("_id").alias(id_col), F.lit("allow").alias("dup_action"),
-        F.lit(None).cast("string").alias("anchor_id"), F.lit(None).cast("long").alias("days_since_anchor"))
-    keyed = base.filter(F.col("_em").isNotNull() & (F.col("_em") != ""))
-    counts = keyed.groupBy("_em").agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > hot_key_rows).select("_em")
-    # no broadcast hint: the hot-key set is usually tiny and AQE broadcasts it after
-    # measuring it; if it is not, the anti/semi joins stay shuffle joins
-    normal_rows = keyed.join(hot, "_em", "left_anti")
-    hot_rows = keyed.join(hot, "_em", "left_semi")
-
-    # --- native fold for normal keys
-    limit_us = (days + 1) * 86_400_000_000
-    rows = F.array_sort(F.collect_list(F.struct("_ts", "_id", "_outcome")))
-    init = F.struct(F.lit(None).cast("string").alias("aid"), F.lit(None).cast("timestamp").alias("ats"),
-                    F.lit(None).cast("string").alias("st"),
-                    F.array().cast("array<struct<id:string,act:string,aid:string,d:bigint>>").alias("out"))
-
-    def step(acc, r):
-        new_anchor = acc["aid"].isNull()
-        elapsed = F.unix_micros(r["_ts"]) - F.unix_micros(acc["ats"])
-        d = F.floor(elapsed / 86_400_000_000).cast("long")
-        allow_status = acc["st"].isin(*allow)
-        within = elapsed < limit_us
-        register = new_anchor | (~allow_status & ~within)
-        act = F.when(register | allow_status, "allow").otherwise("deny")
-        aid = F.when(register, r["_id"]).otherwise(acc["aid"])
-        ats = F.when(register, r["_ts"]).otherwise(acc["ats"])
-        st = F.when(register | allow_status, r["_outcome"]).otherwise(acc["st"])
-        rec = F.struct(r["_id"].alias("id"), act.alias("act"), aid.alias("aid"),
-                       F.when(register, F.lit(0).cast("long")).otherwise(d).alias("d"))
-        return F.struct(aid.alias("aid"), ats.alias("ats"), st.alias("st"),
-                        F.concat(acc["out"], F.array(rec)).alias("out"))
-
-    folded = (normal_rows.groupBy("_em").agg(F.aggregate(rows, init, step).alias("_acc"))
-              .select(F.explode("_acc.out").alias("r"))
-              .select(F.col("r.id").alias(id_col), F.col("r.act").alias("dup_action"),
-                      F.col("r.aid").alias("anchor_id"), F.col("r.d").alias("days_since_anchor")))
-
-    # --- streaming fold for hot keys
-    hot_sorted = (hot_rows.withColumnRenamed("_id", id_col)
-                  .repartition("_em").sortWithinPartitions("_em", "_ts", id_col))
-    hot_out = hot_sorted.mapInPandas(_fold_batches(days, allow, id_col), _fold_schema(key, id_col))
-    return folded.unionByName(hot_out).unionByName(blank)
+        return passed
+    ordered = base.filter(~alone).repartition("_em").sortWithinPartitions("_em", "_ts", id_col)
+    return ordered.mapInPandas(_fold_batches(days, allow, id_col), _fold_schema(key, id_col)).unionByName(passed)
 
 
 # ----------------------------------------------------------------- P10-P12

@@ -27,7 +27,7 @@ def _q(v) -> str:
 
 
 def _lead_id(k: str = "o_orderkey", d: str = "o_orderdate") -> str:
-    return f"('LD-' || strftime({d}, '%Y%m%d') || '-' || lpad(CAST({k} AS VARCHAR), 8, '0'))"
+    return f"('LD-' || strftime({d}, '%Y%m%d') || '-' || CASE WHEN {k} < 100000000 THEN lpad(CAST({k} AS VARCHAR), 8, '0') ELSE CAST({k} AS VARCHAR) END)"
 
 
 _CREATED = "(o_orderdate + to_seconds(CAST((o_orderkey * 7919) % 86400 AS INTEGER)))"
@@ -136,7 +136,7 @@ FROM events
 _TRIAGE_TS = f"({_CREATED} + to_seconds(CAST(30 + o_orderkey % 300 AS INTEGER)))"
 _HANDOFF = f"({_SQL_Q} + to_seconds(CAST(o_orderkey % 7200 AS INTEGER)))"
 TABLES["lead_events"] = f"""
-SELECT 'EVT-' || strftime(event_timestamp, '%Y%m%d') || '-' || lpad(CAST(k AS VARCHAR), 8, '0') || '-'
+SELECT 'EVT-' || strftime(event_timestamp, '%Y%m%d') || '-' || CASE WHEN k < 100000000 THEN lpad(CAST(k AS VARCHAR), 8, '0') ELSE CAST(k AS VARCHAR) END || '-'
          || CAST(seq AS VARCHAR) AS event_id,
        lead_id, event_timestamp, event_type, from_status, to_status, agent_name, score_at_event
 FROM (

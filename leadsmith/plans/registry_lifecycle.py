@@ -15,7 +15,7 @@ from .registry import AS_OF, SQL_AS_OF, register
 from .registry_policies import _pii_array_sql, approvals, LEAD_PII_FIELDS
 from .registry_rules import ANSWERS_SQL, END, review_answers
 
-_K = "CAST(substr(lead_id, length(lead_id) - 7) AS BIGINT)"
+_K = "CAST(regexp_extract(lead_id, '[0-9]+$') AS BIGINT)"
 
 
 # ----------------------------------------------------------------- R2-R5
@@ -98,9 +98,9 @@ WHERE NOT s.handoff_confirmed
 
 # ----------------------------------------------------------------- F1-F6
 
-def qualified_run(s, d, hot_key_rows=None):
+def qualified_run(s, d):
     return L.qualify_leads(fx.raw_leads(s, d), fx.sales_reps(s, d), review_answers(s, d), approvals(s, d),
-                           AS_OF, END, hot_key_rows=hot_key_rows)
+                           AS_OF, END)
 
 
 QUALIFY_COLS = ["lead_id", "email", "review_decision", "dup_action", "pii_action", "decision", "mql_score",
@@ -172,7 +172,7 @@ oc AS (
   FROM st3
 ),
 seq AS (
-  SELECT lead_id, lower(trim(email)) AS em, created_at AS ts, outcome,
+  SELECT lead_id, lower(trim(email)) AS em, created_at AS ts, outcome, pii_action = 'deny' AS keeps,
          row_number() OVER (PARTITION BY lower(trim(email)) ORDER BY created_at, lead_id) AS rn
   FROM oc WHERE review_decision = 'accepted' AND email IS NOT NULL AND trim(email) <> ''
 ),
@@ -183,7 +183,7 @@ fold(em, rn, lead_id, act, aid, ats, stt) AS (
     CASE WHEN f.stt IN {allow} THEN 'allow' WHEN s.ts < f.ats + INTERVAL 31 DAY THEN 'deny' ELSE 'allow' END,
     CASE WHEN f.stt IN {allow} OR s.ts < f.ats + INTERVAL 31 DAY THEN f.aid ELSE s.lead_id END,
     CASE WHEN f.stt IN {allow} OR s.ts < f.ats + INTERVAL 31 DAY THEN f.ats ELSE s.ts END,
-    CASE WHEN f.stt IN {allow} THEN s.outcome WHEN s.ts < f.ats + INTERVAL 31 DAY THEN f.stt ELSE s.outcome END
+    CASE WHEN f.stt IN {allow} AND s.keeps THEN f.stt WHEN f.stt IN {allow} THEN s.outcome WHEN s.ts < f.ats + INTERVAL 31 DAY THEN f.stt ELSE s.outcome END
   FROM fold f JOIN seq s ON s.em = f.em AND s.rn = f.rn + 1
 ),
 fin AS (
@@ -214,14 +214,15 @@ qa AS (
 
 QUALIFY_SQL = _qualify_sql(f"SELECT {', '.join(QUALIFY_COLS)} FROM qa")
 register("qualify_leads", QUALIFY_SQL)(lambda s, d: qualified_run(s, d).select(*QUALIFY_COLS))
-register("qualify_leads_hot", QUALIFY_SQL)(lambda s, d: qualified_run(s, d, hot_key_rows=2).select(*QUALIFY_COLS))
+register("qualify_leads_hot", QUALIFY_SQL)(lambda s, d: qualified_run(s, d).select(*QUALIFY_COLS))
 register("final_status", _qualify_sql("SELECT final_status, count(*) AS leads FROM qa GROUP BY final_status"))(
     lambda s, d: qualified_run(s, d).groupBy("final_status").agg(F.count(F.lit(1)).alias("leads")))
 
 _MQL_RAN = "('nurture','sales_owned','mql_nurture','rejected_by_operator','pending_approval')"
 _SQL_RAN = "('sales_owned','mql_nurture','rejected_by_operator','pending_approval')"
 FEED_SQL = f"""
-SELECT CASE WHEN review_decision <> 'rejected' THEN lead_id END AS lead_id,
+SELECT CASE WHEN review_decision <> 'rejected' AND final_status NOT IN ('rejected_duplicate', 'rejected_pii')
+       THEN lead_id END AS lead_id,
   trim(coalesce(first_name, '') || ' ' || coalesce(last_name, '')) AS name, company, email, final_status,
   CASE WHEN final_status IN {_MQL_RAN} THEN mql_score END AS mql_score,
   CASE WHEN final_status IN {_SQL_RAN} THEN sql_score END AS sql_score,

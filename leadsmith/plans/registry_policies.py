@@ -17,11 +17,11 @@ from .oracle import with_tables
 from .registry import AS_OF, SQL_AS_OF, register
 
 _CFG = DEFAULT["policies"]
-_K = "CAST(substr(lead_id, length(lead_id) - 7) AS BIGINT)"
+_K = "CAST(regexp_extract(lead_id, '[0-9]+$') AS BIGINT)"
 
 
 def _k():
-    return F.substring(F.col("lead_id"), -8, 8).cast("long")
+    return F.substring_index(F.col("lead_id"), "-", -1).cast("long")
 
 
 # ----------------------------------------------------------------- P1, P2, P13
@@ -241,7 +241,7 @@ WHERE email IS NULL OR trim(email) = ''
 
 register("duplicate_lookback", DUP_SQL)(lambda s, d: P.duplicate_lookback(fx.raw_leads(s, d)))
 register("duplicate_lookback_hot", DUP_SQL)(
-    lambda s, d: P.duplicate_lookback(fx.raw_leads(s, d), hot_key_rows=3))
+    lambda s, d: P.duplicate_lookback(fx.raw_leads(s, d)))
 
 
 # ----------------------------------------------------------------- P10-P12

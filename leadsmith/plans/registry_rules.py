@@ -74,11 +74,11 @@ FROM ({SCREEN_SQL}) x GROUP BY risk_level, route
 
 # Operator answers for reviewed leads, derived from the lead key k:
 # k % 4 = 0 'n', 1 'y', 2 '' (enter), 3 no answer; answered k % 90 seconds after submission.
-_K = "CAST(substr(lead_id, length(lead_id) - 7) AS BIGINT)"
+_K = "CAST(regexp_extract(lead_id, '[0-9]+$') AS BIGINT)"
 
 
 def review_answers(s, d):
-    k = F.substring(F.col("lead_id"), -8, 8).cast("long")
+    k = F.substring_index(F.col("lead_id"), "-", -1).cast("long")
     return (fx.lead_keys(s, d).filter(k % 4 != 3)
             .select("lead_id",
                     F.when(k % 4 == 0, "n").when(k % 4 == 1, " Y ").otherwise("").alias("answer"),
@@ -117,7 +117,7 @@ LEFT JOIN (SELECT lead_id, arg_min(answer, answered_at) AS answer, min(answered_
 
 def normalizer_results(s, d):
     """Normalised fields as an enrichment step returns them: upper-cased, or '' (no opinion)."""
-    k = F.substring(F.col("lead_id"), -8, 8).cast("long")
+    k = F.substring_index(F.col("lead_id"), "-", -1).cast("long")
     return _leads(s, d).select("lead_id", *[
         F.when(k % 3 == 0, F.lit("")).otherwise(F.upper(F.trim(F.col(f)))).alias(f"normalized_{f}")
         for f in W.NORMALIZED_FIELDS])

@@ -13,14 +13,14 @@ from . import oracle_rules as O
 from .oracle import with_tables
 from .registry import AS_OF, SQL_AS_OF, register
 
-_K = "CAST(substr(lead_id, length(lead_id) - 7) AS BIGINT)"
+_K = "CAST(regexp_extract(lead_id, '[0-9]+$') AS BIGINT)"
 PAYLOAD_FIELDS = [f for f in I.LEAD_FIELDS if f in (
     "source_channel", "source_campaign", "form_type", "first_name", "last_name", "email", "phone",
     "linkedin_url", "company", "job_title", "company_size", "industry", "country", "message")]
 
 
 def _k():
-    return F.substring(F.col("lead_id"), -8, 8).cast("long")
+    return F.substring_index(F.col("lead_id"), "-", -1).cast("long")
 
 
 def payloads(s, d):
@@ -181,13 +181,19 @@ UNION ALL
 SELECT lead_id, 'mql', NULL, created_at + INTERVAL 600 SECOND FROM raw_leads WHERE {_K} % 4 = 0
 """
 
+# the reason is that of the last update that gave one
+LATEST_SQL = f"""
+SELECT lead_id, arg_max(status, ROW(updated_at, status)) AS status, max(updated_at) AS updated_at,
+       arg_max(rejection_reason, ROW(updated_at, status)) FILTER (WHERE rejection_reason IS NOT NULL) AS reason
+FROM ({UPDATES_SQL}) u0 GROUP BY lead_id
+"""
+
 register("status_update", with_tables(f"""
 SELECT r.lead_id, coalesce(u.status, r.status) AS status,
-       coalesce(u.rejection_reason, r.rejection_reason) AS rejection_reason,
+       coalesce(u.reason, r.rejection_reason) AS rejection_reason,
        coalesce(u.updated_at, r.updated_at) AS updated_at
 FROM raw_leads r LEFT JOIN (
-  SELECT lead_id, status, rejection_reason, updated_at FROM ({UPDATES_SQL}) u0
-  QUALIFY row_number() OVER (PARTITION BY lead_id ORDER BY updated_at DESC, status DESC) = 1) u
+  {LATEST_SQL}) u
   ON r.lead_id = u.lead_id
 """, "raw_leads"))(lambda s, d: L.apply_status_updates(
     fx.raw_leads(s, d).select("lead_id", "status", "rejection_reason", "updated_at"), status_updates(s, d)))
@@ -211,11 +217,10 @@ def _snapshots(s, d):
 
 register("snapshot_diff", with_tables(f"""
 WITH upd AS (
-  SELECT r.lead_id, coalesce(u.status, r.status) AS status, coalesce(u.rejection_reason, r.rejection_reason) AS rr,
+  SELECT r.lead_id, coalesce(u.status, r.status) AS status, coalesce(u.reason, r.rejection_reason) AS rr,
          coalesce(u.updated_at, r.updated_at) AS ua, r.email
   FROM raw_leads r LEFT JOIN (
-    SELECT lead_id, status, rejection_reason, updated_at FROM ({UPDATES_SQL}) u0
-    QUALIFY row_number() OVER (PARTITION BY lead_id ORDER BY updated_at DESC, status DESC) = 1) u
+    {LATEST_SQL}) u
     ON r.lead_id = u.lead_id
   WHERE {_K.replace('lead_id', 'r.lead_id')} % 17 <> 0
 ),

@@ -18,9 +18,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     cpus = os.environ.get("BENCH_CPUS", "8")
     builder = (
         SparkSession.builder.appName(app_name)
-        .master(master or f"local[{cpus}]")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -31,25 +29,24 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         # rule projections are wide: keep generated methods small enough for the JIT (HotSpot
         # does not compile methods over 8000 bytes; larger stages fall back to split codegen)
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
-        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "4g"))
     )
+    launched = "PYSPARK_GATEWAY_PORT" in os.environ  # by spark-submit, whose settings hold
+    if master or not launched:
+        builder = builder.master(master or f"local[{cpus}]")
+    if shuffle_partitions or not launched:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
+    if not launched:
+        builder = builder.config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "4g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    fast_column_building(spark)
+    small_methods(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
-def fast_column_building(spark: SparkSession) -> None:
-    """Turn off per-call origin capture for Column building (a debugging aid)."""
-    try:
-        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
-        spark.conf.set("spark.python.sql.dataFrameDebugging.enabled", "false")
-        import pyspark.errors.utils as eu
-
-        eu._enable_debugging_cache = None
-    except Exception:  # pragma: no cover - older or remote sessions
-        pass
+def small_methods(spark: SparkSession) -> None:
+    """Let stages whose generated method the JIT would refuse fall back to split code."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

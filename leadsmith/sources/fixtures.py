@@ -66,6 +66,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def key_text(k):
+    """A key as text of at least eight digits; longer keys keep all theirs."""
+    return F.when(k < 100_000_000, F.lpad(k.cast("string"), 8, "0")).otherwise(k.cast("string"))
+
+
 def _memo(fn):
     """Build each derived table once per session and folder.  Only the (lazy) plan is
     kept — no data is cached — so repeated queries skip re-building wide projections."""
@@ -125,7 +130,7 @@ def raw_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = o.join(c, o.o_custkey == c.c_custkey, "inner")
     return joined.select(
         F.concat(F.lit("LD-"), _lead_date(F.col("o_orderdate")), F.lit("-"),
-                 F.lpad(k.cast("string"), 8, "0")).alias("lead_id"),
+                 key_text(k)).alias("lead_id"),
         created.alias("created_at"),
         created.alias("updated_at"),
         F.when(k % 10 < 5, _pick(k % 10, CHANNELS)).otherwise(F.lit("web_form")).alias("source_channel"),
@@ -173,7 +178,7 @@ def mql_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     created = _seconds(F.col("o_orderdate"), (k * 7919) % 86400)
     qualified = _seconds(created, 600 + (k * 104729) % 172800)
     lead_id = F.concat(F.lit("LD-"), _lead_date(F.col("o_orderdate")), F.lit("-"),
-                       F.lpad(k.cast("string"), 8, "0"))
+                       key_text(k))
     conf = ((32 + k % 33) / 64.0)
     return o.select(
         F.concat(F.lit("MQL-"), F.substring(lead_id, 4, 100)).alias("mql_id"),
@@ -198,7 +203,7 @@ def sql_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     mql_q = _seconds(created, 600 + (k * 104729) % 172800)
     qualified = _seconds(mql_q, 3600 + (k * 15485863) % 432000)
     lead_id = F.concat(F.lit("LD-"), _lead_date(F.col("o_orderdate")), F.lit("-"),
-                       F.lpad(k.cast("string"), 8, "0"))
+                       key_text(k))
     mql_id = F.concat(F.lit("MQL-"), F.substring(lead_id, 4, 100))
     budget = (10 + k % 16).cast("int")
     authority = (10 + (k * 7) % 16).cast("int")
@@ -278,7 +283,7 @@ def lead_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql_q = _seconds(mql_q, 3600 + (k * 15485863) % 432000)
     handoff = _seconds(sql_q, k % 7200)
     lead_id = F.concat(F.lit("LD-"), _lead_date(F.col("o_orderdate")), F.lit("-"),
-                       F.lpad(k.cast("string"), 8, "0"))
+                       key_text(k))
     r = k % 20
     triage_status = F.when(r < 6, "rejected").when(r == 19, "processing").otherwise("accepted")
     triage_ts = _seconds(created, 30 + k % 300)
@@ -304,7 +309,7 @@ def lead_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (o.select(lead_id.alias("lead_id"), k.alias("_k"), F.inline(events))
             .select(
                 F.concat(F.lit("EVT-"), F.date_format("event_timestamp", "yyyyMMdd"), F.lit("-"),
-                         F.lpad(F.col("_k").cast("string"), 8, "0"), F.lit("-"),
+                         key_text(F.col("_k")), F.lit("-"),
                          F.col("seq").cast("string")).alias("event_id"),
                 "lead_id", "event_timestamp", "event_type", "from_status", "to_status",
                 "agent_name", "score_at_event",
@@ -318,7 +323,7 @@ def lead_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     return o.select(
         F.concat(F.lit("LD-"), _lead_date(F.col("o_orderdate")), F.lit("-"),
-                 F.lpad(k.cast("string"), 8, "0")).alias("lead_id"),
+                 key_text(k)).alias("lead_id"),
         _seconds(F.col("o_orderdate"), (k * 7919) % 86400).alias("created_at"))
 
 

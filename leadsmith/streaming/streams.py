@@ -97,13 +97,13 @@ def _dup_state_fn(days: int, allow: tuple[str, ...]):
         else:
             anchor_id, anchor_ts, status = None, None, None
         acts, anchors, ds = [], [], []
-        for i, t, o in zip(pdf["lead_id"], pdf["_ts"], pdf["_outcome"]):
+        for i, t, o, keeps in zip(pdf["lead_id"], pdf["_ts"], pdf["_outcome"], pdf["_keeps"]):
             t = pd.Timestamp(t)
             if anchor_id is None or (status not in allow and t - anchor_ts >= limit):
                 anchor_id, anchor_ts, status = i, t, o
                 acts.append("allow"); anchors.append(i); ds.append(0)
             elif status in allow:
-                status = o
+                status = status if keeps else o
                 acts.append("allow"); anchors.append(anchor_id); ds.append((t - anchor_ts).days)
             else:
                 acts.append("deny"); anchors.append(anchor_id); ds.append((t - anchor_ts).days)
@@ -123,14 +123,15 @@ def _dup_state_fn(days: int, allow: tuple[str, ...]):
 
 
 def stream_duplicates(leads: DataFrame, key: str = "email", ts_col: str = "created_at",
-                      outcome=None, watermark: str = "1 day", cfg: dict | None = None) -> DataFrame:
+                      outcome=None, watermark: str = "1 day", cfg: dict | None = None, keeps_status=None) -> DataFrame:
     """The anchored duplicate rule on a stream — keyed state per lower/trimmed email,
     event-time timeout ``days + 1`` after the anchor; blank emails pass through as allowed."""
     p = cfg or DEFAULT["policies"]
     days, allow = p["lookback_days"], tuple(p["allow_resubmit_statuses"])
     em = F.lower(F.trim(F.col(key)))
     base = leads.select("lead_id", F.col(ts_col).cast("timestamp").alias("_ts"), em.alias("_em"),
-                        (outcome if outcome is not None else F.lit("processing")).alias("_outcome"))
+                        (outcome if outcome is not None else F.lit("processing")).alias("_outcome"),
+                        F.coalesce(keeps_status if keeps_status is not None else F.lit(False), F.lit(False)).alias("_keeps"))
     keyed = base.filter(F.col("_em").isNotNull() & (F.col("_em") != "")).withWatermark("_ts", watermark)
     folded = keyed.groupBy("_em").applyInPandasWithState(
         _dup_state_fn(days, allow), DUP_OUT, DUP_STATE, "append", GroupStateTimeout.EventTimeTimeout)

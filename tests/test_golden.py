@@ -148,10 +148,49 @@ def test_duplicate_fold_statuses(spark):
             ("L5", "a@x.com", dt.datetime(2025, 2, 2), "accepted"),    # denied by L4
             ("L6", "", dt.datetime(2025, 2, 2), "accepted")]           # no email: allowed
     df = spark.createDataFrame(rows, "lead_id string, email string, created_at timestamp, outcome string")
-    for hot in (None, 1):
-        got = by_id(P.duplicate_lookback(df, outcome=F.col("outcome"), hot_key_rows=hot), "dup_action", "anchor_id")
-        assert got == {"L1": ("allow", "L1"), "L2": ("allow", "L1"), "L3": ("deny", "L1"),
-                       "L4": ("allow", "L4"), "L5": ("deny", "L4"), "L6": ("allow", None)}, hot
+    got = by_id(P.duplicate_lookback(df, outcome=F.col("outcome")), "dup_action", "anchor_id")
+    assert got == {"L1": ("allow", "L1"), "L2": ("allow", "L1"), "L3": ("deny", "L1"),
+                   "L4": ("allow", "L4"), "L5": ("deny", "L4"), "L6": ("allow", None)}
+
+
+def test_duplicate_personal_data_stop_keeps_the_status(spark):
+    """Rejected, then stopped for personal data, then a good lead: the third is let through, the fourth not."""
+    rows = [("L1", "a@x.com", dt.datetime(2025, 1, 1), "rejected", False),
+            ("L2", "a@x.com", dt.datetime(2025, 1, 2), "processing", True),
+            ("L3", "a@x.com", dt.datetime(2025, 1, 3), "accepted", False),
+            ("L4", "a@x.com", dt.datetime(2025, 1, 4), "accepted", False),
+            ("L5", "a@x.com", None, "accepted", False)]  # no time: allowed, takes no part
+    df = spark.createDataFrame(rows, "lead_id string, email string, created_at timestamp, outcome string, pii boolean")
+    got = by_id(P.duplicate_lookback(df, outcome=F.col("outcome"), keeps_status=F.col("pii")), "dup_action", "anchor_id")
+    assert got == {"L1": ("allow", "L1"), "L2": ("allow", "L1"), "L3": ("allow", "L1"), "L4": ("deny", "L1"),
+                   "L5": ("allow", None)}
+
+
+def test_status_update_keeps_the_last_reason(spark):
+    leads = spark.createDataFrame([("L1", "new", None, None)], "lead_id string, status string, rejection_reason string, updated_at timestamp")
+    updates = spark.createDataFrame([("L1", "rejected", "spam", dt.datetime(2025, 1, 1)), ("L1", "mql", None, dt.datetime(2025, 1, 2))],
+                                    "lead_id string, status string, rejection_reason string, updated_at timestamp")
+    from leadsmith.operators import lifecycle as L
+
+    got = by_id(L.apply_status_updates(leads, updates), "status", "rejection_reason")
+    assert got == {"L1": ("mql", "spam")}
+
+
+def test_partial_policy_overlay(spark, tmp_path):
+    """An overlay that switches one policy off leaves the others on."""
+    from leadsmith.config import load_config
+
+    f = tmp_path / "overlay.yaml"
+    f.write_text("policies:\n  enabled:\n    spend_guard: false\n")
+    p = load_config(str(f))["policies"]
+    assert not P.enabled("spend_guard", p) and P.enabled("pii_detection", p) and not P.enabled("no_such_policy", p)
+
+
+def test_long_keys_are_not_cut(spark):
+    from leadsmith.sources.fixtures import key_text
+
+    got = [r[0] for r in spark.createDataFrame([(7,), (123456789,)], "k long").select(key_text(F.col("k"))).collect()]
+    assert got == ["00000007", "123456789"]
 
 
 def test_pii_verdict(spark):
