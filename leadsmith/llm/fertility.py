@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadsmith.llm.common import forget
+from leadsmith.llm.tokens import WordwiseTokenizer
 
 MIN_WORDS = 50
 #: Texts with over this share of words in repeated three-word windows fail the base rules.
@@ -60,13 +61,10 @@ _seen: dict[tuple, dict] = {}
 @lru_cache(2)
 def _vocabularies(piece_path: str, byte_path: str):
     import sentencepiece
-    from tokenizers import Tokenizer
 
     pieces = sentencepiece.SentencePieceProcessor(model_file=piece_path)
     fallback = np.fromiter((pieces.is_byte(i) for i in range(len(pieces))), bool)
-    byte_level = Tokenizer.from_file(byte_path)
-    byte_level.encode_special_tokens = True
-    return pieces, fallback, byte_level
+    return pieces, fallback, WordwiseTokenizer(byte_path, "byte_level")
 
 
 def measure_words(words: list[str], piece_path: str, byte_path: str) -> dict[str, tuple[bytes, int, int]]:
@@ -76,10 +74,13 @@ def measure_words(words: list[str], piece_path: str, byte_path: str) -> dict[str
     for at in range(0, len(words), AT_ONCE):
         part = words[at:at + AT_ONCE]
         ids = pieces.encode(part, num_threads=1)
-        tokens = byte_level.encode_batch_fast([" " + w for w in part], add_special_tokens=False)
-        for w, i, t in zip(part, ids, tokens):
-            a = np.array(i, np.uint32)
-            out[w] = (a.tobytes(), int(fallback[a].sum()) if len(a) else 0, len(t.ids))
+        tokens = byte_level.encode_words(part)
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter((x for i in ids for x in i), np.uint32, int(lengths.sum()))
+        raw, fell, start = flat.tobytes(), np.concatenate([[0], np.cumsum(fallback[flat])]), 0
+        for w, n in zip(part, lengths.tolist()):
+            out[w] = (raw[4 * start:4 * (start + n)], int(fell[start + n] - fell[start]), len(tokens[w]) // 4)
+            start += n
     return out
 
 

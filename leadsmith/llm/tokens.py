@@ -78,6 +78,10 @@ class WordwiseTokenizer:
                 out[key] = np.array(self.plain.encode(self._literal(key), add_special_tokens=False).ids if key else [], np.uint32).tobytes()
         return out
 
+    def encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words that follow a space, each on its own (not kept)."""
+        return self._encoded(words)
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
         keyed = [self._keys(t) if t else [] for t in texts]

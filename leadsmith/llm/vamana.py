@@ -179,7 +179,7 @@ def nearest(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", ve
     spark = vectors.sparkSession
     rows = _usable(vectors, id_col, vector_col)
     members = staged(_nodes(rows, k + 1), "ann-members")  # k others and the query itself
-    nodes = members.where("n = 1").select("key", "v")
+    nodes = members.where("n = 1").select("key", "v", F.col("id").alias("least"))
     n_nodes = nodes.count()
     shards = max(1, min(max(shards, -(-n_nodes // shard_rows)), -(-n_nodes // 64)))
     asked = rows.where(is_query(F.col("id"))).distinct()
@@ -192,37 +192,39 @@ def nearest(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", ve
         x = np.stack(pdf["v"].to_numpy())
         norm = (x * x).sum(axis=1)
         g = build(np.c_[x, np.sqrt(np.maximum(norm.max() - norm, 0))], degree, beam, alpha)
-        return pd.DataFrame({"shard": pdf["shard"], "node": np.arange(len(pdf)), "key": pdf["key"], "v": pdf["v"],
+        return pd.DataFrame({"shard": pdf["shard"], "node": np.arange(len(pdf)), "key": pdf["key"], "least": pdf["least"], "v": pdf["v"],
                              "entry": g.entry, "edges": list(g.edges.astype(np.int32))})
     index = staged(nodes.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int"))
-                   .groupBy("shard").applyInPandas(made, "shard int, node int, key string, v array<double>, entry int, edges array<int>"), "ann-graph")
+                   .groupBy("shard").applyInPandas(made, "shard int, node int, key string, least long, v array<double>, entry int, edges array<int>"), "ann-graph")
     spread = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
     left = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = asked_vectors.select(F.col("key").alias("qkey"), F.col("v").alias("qv"), spread.alias("shard"),
                                  F.pmod(F.xxhash64("key", F.lit(1)), F.lit(blocks)).cast("int").alias("block"))
 
     def searched(own: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
-        cols = ["qkey", "key", "score"]
+        cols = ["qkey", "key", "least", "score"]
         if not len(own) or not len(qs):
-            return pd.DataFrame({"qkey": pd.Series(dtype=str), "key": pd.Series(dtype=str), "score": pd.Series(dtype=float)})
+            return pd.DataFrame({c: [] for c in cols}).astype({"qkey": str, "key": str, "least": int, "score": float})
         own = own.sort_values("node")
         x, q = np.stack(own["v"].to_numpy()), np.stack(qs["qv"].to_numpy())
         norm = (x * x).sum(axis=1)
         g = Graph(np.c_[x, np.sqrt(np.maximum(norm.max() - norm, 0))], int(own["entry"].iat[0]), np.stack(own["edges"].to_numpy()).astype(np.int64))
-        key, qkey, out = own["key"].to_numpy(), qs["qkey"].to_numpy(), []
+        key, least, qkey, out = own["key"].to_numpy(), own["least"].to_numpy(), qs["qkey"].to_numpy(), []
         for at in range(0, len(q), BATCH):
             part = q[at:at + BATCH]
             # the query may have any norm: only the order of its inner products counts
             node, _ = g.search(np.c_[part, np.zeros(len(part))].astype(np.float32), max(beam, k + 1))
-            node = node[:, :k + 1]
-            r, c = np.nonzero(node >= 0)
+            # the beam's nodes by exact score, ties by the smallest id that holds the vector
+            score = np.where(node >= 0, np.einsum("bkd,bd->bk", x[node], part), -np.inf)
+            order = np.lexsort((least[node], -score), axis=1)[:, :k + 1]
+            node, score = np.take_along_axis(node, order, 1), np.take_along_axis(score, order, 1)
+            r, c = np.nonzero(np.isfinite(score))
             hit = node[r, c]
-            score = (x[hit] * part[r]).sum(axis=1)
-            out.append(pd.DataFrame({"qkey": qkey[at + r], "key": key[hit], "score": score})[cols])
+            out.append(pd.DataFrame({"qkey": qkey[at + r], "key": key[hit], "least": least[hit], "score": score[r, c]})[cols])
         return pd.concat(out)
     found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(
-        searched, "qkey string, key string, score double")
-    best = Window.partitionBy("qkey").orderBy(F.desc("score"), "key")
+        searched, "qkey string, key string, least long, score double")
+    best = Window.partitionBy("qkey").orderBy(F.desc("score"), "least")
     # k + 1 vectors hold the k best others of every query: at least one id each, and at most one is the query itself
     found = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r")
     hits = found.join(members.select("key", F.col("id").alias("vec_id"), F.col("v").alias("mv")), "key")
