@@ -104,7 +104,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: s
     """(feature numbers, weights): the weights that are not zero."""
     y = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).cast("long").alias("i")).agg(F.max(label_col).cast("int").alias("y"))
     picked = y.where("i is not null").orderBy(F.xxhash64("i"), "i").limit(most_rows)
-    rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col("text").alias("t")).join(picked, "i")
+    rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col("text").alias("t")).join(F.broadcast(picked), "i")  # at most most_rows pairs of numbers
 
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
