@@ -6,9 +6,9 @@ length, each language's learning texts are grouped by spherical k-means into sev
 centroids.  A text gets the language of the centroid with the highest cosine and is
 *rejected* when its cosine distance to that centroid is beyond the centroid's radius.
 
-Learning uses a bounded sample: the ``per_language`` rows of every language with the
-smallest hash of their id (documented parameter; document frequencies come from the same
-rows).  Everything else runs over all rows and whole texts, in one Arrow pass.
+Learning uses a bounded sample: at most ``per_language`` ids of every language, those with
+the smallest hash in each slice of ids (documented parameter; document frequencies come
+from the same rows).  Everything else runs over all rows and whole texts, in one Arrow pass.
 
 Defined results: a null text or one without a letter is ``und`` with score 0 and is
 rejected; with no learning rows at all every text is ``und``; repeated rows each get the
@@ -28,8 +28,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DIMENSIONS = 1 << 14
-#: Learning rows of each language.
+#: Learning rows of each language, the same number from every one of ``SLICES`` slices of the id hash.
 PER_LANGUAGE = 2000
+#: Slices keep each window's limit at most 1,000, so Spark cuts every task's rows to it before the shuffle.
+SLICES = 4
 #: Centroids of each language.
 CENTROIDS = 4
 #: Languages a model may hold (bounds the broadcast model: languages x centroids x dimensions floats).
@@ -87,10 +89,12 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
 
 
 def sample(docs: DataFrame, label_col: str, id_col: str, per_language: int) -> DataFrame:
-    """The ``per_language`` rows of each language with the smallest id hash."""
-    w = Window.partitionBy("l").orderBy(F.xxhash64("i"), "i")
-    keyed = docs.select(F.col(id_col).alias("i"), F.col(label_col).alias("l"), F.col("text")).where("l is not null and text is not null")
-    picked = keyed.select("i", "l").withColumn("n", F.row_number().over(w)).where(F.col("n") <= per_language).select("i", "l").distinct()
+    """At most ``per_language`` ids of each language, those with the smallest hash of every slice, with all their rows."""
+    w = Window.partitionBy("l", "s").orderBy(F.xxhash64("i"), "i")
+    keyed = (docs.select(F.col(id_col).alias("i"), F.col(label_col).alias("l"), F.col("text"))
+             .where("i is not null and l is not null and text is not null"))
+    picked = (keyed.select("i", "l", F.pmod(F.xxhash64("i", F.lit(1)), F.lit(SLICES)).alias("s"))
+              .withColumn("n", F.row_number().over(w)).where(F.col("n") <= per_language // SLICES).select("i", "l").distinct())
     return keyed.join(picked, ["i", "l"], "left_semi")
 
 
@@ -103,24 +107,29 @@ def fit(learn: DataFrame, label_col: str = "lang", id_col: str = "doc_id", per_l
             at = [None if x is None else np.flatnonzero(x) for x in c]
             yield pd.DataFrame({"i": b["i"], "l": b["l"], "at": [None if x is None else x.astype(np.uint16).tobytes() for x in at],
                                 "n": [None if x is None else x[a].astype(np.uint32).tobytes() for x, a in zip(c, at)]})
+    # an id that is repeated counts once, so the rows gathered below are at most per_language a language
     rows = (sample(learn, label_col, id_col, per_language).mapInPandas(featured, "i long, l string, at binary, n binary")
-            .where("at is not null"))
+            .where("at is not null").groupBy("i", "l").agg(F.min(F.struct("at", "n")).alias("m")).select("i", "l", "m.*"))
 
     def fitted(all_rows: pd.DataFrame) -> pd.DataFrame:
         all_rows = all_rows.sort_values(["l", "i", "at", "n"]).reset_index(drop=True)
-        x = np.zeros((len(all_rows), DIMENSIONS), np.float32)
-        for r, (at, n) in enumerate(zip(all_rows["at"], all_rows["n"])):
-            x[r, np.frombuffer(at, np.uint16)] = np.frombuffer(n, np.uint32)
-        idf = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))).astype(np.float32) + 1
+        texts_with = np.zeros(DIMENSIONS)
+        for at in all_rows["at"]:
+            texts_with[np.frombuffer(at, np.uint16)] += 1
+        idf = np.log((1 + len(all_rows)) / (1 + texts_with)).astype(np.float32) + 1
         out = [("", 0.0, idf.tobytes())]
         for lang in sorted(all_rows["l"].unique())[:MOST_LANGUAGES]:
-            v = vectors(x[(all_rows["l"] == lang).to_numpy()], idf)
+            own = all_rows[all_rows["l"] == lang]  # one language at a time is held as a dense table
+            x = np.zeros((len(own), DIMENSIONS), np.float32)
+            for r, (at, n) in enumerate(zip(own["at"], own["n"])):
+                x[r, np.frombuffer(at, np.uint16)] = np.frombuffer(n, np.uint32)
+            v = vectors(x, idf)
             c = spherical_kmeans(v, k).astype(np.float32)
             cos = v @ c.T
             near = cos.argmax(axis=1)
             for j in range(len(c)):
-                own = cos[near == j, j]
-                out.append((lang, float(np.quantile(own, 0.01)) if len(own) else 1.0, c[j].tobytes()))
+                reached = cos[near == j, j]
+                out.append((lang, float(np.quantile(reached, 0.01)) if len(reached) else 1.0, c[j].tobytes()))
         return pd.DataFrame(out, columns=["lang", "reach", "vector"])
     model = rows.groupBy().applyInPandas(fitted, "lang string, reach double, vector binary").collect()
     own = [r for r in model if r["lang"]]

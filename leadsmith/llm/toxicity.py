@@ -121,7 +121,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: s
         w = model.weights(slice(None))
         at = np.flatnonzero(w)
         return pd.DataFrame({"at": at, "w": w[at]})
-    model = rows.mapInPandas(featured, "i long, y int, f binary").groupBy().applyInPandas(fitted, "at int, w double").toPandas()
+    # an id that is repeated counts once, so at most most_rows rows are gathered
+    once = rows.mapInPandas(featured, "i long, y int, f binary").groupBy("i", "y").agg(F.min("f").alias("f"))
+    model = once.groupBy().applyInPandas(fitted, "at int, w double").toPandas()
     return model["at"].to_numpy(np.int32), model["w"].to_numpy(np.float32)
 
 
