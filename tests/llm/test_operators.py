@@ -304,6 +304,15 @@ def test_language(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got.itertuples())
 
 
+def test_language_sample_of_repeated_ids(spark):
+    """A repeated id counts once, and no language gives more ids than the bound."""
+    docs = spark.range(40).select((F.col("id") % 10).alias("doc_id"), F.lit("the cat sat on the mat").alias("text"), F.lit("en").alias("lang"))
+    picked = language.sample(docs, "lang", "doc_id", 4)
+    assert picked.select("i").distinct().count() <= 4
+    model = language.fit(docs.unionByName(docs.where("doc_id = 3")))
+    assert set(model["langs"]) == {"en"}
+
+
 def test_language_odd(spark):
     docs = odd(spark)
     got = language.identify(docs).collect()
@@ -375,6 +384,21 @@ def test_byte_bpe(spark):
     assert bytebpe.round_trip(empty(docs), RANKS, P.PATTERN).count() == 0
 
 
+def test_byte_bpe_long_words():
+    """The heap fold of long words gives tiktoken's ids, and the plain fold's."""
+    import tiktoken
+
+    ranks = bytebpe.read_ranks(RANKS)
+    e = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    t = bytebpe.rank_tokenizer(RANKS, P.PATTERN)
+    rng = np.random.default_rng(0)
+    for n, letters in ((65, "ab"), (300, "etaoinshr"), (5000, "aé漢"), (200_000, "q"), (200_000, "thequickbrown")):
+        word = "".join(rng.choice(list(letters), n))
+        assert t.encode([word])[0] == np.array(e.encode_ordinary(word), "<u4").tobytes()
+    short = "".join(rng.choice(list("etaoin"), 60)).encode()
+    assert t.fold(short) == t.fold_long(short) or short in ranks
+
+
 # ----------------------------------------------------------------- pipeline
 
 def test_pipeline(spark):
