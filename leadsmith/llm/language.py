@@ -34,7 +34,7 @@ PER_LANGUAGE = 2000
 SLICES = 4
 #: Centroids of each language.
 CENTROIDS = 4
-#: Languages a model may hold (bounds the broadcast model: languages x centroids x dimensions floats).
+#: Languages a model may hold, the first in alphabetical order (bounds the learning sample and the broadcast model).
 MOST_LANGUAGES = 200
 #: Code points worked on at once.
 AT_ONCE = 1 << 20
@@ -93,9 +93,11 @@ def sample(docs: DataFrame, label_col: str, id_col: str, per_language: int) -> D
     w = Window.partitionBy("l", "s").orderBy(F.xxhash64("i"), "i")
     keyed = (docs.select(F.col(id_col).alias("i"), F.col(label_col).alias("l"), F.col("text"))
              .where("i is not null and l is not null and text is not null"))
-    picked = (keyed.select("i", "l", F.pmod(F.xxhash64("i", F.lit(1)), F.lit(SLICES)).alias("s"))
+    langs = [r["l"] for r in keyed.select("l").distinct().orderBy("l").limit(MOST_LANGUAGES).collect()]
+    picked = (keyed.where(F.col("l").isin(langs)).select("i", "l", F.pmod(F.xxhash64("i", F.lit(1)), F.lit(SLICES)).alias("s"))
               .withColumn("n", F.row_number().over(w)).where(F.col("n") <= per_language // SLICES).select("i", "l").distinct())
-    return keyed.join(picked, ["i", "l"], "left_semi")
+    # at most per_language x MOST_LANGUAGES pairs of id and language, so the texts are not shuffled
+    return keyed.join(F.broadcast(picked), ["i", "l"], "left_semi")
 
 
 def fit(learn: DataFrame, label_col: str = "lang", id_col: str = "doc_id", per_language: int = PER_LANGUAGE,
@@ -118,7 +120,7 @@ def fit(learn: DataFrame, label_col: str = "lang", id_col: str = "doc_id", per_l
             texts_with[np.frombuffer(at, np.uint16)] += 1
         idf = np.log((1 + len(all_rows)) / (1 + texts_with)).astype(np.float32) + 1
         out = [("", 0.0, idf.tobytes())]
-        for lang in sorted(all_rows["l"].unique())[:MOST_LANGUAGES]:
+        for lang in sorted(all_rows["l"].unique()):
             own = all_rows[all_rows["l"] == lang]  # one language at a time is held as a dense table
             x = np.zeros((len(own), DIMENSIONS), np.float32)
             for r, (at, n) in enumerate(zip(own["at"], own["n"])):
