@@ -221,12 +221,13 @@ def apply_status_updates(leads: DataFrame, updates: DataFrame) -> DataFrame:
     return j.select(*out)
 
 
-def lead_by_id(leads: DataFrame, ids: str | Sequence[str] | DataFrame) -> DataFrame:
-    """Lookup by id — a pushed-down equality filter, or a semi-join for an id table."""
+def lead_by_id(leads: DataFrame, ids: str | Sequence[str] | DataFrame, key: str = "lead_id") -> DataFrame:
+    """Lookup by ``lead_id`` or (``key="mql_id"``) by MQL id — a pushed-down equality filter,
+    or a semi-join for an id table."""
     if isinstance(ids, DataFrame):
-        return leads.join(ids.select("lead_id").distinct(), "lead_id", "left_semi")
+        return leads.join(ids.select(key).distinct(), key, "left_semi")
     ids = [ids] if isinstance(ids, str) else list(ids)
-    return leads.filter(F.col("lead_id").isin(*ids))
+    return leads.filter(F.col(key).isin(*ids))
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str = "lead_id") -> DataFrame:

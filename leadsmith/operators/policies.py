@@ -230,24 +230,47 @@ def retry_plan(failures: DataFrame, cfg: dict | None = None) -> DataFrame:
                     F.when(retry, delay).alias("delay_seconds"))
 
 
+def _ascii_json(v: Column) -> Column:
+    """JSON text with every character outside printable ASCII as lower-case ``\\uXXXX`` escapes."""
+    low = v
+    for code in ("0B", "0E", "0F", "1A", "1B", "1C", "1D", "1E", "1F"):  # control escapes the writer spells with capitals
+        low = F.regexp_replace(low, rf"(?<!\\)((?:\\\\)*)\\u00{code}", rf"$1\\u00{code.lower()}")
+    v = F.when(v.contains("\\u00"), low).otherwise(v)
+    escaped = F.transform(F.split(v, ""), lambda ch: F.when(ch.rlike("^[ -~]?$"), ch).otherwise(
+        F.regexp_replace(F.lower(F.hex(F.encode(ch, "UTF-16BE"))), "(.{4})", r"\\u$1")))
+    return F.when(v.rlike("[^ -~]"), F.array_join(escaped, "")).otherwise(v)
+
+
 def canonical_json(fields: dict[str, Column]) -> Column:
-    """JSON text with sorted keys and ``", "`` / ``": "`` separators (json.dumps style)."""
+    """JSON text with sorted keys and ``", "`` / ``": "`` separators, ASCII only (json.dumps style)."""
     parts = []
     for i, (k, c) in enumerate(sorted(fields.items())):
         v = F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'^\{"v":(.*)\}$', 1)
-        v = F.when(c.isNull(), F.lit("null")).otherwise(v)
+        v = F.when(c.isNull(), F.lit("null")).otherwise(_ascii_json(v))
         parts += ([F.lit(", ")] if i else []) + [F.lit(f'"{k}": '), v]
     return F.concat(F.lit("{"), *parts, F.lit("}"))
 
 
 def decision_audit(decisions: DataFrame, input_cols: Sequence[str], cfg: dict | None = None) -> DataFrame:
     """Audit rows — reasoning cut to 200 chars, confidence % truncated, and the first
-    16 hex of SHA-256 over the canonical JSON of the decision input."""
+    16 hex of SHA-256 over the canonical JSON of the decision input.
+
+    ``decided_at``, ``duration_ms``, ``llm_model`` and ``tokens_used`` are taken over where the
+    decisions hold them (null, 0, ``unknown`` and 0 otherwise); the audit id is a hash of the entry's
+    lead, agent and input, so a retried job writes the same id."""
     p = _p(cfg)
     pct = F.floor(F.col("confidence") * 100).cast("int")
     h = F.substring(F.sha2(canonical_json({c: F.col(c) for c in input_cols}), 256), 1,
                     p["input_hash_chars"])
+
+    def given(name: str, kind: str, default) -> Column:
+        c = F.col(name) if name in decisions.columns else F.lit(None)
+        return F.coalesce(c.cast(kind), F.lit(default).cast(kind))
+    audit_id = F.substring(F.sha2(F.concat_ws("|", "lead_id", "agent", h), 256), 1, 8)
+    at = F.col("decided_at") if "decided_at" in decisions.columns else F.lit(None).cast("timestamp_ntz")
     return decisions.select(
+        audit_id.alias("audit_id"), at.alias("timestamp_utc"), given("duration_ms", "long", 0).alias("duration_ms"),
+        given("llm_model", "string", "unknown").alias("llm_model"), given("tokens_used", "long", 0).alias("tokens_used"),
         "lead_id", "agent", "decision",
         F.coalesce(F.substring(F.col("reasoning"), 1, p["reasoning_max_chars"]), F.lit("")).alias("reasoning"),
         pct.alias("confidence_pct"), h.alias("input_hash"), F.lit(p["policy_pack"]).alias("policy_pack"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
@@ -465,14 +465,21 @@ def _with_previous(events: DataFrame) -> DataFrame:
                     .alias("seconds"))
 
 
-def stage_duration_quantiles(events: DataFrame, accuracy: int = 10000) -> DataFrame:
-    """A20 (bottlenecks): approximate p50/p90 seconds per transition — bounded sketch memory."""
-    w = _with_previous(events)
-    return (w.filter(F.col("prev_type").isNotNull())
-            .groupBy("prev_type", "event_type")
-            .agg(F.percentile_approx("seconds", [0.5, 0.9], accuracy).alias("p")))\
-        .select("prev_type", "event_type", F.col("p")[0].alias("p50_seconds"),
-                F.col("p")[1].alias("p90_seconds"))
+def stage_duration_quantiles(events: DataFrame) -> DataFrame:
+    """A20 (bottlenecks): exact p50/p90 seconds per transition: the smallest duration that at least
+    half (nine tenths) of the transitions do not exceed.
+
+    Events are counted per (transition, seconds) first, so the running sum sees one row per
+    distinct duration of a transition, not one per event."""
+    pair = ["prev_type", "event_type"]
+    counts = (_with_previous(events).filter(F.col("prev_type").isNotNull())
+              .groupBy(*pair, "seconds").agg(F.count(F.lit(1)).alias("n")))
+    upto = Window.partitionBy(*pair).orderBy("seconds").rowsBetween(Window.unboundedPreceding, 0)
+    c = counts.select(*pair, "seconds", F.sum("n").over(upto).alias("upto"),
+                      F.sum("n").over(Window.partitionBy(*pair)).alias("all"))
+    return c.groupBy(*pair).agg(
+        F.min(F.when(F.col("upto") * 2 >= F.col("all"), F.col("seconds"))).alias("p50_seconds"),
+        F.min(F.when(F.col("upto") * 10 >= F.col("all") * 9, F.col("seconds"))).alias("p90_seconds"))
 
 
 def human_review_rate(mql: DataFrame, by: Sequence[str] = (), threshold: float | None = None

@@ -383,7 +383,14 @@ SELECT prev_type, event_type, count(*) AS transitions, avg(seconds) AS avg_secon
        min(seconds) AS min_seconds, max(seconds) AS max_seconds
 FROM ({_PREV_SQL}) x WHERE prev_type IS NOT NULL GROUP BY prev_type, event_type
 """, "lead_events"))(lambda s, d: R.stage_durations(fx.lead_events(s, d)))
-register("stage_duration_quantiles")(lambda s, d: R.stage_duration_quantiles(fx.lead_events(s, d)))
+register("stage_duration_quantiles", with_tables(f"""
+SELECT prev_type, event_type, min(seconds) FILTER (WHERE upto * 2 >= total) AS p50_seconds,
+       min(seconds) FILTER (WHERE upto * 10 >= total * 9) AS p90_seconds
+FROM (SELECT *, row_number() OVER (PARTITION BY prev_type, event_type ORDER BY seconds) AS upto,
+             count(*) OVER (PARTITION BY prev_type, event_type) AS total
+      FROM ({_PREV_SQL}) x WHERE prev_type IS NOT NULL) y
+GROUP BY prev_type, event_type
+""", "lead_events"))(lambda s, d: R.stage_duration_quantiles(fx.lead_events(s, d)))
 
 register("human_review_rate", with_tables(f"""
 SELECT count(*) AS decisions, count_if(confidence_score < 0.7) AS needs_review,

@@ -278,9 +278,10 @@ def _events_sql() -> str:
         (5, "sales_assigned", "'sql'", "'sales_owned'", "SQLAgent", "NULL", f"{started} AND final_status = 'sales_owned'"),
     ]
     sel = "\nUNION ALL\n".join(
-        f"SELECT {gid.format(t=SQL_AS_OF, i=i)} AS event_id, lead_id, {SQL_AS_OF} AS event_timestamp, "
+        f"SELECT {gid.format(t=SQL_AS_OF, i=i)} AS event_id, lead_id, {i} AS seq, {SQL_AS_OF} + INTERVAL {i} MILLISECOND AS event_timestamp, "
         f"'{e}' AS event_type, CAST({frm} AS VARCHAR) AS from_status, {to} AS to_status, '{agent}' AS agent_name, "
-        f"CAST({score} AS INTEGER) AS score_at_event FROM qa WHERE {cond}"
+        f"CAST({score} AS INTEGER) AS score_at_event, '{{}}' AS event_details, CAST(NULL AS INTEGER) AS duration_seconds, "
+        f"CAST(NULL AS VARCHAR) AS error_message FROM qa WHERE {cond}"
         for i, e, frm, to, agent, score, cond in parts)
     return _qualify_sql(sel)
 

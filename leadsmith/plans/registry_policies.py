@@ -195,21 +195,23 @@ def decisions(s, d):
     tri = S.triage_leads(sc)
     return tri.select("lead_id", "email", "company", F.lit("TriageAgent").alias("agent"),
                       "decision", F.array_join("flags", "; ").alias("reasoning"),
-                      ((_k() % 101) / 100.0).alias("confidence"))
+                      ((_k() % 101) / 100.0).alias("confidence"), F.col("created_at").alias("decided_at"))
 
 
 def _audit_sql() -> str:
     spam = O.spam_keyword(keywords=DEFAULT["scoring"]["triage_spam_keywords"])
     js = " || ', ' || ".join(f"'\"{c}\": ' || coalesce(to_json({c}), 'null')" for c in sorted(AUDIT_INPUT))
     return with_tables(f"""
-SELECT lead_id, 'TriageAgent' AS agent,
+SELECT *, left(sha256(lead_id || '|' || agent || '|' || input_hash), 8) AS audit_id,
+  CAST(0 AS BIGINT) AS duration_ms, 'unknown' AS llm_model, CAST(0 AS BIGINT) AS tokens_used
+FROM (SELECT lead_id, created_at AS timestamp_utc, 'TriageAgent' AS agent,
   CASE WHEN {O.blank('email')} OR {O.blank('company')} OR {spam} IS NOT NULL THEN 'rejected' ELSE 'accepted' END
     AS decision,
   left(array_to_string(flags, '; '), 200) AS reasoning,
   CAST(trunc((({_K} % 101) / 100.0) * 100) AS INTEGER) AS confidence_pct,
   left(sha256('{{' || {js} || '}}'), 16) AS input_hash,
   {O.q(_CFG['policy_pack'])} AS policy_pack
-FROM (SELECT *, {O.screen_select(end='created_at')} FROM raw_leads) x
+FROM (SELECT *, {O.screen_select(end='created_at')} FROM raw_leads) x) y
 """, "raw_leads")
 
 

@@ -116,10 +116,10 @@ def _raw_append(s, d):
 
 
 def _raw_append_sql() -> str:
-    js = "to_json(struct_pack(" + ", ".join(f"{f} := {f}" for f in I.LEAD_FIELDS) + "))"
+    js = "to_json(struct_pack(" + ", ".join(f"{f} := {f}" for f in K.RECORD_FIELDS) + "))"
     return with_tables(f"""
 SELECT {_gid('LD', SQL_AS_OF, 'lead_id')} AS lead_id, {SQL_AS_OF} AS created_at, {SQL_AS_OF} AS updated_at,
-  {', '.join(I.LEAD_FIELDS)}, 'new' AS status, CAST(NULL AS VARCHAR) AS rejection_reason, {js} AS raw_payload
+  {', '.join(K.RECORD_FIELDS)}, 'new' AS status, CAST(NULL AS VARCHAR) AS rejection_reason, {js} AS raw_payload
 FROM ({_DEFAULTED}) x
 """, "raw_leads")
 
@@ -202,6 +202,10 @@ register("lead_lookup", with_tables("""
 SELECT * FROM raw_leads WHERE lead_id IN (SELECT lead_id FROM sql_leads)
 """, "raw_leads", "sql_leads"))(lambda s, d: L.lead_by_id(fx.raw_leads(s, d), fx.sql_leads(s, d)))
 
+register("mql_lookup", with_tables("""
+SELECT * FROM mql_leads WHERE mql_id IN (SELECT mql_id FROM sql_leads)
+""", "mql_leads", "sql_leads"))(lambda s, d: L.lead_by_id(fx.mql_leads(s, d), fx.sql_leads(s, d), key="mql_id"))
+
 register("audit_retention", with_tables(f"""
 SELECT * FROM lead_events WHERE event_timestamp >= {SQL_AS_OF} - INTERVAL 365 DAY
 """, "lead_events"))(lambda s, d: K.audit_window(fx.lead_events(s, d), "event_timestamp", AS_OF, 365))
@@ -283,6 +287,87 @@ FROM (
 """, "raw_leads"))(lambda s, d: I.parse_mql_results(mql_answers(s, d)))
 
 
+def _spoilt(body, k):
+    """Every 11th answer missing, the next malformed."""
+    return F.when(k % 11 == 0, F.lit(None).cast("string")).when(k % 11 == 1, F.lit("{not json")).otherwise(body)
+
+
+def triage_answers(s, d):
+    """Triage answers as JSON text with the rule decision; some missing, malformed or out of range."""
+    t, k = S.triage_leads(fx.raw_leads(s, d), keep=["lead_id"]), _k()
+    body = F.to_json(F.struct(
+        F.when(k % 11 == 2, F.lit("maybe")).otherwise(F.col("decision")).alias("decision"),
+        F.when(F.col("decision") == "accepted", "mql_agent").otherwise("none").alias("next_agent"),
+        F.when(k % 11 != 4, F.lit("by rule")).alias("reasoning"), F.col("triage_reason").alias("rejection_reason"),
+        F.when(k % 11 == 3, F.lit(1.5)).otherwise(F.lit(0.75)).alias("confidence")))
+    return t.select("lead_id", _spoilt(body, k).alias("answer"))
+
+
+_JSON_OK = "coalesce(answer IS NOT NULL AND json_valid(answer), false)"
+
+
+def _field(name: str, kind: str = "VARCHAR") -> str:
+    return f"TRY_CAST(CASE WHEN json_valid(answer) THEN json_extract_string(answer, '$.{name}') END AS {kind}) AS {name}"
+
+
+register("parse_triage_results", with_tables(f"""
+SELECT lead_id, CASE WHEN ok THEN decision ELSE 'needs_review' END AS decision,
+  CASE WHEN ok THEN next_agent ELSE 'human_review' END AS next_agent,
+  CASE WHEN ok THEN reasoning ELSE 'Agent did not return structured decision' END AS reasoning,
+  CASE WHEN ok THEN rejection_reason END AS rejection_reason, CASE WHEN ok THEN confidence ELSE 0.5 END AS confidence,
+  NOT ok AS used_fallback, len(errs) = 0 AS valid, errs AS errors
+FROM (
+  SELECT *, list_filter([
+    CASE WHEN ok AND (decision IS NULL OR decision NOT IN {O.lst(I.TRIAGE_DECISIONS)}) THEN 'decision_invalid' END,
+    CASE WHEN ok AND reasoning IS NULL THEN 'reasoning_required' END,
+    CASE WHEN ok AND (confidence IS NULL OR confidence NOT BETWEEN 0.0 AND 1.0) THEN 'confidence_out_of_range' END],
+    lambda x: x IS NOT NULL) AS errs
+  FROM (SELECT lead_id, {_JSON_OK} AS ok, {_field('decision')}, {_field('next_agent')}, {_field('reasoning')},
+               {_field('rejection_reason')}, {_field('confidence', 'DOUBLE')}
+        FROM (SELECT lead_id, CASE WHEN {_K} % 11 = 0 THEN NULL WHEN {_K} % 11 = 1 THEN '{{not json' ELSE to_json(struct_pack(
+                decision := CASE WHEN {_K} % 11 = 2 THEN 'maybe' WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END,
+                next_agent := CASE WHEN reason IS NULL THEN 'mql_agent' ELSE 'none' END,
+                reasoning := CASE WHEN {_K} % 11 <> 4 THEN 'by rule' END, rejection_reason := reason,
+                confidence := CASE WHEN {_K} % 11 = 3 THEN 1.5 ELSE 0.75 END))::VARCHAR END AS answer
+              FROM (SELECT lead_id, {_TRIAGE_REASON} AS reason FROM raw_leads) m) a) b) c
+""", "raw_leads"))(lambda s, d: I.parse_triage_results(triage_answers(s, d)))
+
+
+def bant_answers(s, d):
+    """BANT answers as JSON text with the rule scores; some missing, malformed or out of range."""
+    b, k = S.score_bant(fx.raw_leads(s, d), as_of=AS_OF, keep=["lead_id"]), _k()
+    body = F.to_json(F.struct(
+        F.when(k % 11 != 4, F.col("qualified")).alias("qualified"), "sql_score",
+        F.when(k % 11 == 2, F.lit(26)).otherwise(F.col("bant_score_budget")).alias("bant_score_budget"),
+        "bant_score_authority", "bant_score_need", F.when(k % 11 != 5, F.col("bant_score_timeline")).alias("bant_score_timeline"),
+        F.lit("by rule").alias("agent_reasoning"), F.when(k % 11 == 3, F.lit(1.5)).when(k % 11 != 6, F.lit(0.75)).alias("confidence_score")))
+    return b.select("lead_id", _spoilt(body, k).alias("answer"))
+
+
+register("parse_bant_results", with_tables(f"""
+SELECT lead_id, CASE WHEN ok THEN qualified ELSE false END AS qualified,
+  {', '.join(f'CASE WHEN ok THEN {f} ELSE 0 END AS {f}' for f in I.BANT_BOUNDS)},
+  CASE WHEN ok THEN agent_reasoning ELSE 'Agent processing error' END AS agent_reasoning,
+  CASE WHEN ok THEN coalesce(confidence_score, 0.8) ELSE 0.0 END AS confidence_score,
+  NOT ok AS used_fallback, len(errs) = 0 AS valid, errs AS errors
+FROM (
+  SELECT *, list_filter([
+    CASE WHEN ok AND qualified IS NULL THEN 'qualified_required' END,
+    {', '.join(f"CASE WHEN ok AND ({f} IS NULL OR {f} NOT BETWEEN 0 AND {top}) THEN '{f}_out_of_range' END" for f, top in I.BANT_BOUNDS.items())},
+    CASE WHEN ok AND confidence_score NOT BETWEEN 0.0 AND 1.0 THEN 'confidence_out_of_range' END],
+    lambda x: x IS NOT NULL) AS errs
+  FROM (SELECT lead_id, {_JSON_OK} AS ok, {_field('qualified', 'BOOLEAN')}, {', '.join(_field(f, 'INTEGER') for f in I.BANT_BOUNDS)},
+               {_field('agent_reasoning')}, {_field('confidence_score', 'DOUBLE')}
+        FROM (SELECT lead_id, CASE WHEN {_K} % 11 = 0 THEN NULL WHEN {_K} % 11 = 1 THEN '{{not json' ELSE to_json(struct_pack(
+                qualified := CASE WHEN {_K} % 11 <> 4 THEN b + a + n + t >= 70 END, sql_score := b + a + n + t,
+                bant_score_budget := CASE WHEN {_K} % 11 = 2 THEN 26 ELSE b END, bant_score_authority := a, bant_score_need := n,
+                bant_score_timeline := CASE WHEN {_K} % 11 <> 5 THEN t END, agent_reasoning := 'by rule',
+                confidence_score := CASE WHEN {_K} % 11 = 3 THEN 1.5 WHEN {_K} % 11 <> 6 THEN 0.75 END))::VARCHAR END AS answer
+              FROM (SELECT lead_id, CAST({_BP['budget']} AS INTEGER) AS b, CAST({_BP['authority']} AS INTEGER) AS a,
+                           CAST({_BP['need']} AS INTEGER) AS n, CAST({_BP['timeline']} AS INTEGER) AS t FROM raw_leads) m) a0) b0) c
+""", "raw_leads"))(lambda s, d: I.parse_bant_results(bant_answers(s, d)))
+
+
 # ----------------------------------------------------------------- F6
 
 register("lead_status_rows", with_tables("""

@@ -9,7 +9,6 @@ from ..sources import fixtures as fx
 from ..streaming import streams as X
 from .oracle import with_tables
 from .registry import register
-from .registry_lifecycle import AVAIL_SQL
 from .registry_policies import DUP_SQL
 from .registry_rules import END, SCREEN_SQL
 
@@ -58,8 +57,8 @@ def _enrich(s, d):
     return X.run_available_now(X.stream_enrich(src, fx.sales_reps(s, d)), "enrich")
 
 
-register("stream_enrich", with_tables(f"""
+register("stream_enrich", with_tables("""
 SELECT s.assigned_rep_id, s.sql_id, s.lead_id, s.sql_score, r.email AS rep_email, r.team AS rep_team,
        r.current_load AS rep_load
-FROM sql_leads s LEFT JOIN ({AVAIL_SQL}) r ON s.assigned_rep_id = r.rep_id
+FROM sql_leads s LEFT JOIN sales_reps r ON s.assigned_rep_id = r.rep_id
 """, "sql_leads", "sales_reps"))(_enrich)

@@ -94,6 +94,63 @@ def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return (tagged.filter(F.size("errors") == 0).drop("errors"), tagged.filter(F.size("errors") > 0))
 
 
+def _answers(answers: DataFrame, schema: T.StructType, col: str, key: str) -> tuple[DataFrame, Column]:
+    """Rows with the answer as a struct ``r``, and whether it is there and well-formed."""
+    whole = T.StructType(schema.fields + [T.StructField("_corrupt", S)])
+    p = F.from_json(F.col(col), whole, {"columnNameOfCorruptRecord": "_corrupt"})
+    r = answers.select(key, p.alias("r"), F.col(col).isNull().alias("_missing"))
+    return r, F.col("r").isNotNull() & ~F.col("_missing") & F.col("r._corrupt").isNull()
+
+
+def _outside(c: Column, low: float, high: float) -> Column:
+    return c.isNull() | ~c.between(low, high)
+
+
+TRIAGE_DECISIONS = ["accepted", "rejected", "needs_review"]
+TRIAGE_FALLBACK = {"decision": "needs_review", "next_agent": "human_review",
+                   "reasoning": "Agent did not return structured decision", "rejection_reason": None, "confidence": 0.5}
+TRIAGE_RESULT_SCHEMA = T.StructType(
+    [T.StructField(f, S) for f in ("decision", "next_agent", "reasoning", "rejection_reason")]
+    + [T.StructField("confidence", T.DoubleType())])
+
+
+def parse_triage_results(answers: DataFrame, col: str = "answer", key: str = "lead_id") -> DataFrame:
+    """S15, triage stage: missing or unparsable answers take the fallback row (human review); an
+    unknown decision, missing reasoning or a confidence outside 0..1 marks the row invalid."""
+    r, parsed = _answers(answers, TRIAGE_RESULT_SCHEMA, col, key)
+    errors = compact([
+        F.when(parsed & ~F.coalesce(F.col("r.decision").isin(*TRIAGE_DECISIONS), F.lit(False)), F.lit("decision_invalid")),
+        F.when(parsed & F.col("r.reasoning").isNull(), F.lit("reasoning_required")),
+        F.when(parsed & _outside(F.col("r.confidence"), 0.0, 1.0), F.lit("confidence_out_of_range"))])
+    fields = [F.when(parsed, F.col(f"r.{f}")).otherwise(F.lit(v)).alias(f) for f, v in TRIAGE_FALLBACK.items()]
+    return r.select(key, *fields, (~parsed).alias("used_fallback"), (F.size(errors) == 0).alias("valid"), errors.alias("errors"))
+
+
+BANT_BOUNDS = {"sql_score": 100, "bant_score_budget": 25, "bant_score_authority": 25, "bant_score_need": 25,
+               "bant_score_timeline": 25}
+BANT_RESULT_SCHEMA = T.StructType(
+    [T.StructField("qualified", T.BooleanType())] + [T.StructField(f, T.IntegerType()) for f in BANT_BOUNDS]
+    + [T.StructField("agent_reasoning", S), T.StructField("confidence_score", T.DoubleType())])
+
+
+def parse_bant_results(answers: DataFrame, col: str = "answer", key: str = "lead_id") -> DataFrame:
+    """S15, BANT stage: missing or unparsable answers take the fallback row (not qualified, all
+    scores 0, confidence 0); a score or confidence out of bounds or a missing ``qualified`` marks
+    the row invalid."""
+    r, parsed = _answers(answers, BANT_RESULT_SCHEMA, col, key)
+    conf = F.col("r.confidence_score")
+    errors = compact([
+        F.when(parsed & F.col("r.qualified").isNull(), F.lit("qualified_required")),
+        *[F.when(parsed & _outside(F.col(f"r.{f}"), 0, top), F.lit(f"{f}_out_of_range")) for f, top in BANT_BOUNDS.items()],
+        F.when(parsed & conf.isNotNull() & ~conf.between(0.0, 1.0), F.lit("confidence_out_of_range"))])
+    return r.select(
+        key, F.when(parsed, F.col("r.qualified")).otherwise(F.lit(False)).alias("qualified"),
+        *[F.when(parsed, F.col(f"r.{f}")).otherwise(F.lit(0)).alias(f) for f in BANT_BOUNDS],
+        F.when(parsed, F.col("r.agent_reasoning")).otherwise(F.lit("Agent processing error")).alias("agent_reasoning"),
+        F.when(parsed, F.coalesce(conf, F.lit(0.8))).otherwise(F.lit(0.0)).alias("confidence_score"),
+        (~parsed).alias("used_fallback"), (F.size(errors) == 0).alias("valid"), errors.alias("errors"))
+
+
 def parse_mql_results(answers: DataFrame, col: str = "answer", key: str = "lead_id") -> DataFrame:
     """Agent JSON answers -> typed MQL results with checks.
 

@@ -15,6 +15,9 @@ from ..operators.lifecycle import gen_id
 from .intake import LEAD_FIELDS
 
 
+RECORD_FIELDS = [*LEAD_FIELDS, "interests", "opt_in_marketing"]
+
+
 def _payload(df: DataFrame, fields: list[str]) -> Column:
     present = [f for f in fields if f in df.columns]
     return F.to_json(F.struct(*present), {"ignoreNullFields": "false"})
@@ -23,11 +26,18 @@ def _payload(df: DataFrame, fields: list[str]) -> Column:
 def to_raw_leads(df: DataFrame, as_of: AsOf = None, key_col: str | None = None) -> DataFrame:
     """Raw-lead record: id, status ``new``, created = updated = ``as_of``, payload kept as JSON."""
     now = ts(as_of)
-    key = F.col(key_col) if key_col else _payload(df, LEAD_FIELDS)
+    key = F.col(key_col) if key_col else _payload(df, RECORD_FIELDS)
     cols = [F.col(f) if f in df.columns else F.lit(None).cast("string").alias(f) for f in LEAD_FIELDS]
     return df.select(gen_id("LD", now, key).alias("lead_id"), now.alias("created_at"), now.alias("updated_at"),
-                     *cols, F.lit("new").alias("status"), F.lit(None).cast("string").alias("rejection_reason"),
-                     _payload(df, LEAD_FIELDS).alias("raw_payload"))
+                     *cols, _given(df, "interests", "array<string>", F.array()),
+                     _given(df, "opt_in_marketing", "boolean", F.lit(True)), F.lit("new").alias("status"), F.lit(None).cast("string").alias("rejection_reason"),
+                     _payload(df, RECORD_FIELDS).alias("raw_payload"))
+
+
+def _given(df: DataFrame, name: str, kind: str, default: Column) -> Column:
+    """The column ``name`` where ``df`` holds it, else its default."""
+    c = F.col(name) if name in df.columns else F.lit(None)
+    return F.coalesce(c.cast(kind), default.cast(kind)).alias(name)
 
 
 def to_mql_leads(scored: DataFrame, as_of: AsOf = None) -> DataFrame:
@@ -40,10 +50,13 @@ def to_mql_leads(scored: DataFrame, as_of: AsOf = None) -> DataFrame:
 
 
 def to_sql_leads(scored: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """SQL record for BANT-qualified rows: status ``sql_new``, handoff not confirmed."""
+    """SQL record for BANT-qualified rows: status ``sql_new``, handoff not confirmed.
+
+    ``mql_id`` is the stored one where the rows hold it (a later run's date would give another id)."""
     now = ts(as_of)
     q = scored.filter(F.col("qualified"))
-    return q.select(gen_id("SQL", now, "lead_id").alias("sql_id"), gen_id("MQL", now, "lead_id").alias("mql_id"),
+    return q.select(gen_id("SQL", now, "lead_id").alias("sql_id"),
+                    (F.col("mql_id") if "mql_id" in scored.columns else gen_id("MQL", now, "lead_id")).alias("mql_id"),
                     "lead_id", "sql_score", "bant_score_budget", "bant_score_authority", "bant_score_need",
                     "bant_score_timeline", "estimated_deal_size", "estimated_close_date", "assigned_team",
                     F.lit("sql_new").alias("status"), F.lit(False).alias("handoff_confirmed"),
@@ -63,7 +76,8 @@ STAGE_EVENTS = [
 
 def events_from_stages(staged: DataFrame, as_of: AsOf = None) -> DataFrame:
     """The audit events of each lead's run, many per lead in one pass (``inline`` of an
-    array of structs), each with a deterministic ``EVT`` id."""
+    array of structs), each with a deterministic ``EVT`` id, its place in the run (``seq``) and a
+    time one millisecond after the event before, so that timelines keep the order of the stages."""
     now = ts(as_of)
     fs = F.col("final_status")
     cols = {
@@ -89,8 +103,9 @@ def events_from_stages(staged: DataFrame, as_of: AsOf = None) -> DataFrame:
             (F.col(score) if score else F.lit(None)).cast("int").alias("score_at_event"))))
     ev = staged.select("lead_id", F.inline(compact(items)))
     return ev.select(gen_id("EVT", now, "lead_id", F.col("seq").cast("string")).alias("event_id"), "lead_id",
-                     now.alias("event_timestamp"), "event_type", "from_status", "to_status", "agent_name",
-                     "score_at_event")
+                     "seq", F.timestamp_add("MILLISECOND", F.col("seq"), now).alias("event_timestamp"), "event_type",
+                     "from_status", "to_status", "agent_name", "score_at_event", F.lit("{}").alias("event_details"),
+                     F.lit(None).cast("int").alias("duration_seconds"), F.lit(None).cast("string").alias("error_message"))
 
 
 def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -19,7 +19,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..config import DEFAULT
-from ..operators import routing as R
 from ..operators import scoring as S
 from ..operators import screening as W
 from ..session import ensure_checkpoint_dir
@@ -156,8 +155,8 @@ def stream_event_windows(events: DataFrame, ts_col: str = "ts", window: str = "1
 # ----------------------------------------------------------------- X4
 
 def stream_enrich(sql_stream: DataFrame, reps: DataFrame) -> DataFrame:
-    """Attach each streamed SQL lead's rep contact (stream-static join to the roster)."""
-    rep = R.available_reps(reps, ordered=False).select(F.col("rep_id").alias("assigned_rep_id"),
-                                        F.col("email").alias("rep_email"), F.col("team").alias("rep_team"),
-                                        F.col("current_load").alias("rep_load"))
+    """Attach each streamed SQL lead's rep contact (stream-static join to the whole roster,
+    full and inactive reps included)."""
+    rep = reps.select(F.col("rep_id").alias("assigned_rep_id"), F.col("email").alias("rep_email"),
+                      F.col("team").alias("rep_team"), F.col("current_load").alias("rep_load"))
     return sql_stream.join(rep, "assigned_rep_id", "left")

@@ -212,6 +212,20 @@ def test_decision_audit_hash(spark):
                                      sort_keys=True).encode()).hexdigest()[:16]
     assert r.input_hash == want
     assert r.confidence_pct == 28 and len(r.reasoning) == 200
+    assert (r.duration_ms, r.llm_model, r.tokens_used, r.timestamp_utc) == (0, "unknown", 0, None) and len(r.audit_id) == 8
+
+
+def test_decision_audit_hash_is_ascii_escaped(spark):
+    import hashlib
+    import json
+
+    odd = ["José", "日本 👍", "tab\there", "a\x0b\x1f\x7f", 'back\\slash "q"', "\\u000B", ""]
+    rows = [(f"L{i}", x, "Acme", "T", "accepted", "r", 0.5) for i, x in enumerate(odd)]
+    df = spark.createDataFrame(rows, "lead_id string, email string, company string, agent string, decision string, "
+                                     "reasoning string, confidence double")
+    got = {r.lead_id: r.input_hash for r in P.decision_audit(df, ["lead_id", "email"]).collect()}
+    assert got == {r[0]: hashlib.sha256(json.dumps({"lead_id": r[0], "email": r[1]}, sort_keys=True).encode()).hexdigest()[:16]
+                   for r in rows}
 
 
 def test_spend_guard(spark):
