@@ -48,11 +48,12 @@ def windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
 
 def later_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW) -> DataFrame:
     """Per document that loses lines: id, text hash, sorted window numbers of later occurrences."""
-    w = windows(docs, id_col, text_col, width).distinct()
-    first = (w.groupBy("h1", "h2").agg(F.min(F.struct("id", "th", "w")).alias("first"), F.count("*").alias("n"))
-             .where("n > 1").drop("n"))
+    w = windows(docs, id_col, text_col, width)
+    at = F.struct("id", "th", "w")
+    # a row that is repeated as it stands has the same place, so it makes no window a repeated one
+    first = w.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").drop("last")
     later = w.join(first, ["h1", "h2"]).where(~F.struct("id", "th", "w").eqNullSafe(F.col("first")))
-    return later.groupBy("id", "th").agg(F.array_sort(F.collect_list("w")).alias("later"))
+    return later.groupBy("id", "th").agg(F.array_sort(F.collect_set("w")).alias("later"))
 
 
 def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW) -> DataFrame:
