@@ -64,3 +64,17 @@ def bucketed_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucke
         *df.columns,
         *[F.when(F.col("_first"), F.col(f"_p_{c}")).otherwise(F.col(f"_lag_{c}")).alias(f"{prefix}{c}")
           for c in cols])
+
+
+def bucketed_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, value: Column,
+                 out: str) -> DataFrame:
+    """``max(value) OVER (PARTITION BY keys ORDER BY order)`` up to the row itself, nulls left out; with a
+    struct that starts with a position it carries the last row that has a value.  Keys and bucket not null."""
+    w = df.withColumn("_b", bucket).withColumn("_v", value)
+    tops = w.groupBy(*keys, "_b").agg(F.max("_v").alias("_top"))
+    before = tops.select(*keys, "_b", F.max("_top").over(
+        Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
+    within = F.max("_v").over(Window.partitionBy(*keys, "_b").orderBy(*order)
+                              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (w.withColumn("_in", within).join(before, _join_keys(keys))
+            .withColumn(out, F.coalesce("_in", "_before")).drop("_b", "_v", "_in", "_before"))

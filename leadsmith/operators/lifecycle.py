@@ -2,7 +2,7 @@
 
 ``qualify_leads`` is the set-oriented form of the reference's per-lead run:
 every stage is a column computed for all leads in one projection, and the only
-ordered, stateful step (the duplicate lookback) is the keyed fold of P9, fed
+ordered, stateful step (the duplicate lookback) is P9, fed
 with the status each lead's run would leave behind.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT
 from ..functions.common import AsOf
 from ..functions.helpers import drop_helpers, with_helpers
-from ..session import ensure_checkpoint_dir
+from ..session import staged as staged_table
 from . import policies as P
 from . import routing as R
 from . import scoring as S
@@ -106,15 +106,14 @@ def qualify_leads(leads: DataFrame, reps: DataFrame, review_answers: DataFrame |
     leads that reach the SQL stage (R3).  Each row keeps its first stop reason.
 
     The stage table feeds both the fold and the final join, so with
-    ``materialize`` it is written once as a reliable checkpoint (the shared
-    ``spark.checkpoint.dir``) instead of evaluating every rule twice; the
-    checkpoint also cuts the lineage, so a lost executor re-reads it.
+    ``materialize`` it is written once as Parquet (below the shared
+    ``spark.checkpoint.dir``) instead of evaluating every rule twice; each reader
+    takes only its columns, and a lost executor's work starts from the files.
     """
     cfg = cfg or DEFAULT
     st = stage_columns(leads, reps, review_answers, approvals, as_of, end_col, cfg)
     if materialize:
-        ensure_checkpoint_dir(st.sparkSession)
-        st = st.checkpoint(eager=True)
+        st = staged_table(st, "qualify-stages")
     passed = st.filter(F.col("review_decision") == "accepted")
     dup = P.duplicate_lookback(passed.withColumn("_outcome", run_outcome()), outcome=F.col("_outcome"),
                                keeps_status=F.col("pii_action") == "deny", cfg=cfg["policies"])

@@ -7,16 +7,15 @@ state is derived from tables and the work partitions by key.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import DEFAULT
 from ..functions.common import AsOf, compact, ts
 from ..functions.windows import null_safe_join
+from .duplicates import DAY, anchored
 
 MICRO = 1_000_000
 
@@ -278,40 +277,6 @@ def decision_audit(decisions: DataFrame, input_cols: Sequence[str], cfg: dict |
 
 # ----------------------------------------------------------------- P9
 
-def _fold_schema(key: str, idcol: str) -> T.StructType:
-    return T.StructType([
-        T.StructField(idcol, T.StringType()), T.StructField("dup_action", T.StringType()),
-        T.StructField("anchor_id", T.StringType()), T.StructField("days_since_anchor", T.LongType()),
-    ])
-
-
-def _fold_batches(days: int, allow: tuple[str, ...], idcol: str):
-    """Constant-memory fold over rows sorted by (email, ts, id), carried across batches."""
-    limit = pd.Timedelta(days=days + 1)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur, anchor_id, anchor_ts, status = None, None, None, None
-        for b in batches:
-            out_action, out_anchor, out_days = [], [], []
-            for em, t, i, o, keeps in zip(b["_em"], b["_ts"], b[idcol], b["_outcome"], b["_keeps"]):
-                if em != cur:
-                    cur, anchor_id, anchor_ts, status = em, None, None, None
-                if anchor_id is None or (status not in allow and t - anchor_ts >= limit):
-                    anchor_id, anchor_ts, status = i, t, o
-                    out_action.append("allow")
-                elif status in allow:
-                    if not keeps:
-                        status = o
-                    out_action.append("allow")
-                else:
-                    out_action.append("deny")
-                out_anchor.append(anchor_id)
-                out_days.append((t - anchor_ts).days)
-            yield pd.DataFrame({idcol: b[idcol], "dup_action": out_action, "anchor_id": out_anchor,
-                                "days_since_anchor": pd.Series(out_days, dtype="int64")})
-    return run
-
-
 def duplicate_lookback(leads: DataFrame, key: str = "email", ts_col: str = "created_at",
                        id_col: str = "lead_id", days: int | None = None, outcome: Column | None = None,
                        keeps_status: Column | None = None, cfg: dict | None = None) -> DataFrame:
@@ -327,27 +292,31 @@ def duplicate_lookback(leads: DataFrame, key: str = "email", ts_col: str = "crea
     personal-data stop does) leaves the old status.
 
     Rows without an email or without a time take no part: they are allowed, without
-    an anchor.  One sorted pass with constant memory serves every key, whatever its
-    number of rows; no key is gathered.
+    an anchor.  The rows are staged in the shared checkpoint folder while the query is
+    built; a hot key is split by the hour (see ``operators.duplicates``).
     """
     p = _p(cfg)
     days = days if days is not None else p["lookback_days"]
-    allow = tuple(p["allow_resubmit_statuses"])
     em = F.lower(F.trim(F.col(key)))
-    base = leads.select(
-        F.col(id_col), F.col(ts_col).cast("timestamp").alias("_ts"), em.alias("_em"),
-        (outcome if outcome is not None else F.lit("processing")).alias("_outcome"),
-        F.coalesce(keeps_status if keeps_status is not None else F.lit(False), F.lit(False)).alias("_keeps"))
-    alone = F.col("_em").isNull() | (F.col("_em") == "") | F.col("_ts").isNull()
+    outcome = outcome if outcome is not None else F.lit("processing")
+    resubmits = F.coalesce(outcome.isin(*p["allow_resubmit_statuses"]), F.lit(False))
+    keeps = F.coalesce(keeps_status, F.lit(False)) if keeps_status is not None else F.lit(False)
+    base = leads.select(F.col(id_col).alias("id"), F.unix_micros(F.col(ts_col).cast("timestamp")).alias("t"), em.alias("key"),
+                        resubmits.alias("resubmits"), (~resubmits & ~keeps).alias("shuts"))
+    alone = F.col("key").isNull() | (F.col("key") == "") | F.col("t").isNull()
     if not enabled("duplicate_detection", p):
         alone = F.lit(True)
     passed = base.filter(alone).select(
-        id_col, F.lit("allow").alias("dup_action"), F.lit(None).cast("string").alias("anchor_id"),
+        F.col("id").alias(id_col), F.lit("allow").alias("dup_action"), F.lit(None).cast("string").alias("anchor_id"),
         F.lit(None).cast("long").alias("days_since_anchor"))
     if not enabled("duplicate_detection", p):
         return passed
-    ordered = base.filter(~alone).repartition("_em").sortWithinPartitions("_em", "_ts", id_col)
-    return ordered.mapInPandas(_fold_batches(days, allow, id_col), _fold_schema(key, id_col)).unionByName(passed)
+    found = anchored(base.filter(~alone), (days + 1) * DAY)
+    passes = F.coalesce(F.col("pos") <= F.col("anchor.shut"), F.lit(True))
+    return found.select(
+        F.col("id").alias(id_col), F.when(passes, "allow").otherwise("deny").alias("dup_action"),
+        F.col("anchor.id").cast("string").alias("anchor_id"),
+        F.floor((F.col("t") - F.col("anchor.t")) / DAY).cast("long").alias("days_since_anchor")).unionByName(passed)
 
 
 # ----------------------------------------------------------------- P10-P12
