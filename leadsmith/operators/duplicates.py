@@ -33,37 +33,35 @@ def _hour(t: Column | str) -> Column:
     return F.floor((F.col(t) if isinstance(t, str) else t) / HOUR)
 
 
-def _positions(rows: DataFrame, span: int) -> DataFrame:
-    """Rows with ``pos`` (1, 2, … in their key), ``shut`` (a position; null: never) and ``sure``."""
-    within = Window.partitionBy("key", "_b").orderBy(*ORDER)
-    w = rows.withColumn("_b", _hour("t")).select(
-        "*", F.row_number().over(within).cast("long").alias("_rn"),
-        F.lag("t").over(within).alias("_prev_t"), F.lag("shuts").over(within).alias("_prev_shuts"))
+def _numbered(rows: DataFrame, span: int) -> DataFrame:
+    """Rows with ``pos`` (1, 2, … in their key), ``shut`` (a position; null: never) and their last sure ``anchor``.
+
+    A pause of the span parts hours, so only an hour's first row can be a sure anchor: the anchors
+    come from the table of hours."""
+    w = rows.withColumn("_b", _hour("t")).withColumn(
+        "_rn", F.row_number().over(Window.partitionBy("key", "_b").orderBy(*ORDER)).cast("long"))
     w = w.withColumn("_shut_in", F.min(F.when(F.col("shuts"), F.col("_rn"))).over(
         Window.partitionBy("key", "_b").orderBy(F.desc("_rn")).rowsBetween(*UP_TO)))
     hours = w.groupBy("key", "_b").agg(
-        F.max("_rn").alias("_size"), F.max(F.struct("_rn", "t", "shuts")).alias("_last"),
-        F.min(F.when(F.col("shuts"), F.col("_rn"))).alias("_first_shut"))
+        F.max("_rn").alias("_size"), F.min(F.struct("_rn", "t", "id", "resubmits", "_shut_in")).alias("_first"),
+        F.max(F.struct("_rn", "t", "shuts")).alias("_last"))
     by_hour = Window.partitionBy("key").orderBy("_b")
     hours = hours.select(
-        "key", "_b", "_first_shut", F.coalesce(F.sum("_size").over(by_hour.rowsBetween(*BEFORE)), F.lit(0)).alias("_off"),
+        "key", "_b", "_first", F.coalesce(F.sum("_size").over(by_hour.rowsBetween(*BEFORE)), F.lit(0)).alias("_off"),
         F.lag("_last").over(by_hour).alias("_before"))
-    hours = hours.withColumn("_shut_after", F.min(F.col("_off") + F.col("_first_shut")).over(
-        Window.partitionBy("key").orderBy(F.desc("_b")).rowsBetween(*BEFORE))).drop("_first_shut")
-    first = F.col("_rn") == 1
-    j = w.join(hours, ["key", "_b"]).select(
-        *rows.columns, (F.col("_off") + F.col("_rn")).alias("pos"),
-        F.coalesce(F.col("_off") + F.col("_shut_in"), "_shut_after").alias("_shut"),
-        F.when(first, F.col("_before.t")).otherwise(F.col("_prev_t")).alias("_prev_t"),
-        F.when(first, F.col("_before.shuts")).otherwise(F.col("_prev_shuts")).alias("_prev_shuts"))
-    return j.select(
-        *rows.columns, "pos", F.when(F.col("resubmits"), F.col("_shut")).otherwise(F.col("pos")).alias("shut"),
-        (F.col("_prev_t").isNull() | (F.col("_prev_shuts") & (F.col("t") - F.col("_prev_t") >= span))).alias("sure"))
-
+    hours = hours.withColumn("_shut_after", F.min(F.col("_off") + F.col("_first._shut_in")).over(
+        Window.partitionBy("key").orderBy(F.desc("_b")).rowsBetween(*BEFORE)))
 
-def _with_anchor(rows: DataFrame, keys: list[str], is_anchor: Column) -> DataFrame:
-    """Each row with the last anchor at or before it."""
-    return bucketed_max(rows, keys, ["pos"], _hour("t"), F.when(is_anchor, F.struct("pos", "t", "id", "shut")), "anchor")
+    def shut(pos, resubmits, inside):
+        return F.when(resubmits, F.coalesce(F.col("_off") + inside, "_shut_after")).otherwise(pos)
+    first = F.struct((F.col("_off") + 1).alias("pos"), F.col("_first.t").alias("t"), F.col("_first.id").alias("id"),
+                     shut(F.col("_off") + 1, F.col("_first.resubmits"), F.col("_first._shut_in")).alias("shut"))
+    sure = F.col("_before").isNull() | (F.col("_before.shuts") & (F.col("_first.t") - F.col("_before.t") >= span))
+    hours = hours.select("key", "_b", "_off", "_shut_after",
+                         F.max(F.when(sure, first)).over(by_hour.rowsBetween(*UP_TO)).alias("anchor"))
+    pos = F.col("_off") + F.col("_rn")
+    return w.join(hours, ["key", "_b"]).select(
+        "key", "id", "t", pos.alias("pos"), shut(pos, F.col("resubmits"), F.col("_shut_in")).alias("shut"), "anchor")
 
 
 def _pointers(run: DataFrame, span: int) -> DataFrame:
@@ -87,26 +85,25 @@ def _marked(run: DataFrame, span: int) -> DataFrame:
     at = ["key", "run", "pos"]
     marks = run.groupBy("key", "run").agg(F.min("pos").alias("pos"))
     jump = staged(_pointers(run, span), "duplicate-jumps")
-    while True:
-        new = staged(marks.join(jump, at).select("key", "run", F.col("to").alias("pos")), "duplicate-marks")
-        if new.isEmpty():
-            return marks
-        marks = marks.unionByName(new)
+    while not jump.isEmpty():
+        new = marks.join(jump, at).select("key", "run", F.col("to").alias("pos"))
+        marks = staged(marks.unionByName(new), "duplicate-marks")
         further = jump.select("key", "run", F.col("pos").alias("to"), F.col("to").alias("_to"))
         jump = staged(jump.join(further, ["key", "run", "to"]).select("key", "run", "pos", F.col("_to").alias("to")), "duplicate-jumps")
+    return marks
 
 
 def anchored(rows: DataFrame, span: int) -> DataFrame:
     """``rows``: key, id, t (micros), resubmits (its outcome lets the next one pass), shuts (its
     outcome denies and is written); none null but id.  Returns id, t, pos and its ``anchor``
-    (pos, t, id, shut): the row passes if the anchor is never shut or not before the row."""
-    first = staged(_with_anchor(_positions(rows, span), ["key"], F.col("sure")).select("key", "id", "t", "pos", "shut", "anchor"),
-                   "duplicate-rows")
+    (pos, t, id, shut): the row passes unless the anchor is shut before it.  ``span`` is an hour or more."""
+    first = staged(_numbered(rows, span), "duplicate-rows")
     behind = (F.col("t") - F.col("anchor.t") >= span) & F.coalesce(F.col("pos") > F.col("anchor.shut"), F.lit(False))
     out = ["id", "t", "pos", "anchor"]
     run = first.where(behind).select("key", F.col("anchor.pos").alias("run"), "id", "t", "pos", "shut")
     if run.isEmpty():
         return first.select(*out)
     marks = _marked(run, span).withColumn("marked", F.lit(True))
-    rest = _with_anchor(run.join(marks, ["key", "run", "pos"], "left"), ["key", "run"], F.col("marked"))
+    rest = bucketed_max(run.join(marks, ["key", "run", "pos"], "left"), ["key", "run"], ["pos"], _hour("t"),
+                        F.when(F.col("marked"), F.struct("pos", "t", "id", "shut")), "anchor")
     return first.where(~behind).select(*out).unionByName(rest.select(*out))
