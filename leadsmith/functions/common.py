@@ -21,14 +21,15 @@ def ts(as_of: AsOf) -> Column:
 
 
 def spread(df):
-    """Give a narrow, single-file input at least one partition per core.
+    """Give an input of a single split at least one partition per core.
 
-    Large inputs already arrive in many file splits and pass through unchanged;
-    a table stored as one row group would otherwise be processed (scan, joins
-    against broadcast dimensions, rule projections) by a single task.
+    A table stored as one row group would otherwise be processed (scan, joins against
+    broadcast dimensions, rule projections) by one task.  One split holds at most
+    ``spark.sql.files.maxPartitionBytes``; an input of more splits is never shuffled here.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    if df.rdd.getNumPartitions() > 1:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def days_before(as_of: AsOf, days: int) -> Column:

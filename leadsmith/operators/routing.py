@@ -49,14 +49,18 @@ def assign_rep(leads: DataFrame, reps: DataFrame, team_col: str = "assigned_team
                     F.when(ok, reason).alias("assignment_reason"))
 
 
-def _lead_ranks(leads: DataFrame, team_col: str, buckets_hex: int = 2) -> DataFrame:
+#: Hex digits of the hash that cut a team's leads into buckets: 65,536 buckets, a million rows each at 65 billion leads.
+RANK_DIGITS = 4
+
+
+def _lead_ranks(leads: DataFrame, team_col: str, digits: int = RANK_DIGITS) -> DataFrame:
     """Rank leads inside their team by (sha256(lead_id), lead_id) without a per-team window:
-    the hash prefix cuts every team into 16**buckets_hex ordered buckets, so a team
+    the hash prefix cuts every team into 16**digits ordered buckets, so a team
     holding a third of all leads is spread over many window partitions."""
     from ..functions.windows import bucketed_row_number
 
     b = leads.withColumn("_h", F.sha2(F.col("lead_id"), 256))
-    r = bucketed_row_number(b, [team_col], ["_h", "lead_id"], F.substring("_h", 1, buckets_hex), out="_n")
+    r = bucketed_row_number(b, [team_col], ["_h", "lead_id"], F.substring("_h", 1, digits), out="_n")
     return r.withColumn("_n", F.col("_n").cast("long")).drop("_h")
 
 
@@ -73,14 +77,15 @@ def rep_slots(reps: DataFrame) -> DataFrame:
     return r.withColumn("_n", F.col("_n").cast("long"))
 
 
-def assign_balanced(leads: DataFrame, reps: DataFrame, team_col: str = "assigned_team") -> DataFrame:
+def assign_balanced(leads: DataFrame, reps: DataFrame, team_col: str = "assigned_team",
+                    digits: int = RANK_DIGITS) -> DataFrame:
     """Give a whole batch of leads to reps so loads grow as leads are assigned.
 
     Leads numbered 1..N inside their team meet free slots numbered 1..S inside
     the same team on an equi-join of (team, n) — no driver loop, no pairs.
     Leads beyond the team's free capacity fall back to R3.
     """
-    ranked = _lead_ranks(leads, team_col)
+    ranked = _lead_ranks(leads, team_col, digits)
     slots = rep_slots(reps).select(F.col("team").alias("_st"), "_n", F.col("rep_id").alias("_rid"),
                                    F.col("name").alias("_rname"), F.col("email").alias("_remail"))
     j = ranked.join(slots, (ranked[team_col] == slots["_st"]) & (ranked["_n"] == slots["_n"]), "left") \

@@ -5,12 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import scoring as S
 from ..sources import fixtures as fx
 from ..streaming import streams as X
 from .oracle import with_tables
-from .registry import register
+from .registry import AS_OF, register
 from .registry_policies import DUP_SQL
-from .registry_rules import END, SCREEN_SQL
+from .registry_rules import BANT_SQL, END, MQL_SQL, SCREEN_SQL
 
 
 def _lead_stream(s, d, name: str):
@@ -29,6 +30,19 @@ def _stream_screen(s, d):
 register("stream_screen", with_tables(SCREEN_SQL, "raw_leads"))(_stream_screen)
 
 
+def _stream_score(s, d):
+    out = X.stream_score(_lead_stream(s, d, "score"), AS_OF)
+    return X.run_available_now(out.select("lead_id", "mql_score", "mql_qualified", "sql_score", "qualified", "estimated_deal_size",
+                                          "estimated_close_date", "assigned_team"), "score")
+
+
+register("stream_score", with_tables(f"""
+SELECT m.lead_id, m.total AS mql_score, m.total >= 50 AS mql_qualified, b.sql_score, b.qualified, b.estimated_deal_size,
+       b.estimated_close_date, b.assigned_team
+FROM (SELECT lead_id, {' + '.join(S.MQL_PARTS)} AS total FROM ({MQL_SQL}) p) m JOIN ({BANT_SQL}) b ON b.lead_id = m.lead_id
+""", "raw_leads"))(_stream_score)
+
+
 def _stream_dups(s, d):
     return X.run_available_now(X.stream_duplicates(_lead_stream(s, d, "dups")), "dups")
 
@@ -40,7 +54,7 @@ def _event_windows(s, d):
     schema = s.read.parquet(f"{d}/events.parquet").schema
     ev = (s.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
           .withColumn("ts", F.col("ts").cast("timestamp")))
-    return X.run_available_now(X.stream_event_windows(ev), "event-windows", mode="complete")
+    return X.run_available_now(X.stream_event_windows(ev), "event-windows", mode="update", keys=["window_start", "window_end", "event_type"])
 
 
 register("event_windows", """

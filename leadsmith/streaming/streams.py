@@ -29,30 +29,36 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage_as_files(df: DataFrame, path: str, files: int = 4) -> str:
-    """Write a derived table as Parquet files for a file-stream source."""
-    df.repartition(files).write.mode("overwrite").parquet(path)
+def stage_as_files(df: DataFrame, path: str) -> str:
+    """Write a derived table as Parquet files for a file-stream source, in the partitions it has."""
+    df.write.mode("overwrite").parquet(path)
     return path
 
 
-def run_available_now(sdf: DataFrame, name: str, mode: str = "append") -> DataFrame:
+def run_available_now(sdf: DataFrame, name: str, mode: str = "append", keys: list[str] | None = None) -> DataFrame:
     """Drain a streaming query (available-now trigger) into Parquet and return the result.
 
-    ``append`` adds each micro-batch; ``complete`` rewrites the result each batch.
+    Each micro-batch owns one folder and overwrites it, so a batch run again after a failure
+    leaves its rows once.  ``append`` returns all rows; ``update`` the newest row of each ``keys``.
     """
     spark = sdf.sparkSession
     base = scratch(spark, name)
     out, ckpt = f"{base}/out", f"{base}/checkpoint"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/batch_no={batch_id}")
 
     q = (sdf.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(out)
+    rows = spark.read.schema(T.StructType([*sdf.schema.fields, T.StructField("batch_no", T.LongType())])).parquet(out)
+    if mode != "update":
+        return rows.drop("batch_no")
+    rest = [c for c in sdf.columns if c not in keys]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_no").alias("_newest"))
+    return newest.select(*[F.col(c) if c in keys else F.col(f"_newest.{c}") for c in sdf.columns])
 
 
 # ----------------------------------------------------------------- X1
@@ -64,6 +70,7 @@ def stream_screen(leads: DataFrame, end_col: str = "processed_at", cfg: dict | N
 
 
 def stream_score(leads: DataFrame, as_of=None, cfg: dict | None = None) -> DataFrame:
+    """MQL and BANT scores of leads as they arrive (stateless)."""
     cfg = cfg or DEFAULT
     m = S.score_mql(leads, cfg["scoring"])
     return S.score_bant(m.withColumnRenamed("qualified", "mql_qualified"), cfg["scoring"], as_of)
@@ -144,7 +151,8 @@ def stream_duplicates(leads: DataFrame, key: str = "email", ts_col: str = "creat
 
 def stream_event_windows(events: DataFrame, ts_col: str = "ts", window: str = "1 hour",
                          watermark: str = "10 minutes", by: str = "event_type") -> DataFrame:
-    """Events per type in tumbling windows; late rows beyond the watermark are dropped."""
+    """Events per type in tumbling windows (append or update mode: the watermark closes windows and
+    leaves out rows that come after their window closed)."""
     return (events.withWatermark(ts_col, watermark)
             .groupBy(F.window(ts_col, window).alias("w"), by)
             .agg(F.count(F.lit(1)).alias("events"), F.round(F.sum("value"), 2).alias("value_sum"))
