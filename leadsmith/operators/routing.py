@@ -7,9 +7,11 @@ a one-row scalar subquery — neither grows with the lead volume.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.windows import bucketed_row_number, null_safe_join
+from ..session import staged
 from .scoring import assign_team_col  # noqa: F401  (R1 lives with the scoring columns)
 
 REP_FIELDS = ["current_load", "rep_id", "name", "email", "team"]
@@ -57,8 +59,6 @@ def _lead_ranks(leads: DataFrame, team_col: str, digits: int = RANK_DIGITS) -> D
     """Rank leads inside their team by (sha256(lead_id), lead_id) without a per-team window:
     the hash prefix cuts every team into 16**digits ordered buckets, so a team
     holding a third of all leads is spread over many window partitions."""
-    from ..functions.windows import bucketed_row_number
-
     b = leads.withColumn("_h", F.sha2(F.col("lead_id"), 256))
     r = bucketed_row_number(b, [team_col], ["_h", "lead_id"], F.substring("_h", 1, digits), out="_n")
     return r.withColumn("_n", F.col("_n").cast("long")).drop("_h")
@@ -68,8 +68,6 @@ def rep_slots(reps: DataFrame) -> DataFrame:
     """Free capacity as rows: one slot per unit between current and max load, numbered per
     team in water-filling order (lowest load level first, then rep_id); the load level
     is the bucket, so large teams still number their slots in parallel."""
-    from ..functions.windows import bucketed_row_number
-
     avail = available_reps(reps, ordered=False)
     slots = avail.select("rep_id", "name", "email", "team",
                          F.explode(F.sequence(F.col("current_load"), F.col("max_load") - 1)).alias("slot_load"))
@@ -81,24 +79,37 @@ def assign_balanced(leads: DataFrame, reps: DataFrame, team_col: str = "assigned
                     digits: int = RANK_DIGITS) -> DataFrame:
     """Give a whole batch of leads to reps so loads grow as leads are assigned.
 
-    Leads numbered 1..N inside their team meet free slots numbered 1..S inside
-    the same team on an equi-join of (team, n) — no driver loop, no pairs.
-    Leads beyond the team's free capacity fall back to R3.
+    Leads numbered 1..N inside their team meet free slots numbered 1..S inside the same team.
+    Leads beyond their team's slots (or without a team) are numbered on across the teams and meet
+    the slots that no team's own leads need, least loaded first; no rep goes past its capacity, and
+    leads beyond all slots get none (``no_capacity``).  Both kinds are one equi-join on the number;
+    the numbered leads are staged once, and offsets come from one row per team.
     """
-    ranked = _lead_ranks(leads, team_col, digits)
-    slots = rep_slots(reps).select(F.col("team").alias("_st"), "_n", F.col("rep_id").alias("_rid"),
-                                   F.col("name").alias("_rname"), F.col("email").alias("_remail"))
-    j = ranked.join(slots, (ranked[team_col] == slots["_st"]) & (ranked["_n"] == slots["_n"]), "left") \
-        .drop(slots["_n"])
-    # leads past the team's free capacity take the R3 choice (same pass, no split)
-    fb = assign_rep(j, reps, team_col, eligible=F.col("_rid").isNull())
-    placed = F.col("_rid").isNotNull()
-    return fb.select(
-        *leads.columns,
-        F.when(placed, F.col("_rid")).otherwise(F.col("assigned_rep_id")).alias("assigned_rep_id"),
-        F.when(placed, F.col("_rname")).otherwise(F.col("assigned_rep_name")).alias("assigned_rep_name"),
-        F.when(placed, F.col("_remail")).otherwise(F.col("assigned_rep_email")).alias("assigned_rep_email"),
-        F.when(placed, F.lit("balanced")).otherwise(F.concat(F.lit("overflow_"), F.col("assignment_reason")))
+    cols = leads.columns
+    ranked = staged(_lead_ranks(leads, team_col, digits), "balanced-ranks")
+    slots = rep_slots(reps).withColumnRenamed("team", team_col)
+    wanted = ranked.groupBy(team_col).agg(F.max("_n").alias("_wanted"))
+    free = slots.groupBy(team_col).agg(F.max("_n").alias("_free"))
+    team_free = wanted.join(free, team_col, "left").select(team_col, "_wanted", F.coalesce("_free", F.lit(0)).alias("_free"))
+    earlier = Window.orderBy(team_col).rowsBetween(Window.unboundedPreceding, -1)  # one row per team
+    team_free = team_free.select(team_col, "_free", F.coalesce(
+        F.sum(F.greatest(F.col("_wanted") - F.col("_free"), F.lit(0))).over(earlier), F.lit(0)).alias("_off"))
+    over = F.col("_n") > F.col("_free")
+    at = [over.alias("_over"), F.when(over, "").otherwise(F.col(team_col)).alias("_pool"),
+          F.when(over, F.col("_off") + F.col("_n") - F.col("_free")).otherwise(F.col("_n")).alias("_at")]
+    numbered = null_safe_join(ranked, team_free, [team_col]).select(*cols, *at)
+
+    needed = free.join(wanted, team_col, "left").select(team_col, F.coalesce("_wanted", F.lit(0)).alias("_wanted"))
+    slots = null_safe_join(slots, needed, [team_col])
+    spare = bucketed_row_number(slots.where("_n > _wanted").withColumn("_all", F.lit(0)), ["_all"], ["slot_load", "rep_id"],
+                                F.col("slot_load"), out="_at")
+    rep = [F.col("rep_id").alias("_rid"), F.col("name").alias("_rname"), F.col("email").alias("_remail")]
+    places = slots.where("_n <= _wanted").select(F.lit(False).alias("_over"), F.col(team_col).alias("_pool"), F.col("_n").alias("_at"), *rep)
+    places = places.unionByName(spare.select(F.lit(True).alias("_over"), F.lit("").alias("_pool"), F.col("_at").cast("long").alias("_at"), *rep))
+    return numbered.join(places, ["_over", "_pool", "_at"], "left").select(
+        *cols, F.col("_rid").alias("assigned_rep_id"), F.col("_rname").alias("assigned_rep_name"),
+        F.col("_remail").alias("assigned_rep_email"),
+        F.when(F.col("_rid").isNull(), "no_capacity").when(F.col("_over"), "overflow_other_team").otherwise("balanced")
         .alias("assignment_reason"))
 
 

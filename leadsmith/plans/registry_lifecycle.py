@@ -70,15 +70,17 @@ WITH {BEST_SQL},
 q AS ({QUALIFIED_SQL}),
 ranked AS (SELECT lead_id, assigned_team,
                   row_number() OVER (PARTITION BY assigned_team ORDER BY sha256(lead_id), lead_id) AS n FROM q),
-slots AS (SELECT rep_id, name, email, team, row_number() OVER (PARTITION BY team ORDER BY slot_load, rep_id) AS n
+slots AS (SELECT *, row_number() OVER (PARTITION BY team ORDER BY slot_load, rep_id) AS n
           FROM (SELECT rep_id, name, email, team, unnest(range(current_load, max_load)) AS slot_load FROM av) x),
-placed AS (SELECT r.lead_id, r.assigned_team, s.rep_id AS assigned_rep_id, s.name AS assigned_rep_name,
-                  s.email AS assigned_rep_email, 'balanced' AS assignment_reason
-           FROM ranked r JOIN slots s ON r.assigned_team = s.team AND r.n = s.n),
-overflow AS (SELECT lead_id, assigned_team FROM ranked r
-             WHERE NOT EXISTS (SELECT 1 FROM slots s WHERE s.team = r.assigned_team AND s.n = r.n))
-SELECT * FROM placed
-UNION ALL {_assign_sql('SELECT * FROM overflow', 'overflow_')}
+lo AS (SELECT r.*, r.n > coalesce(f.free, 0) AS beyond
+       FROM ranked r LEFT JOIN (SELECT team, count(*) AS free FROM slots GROUP BY team) f ON f.team = r.assigned_team),
+ln AS (SELECT *, CASE WHEN beyond THEN row_number() OVER (PARTITION BY beyond ORDER BY assigned_team NULLS FIRST, n) ELSE n END AS place FROM lo),
+so AS (SELECT s.*, s.n > coalesce(w.wanted, 0) AS beyond
+       FROM slots s LEFT JOIN (SELECT assigned_team, count(*) AS wanted FROM q GROUP BY assigned_team) w ON w.assigned_team = s.team),
+sn AS (SELECT *, CASE WHEN beyond THEN row_number() OVER (PARTITION BY beyond ORDER BY slot_load, rep_id) ELSE n END AS place FROM so)
+SELECT ln.lead_id, ln.assigned_team, sn.rep_id AS assigned_rep_id, sn.name AS assigned_rep_name, sn.email AS assigned_rep_email,
+  CASE WHEN sn.rep_id IS NULL THEN 'no_capacity' WHEN ln.beyond THEN 'overflow_other_team' ELSE 'balanced' END AS assignment_reason
+FROM ln LEFT JOIN sn ON sn.beyond = ln.beyond AND sn.place = ln.place AND (ln.beyond OR sn.team = ln.assigned_team)
 """, "raw_leads", "sales_reps"))(lambda s, d: R.assign_balanced(qualified_leads(s, d), fx.sales_reps(s, d)))
 
 
