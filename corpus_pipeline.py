@@ -40,8 +40,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines in later occurrences of repeated three-line windows leave the text."""
-    out = linewindows.cleaned(docs.select(*COLUMNS))
+    """Lines in later occurrences of repeated three-line windows leave the text; a text of one or two lines is one window."""
+    out = linewindows.cleaned(docs.select(*COLUMNS), short=True)
     return out.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(*COLUMNS)
 
 

@@ -12,9 +12,10 @@ a hot window.  The text is read twice and shuffled at most once, by the final jo
 
 Defined results: a document is its id with its text, so rows equal in both count as one
 document and get the same result; a null id sorts first; a null text stays null without
-windows; texts with fewer than three such lines stay as they are; a text that loses lines
-is joined again from the lines left (blank lines between them stay); extra columns of the
-input pass through ``cleaned`` untouched.
+windows; a text that loses lines is joined again from the lines left (blank lines between
+them stay); extra columns of the input pass through ``cleaned`` untouched.  Texts with one
+or two such lines stay as they are, as the oracle has it; with ``short`` (as in the pipeline)
+their whole sequence is one window, so a later whole copy of such a text goes.
 """
 
 from __future__ import annotations
@@ -37,18 +38,20 @@ def _filled(text: Column) -> Column:
                     lambda x: x["line"] != "")
 
 
-def windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW) -> DataFrame:
-    """One row per window: id, text hash, window number (from 0), 128-bit hash."""
+def windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW, short: bool = False) -> DataFrame:
+    """One row per window: id, text hash, window number (from 0), 128-bit hash.
+
+    ``short``: a text of one line up to ``width - 1`` lines is one window (the hashes skip the nulls of the missing lines)."""
     keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), _filled(F.col(text_col)).alias("f"))
-    part = [F.col("f")[F.col("w") + i]["line"] for i in range(width)]
-    return (keyed.where(F.size("f") >= width)
-            .select("id", "th", "f", F.explode(F.sequence(F.lit(0), F.size("f") - width)).alias("w"))
+    part = [F.get("f", F.col("w") + i)["line"] for i in range(width)]
+    return (keyed.where(F.size("f") >= (1 if short else width))
+            .select("id", "th", "f", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("f") - width))).alias("w"))
             .select("id", "th", "w", F.xxhash64(*part).alias("h1"), F.xxhash64(F.lit("second"), *reversed(part)).alias("h2")))
 
 
-def later_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW) -> DataFrame:
+def later_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW, short: bool = False) -> DataFrame:
     """Per document that loses lines: id, text hash, sorted window numbers of later occurrences."""
-    w = windows(docs, id_col, text_col, width)
+    w = windows(docs, id_col, text_col, width, short)
     at = F.struct("id", "th", "w")
     # a row that is repeated as it stands has the same place, so it makes no window a repeated one
     first = w.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").drop("last")
@@ -56,14 +59,14 @@ def later_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return later.groupBy("id", "th").agg(F.array_sort(F.collect_set("w")).alias("later"))
 
 
-def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW) -> DataFrame:
+def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW, short: bool = False) -> DataFrame:
     """The input rows with the text after line dedup, plus _n_lines, _n_windows, _n_later, _n_removed (longs)."""
-    gone = later_windows(docs, id_col, text_col, width).select(
+    gone = later_windows(docs, id_col, text_col, width, short).select(
         F.col("id").alias("_gid"), F.col("th").alias("_gth"), F.col("later").alias("_later"))
     rows = docs.withColumn("_th", F.xxhash64(text_col)).join(
         gone, F.col(id_col).eqNullSafe(F.col("_gid")) & (F.col("_th") == F.col("_gth")), "left")
     filled = _filled(F.col(text_col))
-    covered = F.array_distinct(F.flatten(F.transform("_later", lambda s: F.sequence(s, s + width - 1))))
+    covered = F.array_distinct(F.flatten(F.transform("_later", lambda s: F.sequence(s, F.least(s + width, F.size("_filled")) - 1))))
     rows = (rows.withColumn("_filled", F.transform(filled, lambda x: x["at"]))
             .withColumn("_covered", F.transform(covered, lambda i: F.get("_filled", i))))
     left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(_lines(F.col(text_col))) - 1), "_covered"),
@@ -73,7 +76,7 @@ def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     joined = F.when(F.size("_covered") == F.size("_filled"), "").otherwise(F.array_join(left, "\n"))
     return (rows.withColumn(text_col, F.when(F.col("_covered").isNull(), F.col(text_col)).otherwise(joined))
             .withColumn("_n_lines", F.size("_filled").cast("long"))
-            .withColumn("_n_windows", F.greatest(F.lit(0), F.size("_filled") - (width - 1)).cast("long"))
+            .withColumn("_n_windows", F.greatest(F.least(F.lit(1 if short else 0), F.size("_filled")), F.size("_filled") - (width - 1)).cast("long"))
             .withColumn("_n_later", F.coalesce(F.size("_later"), F.lit(0)).cast("long"))
             .withColumn("_n_removed", F.coalesce(F.size("_covered"), F.lit(0)).cast("long"))
             .drop("_th", "_gid", "_gth", "_later", "_filled", "_covered", "_all"))

@@ -168,6 +168,18 @@ def test_line_windows_odd(spark):
     assert linewindows.cleaned(empty(df)).count() == 0 and linewindows.cleaned(df).columns[:4] == df.columns
 
 
+def test_line_windows_of_short_texts(spark):
+    """The pipeline compares texts of one or two lines as one window; lone lines inside longer texts are not theirs."""
+    import corpus_pipeline as C
+
+    rows = [(1, "a"), (2, " a\n"), (3, "a\nb"), (4, "a\n\nb "), (5, "a\nb\nc"), (6, "b"), (None, "b"), (7, "b\na"), (8, None), (9, " "), (10, " "),
+            (11, "z"), (11, "z")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = collections.Counter((r.doc_id, r.text) for r in C.line_dedup(spark, df, None).collect())
+    assert got == collections.Counter([(1, "a"), (2, ""), (3, "a\nb"), (4, ""), (5, "a\nb\nc"), (6, ""), (None, "b"), (7, "b\na"), (8, None), (9, " "),
+                                       (10, " "), (11, "z"), (11, "z")])
+
+
 # ----------------------------------------------------------------- 5
 
 def brute_fingerprint(t):
