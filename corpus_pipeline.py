@@ -18,25 +18,23 @@ from leadsmith.llm.common import staged, table
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id (nulls too) is among ``ids`` (doc_id, one row each)."""
-    ids = ids.withColumnRenamed("doc_id", "_kept")
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept"]), "left_semi").select(*COLUMNS)
+def _rows(found: DataFrame) -> DataFrame:
+    """The documents that a verdict (with the document's columns as _row_<name>) was found on."""
+    return found.select(*[F.col(f"_row_{c}").alias(c) for c in COLUMNS])
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the language operator rejects go; the predicted language replaces a missing one."""
-    found = language.identify(docs)
-    kept = found.where("not rejected").groupBy("doc_id").agg(F.max("lang_pred").alias("_lang"))
-    kept = kept.withColumnRenamed("doc_id", "_kept")
-    joined = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]))
-    return joined.withColumn("lang", F.coalesce("lang", "_lang")).select(*COLUMNS)
+    """Rows that the language operator rejects go; the row's predicted language replaces a missing one.
+
+    The verdict is the row's own: other rows with its id (or without one) do not count."""
+    found = language.identify(docs, keep=COLUMNS).where("not rejected")
+    return _rows(found.withColumn("_row_lang", F.coalesce("_row_lang", "lang_pred")))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents outside the fertility bands or failing the base rules go."""
-    judged = fertility.quality(docs, public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.json"))
-    return _keep(docs, judged.where("kept").select("doc_id").distinct())
+    """Rows outside the fertility bands or failing the base rules go, each by its own verdict."""
+    judged = fertility.quality(docs, public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.json"), keep=COLUMNS)
+    return _rows(judged.where("kept"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,10 +44,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest id."""
-    groups = simhash.near_duplicates(docs)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return _keep(docs, kept)
+    """One row of each group of near duplicates stays: the smallest id (null after all others), of equal ids one row."""
+    return simhash.survivors(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,15 +16,15 @@ answer; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from leadsmith.llm.common import forget
+from leadsmith.llm.common import forget, row_by_row
 from leadsmith.llm.tokens import WordwiseTokenizer
 
 MIN_WORDS = 50
@@ -136,32 +136,28 @@ def _measure(text: str | None, split: list[str], known: dict) -> tuple:
             chars / max(1, tokens), script_of(number))
 
 
-SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-          "piece_chars double, fallback double, entropy double, byte_chars double, script string, lang string")
+SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+          "piece_chars double, fallback double, entropy double, byte_chars double, script string")
 
 
-def fertility(docs: DataFrame, piece_path: str, byte_path: str, id_col: str = "doc_id") -> DataFrame:
-    """Base counts and fertility figures per row."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def fertility(docs: DataFrame, piece_path: str, byte_path: str, id_col: str = "doc_id", keep: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """Base counts and fertility figures per row, and the columns ``keep`` of the row as _row_<name>."""
+    def run(b: pd.DataFrame) -> pd.DataFrame:
         cache = _seen.setdefault((piece_path, byte_path), {})
-        for whole in batches:
-            for at in range(0, len(whole), 256):
-                b = whole.iloc[at:at + 256]
-                # words as bytes.split() finds them: ASCII space only
-                split = [[w.decode("utf-8", "surrogatepass") for w in (t or "").encode("utf-8", "surrogatepass").split()]
-                         if t and not t.isascii() else (t or "").encode().split() for t in b["t"]]
-                split = [s if not s or isinstance(s[0], str) else b" ".join(s).decode().split(" ") for s in split]
-                fresh = measure_words(list(set().union(*split).difference(cache)), piece_path, byte_path)
-                cache.update(fresh)
-                rows = [_measure(t, s, cache) for t, s in zip(b["t"], split)]
-                forget(cache, fresh, most=CACHE_WORDS)
-                out = pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                                                  "piece_chars", "fallback", "entropy", "byte_chars", "script"])
-                out.insert(0, "doc_id", b["i"].to_numpy())
-                out["lang"] = b["l"].to_numpy()
-                yield out
+        # words as bytes.split() finds them: ASCII space only
+        split = [[w.decode("utf-8", "surrogatepass") for w in (t or "").encode("utf-8", "surrogatepass").split()]
+                 if t and not t.isascii() else (t or "").encode().split() for t in b["t"]]
+        split = [s if not s or isinstance(s[0], str) else b" ".join(s).decode().split(" ") for s in split]
+        fresh = measure_words(list(set().union(*split).difference(cache)), piece_path, byte_path)
+        cache.update(fresh)
+        rows = [_measure(t, s, cache) for t, s in zip(b["t"], split)]
+        forget(cache, fresh, most=CACHE_WORDS)
+        return pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                           "piece_chars", "fallback", "entropy", "byte_chars", "script"])
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    return docs.select(F.col(id_col).cast("long").alias("i"), F.col("text").alias("t"), lang.alias("l")).mapInPandas(run, SCHEMA)
+    out = row_by_row(docs.withColumns({"_id": F.col(id_col).cast("long"), "_lang": lang}), {"t": F.col("text")}, run, SCHEMA, ["_id", "_lang", *keep])
+    return out.withColumnsRenamed({"_row__id": "doc_id", "_row__lang": "lang"}).select(
+        "doc_id", *T.StructType.fromDDL(SCHEMA).names, "lang", *[f"_row_{c}" for c in keep])
 
 
 def in_band(figure: str):
@@ -177,9 +173,9 @@ def in_band(figure: str):
     return F.coalesce(out, F.lit(False))
 
 
-def quality(docs: DataFrame, piece_path: str, byte_path: str) -> DataFrame:
-    """Base counts, base_failed, kept, and the figures with the verdict of each band."""
-    f = fertility(docs, piece_path, byte_path)
+def quality(docs: DataFrame, piece_path: str, byte_path: str, keep: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """Base counts, base_failed, kept, the figures with the verdict of each band, and the columns ``keep`` as _row_<name>."""
+    f = fertility(docs, piece_path, byte_path, keep=keep)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     bands = {x: in_band(x) for x in ("piece_chars", "fallback", "entropy", "byte_chars")}
     verdict = F.lit(True)
@@ -188,4 +184,4 @@ def quality(docs: DataFrame, piece_path: str, byte_path: str) -> DataFrame:
     return f.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     failed.alias("base_failed"), (~failed & verdict).alias("kept"),
                     "script", "piece_chars", "fallback", "entropy", "byte_chars",
-                    *[b.alias(f"{x}_ok") for x, b in bands.items()])
+                    *[b.alias(f"{x}_ok") for x, b in bands.items()], *[f"_row_{c}" for c in keep])

@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leadsmith.llm.common import row_by_row
+
 DIMENSIONS = 1 << 14
 #: Learning rows of each language, the same number from every one of ``SLICES`` slices of the id hash.
 PER_LANGUAGE = 2000
@@ -140,27 +142,25 @@ def fit(learn: DataFrame, label_col: str = "lang", id_col: str = "doc_id", per_l
             "centroids": np.stack([np.frombuffer(r["vector"], np.float32) for r in own]) if own else np.zeros((0, DIMENSIONS), np.float32)}
 
 
-def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", slack: float = SLACK) -> DataFrame:
-    """doc_id, lang_pred, score, distance, rejected per row; no shuffle."""
+def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", slack: float = SLACK, keep: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """doc_id, lang_pred, score, distance, rejected per row, and the columns ``keep`` as _row_<name>; no shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(part: pd.DataFrame) -> pd.DataFrame:
         m = shared.value
-        for b in batches:
-            for at in range(0, len(b), 256):
-                part = b.iloc[at:at + 256]
-                c = [counts(t) for t in part["t"]]
-                known = np.array([x is not None for x in c], bool) & bool(m["langs"])
-                lang, score, reject = np.full(len(part), "und", object), np.zeros(len(part)), np.ones(len(part), bool)
-                if known.any():
-                    cos = vectors(np.stack([x for x, k in zip(c, known) if k]), m["idf"]) @ m["centroids"].T
-                    best = cos.argmax(axis=1)
-                    top = np.clip(cos[np.arange(len(cos)), best].astype(float), 0, 1)
-                    lang[known] = np.array(m["langs"], object)[best]
-                    score[known], reject[known] = top, top < slack * m["reach"][best]
-                yield pd.DataFrame({"doc_id": part["i"], "lang_pred": lang, "score": score, "distance": 1 - score, "rejected": reject})
-    rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col("text").alias("t"))
-    return rows.mapInPandas(run, "doc_id long, lang_pred string, score double, distance double, rejected boolean")
+        c = [counts(t) for t in part["t"]]
+        known = np.array([x is not None for x in c], bool) & bool(m["langs"])
+        lang, score, reject = np.full(len(part), "und", object), np.zeros(len(part)), np.ones(len(part), bool)
+        if known.any():
+            cos = vectors(np.stack([x for x, k in zip(c, known) if k]), m["idf"]) @ m["centroids"].T
+            best = cos.argmax(axis=1)
+            top = np.clip(cos[np.arange(len(cos)), best].astype(float), 0, 1)
+            lang[known] = np.array(m["langs"], object)[best]
+            score[known], reject[known] = top, top < slack * m["reach"][best]
+        return pd.DataFrame({"lang_pred": lang, "score": score, "distance": 1 - score, "rejected": reject})
+    out = row_by_row(docs.withColumn("_id", F.col(id_col).cast("long")), {"t": F.col("text")}, run,
+                     "lang_pred string, score double, distance double, rejected boolean", ["_id", *keep])
+    return out.withColumnRenamed("_row__id", "doc_id").select("doc_id", "lang_pred", "score", "distance", "rejected", *[f"_row_{c}" for c in keep])
 
 
 def fold(id_col: str = "doc_id", folds: int = 4) -> Column:
@@ -168,9 +168,9 @@ def fold(id_col: str = "doc_id", folds: int = 4) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
 
 
-def identify(docs: DataFrame, held_out_fold: int = 2, folds: int = 4) -> DataFrame:
-    """Learn from the other folds of ``docs`` and predict every row."""
+def identify(docs: DataFrame, held_out_fold: int = 2, folds: int = 4, keep: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """Learn from the other folds of ``docs`` and predict every row; the columns ``keep`` come along as _row_<name>."""
     learn = docs.where(fold(folds=folds) != held_out_fold)
-    out = predict(docs, fit(learn))
+    out = predict(docs, fit(learn), keep=keep)
     return out.select("doc_id", F.coalesce(fold(folds=folds) == held_out_fold, F.lit(False)).alias("held_out"),
-                      "lang_pred", "score", "distance", "rejected")
+                      "lang_pred", "score", "distance", "rejected", *[f"_row_{c}" for c in keep])

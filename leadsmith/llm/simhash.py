@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadsmith.llm.common import staged
+from leadsmith.llm.common import row_by_row, staged
 
 #: Codes under one upper node of the index, at each level.
 FANOUT = 16
@@ -55,14 +55,14 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(id, fingerprint as a signed long) per row; no shuffle."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            f = np.fromiter((fingerprint(t, shingle) for t in b["t"]), np.uint64, len(b))
-            yield pd.DataFrame({"doc_id": b["d"], "fp": f.view(np.int64)})
-    keyed = docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("t"))
-    return keyed.mapInPandas(run, "doc_id long, fp long")
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                 keep: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """(id, fingerprint as a signed long) per row, and the columns ``keep`` as _row_<name>; no shuffle."""
+    def run(b: pd.DataFrame) -> pd.DataFrame:
+        f = np.fromiter((fingerprint(t, shingle) for t in b["t"]), np.uint64, len(b))
+        return pd.DataFrame({"fp": f.view(np.int64)})
+    out = row_by_row(docs.withColumn("_id", F.col(id_col).cast("long")), {"t": F.col(text_col)}, run, "fp long", ["_id", *keep])
+    return out.select(F.col("_row__id").alias("doc_id"), "fp", *[f"_row_{c}" for c in keep])
 
 
 def gray_rank(code):
@@ -294,14 +294,31 @@ def components(edges: DataFrame) -> DataFrame:
     return root.unionByName(root.select(F.col("root").alias("node"), "root").distinct())
 
 
+def _rooted(codes: DataFrame, root: DataFrame) -> DataFrame:
+    """(fp, least) with the root of the code's component, which is the code itself if it has no link."""
+    return codes.join(root, codes["fp"] == root["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
+def survivors(docs: DataFrame, text_col: str = "text", shingle: int = 3, max_bits: int = 3, chunk: int = 4096) -> DataFrame:
+    """One row of each group of near duplicates: the smallest id (null after all others), then text hash, then place.
+
+    Rows get a number in the staged copy, so rows equal in all columns, and rows with null ids, are told apart."""
+    columns = docs.columns
+    rows = staged(fingerprints(docs, text_col=text_col, shingle=shingle, keep=columns)
+                  .withColumn("_th", F.xxhash64(f"_row_{text_col}")).withColumn("_n", F.monotonically_increasing_id()), "simhash-rows")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_th", "_n")
+    codes = staged(rows.groupBy("fp").agg(F.min(place).alias("least")), "simhash-codes")
+    best = _rooted(codes, components(links(codes.select("fp"), max_bits, chunk))).groupBy("root").agg(F.min("least").alias("least"))
+    return rows.join(best.select(F.col("least")["_n"].alias("_n")), "_n", "left_semi").select(*[F.col(f"_row_{c}").alias(c) for c in columns])
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     max_bits: int = 3, chunk: int = 4096) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest id reachable over links)."""
     fps = staged(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
     codes = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-codes")
     root = components(links(codes, max_bits, chunk))
-    joined = codes.join(root, codes["fp"] == root["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    joined = _rooted(codes, root)
     names = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     by_code = joined.join(names, "root").select("fp", "component_id")
     return fps.join(by_code, "fp").select(

@@ -433,3 +433,26 @@ def test_pipeline_stages_take_odd_rows(spark):
     for name, stage in C.STAGES:
         assert stage(spark, docs, SF_SMALL).count() >= 0, name
         assert stage(spark, empty(docs), SF_SMALL).count() == 0, name
+
+
+def test_pipeline_verdicts_are_of_the_row(spark):
+    """Null and repeated ids: a rejected row goes even if another row of its id stays; one row of a group stays."""
+    import corpus_pipeline as C
+
+    pd_docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("lang = 'en'").orderBy("doc_id")
+    good = C.quality_rules(spark, pd_docs, SF_SMALL).orderBy("doc_id").limit(3).collect()
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [tuple(r) for r in pd_docs.collect()]
+    a, b = good[0].text, good[1].text
+    odd_rows = [(None, a, "en", "s", 1), (None, "1234 5678", "en", "s", 2), (None, None, "en", "s", 3),
+                (9001, b, None, "s", 4), (9001, "!!! ???", None, "s", 5), (9001, "", None, "s", 6)]
+    docs = spark.createDataFrame(rows + odd_rows, schema)
+    own = lambda out: sorted(r.n_chars for r in out.where("source = 's'").collect())
+    named = C.language_id(spark, docs, SF_SMALL)
+    assert own(named) == [1, 4] and named.where("n_chars = 4 and source = 's'").first().lang == "en"
+    assert own(C.quality_rules(spark, docs.fillna({"lang": "en"}), SF_SMALL)) == [1, 4]
+    c = good[2].text
+    groups = [(None, a, "en", "x", 1), (None, a, "en", "y", 1), (None, b, "en", "x", 2), (5, b, "en", "x", 2), (5, b, "en", "x", 2), (4, b, "en", "x", 2),
+              (4, b, "en", "x", 2), (5, c, "en", "x", 3), (5, c, "en", "x", 3), (None, c, "en", "x", 3)]
+    out = C.near_duplicates(spark, spark.createDataFrame(groups, schema), SF_SMALL).collect()
+    assert sorted((r.n_chars, r.doc_id) for r in out if r.n_chars > 1) == [(2, 4), (3, 5)] and len(out) == 3
