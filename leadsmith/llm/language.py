@@ -8,7 +8,9 @@ centroids.  A text gets the language of the centroid with the highest cosine and
 
 Learning uses a bounded sample: at most ``per_language`` ids of every language, those with
 the smallest hash in each slice of ids (documented parameter; document frequencies come
-from the same rows).  Everything else runs over all rows and whole texts, in one Arrow pass.
+from the same rows).  Every language gets centroids, however many there are; each is fitted
+in a task of its own.  Everything else runs over all rows and whole texts, in one Arrow
+pass for each ``LANGUAGES_AT_ONCE`` languages.
 
 Defined results: a null text or one without a letter is ``und`` with score 0 and is
 rejected; with no learning rows at all every text is ``und``; repeated rows each get the
@@ -27,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadsmith.llm.common import row_by_row
+from leadsmith.llm.common import blocks, row_by_row, staged
 
 DIMENSIONS = 1 << 14
 #: Learning rows of each language, the same number from every one of ``SLICES`` slices of the id hash.
@@ -36,8 +38,10 @@ PER_LANGUAGE = 2000
 SLICES = 4
 #: Centroids of each language.
 CENTROIDS = 4
-#: Languages a model may hold, the first in alphabetical order (bounds the learning sample and the broadcast model).
-MOST_LANGUAGES = 200
+#: Languages whose centroids are broadcast and scored at once; more are scored block after block.
+LANGUAGES_AT_ONCE = 200
+#: Pairs of id and language of the learning sample that are broadcast; a larger sample is joined with a shuffle.
+MOST_BROADCAST = 400_000
 #: Code points worked on at once.
 AT_ONCE = 1 << 20
 #: A text is rejected if its cosine is below this share of what nearly all learning texts of the centroid reach.
@@ -95,16 +99,16 @@ def sample(docs: DataFrame, label_col: str, id_col: str, per_language: int) -> D
     w = Window.partitionBy("l", "s").orderBy(F.xxhash64("i"), "i")
     keyed = (docs.select(F.col(id_col).alias("i"), F.col(label_col).alias("l"), F.col("text"))
              .where("i is not null and l is not null and text is not null"))
-    langs = [r["l"] for r in keyed.select("l").distinct().orderBy("l").limit(MOST_LANGUAGES).collect()]
-    picked = (keyed.where(F.col("l").isin(langs)).select("i", "l", F.pmod(F.xxhash64("i", F.lit(1)), F.lit(SLICES)).alias("s"))
+    picked = (keyed.select("i", "l", F.pmod(F.xxhash64("i", F.lit(1)), F.lit(SLICES)).alias("s"))
               .withColumn("n", F.row_number().over(w)).where(F.col("n") <= per_language // SLICES).select("i", "l").distinct())
-    # at most per_language x MOST_LANGUAGES pairs of id and language, so the texts are not shuffled
-    return keyed.join(F.broadcast(picked), ["i", "l"], "left_semi")
+    picked = staged(picked, "language-sample")
+    # a sample of moderate size is broadcast, so the texts are not shuffled; one of very many languages is joined like any table
+    return keyed.join(F.broadcast(picked) if picked.count() <= MOST_BROADCAST else picked, ["i", "l"], "left_semi")
 
 
 def fit(learn: DataFrame, label_col: str = "lang", id_col: str = "doc_id", per_language: int = PER_LANGUAGE,
         k: int = CENTROIDS) -> dict:
-    """Model from a bounded sample: IDF, centroids, their languages and radii."""
+    """Model from a bounded sample of every language: IDF, the sorted languages, and a staged table of their centroids and radii."""
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             c = [counts(t) for t in b["text"]]
@@ -112,55 +116,78 @@ def fit(learn: DataFrame, label_col: str = "lang", id_col: str = "doc_id", per_l
             yield pd.DataFrame({"i": b["i"], "l": b["l"], "at": [None if x is None else x.astype(np.uint16).tobytes() for x in at],
                                 "n": [None if x is None else x[a].astype(np.uint32).tobytes() for x, a in zip(c, at)]})
     # an id that is repeated counts once, so the rows gathered below are at most per_language a language
-    rows = (sample(learn, label_col, id_col, per_language).mapInPandas(featured, "i long, l string, at binary, n binary")
-            .where("at is not null").groupBy("i", "l").agg(F.min(F.struct("at", "n")).alias("m")).select("i", "l", "m.*"))
-
-    def fitted(all_rows: pd.DataFrame) -> pd.DataFrame:
-        all_rows = all_rows.sort_values(["l", "i", "at", "n"]).reset_index(drop=True)
-        texts_with = np.zeros(DIMENSIONS)
-        for at in all_rows["at"]:
-            texts_with[np.frombuffer(at, np.uint16)] += 1
-        idf = np.log((1 + len(all_rows)) / (1 + texts_with)).astype(np.float32) + 1
-        out = [("", 0.0, idf.tobytes())]
-        for lang in sorted(all_rows["l"].unique()):
-            own = all_rows[all_rows["l"] == lang]  # one language at a time is held as a dense table
-            x = np.zeros((len(own), DIMENSIONS), np.float32)
-            for r, (at, n) in enumerate(zip(own["at"], own["n"])):
-                x[r, np.frombuffer(at, np.uint16)] = np.frombuffer(n, np.uint32)
-            v = vectors(x, idf)
-            c = spherical_kmeans(v, k).astype(np.float32)
-            cos = v @ c.T
-            near = cos.argmax(axis=1)
-            for j in range(len(c)):
-                reached = cos[near == j, j]
-                out.append((lang, float(np.quantile(reached, 0.01)) if len(reached) else 1.0, c[j].tobytes()))
-        return pd.DataFrame(out, columns=["lang", "reach", "vector"])
-    model = rows.groupBy().applyInPandas(fitted, "lang string, reach double, vector binary").collect()
-    own = [r for r in model if r["lang"]]
-    return {"idf": next((np.frombuffer(r["vector"], np.float32) for r in model if not r["lang"]), np.ones(DIMENSIONS, np.float32)),
-            "langs": [r["lang"] for r in own], "reach": np.array([r["reach"] for r in own]),
-            "centroids": np.stack([np.frombuffer(r["vector"], np.float32) for r in own]) if own else np.zeros((0, DIMENSIONS), np.float32)}
+    rows = staged(sample(learn, label_col, id_col, per_language).mapInPandas(featured, "i long, l string, at binary, n binary")
+                  .where("at is not null").groupBy("i", "l").agg(F.min(F.struct("at", "n")).alias("m")).select("i", "l", "m.*"), "language-learn")
+
+    def texts_with(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = np.zeros(DIMENSIONS, np.int64)
+        for b in batches:
+            for at in b["at"]:
+                own[np.frombuffer(at, np.uint16)] += 1
+        found = np.flatnonzero(own)
+        yield pd.DataFrame({"d": found, "c": own[found]})
+    texts = np.zeros(DIMENSIONS)
+    for r in rows.select("at").mapInPandas(texts_with, "d int, c long").groupBy("d").agg(F.sum("c").alias("c")).collect():
+        texts[r["d"]] = r["c"]
+    idf = np.log((1 + rows.count()) / (1 + texts)).astype(np.float32) + 1
+
+    def fitted(own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values(["i", "at", "n"])
+        x = np.zeros((len(own), DIMENSIONS), np.float32)
+        for r, (at, n) in enumerate(zip(own["at"], own["n"])):
+            x[r, np.frombuffer(at, np.uint16)] = np.frombuffer(n, np.uint32)
+        # in place: one language's texts are held once as a dense table
+        np.log1p(x, out=x)
+        x *= idf
+        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+        c = spherical_kmeans(x, k).astype(np.float32)
+        cos = x @ c.T
+        near = cos.argmax(axis=1)
+        reached = [cos[near == j, j] for j in range(len(c))]
+        return pd.DataFrame({"lang": own["l"].iloc[0], "j": range(len(c)), "reach": [float(np.quantile(r, 0.01)) if len(r) else 1.0 for r in reached],
+                             "vector": [v.tobytes() for v in c]})
+    table = staged(rows.groupBy("l").applyInPandas(fitted, "lang string, j int, reach double, vector binary"), "language-model")
+    return {"idf": idf, "langs": [r["lang"] for r in table.select("lang").distinct().orderBy("lang").collect()], "table": table}
 
 
 def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", slack: float = SLACK, keep: tuple[str, ...] | list[str] = ()) -> DataFrame:
-    """doc_id, lang_pred, score, distance, rejected per row, and the columns ``keep`` as _row_<name>; no shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        m = shared.value
-        c = [counts(t) for t in part["t"]]
-        known = np.array([x is not None for x in c], bool) & bool(m["langs"])
-        lang, score, reject = np.full(len(part), "und", object), np.zeros(len(part)), np.ones(len(part), bool)
-        if known.any():
-            cos = vectors(np.stack([x for x, k in zip(c, known) if k]), m["idf"]) @ m["centroids"].T
-            best = cos.argmax(axis=1)
-            top = np.clip(cos[np.arange(len(cos)), best].astype(float), 0, 1)
-            lang[known] = np.array(m["langs"], object)[best]
-            score[known], reject[known] = top, top < slack * m["reach"][best]
-        return pd.DataFrame({"lang_pred": lang, "score": score, "distance": 1 - score, "rejected": reject})
-    out = row_by_row(docs.withColumn("_id", F.col(id_col).cast("long")), {"t": F.col("text")}, run,
-                     "lang_pred string, score double, distance double, rejected boolean", ["_id", *keep])
-    return out.withColumnRenamed("_row__id", "doc_id").select("doc_id", "lang_pred", "score", "distance", "rejected", *[f"_row_{c}" for c in keep])
+    """doc_id, lang_pred, score, distance, rejected per row, and the columns ``keep`` as _row_<name>; no shuffle.
+
+    The centroids of ``LANGUAGES_AT_ONCE`` languages are broadcast; with more, the rows and their best centroid so far are
+    staged after each block of languages, so that one block at a time is held."""
+    sc, langs, idf = docs.sparkSession.sparkContext, model["langs"], model["idf"]
+    carry = ["_id", *keep]
+    now = docs.select(F.col(id_col).cast("long").alias("_row__id"), *[docs[c].alias(f"_row_{c}") for c in keep], F.col("text").alias("_text"),
+                      F.lit("und").alias("lang_pred"), F.lit(-1.0).alias("cos"), F.lit(0.0).alias("reach"))
+    for block in list(blocks(langs, LANGUAGES_AT_ONCE)) or [[]]:
+        own = model["table"].where(F.col("lang").between(block[0], block[-1])).orderBy("lang", "j").collect() if block else []
+        shared = sc.broadcast((idf, [r["lang"] for r in own], np.array([r["reach"] for r in own]),
+                               np.stack([np.frombuffer(r["vector"], np.float32) for r in own]) if own else None))
+        del own
+
+        def run(part: pd.DataFrame, shared=shared) -> pd.DataFrame:
+            idf, names, reach, centroids = shared.value
+            lang, best_cos, best_reach = part["lang"].to_numpy(object).copy(), part["cos"].to_numpy().copy(), part["reach"].to_numpy().copy()
+            c = [counts(t) for t in part["t"]]
+            known = np.flatnonzero([x is not None for x in c]) if names else np.zeros(0, int)
+            if len(known):
+                cos = vectors(np.stack([c[i] for i in known]), idf) @ centroids.T
+                best = cos.argmax(axis=1)
+                top = np.clip(cos[np.arange(len(cos)), best].astype(float), 0, 1)
+                more = top > best_cos[known]  # a tie stays with the language before
+                at, best = known[more], best[more]
+                lang[at], best_cos[at], best_reach[at] = np.array(names, object)[best], top[more], reach[best]
+            return pd.DataFrame({"lang_pred": lang, "cos": best_cos, "reach": best_reach})
+        if block and block[0] != langs[0]:
+            now = staged(now, "language-scores")
+        given = {"t": F.col("_text"), "lang": F.col("lang_pred"), "cos": F.col("cos"), "reach": F.col("reach")}
+        last = not block or block[-1] == langs[-1]
+        by = [f"_row_{c}" for c in carry] + ([] if last else ["_text"])
+        done = row_by_row(now, given, run, "lang_pred string, cos double, reach double", by)
+        now = done.select(*[F.col(f"_row_{c}").alias(c) for c in by], "lang_pred", "cos", "reach")
+    score = F.greatest(F.lit(0.0), F.col("cos"))
+    return now.select(F.col("_row__id").alias("doc_id"), "lang_pred", score.alias("score"), (1 - score).alias("distance"),
+                      ((F.col("cos") < 0) | (F.col("cos") < slack * F.col("reach"))).alias("rejected"), *[f"_row_{c}" for c in keep])
 
 
 def fold(id_col: str = "doc_id", folds: int = 4) -> Column:

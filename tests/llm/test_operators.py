@@ -325,6 +325,18 @@ def test_language_sample_of_repeated_ids(spark):
     assert set(model["langs"]) == {"en"}
 
 
+def test_language_more_than_one_block(spark):
+    """Every label gets centroids, those beyond the first block of the alphabet too."""
+    n = language.LANGUAGES_AT_ONCE + 10
+    rows = [(3 * i + j, f"{chr(0x4E00 + 3 * i)}{chr(0x4E01 + 3 * i)} {chr(0x4E02 + 3 * i)} " * (j + 2), f"l{i:04d}") for i in range(n) for j in range(3)]
+    docs = spark.createDataFrame(rows + [(None, None, None)], "doc_id long, text string, lang string").repartition(4)
+    model = language.fit(docs)
+    got = {r.doc_id: r for r in language.predict(docs, model, keep=["lang"]).collect()}
+    assert len(model["langs"]) == n and len(got) == 3 * n + 1
+    assert all(r.lang_pred == r._row_lang and not r.rejected for i, r in got.items() if i is not None)
+    assert got[None].lang_pred == "und" and got[None].rejected and got[None].score == 0
+
+
 def test_language_odd(spark):
     docs = odd(spark)
     got = language.identify(docs).collect()
