@@ -6,8 +6,9 @@ sequence of its own, the rest of a document is an item with a demand vector (as
 the limits).  For the open bin the item with the largest dot product of demand and room
 left, weighted by the mean demand of each dimension, is placed until none fits; then an
 item is cut to fill what is left.  Items wait in a pool of bounded size, so bins are chosen
-among thousands of items while a task streams over its rows; there is no shuffle.  At a
-task's end sequences that stay short are cut into powers of two, which need no padding.
+among thousands of items while a task streams over its rows; there is no shuffle.
+Sequences that stay short, closed by the limit of segments or of loss or by a task's end,
+are cut into powers of two, which need no padding.
 
 Loss-bearing tokens are those after a document's first ``prompt`` tokens (a column of
 instruction data; none for plain documents).
@@ -70,7 +71,7 @@ class Packer:
         self.number += 1
 
     def pack(self, leave: int, last: bool = False) -> Iterator[tuple]:
-        """Fill sequences until at most ``leave`` items wait."""
+        """Fill sequences until at most ``leave`` items wait, short ones cut into powers of two (``last`` only marks the task's end)."""
         if len(self.items) <= leave:
             return
         demand = np.array([(n, 1, self.loss_of(s, n, p)) for _, _, s, n, p in self.items], float) / self.caps
@@ -104,7 +105,7 @@ class Packer:
                     items[j] = (doc, ids, s + cut, n - cut, p)
                     demand[j] = np.array([n - cut, 1, self.loss_of(s + cut, n - cut, p)]) / self.caps
             total = sum(x[3] for x in placed)
-            if last and total < self.limit:
+            if total < self.limit:  # closed by another limit, or the task's last
                 yield from self._powers(placed, total)
             else:
                 yield from self._sequence(placed)

@@ -390,6 +390,17 @@ def test_packing_limits_hold_at_once():
     assert all(sum(n for n, _ in v) <= 100 and len(v) <= 3 and sum(x for _, x in v) <= 60 for v in seq.values())
 
 
+def test_packing_of_short_texts_needs_no_padding():
+    """Bins that the segment limit closes in mid-stream are cut into powers of two as well."""
+    p = packing.Packer(0, 2048, 64, 2048, 2048)
+    rows = [r for i in range(3000) for r in p.add(i, np.zeros(10, "<u4"), 0)]
+    rows += [*p.pack(1024), *p.pack(0, True)]
+    seq = collections.Counter()
+    for r in rows:
+        seq[r[5]] += r[2]
+    assert sum(seq.values()) == 30_000 and all(n & (n - 1) == 0 for n in seq.values())
+
+
 # ----------------------------------------------------------------- 10
 
 def test_byte_bpe(spark):
