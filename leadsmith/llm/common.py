@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -35,25 +35,27 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def row_by_row(docs: DataFrame, given: dict[str, Column], fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
+def row_by_row(docs: DataFrame, given: dict[str, str], fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
                keep: Iterable[str] = (), at_once: int = 256) -> DataFrame:
-    """``fn`` maps frames of the columns ``given`` to frames of ``schema``, one row for each row.
+    """``fn`` maps frames of the columns ``given`` (name in the frame, column of ``docs``) to frames of ``schema``, one row for each row.
 
     The columns ``keep`` pass by it, unchanged and in Arrow form, as ``_row_<name>``: a verdict stays on its own row,
-    whatever rows share its id, and needs no join."""
+    whatever rows share its id, and needs no join.  A column that is given and kept is sent once."""
     keep = list(keep)
-    rows = docs.select(*[c.alias(f"_given_{n}") for n, c in given.items()], *[docs[c].alias(f"_row_{c}") for c in keep])
+    sent = [*dict.fromkeys(c for c in given.values() if c not in keep), *keep]
+    n_only = len(sent) - len(keep)
+    rows = docs.select(*[docs[c].alias(f"_row_{c}") for c in sent])
     own = T.StructType.fromDDL(schema)
-    arrow, names, n_given = to_arrow_schema(own), list(given), len(given)
+    arrow, at_of = to_arrow_schema(own), {n: sent.index(c) for n, c in given.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, at_once):
                 b = whole.slice(at, at_once)
-                frame = pd.DataFrame({n: b.column(i).to_pandas() for i, n in enumerate(names)})
+                frame = pd.DataFrame({n: b.column(i).to_pandas() for n, i in at_of.items()})
                 made = pa.RecordBatch.from_pandas(fn(frame), schema=arrow, preserve_index=False)
-                yield pa.RecordBatch.from_arrays([*made.columns, *b.columns[n_given:]], names=[*arrow.names, *b.schema.names[n_given:]])
-    return rows.mapInArrow(run, T.StructType([*own.fields, *rows.schema.fields[n_given:]]))
+                yield pa.RecordBatch.from_arrays([*made.columns, *b.columns[n_only:]], names=[*arrow.names, *b.schema.names[n_only:]])
+    return rows.mapInArrow(run, T.StructType([*own.fields, *rows.schema.fields[n_only:]]))
 
 
 def forget(cache: dict, fresh: dict, longest: int = 64, most: int = CACHE_WORDS) -> None:

@@ -155,7 +155,7 @@ def fertility(docs: DataFrame, piece_path: str, byte_path: str, id_col: str = "d
         return pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                            "piece_chars", "fallback", "entropy", "byte_chars", "script"])
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    out = row_by_row(docs.withColumns({"_id": F.col(id_col).cast("long"), "_lang": lang}), {"t": F.col("text")}, run, SCHEMA, ["_id", "_lang", *keep])
+    out = row_by_row(docs.withColumns({"_id": F.col(id_col).cast("long"), "_lang": lang}), {"t": "text"}, run, SCHEMA, ["_id", "_lang", *keep])
     return out.withColumnsRenamed({"_row__id": "doc_id", "_row__lang": "lang"}).select(
         "doc_id", *T.StructType.fromDDL(SCHEMA).names, "lang", *[f"_row_{c}" for c in keep])
 

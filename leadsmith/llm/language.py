@@ -90,7 +90,9 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
     for _ in range(rounds):
         c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
         near = np.argmax(x @ c.T, axis=1)
-        c = np.stack([x[near == j].mean(axis=0) for j in range(len(c)) if (near == j).any()])
+        own = (near == np.arange(len(c))[:, None]).astype(x.dtype)  # sums by a product: no copy of the rows
+        own = own[own.any(axis=1)]
+        c = own @ x / own.sum(axis=1, keepdims=True)
     return c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
 
 
@@ -139,7 +141,7 @@ def fit(learn: DataFrame, label_col: str = "lang", id_col: str = "doc_id", per_l
         # in place: one language's texts are held once as a dense table
         np.log1p(x, out=x)
         x *= idf
-        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+        x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-12)[:, None]
         c = spherical_kmeans(x, k).astype(np.float32)
         cos = x @ c.T
         near = cos.argmax(axis=1)
@@ -156,8 +158,9 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", slack: float =
     The centroids of ``LANGUAGES_AT_ONCE`` languages are broadcast; with more, the rows and their best centroid so far are
     staged after each block of languages, so that one block at a time is held."""
     sc, langs, idf = docs.sparkSession.sparkContext, model["langs"], model["idf"]
-    carry = ["_id", *keep]
-    now = docs.select(F.col(id_col).cast("long").alias("_row__id"), *[docs[c].alias(f"_row_{c}") for c in keep], F.col("text").alias("_text"),
+    carry, text = ["_row__id", *[f"_row_{c}" for c in keep]], "_row_text" if "text" in keep else "_text"
+    now = docs.select(F.col(id_col).cast("long").alias("_row__id"), *[docs[c].alias(f"_row_{c}") for c in keep],
+                      *([] if "text" in keep else [F.col("text").alias("_text")]),
                       F.lit("und").alias("lang_pred"), F.lit(-1.0).alias("cos"), F.lit(0.0).alias("reach"))
     for block in list(blocks(langs, LANGUAGES_AT_ONCE)) or [[]]:
         own = model["table"].where(F.col("lang").between(block[0], block[-1])).orderBy("lang", "j").collect() if block else []
@@ -180,10 +183,9 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", slack: float =
             return pd.DataFrame({"lang_pred": lang, "cos": best_cos, "reach": best_reach})
         if block and block[0] != langs[0]:
             now = staged(now, "language-scores")
-        given = {"t": F.col("_text"), "lang": F.col("lang_pred"), "cos": F.col("cos"), "reach": F.col("reach")}
         last = not block or block[-1] == langs[-1]
-        by = [f"_row_{c}" for c in carry] + ([] if last else ["_text"])
-        done = row_by_row(now, given, run, "lang_pred string, cos double, reach double", by)
+        by = carry if last or text in carry else [*carry, text]
+        done = row_by_row(now, {"t": text, "lang": "lang_pred", "cos": "cos", "reach": "reach"}, run, "lang_pred string, cos double, reach double", by)
         now = done.select(*[F.col(f"_row_{c}").alias(c) for c in by], "lang_pred", "cos", "reach")
     score = F.greatest(F.lit(0.0), F.col("cos"))
     return now.select(F.col("_row__id").alias("doc_id"), "lang_pred", score.alias("score"), (1 - score).alias("distance"),

@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(b: pd.DataFrame) -> pd.DataFrame:
         f = np.fromiter((fingerprint(t, shingle) for t in b["t"]), np.uint64, len(b))
         return pd.DataFrame({"fp": f.view(np.int64)})
-    out = row_by_row(docs.withColumn("_id", F.col(id_col).cast("long")), {"t": F.col(text_col)}, run, "fp long", ["_id", *keep])
+    out = row_by_row(docs.withColumn("_id", F.col(id_col).cast("long")), {"t": text_col}, run, "fp long", ["_id", *keep])
     return out.select(F.col("_row__id").alias("doc_id"), "fp", *[f"_row_{c}" for c in keep])
 
 
