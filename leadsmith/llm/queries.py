@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from leadsmith.llm import bytebpe, fertility, language, linewindows, packing, revisits, seekable, simhash, toxicity, vamana
+from leadsmith.llm import bytebpe, fertility, language, linewindows, packing, periodic, pii, revisits, seekable, simhash, toxicity, vamana, variants
 from leadsmith.llm.common import table
 
 
@@ -51,7 +51,19 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"), misspelt=97)
+
+
+def op12_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_revisits, op2_fertility, op3_vamana, op4_line_windows, op5_simhash, op6_seekable, op7_ftrl,
-                            op8_centroids, op9_packing, op10_byte_bpe)}
+                            op8_centroids, op9_packing, op10_byte_bpe, op11_spelling_variants, op12_pii_spans, op13_periodic_runs)}
 ORACLE: dict[str, str] = {"op1_revisits": revisits.ORACLE_SQL, "op4_line_windows": linewindows.ORACLE_SQL}
