@@ -95,11 +95,11 @@ def _marked(run: DataFrame, span: int) -> DataFrame:
 
 def anchored(rows: DataFrame, span: int) -> DataFrame:
     """``rows``: key, id, t (micros), resubmits (its outcome lets the next one pass), shuts (its
-    outcome denies and is written); none null but id.  Returns id, t, pos and its ``anchor``
+    outcome denies and is written); none null but id.  Returns key, id, t, pos and its ``anchor``
     (pos, t, id, shut): the row passes unless the anchor is shut before it.  ``span`` is an hour or more."""
     first = staged(_numbered(rows, span), "duplicate-rows")
     behind = (F.col("t") - F.col("anchor.t") >= span) & F.coalesce(F.col("pos") > F.col("anchor.shut"), F.lit(False))
-    out = ["id", "t", "pos", "anchor"]
+    out = ["key", "id", "t", "pos", "anchor"]
     run = first.where(behind).select("key", F.col("anchor.pos").alias("run"), "id", "t", "pos", "shut")
     if run.isEmpty():
         return first.select(*out)

@@ -117,6 +117,11 @@ def qualify_leads(leads: DataFrame, reps: DataFrame, review_answers: DataFrame |
     passed = st.filter(F.col("review_decision") == "accepted")
     dup = P.duplicate_lookback(passed.withColumn("_outcome", run_outcome()), outcome=F.col("_outcome"),
                                keeps_status=F.col("pii_action") == "deny", cfg=cfg["policies"])
+    return with_final_status(st, dup, reps)
+
+
+def with_final_status(st: DataFrame, dup: DataFrame, reps: DataFrame) -> DataFrame:
+    """F2 and R3 on the stage table, given the duplicate verdicts of the leads that got so far."""
     staged = st.join(dup.select("lead_id", "dup_action"), "lead_id", "left")
     staged = staged.withColumn("final_status", final_status())
     reached_sql = F.col("final_status").isin("sales_owned", "rejected_by_operator", "pending_approval",

@@ -297,6 +297,18 @@ def duplicate_lookback(leads: DataFrame, key: str = "email", ts_col: str = "crea
     """
     p = _p(cfg)
     days = days if days is not None else p["lookback_days"]
+    keyed, alone = lookback_rows(leads, key, ts_col, id_col, outcome, keeps_status, p)
+    passed = alone.select(
+        F.col("id").alias(id_col), F.lit("allow").alias("dup_action"), F.lit(None).cast("string").alias("anchor_id"),
+        F.lit(None).cast("long").alias("days_since_anchor"))
+    if not enabled("duplicate_detection", p):
+        return passed
+    return lookback_verdicts(anchored(keyed, (days + 1) * DAY), id_col).unionByName(passed)
+
+
+def lookback_rows(leads: DataFrame, key: str, ts_col: str, id_col: str, outcome: Column | None,
+                  keeps_status: Column | None, p: dict) -> tuple[DataFrame, DataFrame]:
+    """The rows of the rule (key, id, t, resubmits, shuts), and those that take no part in it."""
     em = F.lower(F.trim(F.col(key)))
     outcome = outcome if outcome is not None else F.lit("processing")
     resubmits = F.coalesce(outcome.isin(*p["allow_resubmit_statuses"]), F.lit(False))
@@ -306,17 +318,16 @@ def duplicate_lookback(leads: DataFrame, key: str = "email", ts_col: str = "crea
     alone = F.col("key").isNull() | (F.col("key") == "") | F.col("t").isNull()
     if not enabled("duplicate_detection", p):
         alone = F.lit(True)
-    passed = base.filter(alone).select(
-        F.col("id").alias(id_col), F.lit("allow").alias("dup_action"), F.lit(None).cast("string").alias("anchor_id"),
-        F.lit(None).cast("long").alias("days_since_anchor"))
-    if not enabled("duplicate_detection", p):
-        return passed
-    found = anchored(base.filter(~alone), (days + 1) * DAY)
+    return base.filter(~alone), base.filter(alone)
+
+
+def lookback_verdicts(found: DataFrame, id_col: str = "lead_id", *keep: str) -> DataFrame:
+    """dup_action, anchor and whole days since it, of rows with their anchors."""
     passes = F.coalesce(F.col("pos") <= F.col("anchor.shut"), F.lit(True))
     return found.select(
         F.col("id").alias(id_col), F.when(passes, "allow").otherwise("deny").alias("dup_action"),
         F.col("anchor.id").cast("string").alias("anchor_id"),
-        F.floor((F.col("t") - F.col("anchor.t")) / DAY).cast("long").alias("days_since_anchor")).unionByName(passed)
+        F.floor((F.col("t") - F.col("anchor.t")) / DAY).cast("long").alias("days_since_anchor"), *keep)
 
 
 # ----------------------------------------------------------------- P10-P12

@@ -357,6 +357,12 @@ def analytics_summary(leads: DataFrame, mql: DataFrame, sql: DataFrame, as_of: A
     each (day, channel) into its period starts and roll up with GROUPING SETS.
     ``source_channel`` is NULL on the all-channel rows (``grouping`` tells them apart).
     """
+    return summary_rollup(summary_partials(leads, mql, sql, midpoints, review_confidence), as_of, periods)
+
+
+def summary_partials(leads: DataFrame, mql: DataFrame, sql: DataFrame, midpoints: dict | None = None,
+                     review_confidence: float | None = None) -> DataFrame:
+    """Mergeable sums (``s_…``) and counts (``n_…``) per capture day and channel."""
     midpoints = midpoints or DEFAULT["ours"]["deal_size_midpoints"]
     review_confidence = review_confidence or DEFAULT["ours"]["human_review_confidence"]
     m = mql.select("lead_id", "mql_id", F.col("qualified_at").alias("mql_at"), "mql_score",
@@ -386,8 +392,12 @@ def analytics_summary(leads: DataFrame, mql: DataFrame, sql: DataFrame, as_of: A
     sums = ["one", "acc", "rej", "mq", "sq", "own", "h_mql", "h_sql", "h_handoff", "mql_score",
             "sql_score", "confidence_score", "rev", "deal_value"]
     counted = ["h_mql", "h_sql", "h_handoff", "mql_score", "sql_score", "confidence_score"]
-    daily = per_lead.groupBy("day", "source_channel").agg(
+    return per_lead.groupBy("day", "source_channel").agg(
         *[F.sum(c).alias(f"s_{c}") for c in sums], *[F.count(c).alias(f"n_{c}") for c in counted])
+
+
+def summary_rollup(daily: DataFrame, as_of: AsOf = None, periods: Sequence[str] = PERIODS) -> DataFrame:
+    """The summary rows of all periods in which the partials' days lie."""
     starts = []
     for p in periods:
         unit = {"daily": None, "weekly": "week", "monthly": "month"}[p]

@@ -4,11 +4,9 @@ from . import registry
 from . import registry_rules  # noqa: F401
 from . import registry_policies  # noqa: F401
 from . import registry_lifecycle  # noqa: F401
-
-
-
-from . import registry_sources  # noqa: E402,F401
-from . import registry_streams  # noqa: E402,F401
+from . import registry_sources  # noqa: F401
+from . import registry_streams  # noqa: F401
+from . import registry_stores  # noqa: F401
 
 QUERIES = registry.QUERIES
 ORACLE = registry.ORACLE

@@ -329,11 +329,12 @@ def _summary(s, d):
     return R.analytics_summary(t["raw_leads"], t["mql_leads"], t["sql_leads"], AS_OF)
 
 
-def _summary_sql() -> str:
+def _summary_sql(source: str = "raw_leads", ctes: str = "") -> str:
+    """The oracle of the summary over ``source``, a table or one of ``ctes``."""
     def avg_h(h: str) -> str:
         return f"coalesce({sql_round_ratio(f'sum({h})', f'count({h})', 1, 'half_even')}, 0.0)"
 
-    body = f"""
+    body = f"""{ctes}
 SELECT 'SUM-' || upper(substr(sha256(report_period || '|' || CAST(report_date AS VARCHAR) || '|' ||
          coalesce(source_channel, '*')), 1, 16)) AS summary_id,
   report_date, report_period, source_channel, (grouping(source_channel) = 1) AS all_channels,
@@ -363,7 +364,7 @@ FROM (
       {_h('s.qualified_at', 's.handoff_at')} AS h3,
       CASE s.estimated_deal_size WHEN '<$10K' THEN 5000.0 WHEN '$10K-$50K' THEN 30000.0
            WHEN '$50K-$200K' THEN 125000.0 WHEN '$200K+' THEN 200000.0 END AS deal_value
-    FROM raw_leads r LEFT JOIN mql_leads m ON r.lead_id = m.lead_id LEFT JOIN sql_leads s ON m.mql_id = s.mql_id
+    FROM {source} r LEFT JOIN mql_leads m ON r.lead_id = m.lead_id LEFT JOIN sql_leads s ON m.mql_id = s.mql_id
   ) b CROSS JOIN (VALUES ('daily'), ('weekly'), ('monthly')) p(report_period)
 ) x
 GROUP BY GROUPING SETS ((report_period, report_date, source_channel), (report_period, report_date))
