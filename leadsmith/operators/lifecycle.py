@@ -26,10 +26,14 @@ from . import screening as W
 
 def gen_id(prefix: str, at: Column, *key_cols: Column | str) -> Column:
     """``PREFIX-YYYYMMDD-XXXXXXXX`` — 8 upper hex of SHA-256 over the key, so a
-    retried job produces the same id (32 bits: uniqueness rests on the key)."""
+    retried job produces the same id.  It is for display: records are joined on ``long_key``."""
+    return F.concat_ws("-", F.lit(prefix), F.date_format(at, "yyyyMMdd"), F.substring(long_key(*key_cols), 1, 8))
+
+
+def long_key(*key_cols: Column | str) -> Column:
+    """All 64 upper hex digits of the SHA-256 that the display id shows 8 of."""
     key = F.concat_ws("|", *[F.col(c) if isinstance(c, str) else c for c in key_cols])
-    return F.concat_ws("-", F.lit(prefix), F.date_format(at, "yyyyMMdd"),
-                       F.upper(F.substring(F.sha2(key, 256), 1, 8)))
+    return F.upper(F.sha2(key, 256))
 
 
 # ----------------------------------------------------------------- F1, F2
@@ -201,17 +205,17 @@ def lead_status_doc(leads: DataFrame, events: DataFrame, lead_ids: DataFrame) ->
 
 # ----------------------------------------------------------------- S9, S10, S14
 
-def apply_status_updates(leads: DataFrame, updates: DataFrame) -> DataFrame:
-    """Latest update per lead wins; status and time replaced, the last reason given stays
+def apply_status_updates(leads: DataFrame, updates: DataFrame, key: str = "lead_id") -> DataFrame:
+    """Latest update per lead (by ``key``: the id or the long key of the records) wins; status and time replaced, the last reason given stays
     (each update sets reason = COALESCE(new, old)).
 
     Both are picked with ``max_by`` in one aggregate (no window sort),
     then a key join; leads without an update pass through unchanged."""
-    latest = (updates.groupBy("lead_id")
+    latest = (updates.groupBy(key)
               .agg(F.max_by(F.struct("status", "updated_at"), F.struct("updated_at", "status")).alias("_u"),
                    F.max_by("rejection_reason", F.when(F.col("rejection_reason").isNotNull(),
                                                        F.struct("updated_at", "status"))).alias("_reason")))
-    j = leads.join(latest, "lead_id", "left")
+    j = leads.join(latest, key, "left")
     out = []
     for c in leads.columns:
         if c == "status":

@@ -365,8 +365,8 @@ def tool_call_timeline(calls: DataFrame) -> DataFrame:
 
 
 def audit_log(spark: SparkSession, calls: DataFrame, cfg: dict | None = None) -> DataFrame:
-    """P12 input: triggered policy results over a tool-call log (one row each), with the
-    decision-audit entry written twice as the reference does."""
+    """P12 input: triggered policy results over a tool-call log (one row each); the results of the
+    policies wired into a run, and its decisions, come from ``run_audit_log``."""
     sg = spend_guard(calls, cfg).filter(F.col("action") == "deny").select(
         "lead_id", F.lit("spend_guard").alias("policy_id"), "action", "ts")
     fails = calls.filter(F.col("status") != "success")
@@ -375,12 +375,59 @@ def audit_log(spark: SparkSession, calls: DataFrame, cfg: dict | None = None) ->
         F.when(F.col("action") == "retry", "allow").otherwise(F.col("action")).alias("action"), "ts")
     ut = unexpected_tools(calls, expected_tools(spark, cfg), cfg).select(
         "lead_id", F.lit("tool_transparency").alias("policy_id"), "action", "ts")
-    copies = 2 if enabled("decision_audit", cfg) else 0
-    da = fails.select("lead_id", F.lit("decision_audit").alias("policy_id"), F.lit("allow").alias("action"),
-                      "ts", F.explode(F.array_repeat(F.lit(1), copies)).alias("_copy")).drop("_copy")
     if not enabled("retry_fallback", cfg):
         rp = rp.limit(0)  # not triggered when disabled
-    return sg.unionByName(rp).unionByName(ut).unionByName(da)
+    return sg.unionByName(rp).unionByName(ut)
+
+
+def run_audit_log(final: DataFrame, ts_col: str = "created_at", cfg: dict | None = None) -> DataFrame:
+    """P12 input from a whole-batch run (``qualify_leads``): one row per triggered check of the three wired
+    policies, and every agent decision twice as the decision audit logs it.
+
+    A check counts where the run reached it: duplicates after the form stage (logged when denied), personal data
+    when the lead was no duplicate (logged when found), the approval gate for BANT-qualified leads that need
+    an answer (logged when it was given or the time ran out)."""
+    c = F.col
+    reached = c("review_decision") == "accepted"
+    checked = reached & (c("dup_action") != "deny")
+    decided = checked & (c("pii_action") != "deny")
+    mql_ran = decided & (c("decision") == "accepted")
+    sql_ran = mql_ran & c("mql_qualified")
+    gated = sql_ran & c("sql_qualified") & c("needs_approval") & (c("approval_action") != "pending")
+
+    def entry(policy: str, action: Column, agent: str, when: Column) -> Column:
+        return F.when(when, F.struct(F.lit(policy).alias("policy_id"), action.alias("action"), F.lit(agent).alias("agent")))
+    items = [entry("duplicate_detection", F.lit("deny"), "Pipeline", reached & (c("dup_action") == "deny")),
+             entry("pii_detection", c("pii_action"), "Pipeline", checked & (F.size("pii_types") > 0)),
+             entry("approval_gate", c("approval_action"), "Pipeline", gated)]
+    if enabled("decision_audit", cfg):
+        for agent, when in (("TriageAgent", decided), ("MQLAgent", mql_ran), ("SQLAgent", sql_ran)):
+            items += [entry("decision_audit", F.lit("allow"), agent, when)] * 2
+    return final.select("lead_id", F.inline(compact(items)), c(ts_col).alias("ts")).select("lead_id", "policy_id", "action", "ts", "agent")
+
+
+# ----------------------------------------------------------------- P13 in time
+
+def policies_in_force(log: DataFrame, versions: DataFrame, ts_col: str = "ts") -> DataFrame:
+    """P13 in time: each row of a log with ``in_force``, whether its policy was switched on at the row's time.
+
+    ``versions``: policy_id, valid_from, valid_to (null: still valid; the time itself is outside), enabled.  Of several
+    versions valid at a time the one that began last decides; a policy without a valid version is not in force.
+
+    The range join is an equi-join on (policy, day): a version is listed under each day it touches, days outside the
+    log's are left out, and a row picks its version from the day's list (as long as changes a day, not as the log)."""
+    day = F.to_date(ts_col)
+    ends = log.groupBy("policy_id").agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+    v = versions.join(ends, "policy_id").select(
+        "policy_id", "enabled", "valid_from", "valid_to",
+        F.greatest(F.to_date("valid_from"), "lo").alias("lo"), F.least(F.coalesce(F.to_date("valid_to"), "hi"), "hi").alias("hi"))
+    days = (v.where("lo <= hi").select("policy_id", F.explode(F.sequence("lo", "hi")).alias("_day"),
+                                       F.struct("valid_from", "valid_to", "enabled").alias("version"))
+            .groupBy("policy_id", "_day").agg(F.collect_list("version").alias("_versions")))
+    j = log.withColumn("_day", day).join(days, ["policy_id", "_day"], "left")
+    at = F.col(ts_col)
+    valid = F.filter("_versions", lambda x: (x["valid_from"] <= at) & (x["valid_to"].isNull() | (at < x["valid_to"])))
+    return j.select(*log.columns, F.coalesce(F.array_max(valid)["enabled"], F.lit(False)).alias("in_force"))
 
 
 def audit_summary(audit: DataFrame) -> DataFrame:

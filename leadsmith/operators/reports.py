@@ -492,6 +492,43 @@ def stage_duration_quantiles(events: DataFrame) -> DataFrame:
         F.min(F.when(F.col("upto") * 10 >= F.col("all") * 9, F.col("seconds"))).alias("p90_seconds"))
 
 
+#: Leading bits of a duration that its sketch bucket keeps: a value is known to 1 part in 2**7.
+SKETCH_BITS = 7
+
+
+def sketch_bucket(x: Column) -> Column:
+    """The bucket of a non-negative whole number: its leading bits and how many were cut off (exact integer arithmetic)."""
+    shift = F.greatest(F.lit(0), F.length(F.bin(x)) - (SKETCH_BITS + 1))
+    return shift.cast("long") * (2 << SKETCH_BITS) + F.call_function("shiftright", x, shift)
+
+
+def bucket_floor(bucket: Column) -> Column:
+    """The smallest number of a bucket; the largest is less than 1 part in 2**SKETCH_BITS above it."""
+    size = F.lit(2 << SKETCH_BITS)
+    return F.call_function("shiftleft", bucket % size, F.floor(bucket / size).cast("int"))
+
+
+def duration_sketches(events: DataFrame) -> DataFrame:
+    """A20 on growing logs: mergeable sketches of the seconds before each stage, as counts per day of the event,
+    transition and bucket.  Sketches of days, files or regions are merged by adding their counts."""
+    w = _with_previous(events).filter(F.col("prev_type").isNotNull())
+    return (w.select(F.to_date("event_timestamp").alias("day"), "prev_type", "event_type",
+                     sketch_bucket(F.greatest(F.col("seconds"), F.lit(0)).cast("long")).alias("bucket"))
+            .groupBy("day", "prev_type", "event_type", "bucket").agg(F.count(F.lit(1)).alias("n")))
+
+
+def sketch_quantiles(sketches: DataFrame, by: Sequence[str] = ("prev_type", "event_type")) -> DataFrame:
+    """p50 and p90 seconds from sketches alone: never above the exact ones, and less than 1 part in 2**SKETCH_BITS below.
+
+    The window sees one row per bucket of a group: a few thousand at most, whatever the log's size."""
+    merged = sketches.groupBy(*by, "bucket").agg(F.sum("n").alias("n"))
+    w = Window.partitionBy(*by)
+    c = merged.select(*by, "bucket", F.sum("n").over(w.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
+                      F.sum("n").over(w).alias("all"))
+    p50, p90 = (F.min(F.when(F.col("upto") * den >= F.col("all") * num, F.col("bucket"))) for num, den in ((1, 2), (9, 10)))
+    return c.groupBy(*by).agg(F.max("all").alias("transitions"), bucket_floor(p50).alias("p50_seconds"), bucket_floor(p90).alias("p90_seconds"))
+
+
 def human_review_rate(mql: DataFrame, by: Sequence[str] = (), threshold: float | None = None
                       ) -> DataFrame:
     """Share of MQL decisions below the review confidence."""

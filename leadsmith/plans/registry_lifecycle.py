@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT
 from ..operators import lifecycle as L
+from ..operators import policies as P
 from ..operators import routing as R
 from ..operators import scoring as S
 from ..sources import fixtures as fx
 from . import oracle_rules as O
 from .oracle import with_tables
 from .registry import AS_OF, SQL_AS_OF, register
-from .registry_policies import _pii_array_sql, approvals, LEAD_PII_FIELDS
+from .registry_policies import CALL_LOG_SQL, _pii_array_sql, approvals, LEAD_PII_FIELDS
 from .registry_rules import ANSWERS_SQL, END, review_answers
 
 _K = "CAST(regexp_extract(lead_id, '[0-9]+$') AS BIGINT)"
@@ -136,6 +137,8 @@ st AS (
   SELECT lead_id, email, created_at, review_decision, f, first_name, last_name, company,
     CASE WHEN {O.blank('email')} OR {O.blank('company')} OR {spam} IS NOT NULL THEN 'rejected' ELSE 'accepted' END
       AS decision,
+    CASE WHEN {O.blank('email')} THEN 'invalid_email' WHEN {O.blank('company')} THEN 'incomplete_data'
+         WHEN {spam} IS NOT NULL THEN 'spam' END AS reason,
     CAST({' + '.join(mp[p] for p in S.MQL_PARTS)} AS INTEGER) AS mql_score,
     CAST(({bp['budget']}) + ({bp['authority']}) + ({bp['need']}) + ({bp['timeline']}) AS INTEGER) AS sql_score,
     CAST({bp['need']} AS INTEGER) AS need, {_EMP} AS emp,
@@ -258,10 +261,20 @@ FROM ({FEED_SQL}) r
 def _events(s, d):
     from ..sources import sinks as K
 
-    return K.events_from_stages(qualified_run(s, d), AS_OF)
+    k = F.substring_index("lead_id", "-", -1).cast("long")
+    return K.events_from_stages(qualified_run(s, d), AS_OF, durations={"triage_completed": k % 300, "mql_scored": k % 90},
+                                errors={"mql_scored": F.when(k % 97 == 0, "timeout")})
 
 
 def _events_sql() -> str:
+    key = "sha256(lead_id || '|' || '{i}')"
+    details = {
+        "triage_completed": "struct_pack(decision := decision, triage_reason := reason)",
+        "mql_scored": "struct_pack(mql_qualified := mql_qualified, mql_score := mql_score)",
+        "sql_scored": "struct_pack(sql_qualified := sql_qualified, sql_score := sql_score, assigned_team := assigned_team, "
+                      "estimated_deal_size := estimated_deal_size)",
+        "sales_assigned": "struct_pack(assigned_rep_id := assigned_rep_id)"}
+    seconds = {"triage_completed": f"{_K} % 300", "mql_scored": f"{_K} % 90"}
     gid = ("'EVT-' || strftime({t}, '%Y%m%d') || '-' || upper(substr(sha256(lead_id || '|' || '{i}'), 1, 8))")
     started = ("(final_status NOT IN ('rejected_duplicate', 'rejected_pii', 'pending_review') "
                "AND review_decision = 'accepted')")
@@ -280,12 +293,44 @@ def _events_sql() -> str:
         (5, "sales_assigned", "'sql'", "'sales_owned'", "SQLAgent", "NULL", f"{started} AND final_status = 'sales_owned'"),
     ]
     sel = "\nUNION ALL\n".join(
-        f"SELECT {gid.format(t=SQL_AS_OF, i=i)} AS event_id, lead_id, {i} AS seq, {SQL_AS_OF} + INTERVAL {i} MILLISECOND AS event_timestamp, "
+        f"SELECT {gid.format(t=SQL_AS_OF, i=i)} AS event_id, upper({key.format(i=i)}) AS event_key, lead_id, {i} AS seq, {SQL_AS_OF} + INTERVAL {i} MILLISECOND AS event_timestamp, "
         f"'{e}' AS event_type, CAST({frm} AS VARCHAR) AS from_status, {to} AS to_status, '{agent}' AS agent_name, "
-        f"CAST({score} AS INTEGER) AS score_at_event, '{{}}' AS event_details, CAST(NULL AS INTEGER) AS duration_seconds, "
-        f"CAST(NULL AS VARCHAR) AS error_message FROM qa WHERE {cond}"
+        f"CAST({score} AS INTEGER) AS score_at_event, "
+        + (f"to_json({details[e]}) AS event_details, " if e in details else "'{}' AS event_details, ")
+        + f"CAST({seconds.get(e, 'NULL')} AS INTEGER) AS duration_seconds, "
+        + ("CASE WHEN " + _K + " % 97 = 0 THEN 'timeout' END" if e == "mql_scored" else "CAST(NULL AS VARCHAR)")
+        + f" AS error_message FROM qa WHERE {cond}"
         for i, e, frm, to, agent, score, cond in parts)
     return _qualify_sql(sel)
 
 
 register("lead_event_append", _events_sql())(_events)
+
+
+# ----------------------------------------------------------------- P12
+
+def _audit_summary(s, d):
+    calls = P.audit_log(s, fx.tool_calls(s, d)).select("lead_id", "policy_id", "action")
+    return P.audit_summary(calls.unionByName(P.run_audit_log(qualified_run(s, d)).select("lead_id", "policy_id", "action")))
+
+
+_REACHED = "review_decision = 'accepted'"
+_CHECKED = f"{_REACHED} AND dup_action <> 'deny'"
+_DECIDED = f"{_CHECKED} AND pii_action <> 'deny'"
+_MQL_AT = f"{_DECIDED} AND decision = 'accepted'"
+_SQL_AT = f"{_MQL_AT} AND mql_qualified"
+register("audit_summary", with_tables(f"""
+WITH RECURSIVE run AS ({_qualify_sql("SELECT * FROM qa")}),
+log AS (
+  SELECT lead_id, policy_id, action FROM ({CALL_LOG_SQL}) c
+  UNION ALL SELECT lead_id, 'duplicate_detection', 'deny' FROM run WHERE {_REACHED} AND dup_action = 'deny'
+  UNION ALL SELECT lead_id, 'pii_detection', pii_action FROM run
+            WHERE {_CHECKED} AND len(list_filter(f, lambda x: x.severity <> 'low')) > 0
+  UNION ALL SELECT lead_id, 'approval_gate', approval_action FROM run
+            WHERE {_SQL_AT} AND sql_qualified AND (estimated_deal_size = '$200K+' OR sql_score < 60) AND approval_action <> 'pending'
+  UNION ALL SELECT lead_id, 'decision_audit', 'allow' FROM run, (VALUES (1), (2)) t(n) WHERE {_DECIDED}
+  UNION ALL SELECT lead_id, 'decision_audit', 'allow' FROM run, (VALUES (1), (2)) t(n) WHERE {_MQL_AT}
+  UNION ALL SELECT lead_id, 'decision_audit', 'allow' FROM run, (VALUES (1), (2)) t(n) WHERE {_SQL_AT}
+)
+SELECT policy_id, action, count(*) AS entries, count(DISTINCT lead_id) AS leads FROM log GROUP BY policy_id, action
+""", "tool_calls"))(_audit_summary)

@@ -273,17 +273,49 @@ SELECT lead_id, call_id, ts, agent, tool, status, duration_ms,
 FROM tool_calls
 """, "tool_calls"))(lambda s, d: P.tool_call_timeline(fx.tool_calls(s, d)))
 
-register("audit_summary", with_tables(f"""
-WITH sg AS ({SPEND_SQL}),
-rp AS (SELECT lead_id, CASE WHEN row_number() OVER (PARTITION BY lead_id, agent ORDER BY ts, call_id) <= 1
-                            THEN 'allow' ELSE 'escalate' END AS action
-       FROM tool_calls WHERE status <> 'success'),
-log AS (
-  SELECT lead_id, 'spend_guard' AS policy_id, action FROM sg WHERE action = 'deny'
-  UNION ALL SELECT lead_id, 'retry_fallback', action FROM rp
-  UNION ALL SELECT lead_id, 'tool_transparency', action FROM ({UNEXPECTED_SQL}) u
-  UNION ALL SELECT lead_id, 'decision_audit', 'allow' FROM tool_calls, (VALUES (1), (2)) c(n)
-            WHERE status <> 'success'
-)
-SELECT policy_id, action, count(*) AS entries, count(DISTINCT lead_id) AS leads FROM log GROUP BY policy_id, action
-""", "tool_calls"))(lambda s, d: P.audit_summary(P.audit_log(s, fx.tool_calls(s, d))))
+CALL_LOG_SQL = f"""
+SELECT lead_id, 'spend_guard' AS policy_id, action, ts FROM ({SPEND_SQL}) sg WHERE action = 'deny'
+UNION ALL
+SELECT lead_id, 'retry_fallback', CASE WHEN row_number() OVER (PARTITION BY lead_id, agent ORDER BY ts, call_id) <= 1
+                                       THEN 'allow' ELSE 'escalate' END, ts
+FROM tool_calls WHERE status <> 'success'
+UNION ALL
+SELECT lead_id, 'tool_transparency', action, ts FROM ({UNEXPECTED_SQL}) u
+"""
+
+#: Policy versions, in days from the first tool call: (policy, from, to, enabled).
+VERSIONS = [("tool_transparency", 0, None, True), ("tool_transparency", 7, 14, False), ("spend_guard", -30, 3, True),
+            ("spend_guard", 3, 5, False), ("spend_guard", 5, None, True), ("retry_fallback", 2, 40, True)]
+
+
+def policy_versions(s, d):
+    """Versions over the time of the tool calls; transparency is off for a week, retries have no version at first."""
+    start = F.date_trunc("day", F.min("ts"))
+    rows = F.array(*[F.struct(F.lit(p).alias("policy_id"), F.timestamp_add("DAY", F.lit(lo), F.col("start")).alias("valid_from"),
+                              (F.timestamp_add("DAY", F.lit(hi), F.col("start")) if hi is not None
+                               else F.lit(None).cast("timestamp_ntz")).cast("timestamp_ntz").alias("valid_to"),
+                              F.lit(on).alias("enabled")) for p, lo, hi, on in VERSIONS])
+    first = fx.tool_calls(s, d).agg(start.cast("timestamp_ntz").alias("start"))
+    return first.select(F.inline(rows))
+
+
+def _policy_timeline(s, d):
+    log = P.audit_log(s, fx.tool_calls(s, d))
+    return P.policies_in_force(log, policy_versions(s, d)).groupBy("policy_id", "action", "in_force").agg(
+        F.count(F.lit(1)).alias("entries"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+
+
+_VERSIONS_SQL = " UNION ALL ".join(
+    f"SELECT '{p}' AS policy_id, start + INTERVAL ({lo}) DAY AS valid_from, "
+    + (f"start + INTERVAL ({hi}) DAY" if hi is not None else "CAST(NULL AS TIMESTAMP)") + f" AS valid_to, {on} AS enabled FROM t0"
+    for p, lo, hi, on in VERSIONS)
+register("policy_timeline", with_tables(f"""
+WITH t0 AS (SELECT CAST(date_trunc('day', min(ts)) AS TIMESTAMP) AS start FROM tool_calls),
+v AS ({_VERSIONS_SQL}), log AS (SELECT *, row_number() OVER () AS n FROM ({CALL_LOG_SQL}) l0),
+state AS (SELECT l.n, any_value(l.policy_id) AS policy_id, any_value(l.action) AS action, any_value(l.ts) AS ts,
+                 coalesce(arg_max(v.enabled, v.valid_from), false) AS in_force
+          FROM log l LEFT JOIN v ON v.policy_id = l.policy_id AND v.valid_from <= l.ts AND (v.valid_to IS NULL OR l.ts < v.valid_to)
+          GROUP BY l.n)
+SELECT policy_id, action, in_force, count(*) AS entries, min(ts) AS first_ts, max(ts) AS last_ts
+FROM state GROUP BY policy_id, action, in_force
+""", "tool_calls"))(_policy_timeline)

@@ -118,7 +118,7 @@ def _raw_append(s, d):
 def _raw_append_sql() -> str:
     js = "to_json(struct_pack(" + ", ".join(f"{f} := {f}" for f in K.RECORD_FIELDS) + "))"
     return with_tables(f"""
-SELECT {_gid('LD', SQL_AS_OF, 'lead_id')} AS lead_id, {SQL_AS_OF} AS created_at, {SQL_AS_OF} AS updated_at,
+SELECT {_gid('LD', SQL_AS_OF, 'lead_id')} AS lead_id, upper(sha256(lead_id)) AS lead_key, {SQL_AS_OF} AS created_at, {SQL_AS_OF} AS updated_at,
   {', '.join(K.RECORD_FIELDS)}, 'new' AS status, CAST(NULL AS VARCHAR) AS rejection_reason, {js} AS raw_payload
 FROM ({_DEFAULTED}) x
 """, "raw_leads")
@@ -127,33 +127,90 @@ FROM ({_DEFAULTED}) x
 register("raw_lead_append", _raw_append_sql())(_raw_append)
 
 _MP = O.mql_parts()
+_BP = O.bant_parts()
+_EMP = O.company_employees()
+
+
+def mql_scored(s, d):
+    """Scored leads with what an agent's answer adds; every 5th lead's answer names no confidence, every 3rd no technologies."""
+    k = _k()
+    leads = fx.raw_leads(s, d)
+    emp = F.regexp_extract("company_size", r"^([0-9]+)", 1).try_cast("int")
+    sc = S.score_mql(leads, keep=["lead_id", "company", "industry", "form_type", "company_size"])
+    return sc.select(
+        "lead_id", "score_breakdown", "mql_score", "qualified", F.col("company").alias("enriched_company"),
+        F.col("industry").alias("enriched_industry"), emp.alias("enriched_employees"),
+        F.when(emp >= 1000, "$100M+").alias("enriched_revenue"),
+        F.when(k % 3 == 1, F.array(F.lit("Spark"), F.lit("Delta"))).when(k % 3 == 2, F.array(F.lit("Python"))).alias("technologies_used"),
+        F.when(k % 2 == 0, "Technical_Buyer").otherwise("Economic_Buyer").alias("persona"),
+        F.when(k % 2 == 0, "decision").otherwise("consideration").alias("buying_stage"),
+        F.array("form_type").alias("product_interest"),
+        F.concat(F.lit("Score "), F.col("mql_score").cast("string")).alias("agent_reasoning"),
+        F.when(k % 5 != 0, (32 + k % 33) / F.lit(64.0)).alias("confidence_score"),
+        F.when(emp >= 1000, "enterprise_track").otherwise("smb_track").alias("nurture_track"))
+
+
 register("mql_append", with_tables(f"""
-SELECT {_gid('MQL', SQL_AS_OF, 'lead_id')} AS mql_id, lead_id, mql_score,
+SELECT {_gid('MQL', SQL_AS_OF, 'lead_id')} AS mql_id, upper(sha256(lead_id)) AS mql_key, lead_id,
+  {SQL_AS_OF} AS created_at, {SQL_AS_OF} AS updated_at, {SQL_AS_OF} AS qualified_at, mql_score,
   to_json(struct_pack({', '.join(f'{p} := {p}' for p in S.MQL_PARTS)})) AS score_breakdown,
-  'mql_new' AS status, false AS human_reviewed, {SQL_AS_OF} AS created_at, {SQL_AS_OF} AS qualified_at
-FROM (SELECT lead_id, {', '.join(f'CAST({_MP[p]} AS INTEGER) AS {p}' for p in S.MQL_PARTS)},
+  company AS enriched_company, ind AS enriched_industry, emp AS enriched_employees,
+  CASE WHEN emp >= 1000 THEN '$100M+' END AS enriched_revenue,
+  CASE k % 3 WHEN 1 THEN ['Spark', 'Delta'] WHEN 2 THEN ['Python'] ELSE []::VARCHAR[] END AS technologies_used,
+  CASE WHEN k % 2 = 0 THEN 'Technical_Buyer' ELSE 'Economic_Buyer' END AS persona,
+  CASE WHEN k % 2 = 0 THEN 'decision' ELSE 'consideration' END AS buying_stage, [ft] AS product_interest,
+  []::VARCHAR[] AS pain_points, '1.0.0' AS agent_version, 'Score ' || mql_score AS agent_reasoning,
+  CASE WHEN k % 5 <> 0 THEN (32 + k % 33) / 64.0 ELSE 0.8 END AS confidence_score, false AS human_reviewed,
+  'mql_new' AS status, CASE WHEN emp >= 1000 THEN 'enterprise_track' ELSE 'smb_track' END AS nurture_track
+FROM (SELECT lead_id, {_K} AS k, company, raw_leads.industry AS ind, raw_leads.form_type AS ft,
+             CAST(regexp_extract(raw_leads.company_size, '^([0-9]+)', 1) AS INTEGER) AS emp,
+             {', '.join(f'CAST({_MP[p]} AS INTEGER) AS {p}' for p in S.MQL_PARTS)},
              CAST({' + '.join(_MP[p] for p in S.MQL_PARTS)} AS INTEGER) AS mql_score FROM raw_leads) m
 WHERE mql_score >= 50
-""", "raw_leads"))(lambda s, d: K.to_mql_leads(S.score_mql(fx.raw_leads(s, d), keep=["lead_id"]), AS_OF))
+""", "raw_leads"))(lambda s, d: K.to_mql_leads(mql_scored(s, d), AS_OF))
+
+
+def sql_scored(s, d):
+    """BANT-scored leads with what an agent's answer adds."""
+    k = _k()
+    return S.score_bant(fx.raw_leads(s, d), as_of=AS_OF, keep=["lead_id", "company"]).select(
+        "*", F.concat(F.lit("Evaluation at "), F.coalesce("company", F.lit("unknown"))).alias("use_case_summary"),
+        F.when(k % 4 == 0, "incumbent vendor").alias("competitive_context"),
+        F.when(F.col("estimated_deal_size") == "$200K+", "executive_briefing").otherwise("discovery_call").alias("next_step"),
+        F.when(k % 7 != 0, F.concat(F.lit("BANT "), F.col("sql_score").cast("string"))).alias("agent_reasoning"),
+        F.when(k % 5 != 0, (32 + k % 33) / F.lit(64.0)).alias("confidence_score"))
+
 
-_BP = O.bant_parts()
-_EMP = O.company_employees()
 register("sql_lead_append", with_tables(f"""
-SELECT {_gid('SQL', SQL_AS_OF, 'lead_id')} AS sql_id, {_gid('MQL', SQL_AS_OF, 'lead_id')} AS mql_id, lead_id,
-  b + a + n + t AS sql_score, b AS bant_score_budget, a AS bant_score_authority, n AS bant_score_need,
-  t AS bant_score_timeline,
-  CASE WHEN emp >= 1000 AND n >= 15 THEN '$200K+' WHEN emp >= 1000 THEN '$50K-$200K'
-       WHEN emp >= 200 THEN '$10K-$50K' ELSE '<$10K' END AS estimated_deal_size,
+WITH av AS (SELECT rep_id, concat_ws(' ', first_name, last_name) AS name, email, team, current_load FROM sales_reps
+            WHERE is_active AND current_load < max_load),
+bt AS (SELECT team, arg_min(av, (current_load, rep_id)) AS r FROM av GROUP BY team),
+ba AS (SELECT arg_min(av, (current_load, rep_id)) AS r FROM av)
+SELECT {_gid('SQL', SQL_AS_OF, 'lead_id')} AS sql_id, upper(sha256(lead_id)) AS sql_key,
+  {_gid('MQL', SQL_AS_OF, 'lead_id')} AS mql_id, upper(sha256(lead_id)) AS mql_key, lead_id,
+  {SQL_AS_OF} AS created_at, {SQL_AS_OF} AS updated_at, {SQL_AS_OF} AS qualified_at, total AS sql_score,
+  b AS bant_score_budget, a AS bant_score_authority, n AS bant_score_need, t AS bant_score_timeline, deal AS estimated_deal_size,
   CAST(CAST({SQL_AS_OF} AS DATE) + CAST(CASE t WHEN 25 THEN 30 WHEN 20 THEN 90 WHEN 10 THEN 180
        WHEN 5 THEN 365 END AS INTEGER) AS DATE) AS estimated_close_date,
-  CASE WHEN emp >= 1000 THEN 'enterprise_sales' WHEN emp >= 200 THEN 'mid_market_sales' ELSE 'smb_sales' END
-    AS assigned_team,
-  'sql_new' AS status, false AS handoff_confirmed, {SQL_AS_OF} AS created_at, {SQL_AS_OF} AS qualified_at
-FROM (SELECT lead_id, {_EMP} AS emp, CAST({_BP['budget']} AS INTEGER) AS b, CAST({_BP['authority']} AS INTEGER) AS a,
-             CAST({_BP['need']} AS INTEGER) AS n, CAST({_BP['timeline']} AS INTEGER) AS t FROM raw_leads) x
-WHERE b + a + n + t >= 70
-""", "raw_leads"))(lambda s, d: K.to_sql_leads(S.score_bant(fx.raw_leads(s, d), as_of=AS_OF,
-                                                            keep=["lead_id"]), AS_OF))
+  'Evaluation at ' || coalesce(company, 'unknown') AS use_case_summary,
+  CASE WHEN k % 4 = 0 THEN 'incumbent vendor' END AS competitive_context,
+  CASE WHEN deal = '$200K+' THEN 'executive_briefing' ELSE 'discovery_call' END AS next_step, x.assigned_team,
+  coalesce(bt.r, ba.r).rep_id AS assigned_rep_id, coalesce(bt.r, ba.r).name AS assigned_rep_name,
+  coalesce(bt.r, ba.r).email AS assigned_rep_email,
+  CASE WHEN bt.r IS NOT NULL THEN 'team' WHEN ba.r IS NOT NULL THEN 'fallback_any_team' ELSE 'no_rep_available' END AS assignment_reason,
+  '1.0.0' AS agent_version, CASE WHEN k % 7 <> 0 THEN 'BANT ' || total END AS agent_reasoning,
+  CASE WHEN k % 5 <> 0 THEN (32 + k % 33) / 64.0 ELSE 0.8 END AS confidence_score,
+  'sql_new' AS status, false AS handoff_confirmed
+FROM (SELECT *, b + a + n + t AS total,
+        CASE WHEN emp >= 1000 AND n >= 15 THEN '$200K+' WHEN emp >= 1000 THEN '$50K-$200K'
+             WHEN emp >= 200 THEN '$10K-$50K' ELSE '<$10K' END AS deal,
+        CASE WHEN emp >= 1000 THEN 'enterprise_sales' WHEN emp >= 200 THEN 'mid_market_sales' ELSE 'smb_sales' END AS assigned_team
+      FROM (SELECT lead_id, {_K} AS k, company, {_EMP} AS emp, CAST({_BP['budget']} AS INTEGER) AS b,
+                   CAST({_BP['authority']} AS INTEGER) AS a, CAST({_BP['need']} AS INTEGER) AS n,
+                   CAST({_BP['timeline']} AS INTEGER) AS t FROM raw_leads) y) x
+LEFT JOIN bt ON bt.team = x.assigned_team CROSS JOIN ba
+WHERE total >= 70
+""", "raw_leads", "sales_reps"))(lambda s, d: K.to_sql_leads(sql_scored(s, d), AS_OF, fx.sales_reps(s, d)))
 
 
 # ----------------------------------------------------------------- S9, S10, S13, S14

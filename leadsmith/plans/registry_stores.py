@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from ..operators import increments as N
 from ..operators import lifecycle as L
+from ..operators import reports as R
 from ..session import staged
 from ..sources import fixtures as fx
+from ..sources import sinks as K
 from ..sources import stores as T
 from ..streaming.streams import scratch
 from .oracle import with_tables
-from .registry import AS_OF, _summary_sql, register
+from .registry import AS_OF, _PREV_SQL, _summary_sql, register
 from .registry_lifecycle import QUALIFY_COLS, QUALIFY_SQL
 from .registry_policies import DUP_SQL, approvals
 from .registry_rules import END, review_answers
@@ -110,3 +112,27 @@ def _qualify_increment(s, d):
 
 
 register("qualify_increment", QUALIFY_SQL)(_qualify_increment)
+
+
+# ----------------------------------------------------------------- A20 from sketches
+
+def _duration_sketch(s, d):
+    """Sketches written in two goes, by month of the event, and rolled up without the log."""
+    path = scratch(s, "duration-sketch")
+    sketches = R.duration_sketches(fx.lead_events(s, d)).withColumn("month", F.trunc("day", "month"))
+    late = F.col("month") >= "1996-01-01"
+    for part in (sketches.where(~late), sketches.where(late)):
+        K.write_partitioned(part.repartition("month"), path, ["month"])
+    return R.sketch_quantiles(s.read.parquet(path))
+
+
+_SHIFT = f"greatest(0, length(bin(seconds)) - {R.SKETCH_BITS + 1})"
+register("stage_duration_sketch", with_tables(f"""
+SELECT prev_type, event_type, count(*) AS transitions, CAST(min(low) FILTER (WHERE upto * 2 >= total) AS BIGINT) AS p50_seconds,
+       CAST(min(low) FILTER (WHERE upto * 10 >= total * 9) AS BIGINT) AS p90_seconds
+FROM (SELECT prev_type, event_type, (seconds >> {_SHIFT}) << {_SHIFT} AS low,
+             row_number() OVER (PARTITION BY prev_type, event_type ORDER BY seconds) AS upto,
+             count(*) OVER (PARTITION BY prev_type, event_type) AS total
+      FROM ({_PREV_SQL}) x WHERE prev_type IS NOT NULL) y
+GROUP BY prev_type, event_type
+""", "lead_events"))(_duration_sketch)
