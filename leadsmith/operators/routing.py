@@ -75,10 +75,18 @@ def rep_slots(reps: DataFrame) -> DataFrame:
     return r.withColumn("_n", F.col("_n").cast("long"))
 
 
+def _arrival_ranks(leads: DataFrame, team_col: str, order_col: str) -> DataFrame:
+    """Rank leads inside their team by time of arrival (then id), over hour buckets."""
+    r = bucketed_row_number(leads, [team_col], [order_col, "lead_id"], F.date_trunc("hour", order_col), out="_n")
+    return r.withColumn("_n", F.col("_n").cast("long"))
+
+
 def assign_balanced(leads: DataFrame, reps: DataFrame, team_col: str = "assigned_team",
-                    digits: int = RANK_DIGITS) -> DataFrame:
+                    digits: int = RANK_DIGITS, order_col: str | None = None) -> DataFrame:
     """Give a whole batch of leads to reps so loads grow as leads are assigned.
 
+    Leads of a team are served in an order without meaning (the hash of their id), or by ``order_col``, a time.
+
     Leads numbered 1..N inside their team meet free slots numbered 1..S inside the same team.
     Leads beyond their team's slots (or without a team) are numbered on across the teams and meet
     the slots that no team's own leads need, least loaded first; no rep goes past its capacity, and
@@ -86,7 +94,8 @@ def assign_balanced(leads: DataFrame, reps: DataFrame, team_col: str = "assigned
     the numbered leads are staged once, and offsets come from one row per team.
     """
     cols = leads.columns
-    ranked = staged(_lead_ranks(leads, team_col, digits), "balanced-ranks")
+    ranked = _arrival_ranks(leads, team_col, order_col) if order_col else _lead_ranks(leads, team_col, digits)
+    ranked = staged(ranked, "balanced-ranks")
     slots = rep_slots(reps).withColumnRenamed("team", team_col)
     wanted = ranked.groupBy(team_col).agg(F.max("_n").alias("_wanted"))
     free = slots.groupBy(team_col).agg(F.max("_n").alias("_free"))

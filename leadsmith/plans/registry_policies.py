@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT
 from ..functions.common import spread
+from ..operators import payloads as P2
 from ..operators import policies as P
 from ..operators import scoring as S
 from ..operators import screening as W
@@ -113,6 +114,39 @@ SELECT doc_id, {_mask_sql('text')} AS text FROM documents
                              fields=["text"]))
 
 
+def nested_payloads(s, d):
+    """Lead payloads as nested JSON: contact details, tags, a card number as a number for every 5th lead."""
+    k = _k()
+    card = F.when(k % 5 == 0, F.lit(4_000_000_000_000_000) + k)
+    body = F.struct(F.struct("email", "phone").alias("contact"), F.array(F.col("message"), F.col("company")).alias("texts"),
+                    F.struct(card.alias("card"), k.alias("order")).alias("billing"), (k % 2 == 0).alias("agreed"))
+    return fx.raw_leads(s, d).select("lead_id", F.to_json(body, {"ignoreNullFields": "false"}).alias("raw_payload"))
+
+
+def _masked_payloads(s, d):
+    m = P2.mask_payloads(nested_payloads(s, d))
+    return m.select("lead_id", "raw_payload", F.size("pii_found").alias("n_found"), "payload_parsed")
+
+
+def _hit_sql(col: str) -> str:
+    """How many pattern kinds replace something in a column, the patterns one after another."""
+    v, n = col, []
+    for t, p, _, _ in _CFG["pii_patterns"]:
+        n.append(f"CASE WHEN coalesce(regexp_matches({v}, {O.q('(?i)' + p)}), false) THEN 1 ELSE 0 END")
+        v = f"regexp_replace({v}, {O.q('(?i)' + p)}, {O.q(f'[REDACTED:{t}]')}, 'g')"
+    return "(" + " + ".join(n) + ")"
+
+
+register("pii_mask_payload", with_tables(f"""
+SELECT lead_id, to_json(struct_pack(
+    contact := struct_pack(email := {_mask_sql('email')}, phone := {_mask_sql('phone')}), texts := [{_mask_sql('message')}, {_mask_sql('company')}],
+    billing := struct_pack(card := CASE WHEN k % 5 = 0 THEN {_mask_sql('card')} END, "order" := k), agreed := k % 2 = 0)) AS raw_payload,
+  CAST({' + '.join(_hit_sql(c) for c in ('email', 'phone', 'message', 'company', 'card'))} AS INTEGER) AS n_found, true AS payload_parsed
+FROM (SELECT *, CASE WHEN k % 5 = 0 THEN CAST(4000000000000000 + k AS VARCHAR) END AS card
+      FROM (SELECT *, CAST(regexp_extract(lead_id, '[0-9]+$') AS BIGINT) AS k FROM raw_leads) x) y
+""", "raw_leads"))(_masked_payloads)
+
+
 # ----------------------------------------------------------------- P6
 
 def approvals(s, d):

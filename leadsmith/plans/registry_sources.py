@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import lifecycle as L
 from ..operators import scoring as S
+from ..operators import screening as W
+from ..session import ensure_checkpoint_dir
 from ..sources import fixtures as fx
 from ..sources import intake as I
+from ..sources import reps
 from ..sources import sinks as K
 from . import oracle_rules as O
 from .oracle import with_tables
 from .registry import AS_OF, SQL_AS_OF, register
+from .registry_rules import END
 
 _K = "CAST(regexp_extract(lead_id, '[0-9]+$') AS BIGINT)"
 PAYLOAD_FIELDS = [f for f in I.LEAD_FIELDS if f in (
@@ -425,6 +431,66 @@ FROM (
 """, "raw_leads"))(lambda s, d: I.parse_bant_results(bant_answers(s, d)))
 
 
+def form_answers(s, d):
+    """Form-stage answers beside the lead's fields and its rule screening; some missing, malformed, incomplete or out of range."""
+    k = _k()
+    sc = W.screen_leads(fx.raw_leads(s, d), end_col=END, keep=["lead_id", *I.FORM_NAMES])
+    body = F.to_json(F.struct(
+        F.upper("first_name").alias("normalized_first_name"), F.upper("last_name").alias("normalized_last_name"),
+        F.coalesce("company", F.lit("")).alias("normalized_company"), F.coalesce("job_title", F.lit("")).alias("normalized_job_title"),
+        F.col("industry").alias("normalized_industry"), F.when(k % 11 == 2, "burning").otherwise("high").alias("detected_intent"),
+        F.when(k % 11 != 3, F.array(F.lit("budget"))).alias("intent_signals"), F.when(k % 11 == 4, 101).otherwise(F.col("bot_score")).alias("bot_risk_score"),
+        F.lit("low").alias("bot_risk_level"), F.col("flags").alias("bot_risk_reasons"), F.col("quality_score").alias("lead_quality_score"),
+        F.col("flags").alias("red_flags"), F.lit("accept").alias("recommendation")))
+    return sc.select("lead_id", *I.FORM_NAMES, "bot_score", "flags", _spoilt(body, k).alias("answer"))
+
+
+_FORM_OK = f"({_K} % 11 NOT IN (0, 1))"
+register("parse_form_results", with_tables(f"""
+SELECT lead_id, CASE WHEN ok THEN upper(first_name) ELSE coalesce(first_name, '') END AS normalized_first_name,
+  CASE WHEN ok THEN upper(last_name) ELSE coalesce(last_name, '') END AS normalized_last_name,
+  coalesce(company, '') AS normalized_company, coalesce(job_title, '') AS normalized_job_title,
+  CASE WHEN ok THEN industry ELSE coalesce(industry, '') END AS normalized_industry,
+  CASE WHEN NOT ok THEN 'unclear' WHEN k = 2 THEN 'burning' ELSE 'high' END AS detected_intent,
+  CASE WHEN NOT ok THEN []::VARCHAR[] WHEN k <> 3 THEN ['budget'] END AS intent_signals,
+  CAST(CASE WHEN ok AND k = 4 THEN 101 ELSE bot_score END AS INTEGER) AS bot_risk_score,
+  CASE WHEN ok THEN 'low' ELSE {O.risk_level('bot_score')} END AS bot_risk_level, flags AS bot_risk_reasons,
+  CAST(CASE WHEN ok THEN quality_score ELSE 50 END AS INTEGER) AS lead_quality_score, flags AS red_flags,
+  CAST(NULL AS VARCHAR) AS enrichment_notes, CASE WHEN ok THEN 'accept' ELSE 'review' END AS recommendation,
+  NOT ok AS used_fallback, k NOT IN (2, 3, 4) AS valid,
+  CASE k WHEN 2 THEN ['detected_intent_invalid'] WHEN 3 THEN ['intent_signals_required'] WHEN 4 THEN ['bot_risk_score_out_of_range']
+         ELSE []::VARCHAR[] END AS errors
+FROM (SELECT lead_id, {_K} % 11 AS k, {_FORM_OK} AS ok, {', '.join(I.FORM_NAMES)}, {O.screen_select(end=END)} FROM raw_leads) x
+""", "raw_leads"))(lambda s, d: I.parse_form_results(form_answers(s, d)))
+
+
+# ----------------------------------------------------------------- S11
+
+def _roster(s, d):
+    """The roster as stored, as seeded, and as assumed where the table is missing."""
+    base = f"{ensure_checkpoint_dir(s).rstrip('/')}/roster-{uuid.uuid4().hex}"
+    fx.sales_reps(s, d).write.parquet(f"{base}/reps")
+    cols = ["rep_id", "first_name", "last_name", "email", "team", "is_active", "current_load", "max_load"]
+    kinds = {"stored": reps.load_reps(s, f"{base}/reps"), "seeded": reps.seed_reps(s), "assumed": reps.load_reps(s, f"{base}/none")}
+    out = None
+    for kind, df in kinds.items():
+        own = df.select(F.lit(kind).alias("roster"), *cols)
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def _reps_sql(kind: str, rows: list) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{kind}' AS roster, " + ", ".join(f"'{v}' AS {c}" for c, v in zip(("rep_id", "first_name", "last_name", "email", "team"), r[:5]))
+        + f", {r[7]} AS is_active, {r[8]}::INTEGER AS current_load, {r[9]}::INTEGER AS max_load" for r in rows)
+
+
+register("rep_load", with_tables(f"""
+SELECT 'stored' AS roster, rep_id, first_name, last_name, email, team, is_active, current_load, max_load FROM sales_reps
+UNION ALL {_reps_sql('seeded', reps.SEED_REPS)} UNION ALL {_reps_sql('assumed', reps.FALLBACK_REPS)}
+""", "sales_reps"))(_roster)
+
+
 # ----------------------------------------------------------------- F6
 
 register("lead_status_rows", with_tables("""

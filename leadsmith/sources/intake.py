@@ -181,3 +181,40 @@ def parse_mql_results(answers: DataFrame, col: str = "answer", key: str = "lead_
         (F.size(errors) == 0).alias("valid"),
         errors.alias("errors"),
     )
+
+
+FORM_INTENTS, FORM_LEVELS, FORM_ADVICE = ["high", "medium", "low", "unclear"], ["low", "medium", "high", "critical"], ["accept", "reject", "review"]
+FORM_NAMES = ["first_name", "last_name", "company", "job_title", "industry"]
+FORM_RESULT_SCHEMA = T.StructType(
+    [T.StructField(f"normalized_{f}", S) for f in FORM_NAMES] + [T.StructField("detected_intent", S), T.StructField("intent_signals", T.ArrayType(S)),
+     T.StructField("bot_risk_score", T.IntegerType()), T.StructField("bot_risk_level", S), T.StructField("bot_risk_reasons", T.ArrayType(S)),
+     T.StructField("lead_quality_score", T.IntegerType()), T.StructField("red_flags", T.ArrayType(S)), T.StructField("enrichment_notes", S),
+     T.StructField("recommendation", S)])
+#: Fields an answer of the form stage must give (the normalised industry and the notes may be missing).
+FORM_REQUIRED = [f.name for f in FORM_RESULT_SCHEMA if f.name not in ("normalized_industry", "enrichment_notes")]
+
+
+def parse_form_results(answers: DataFrame, col: str = "answer", key: str = "lead_id", cfg: dict | None = None) -> DataFrame:
+    """S15, form stage: ``answers`` holds the lead's own fields and the rule screening's ``bot_score`` and ``flags`` beside the answer.
+
+    A missing or unparsable answer takes the fallback: the lead's own values, the rule score with its level, the rule
+    flags as reasons, quality 50, intent unclear, review.  A missing field, an unknown value or a score outside
+    0..100 marks the row invalid."""
+    from ..operators.screening import risk_level
+
+    whole = T.StructType(FORM_RESULT_SCHEMA.fields + [T.StructField("_corrupt", S)])
+    r = answers.withColumn("r", F.from_json(F.col(col), whole, {"columnNameOfCorruptRecord": "_corrupt"}))
+    parsed = F.col("r").isNotNull() & F.col(col).isNotNull() & F.col("r._corrupt").isNull()
+    a = lambda f: F.col(f"r.{f}")
+    none, flags = F.array().cast("array<string>"), F.coalesce("flags", F.array().cast("array<string>"))
+    fallback = {f"normalized_{f}": F.coalesce(f, F.lit("")) for f in FORM_NAMES} | {
+        "detected_intent": F.lit("unclear"), "intent_signals": none, "bot_risk_score": F.col("bot_score").cast("int"),
+        "bot_risk_level": risk_level(F.col("bot_score"), cfg), "bot_risk_reasons": flags, "lead_quality_score": F.lit(50), "red_flags": flags,
+        "enrichment_notes": F.lit(None).cast("string"), "recommendation": F.lit("review")}
+    errors = compact([
+        *[F.when(parsed & a(f).isNull(), F.lit(f"{f}_required")) for f in FORM_REQUIRED],
+        *[F.when(parsed & ~a(f).isin(*known), F.lit(f"{f}_invalid")) for f, known in
+          (("detected_intent", FORM_INTENTS), ("bot_risk_level", FORM_LEVELS), ("recommendation", FORM_ADVICE))],
+        *[F.when(parsed & ~a(f).between(0, 100), F.lit(f"{f}_out_of_range")) for f in ("bot_risk_score", "lead_quality_score")]])
+    return r.select(key, *[F.when(parsed, a(f)).otherwise(v).alias(f) for f, v in fallback.items()],
+                    (~parsed).alias("used_fallback"), (F.size(errors) == 0).alias("valid"), errors.alias("errors"))

@@ -35,9 +35,12 @@ def stage_as_files(df: DataFrame, path: str) -> str:
     return path
 
 
-def run_available_now(sdf: DataFrame, name: str, mode: str = "append", keys: list[str] | None = None) -> DataFrame:
+def run_available_now(sdf: DataFrame, name: str, mode: str = "append", keys: list[str] | None = None,
+                      conf: dict[str, str] | None = None, progress: list | None = None) -> DataFrame:
     """Drain a streaming query (available-now trigger) into Parquet and return the result.
 
+    ``conf`` holds while the query starts (a state store, say); ``progress`` receives its progress reports.
+
     Each micro-batch owns one folder and overwrites it, so a batch run again after a failure
     leaves its rows once.  ``append`` returns all rows; ``update`` the newest row of each ``keys``.
     """
@@ -48,9 +51,18 @@ def run_available_now(sdf: DataFrame, name: str, mode: str = "append", keys: lis
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch_no={batch_id}")
 
-    q = (sdf.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    before = {k: spark.conf.get(k, None) for k in conf or {}}
+    for k, v in (conf or {}).items():
+        spark.conf.set(k, v)
+    try:
+        q = (sdf.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", ckpt)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    if progress is not None:
+        progress.extend(q.recentProgress)
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     rows = spark.read.schema(T.StructType([*sdf.schema.fields, T.StructField("batch_no", T.LongType())])).parquet(out)
