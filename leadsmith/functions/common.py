@@ -21,15 +21,17 @@ def ts(as_of: AsOf) -> Column:
 
 
 def spread(df):
-    """Give an input of a single split at least one partition per core.
+    """Give a small input one partition per core.
 
     A table stored as one row group would otherwise be processed (scan, joins against
-    broadcast dimensions, rule projections) by one task.  One split holds at most
-    ``spark.sql.files.maxPartitionBytes``; an input of more splits is never shuffled here.
+    broadcast dimensions, rule projections) by one task, however many splits its file is cut into.  An input
+    counts as small up to ``spark.sql.files.maxPartitionBytes``, what one split of a large table holds;
+    a larger one is never shuffled here.
     """
-    if df.rdd.getNumPartitions() > 1:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    spark = df.sparkSession
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    most = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(spark.sparkContext.defaultParallelism) if size <= most else df
 
 
 def days_before(as_of: AsOf, days: int) -> Column:

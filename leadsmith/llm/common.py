@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -58,7 +59,25 @@ def row_by_row(docs: DataFrame, given: dict[str, str], fn: Callable[[pd.DataFram
     return rows.mapInArrow(run, T.StructType([*own.fields, *rows.schema.fields[n_only:]]))
 
 
-def forget(cache: dict, fresh: dict, longest: int = 64, most: int = CACHE_WORDS) -> None:
+_held: dict[str, object] = {}
+
+
+def held(owner: str, make: Callable[[], object]):
+    """What one operator keeps in a worker between batches (tokenisers, words met before).
+
+    Workers are reused by later stages: another operator's first call drops what was held and gives the
+    memory back, so that a pipeline's worker holds one operator's words at a time."""
+    if owner not in _held:
+        if _held:
+            _held.clear()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+        _held[owner] = make()
+    return _held[owner]
+
+
+def forget(cache: dict, fresh: Iterable, longest: int = 64, most: int = CACHE_WORDS) -> None:
     """Take just added words out again if the cache is full or they are very long (a speed matter only, never of results)."""
     full = len(cache) > most
     for key in fresh:

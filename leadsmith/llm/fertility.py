@@ -8,7 +8,7 @@ the band of its language, or of its script where the language has no band of its
 and if it passes the base rules (at least ``MIN_WORDS`` words, at most half of them in
 repeated three-word windows).
 
-Words are measured once each and kept in a bounded per-worker cache; the text is one Arrow
+Words are measured once each and kept in a bounded per-worker table; the text is one Arrow
 pass without a shuffle.  Defined results: a null or empty text has no words, all counts are
 zero, the figures are null and it fails the base rules; repeated rows each get the same
 answer; extra columns are ignored.
@@ -16,7 +16,7 @@ answer; extra columns are ignored.
 
 from __future__ import annotations
 
-from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadsmith.llm.common import forget, row_by_row
+from leadsmith.llm.common import blocks, held, row_by_row
 from leadsmith.llm.tokens import WordwiseTokenizer
 
 MIN_WORDS = 50
@@ -51,47 +51,81 @@ LANGUAGE_BANDS = {
 #: Code point ranges of the scripts that have bands.
 SCRIPTS = [("latin", 0x41, 0x24F), ("greek", 0x370, 0x3FF), ("cyrillic", 0x400, 0x52F), ("arabic", 0x600, 0x6FF),
            ("han", 0x3040, 0x30FF), ("han", 0x4E00, 0x9FFF), ("han", 0xAC00, 0xD7AF)]
-#: Distinct words are split in groups of this many to encode.
-AT_ONCE = 4096
-#: Words a worker keeps; words beyond them are measured again when met.
-CACHE_WORDS = 700_000
-_seen: dict[tuple, dict] = {}
-
-
-@lru_cache(2)
-def _vocabularies(piece_path: str, byte_path: str):
-    import sentencepiece
-
-    pieces = sentencepiece.SentencePieceProcessor(model_file=piece_path)
-    fallback = np.fromiter((pieces.is_byte(i) for i in range(len(pieces))), bool)
-    return pieces, fallback, WordwiseTokenizer(byte_path, "byte_level")
-
-
-def measure_words(words: list[str], piece_path: str, byte_path: str) -> dict[str, tuple[bytes, int, int]]:
-    """word -> (piece ids as uint32 bytes, byte-fallback pieces, byte-level tokens)."""
-    pieces, fallback, byte_level = _vocabularies(piece_path, byte_path)
-    out = {}
-    for at in range(0, len(words), AT_ONCE):
-        part = words[at:at + AT_ONCE]
-        ids = pieces.encode(part, num_threads=1)
-        tokens = byte_level.encode_words(part)
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((x for i in ids for x in i), np.uint32, int(lengths.sum()))
-        raw, fell, start = flat.tobytes(), np.concatenate([[0], np.cumsum(fallback[flat])]), 0
-        for w, n in zip(part, lengths.tolist()):
-            out[w] = (raw[4 * start:4 * (start + n)], int(fell[start + n] - fell[start]), len(tokens[w]) // 4)
-            start += n
+SCRIPT_NAMES = list(dict.fromkeys(name for name, _, _ in SCRIPTS))
+#: Distinct words are encoded in groups of this many.
+AT_ONCE = 16384
+#: Words, and their characters, that a worker keeps at most; words beyond them are measured again when met.
+MOST_WORDS, MOST_CHARS = 700_000, 32_000_000
+
+
+def filled(column: np.ndarray, n: int, more: np.ndarray) -> np.ndarray:
+    """``more`` written behind the first n entries of a column, which grows by half when it is full."""
+    if n + len(more) > len(column):
+        column = np.concatenate([column[:n], np.zeros((max(len(more), n // 2 + 1024), *column.shape[1:]), column.dtype)])
+    column[n:n + len(more)] = more
+    return column
+
+
+class Words:
+    """Numbers words met by a worker and keeps their figures as columns by that number."""
+
+    def __init__(self, piece_path: str, byte_path: str):
+        import sentencepiece
+
+        self.pieces = sentencepiece.SentencePieceProcessor(model_file=piece_path)
+        self.is_byte = np.fromiter((self.pieces.is_byte(i) for i in range(len(self.pieces))), bool)
+        self.byte_level = WordwiseTokenizer(byte_path, "byte_level")
+        self.number: dict[str, int] = {}
+        self.ids = np.zeros(0, np.uint16 if len(self.pieces) <= 1 << 16 else np.uint32)  # pieces of all words, one after another
+        self.first = np.zeros(0, np.int64)
+        #: characters, pieces, byte-fallback pieces, byte-level tokens, letters of each script
+        self.figures = np.zeros((0, 4 + len(SCRIPT_NAMES)), np.int32)
+        self.n_ids = self.n_chars = 0
+
+    def _add(self, part: list[str]) -> None:
+        own = self.pieces.encode(part, num_threads=1)
+        lengths = np.fromiter(map(len, own), np.int64, len(own))
+        flat = np.fromiter(chain.from_iterable(own), np.uint32, int(lengths.sum()))
+        fell, ends = np.concatenate([[0], np.cumsum(self.is_byte[flat])]), np.cumsum(lengths)
+        chars = np.fromiter(map(len, part), np.int64, len(part))
+        n = len(self.number)
+        self.first = filled(self.first, n, self.n_ids + ends - lengths)
+        self.figures = filled(self.figures, n, np.column_stack([chars, lengths, fell[ends] - fell[ends - lengths],
+                                                               self.byte_level.count_words(part), letters_by_script(part, chars)]))
+        self.ids = filled(self.ids, self.n_ids, flat)
+        self.number.update(zip(part, range(n, n + len(part))))
+        self.n_ids, self.n_chars = self.n_ids + len(flat), self.n_chars + int(chars.sum())
+
+    def measured(self, texts: list[str | None], split: list[list[str]]) -> list[tuple]:
+        """The figures of texts, of which ``split`` holds the words; new words are measured first."""
+        before = len(self.number), self.n_ids, self.n_chars
+        fresh = list(set().union(*split).difference(self.number))
+        for part in blocks(fresh, AT_ONCE):
+            self._add(part)
+        rows = [_measure(t, np.fromiter(map(self.number.__getitem__, s), np.int64, len(s)), self) for t, s in zip(texts, split)]
+        if len(self.number) > MOST_WORDS or self.n_chars > MOST_CHARS:
+            for w in fresh:
+                del self.number[w]
+            _, self.n_ids, self.n_chars = before
+        return rows
+
+
+def letters_by_script(words: list[str], chars: np.ndarray) -> np.ndarray:
+    """Letters of each script per word (of so many characters)."""
+    c = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    starts = np.cumsum(chars) - chars
+    out = np.zeros((len(words), len(SCRIPT_NAMES)), np.int64)
+    for name, lo, hi in SCRIPTS:
+        out[:, SCRIPT_NAMES.index(name)] += np.add.reduceat((c >= lo) & (c <= hi), starts, dtype=np.int64)
     return out
 
 
-def script_of(words) -> str:
-    """Script with most letters among the given words."""
-    c = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
-    n: dict[str, int] = {}
-    for name, lo, hi in SCRIPTS:
-        n[name] = n.get(name, 0) + int(((c >= lo) & (c <= hi)).sum())
-    best = max(n, key=n.get)
-    return best if n[best] * 2 > len(c) or n[best] and best != "latin" else ("latin" if n["latin"] else "other")
+def script_of(letters: np.ndarray, chars: int) -> str:
+    """Script with most letters among a text's distinct words."""
+    best = int(letters.argmax())
+    if letters[best] * 2 > chars or letters[best] and SCRIPT_NAMES[best] != "latin":
+        return SCRIPT_NAMES[best]
+    return "latin" if letters[SCRIPT_NAMES.index("latin")] else "other"
 
 
 def repeat_words(codes: np.ndarray, distinct: int) -> int:
@@ -113,27 +147,21 @@ def repeat_words(codes: np.ndarray, distinct: int) -> int:
     return int(covered.sum())
 
 
-def _measure(text: str | None, split: list[str], known: dict) -> tuple:
+def _measure(text: str | None, codes: np.ndarray, words: Words) -> tuple:
     text = text or ""
-    number: dict[str, int] = {}
-    codes = np.fromiter((number.setdefault(w, len(number)) for w in split), np.int64, len(split))
     lines = [x for x in text.split("\n") if x.strip(SPACE)]
-    chars = len(text) - sum(map(text.count, SPACE))
-    base = (len(split), chars, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeat_words(codes, len(number)))
-    if not split:
+    own, times = np.unique(codes, return_counts=True)
+    figures = words.figures[own].astype(np.int64)
+    chars, total, fallback, tokens = (int((times * figures[:, i]).sum()) for i in range(4))
+    base = (len(codes), chars, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeat_words(codes, len(words.number)))
+    if not len(codes):
         return *base, None, None, None, None, "none"
-    times = np.bincount(codes)
-    found = [known[w] for w in number]
-    ids = np.frombuffer(b"".join(x[0] for x in found), np.uint32)
-    per_word = np.fromiter((len(x[0]) // 4 for x in found), np.int64, len(found))
-    weight = np.repeat(times, per_word)
-    total = int(weight.sum())
-    seen = np.bincount(ids, weights=weight)
+    per_word = figures[:, 1]
+    at = np.repeat(words.first[own] - (np.cumsum(per_word) - per_word), per_word) + np.arange(int(per_word.sum()))
+    seen = np.bincount(words.ids[at], weights=np.repeat(times, per_word))
     p = seen[seen > 0] / max(1, total)
-    tokens = int((times * np.fromiter((x[2] for x in found), np.int64, len(found))).sum())
-    fallback = int((times * np.fromiter((x[1] for x in found), np.int64, len(found))).sum())
     return (*base, chars / max(1, total), fallback / max(1, total), float(-(p * np.log2(p)).sum()) + 0.0,
-            chars / max(1, tokens), script_of(number))
+            chars / max(1, tokens), script_of(figures[:, 4:].sum(axis=0), int(figures[:, 0].sum())))
 
 
 SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -143,15 +171,11 @@ SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
 def fertility(docs: DataFrame, piece_path: str, byte_path: str, id_col: str = "doc_id", keep: tuple[str, ...] | list[str] = ()) -> DataFrame:
     """Base counts and fertility figures per row, and the columns ``keep`` of the row as _row_<name>."""
     def run(b: pd.DataFrame) -> pd.DataFrame:
-        cache = _seen.setdefault((piece_path, byte_path), {})
+        known = held(f"fertility {piece_path} {byte_path}", lambda: Words(piece_path, byte_path))
         # words as bytes.split() finds them: ASCII space only
-        split = [[w.decode("utf-8", "surrogatepass") for w in (t or "").encode("utf-8", "surrogatepass").split()]
-                 if t and not t.isascii() else (t or "").encode().split() for t in b["t"]]
-        split = [s if not s or isinstance(s[0], str) else b" ".join(s).decode().split(" ") for s in split]
-        fresh = measure_words(list(set().union(*split).difference(cache)), piece_path, byte_path)
-        cache.update(fresh)
-        rows = [_measure(t, s, cache) for t, s in zip(b["t"], split)]
-        forget(cache, fresh, most=CACHE_WORDS)
+        split = [(t or "").encode("utf-8", "surrogatepass").split() for t in b["t"]]
+        split = [b" ".join(s).decode("utf-8", "surrogatepass").split(" ") if s else [] for s in split]
+        rows = known.measured(list(b["t"]), split)
         return pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                            "piece_chars", "fallback", "entropy", "byte_chars", "script"])
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")

@@ -9,7 +9,7 @@ reader can decompress the file; ours opens the tail, finds the frames of the doc
 for and decompresses and checks only those.
 
 Writing: one range partitioning by id, then one streaming pass that encodes and writes a
-file per partition into the shared folder.  A retried task writes another file, and only
+file per partition (several, if it is large) into the shared folder.  A retried task writes another file, and only
 files named in the manifest count.  Tokens before a file are a running sum over the
 manifest, one row per file.
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import struct
 import uuid
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -35,6 +36,8 @@ from leadsmith.llm.common import shared_folder
 from leadsmith.llm.tokens import tokenizer
 
 FRAME_IDS = 1 << 20
+#: A task starts another file after so many documents or ids, so that a file's index stays small.
+FILE_DOCS, FILE_IDS = 1 << 20, 1 << 28
 # fixed values of the seekable format
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEK_MAGIC, CHECKSUM_FLAG = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 #: Stands for a null id in the document index.
@@ -55,21 +58,24 @@ class Writer:
 
     def __init__(self, out, level: int = 3):
         self.out, self.compressor = out, zstandard.ZstdCompressor(level=level, write_content_size=True)
-        self.frames: list[tuple[int, int, int]] = []
-        self.docs: list[tuple[int, int, int]] = []
+        self.frames, self.docs = array("I"), array("q")  # three numbers each
+        self.n_docs = self.n_frames = self.n_ids = 0
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
-        self.docs.append((NO_ID if doc_id is None else doc_id, len(ids) // 4, len(self.frames)))
+        self.docs.extend((NO_ID if doc_id is None else doc_id, len(ids) // 4, self.n_frames))
+        self.n_docs, self.n_ids = self.n_docs + 1, self.n_ids + len(ids) // 4
         for at in range(0, len(ids), 4 * FRAME_IDS):
             raw = ids[at:at + 4 * FRAME_IDS]
             packed = self.compressor.compress(raw)
             self.out.write(packed)
-            self.frames.append((len(packed), len(raw), xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF))
+            self.frames.extend((len(packed), len(raw), xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF))
+            self.n_frames += 1
 
     def close(self) -> None:
-        index = struct.pack("<Q", len(self.docs)) + np.array(self.docs, "<i8").reshape(-1, 3).T.tobytes()
+        index = struct.pack("<Q", self.n_docs) + np.array(self.docs, "<i8").reshape(-1, 3).T.tobytes()
         self.out.write(struct.pack("<II", SKIPPABLE_INDEX, len(index)) + index)
-        table = np.array([*self.frames, (len(index) + 8, 0, xxhash.xxh64_intdigest(b"") & 0xFFFFFFFF)], "<u4")
+        self.frames.extend((len(index) + 8, 0, xxhash.xxh64_intdigest(b"") & 0xFFFFFFFF))
+        table = np.array(self.frames, "<u4").reshape(-1, 3)
         self.out.write(struct.pack("<II", SKIPPABLE_SEEK, table.nbytes + 9) + table.tobytes()
                        + struct.pack("<IBI", len(table), CHECKSUM_FLAG, SEEK_MAGIC))
 
@@ -78,7 +84,7 @@ class Reader:
     """Random access to the documents of one file."""
 
     def __init__(self, source):
-        self.source = source
+        self.source, self.decompressor = source, zstandard.ZstdDecompressor()
         size = source.size()
         n, flags, magic = struct.unpack("<IBI", self._at(size - 9, 9))
         if magic != SEEK_MAGIC or not flags & CHECKSUM_FLAG:
@@ -98,18 +104,18 @@ class Reader:
         last = self.first[i] + -(-int(self.lengths[i]) // FRAME_IDS)
         out = []
         for f in range(int(self.first[i]), int(last)):
-            raw = zstandard.ZstdDecompressor().decompress(self._at(int(self.starts[f]), int(self.table[f, 0])))
+            raw = self.decompressor.decompress(self._at(int(self.starts[f]), int(self.table[f, 0])))
             if len(raw) != self.table[f, 1] or xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF != self.table[f, 2]:
                 raise ValueError(f"frame {f} does not match its checksum")
             out.append(raw)
         return b"".join(out)
 
 
-MANIFEST = "part int, path string, n_docs long, n_ids long, first_id long, last_id long"
+MANIFEST = "part int, seq int, path string, n_docs long, n_ids long, first_id long, last_id long"
 
 
 def write(docs: DataFrame, vocabulary: str, folder: str | None = None, end_id: int = 1, files: int | None = None,
-          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+          id_col: str = "doc_id", text_col: str = "text", file_docs: int = FILE_DOCS, file_ids: int = FILE_IDS) -> DataFrame:
     """Encode and write all documents; the manifest, one row per file, with the ids before each file."""
     spark = docs.sparkSession
     folder = folder or shared_folder(spark, "token-ids")
@@ -121,7 +127,16 @@ def write(docs: DataFrame, vocabulary: str, folder: str | None = None, end_id: i
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        out, writer, total = None, None, 0
+        out = writer = None
+        seq, task = 0, TaskContext.get().partitionId()
+
+        def closed() -> pd.DataFrame:
+            writer.close()
+            out.close()
+            own = writer.docs[::3]
+            return pd.DataFrame([(task, seq, path if folder.startswith(("/", "file:")) else f"{folder}/{path.rsplit('/', 1)[1]}",
+                                  writer.n_docs, writer.n_ids, own[0], own[-1])],
+                                columns=["part", "seq", "path", "n_docs", "n_ids", "first_id", "last_id"])
         for b in batches:
             for at in range(0, len(b), 256):
                 part = b.iloc[at:at + 256]
@@ -132,19 +147,16 @@ def write(docs: DataFrame, vocabulary: str, folder: str | None = None, end_id: i
                     writer = Writer(out)
                 for i, ids in zip(part["i"], tokenizer(vocabulary, "word").encode(list(part["t"]))):
                     writer.add(None if pd.isna(i) else int(i), ids + end)
-                    total += len(ids) // 4 + 1
+                if writer and (writer.n_docs >= file_docs or writer.n_ids >= file_ids):
+                    yield closed()
+                    seq, writer = seq + 1, None
         if writer:
-            writer.close()
-            out.close()
-            own = [d[0] for d in writer.docs]
-            yield pd.DataFrame([(TaskContext.get().partitionId(), path if folder.startswith(("/", "file:")) else f"{folder}/{path.rsplit('/', 1)[1]}",
-                                 len(own), total, own[0], own[-1])],
-                               columns=["part", "path", "n_docs", "n_ids", "first_id", "last_id"])
+            yield closed()
     rows = sorted(map(tuple, ordered.mapInPandas(run, MANIFEST).collect()))
     before, out = 0, []
     for r in rows:
         out.append((*r, before))
-        before += r[3]
+        before += r[4]
     return spark.createDataFrame(out, MANIFEST + ", ids_before long")
 
 
@@ -166,7 +178,7 @@ def read(spark: SparkSession, manifest: DataFrame, wanted: Iterable[int] | None
                     for group in np.array_split(at, max(1, -(-len(at) // 256))):
                         yield pd.DataFrame({"doc_id": pd.array([None if f.ids[i] == NO_ID else int(f.ids[i]) for i in group], "Int64"),
                                             "start": start[group], "n_tokens": f.lengths[group], "ids": [f.document(int(i)) for i in group]})
-    spread = manifest.repartition(max(1, manifest.count()), "part")
+    spread = manifest.repartition(max(1, manifest.count()))  # a file a task
     return spread.mapInPandas(run, "doc_id long, start long, n_tokens long, ids binary")
 
 

@@ -107,20 +107,21 @@ def _pii_hits(df_columns: list[str], cfg: dict, fields: Sequence[str] | None):
     return out
 
 
-def pii_finding_array(df: DataFrame, cfg: dict | None = None, fields: Sequence[str] | None = None) -> Column:
-    """All (field, type, severity, action) hits of the row, in field x pattern order."""
-    p = _p(cfg)
-    return compact([F.when(hit, F.struct(F.lit(f).alias("field"), F.lit(t).alias("pii_type"),
-                                         F.lit(sev).alias("severity"), F.lit(act).alias("action")))
-                    for f, t, sev, act, hit in _pii_hits(df.columns, p, fields)],
-                   "struct<field:string,pii_type:string,severity:string,action:string>")
+def _with_hits(df: DataFrame, key: str, hits) -> tuple[DataFrame, list]:
+    """The key with one boolean per hit, in a projection of its own: every pattern runs once a row, however often
+    its hit is used.  The hits come back as references to these columns."""
+    out = [(f, t, sev, act, F.col(f"_hit{i}")) for i, (f, t, sev, act, _) in enumerate(hits)]
+    return df.select(key, *[h[4].alias(f"_hit{i}") for i, h in enumerate(hits)]), out
 
 
 def pii_findings(df: DataFrame, key: str = "lead_id", cfg: dict | None = None,
                  fields: Sequence[str] | None = None) -> DataFrame:
-    """Long form, one row per finding (a narrow projection + explode)."""
-    return (df.select(key, F.explode(pii_finding_array(df, cfg, fields)).alias("f"))
-            .select(key, "f.field", "f.pii_type", "f.severity", "f.action"))
+    """Long form, one row per finding in field x pattern order (a narrow projection + explode)."""
+    rows, hits = _with_hits(df, key, _pii_hits(df.columns, _p(cfg), fields))
+    found = compact([F.when(hit, F.struct(F.lit(f).alias("field"), F.lit(t).alias("pii_type"),
+                                          F.lit(sev).alias("severity"), F.lit(act).alias("action")))
+                     for f, t, sev, act, hit in hits], "struct<field:string,pii_type:string,severity:string,action:string>")
+    return rows.select(key, F.explode(found).alias("f")).select(key, "f.field", "f.pii_type", "f.severity", "f.action")
 
 
 def pii_verdict_from_hits(hits, cfg: dict | None = None) -> tuple[Column, Column, Column]:
@@ -149,8 +150,9 @@ def pii_verdict(df: DataFrame, key: str = "lead_id", cfg: dict | None = None,
     if not enabled("pii_detection", cfg):
         return df.select(key, F.lit("allow").alias("pii_action"), F.lit(False).alias("pii_triggered"),
                          F.array().cast("array<string>").alias("pii_types"))
-    action, triggered, types = pii_verdict_from_hits(_pii_hits(df.columns, _p(cfg), fields), cfg)
-    return df.select(key, action.alias("pii_action"), triggered.alias("pii_triggered"),
+    rows, hits = _with_hits(df, key, _pii_hits(df.columns, _p(cfg), fields))
+    action, triggered, types = pii_verdict_from_hits(hits, cfg)
+    return rows.select(key, action.alias("pii_action"), triggered.alias("pii_triggered"),
                      types.alias("pii_types"))
 
 

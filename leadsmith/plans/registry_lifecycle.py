@@ -13,7 +13,7 @@ from ..sources import fixtures as fx
 from . import oracle_rules as O
 from .oracle import with_tables
 from .registry import AS_OF, SQL_AS_OF, register
-from .registry_policies import CALL_LOG_SQL, _pii_array_sql, approvals, LEAD_PII_FIELDS
+from .registry_policies import CALL_LOG_SQL, _pii_array_sql, approvals, hot_leads, hot_sql, LEAD_PII_FIELDS
 from .registry_rules import ANSWERS_SQL, END, review_answers
 
 _K = "CAST(regexp_extract(lead_id, '[0-9]+$') AS BIGINT)"
@@ -101,8 +101,8 @@ WHERE NOT s.handoff_confirmed
 
 # ----------------------------------------------------------------- F1-F6
 
-def qualified_run(s, d):
-    return L.qualify_leads(fx.raw_leads(s, d), fx.sales_reps(s, d), review_answers(s, d), approvals(s, d),
+def qualified_run(s, d, leads=None):
+    return L.qualify_leads(fx.raw_leads(s, d) if leads is None else leads, fx.sales_reps(s, d), review_answers(s, d), approvals(s, d),
                            AS_OF, END)
 
 
@@ -219,7 +219,7 @@ qa AS (
 
 QUALIFY_SQL = _qualify_sql(f"SELECT {', '.join(QUALIFY_COLS)} FROM qa")
 register("qualify_leads", QUALIFY_SQL)(lambda s, d: qualified_run(s, d).select(*QUALIFY_COLS))
-register("qualify_leads_hot", QUALIFY_SQL)(lambda s, d: qualified_run(s, d).select(*QUALIFY_COLS))
+register("qualify_leads_hot", hot_sql(QUALIFY_SQL))(lambda s, d: qualified_run(s, d, hot_leads(s, d)).select(*QUALIFY_COLS))
 register("final_status", _qualify_sql("SELECT final_status, count(*) AS leads FROM qa GROUP BY final_status"))(
     lambda s, d: qualified_run(s, d).groupBy("final_status").agg(F.count(F.lit(1)).alias("leads")))
 

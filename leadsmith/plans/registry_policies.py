@@ -14,7 +14,7 @@ from ..operators import scoring as S
 from ..operators import screening as W
 from ..sources import fixtures as fx
 from . import oracle_rules as O
-from .oracle import with_tables
+from .oracle import TABLES, with_tables
 from .registry import AS_OF, SQL_AS_OF, register
 
 _CFG = DEFAULT["policies"]
@@ -276,8 +276,21 @@ WHERE email IS NULL OR trim(email) = ''
 """, "raw_leads")
 
 register("duplicate_lookback", DUP_SQL)(lambda s, d: P.duplicate_lookback(fx.raw_leads(s, d)))
-register("duplicate_lookback_hot", DUP_SQL)(
-    lambda s, d: P.duplicate_lookback(fx.raw_leads(s, d)))
+def hot_leads(s, d):
+    """The leads with one email on every third of them."""
+    return fx.raw_leads(s, d).withColumn("email", F.when(_k() % 3 == 0, "hot@corp.example").otherwise(F.col("email")))
+
+
+def hot_sql(sql: str) -> str:
+    """An oracle over the hot leads: the table's definition stays, its readers take the hot one."""
+    hot = ("hot_leads AS (SELECT * REPLACE (CASE WHEN CAST(regexp_extract(lead_id, '[0-9]+$') AS BIGINT) % 3 = 0 "
+           "THEN 'hot@corp.example' ELSE email END AS email) FROM raw_leads),\n")
+    head, tail = sql.split(TABLES["raw_leads"], 1)
+    at = tail.index("),") + 2
+    return head + TABLES["raw_leads"] + tail[:at] + "\n" + hot + tail[at:].replace("FROM raw_leads", "FROM hot_leads")
+
+
+register("duplicate_lookback_hot", hot_sql(DUP_SQL))(lambda s, d: P.duplicate_lookback(hot_leads(s, d)))
 
 
 # ----------------------------------------------------------------- P10-P12
