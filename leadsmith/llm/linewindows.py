@@ -7,8 +7,8 @@ document id and then position, stays and every later one goes.  The covered posi
 a document's later occurrences are merged, and those lines leave its text.
 
 All of it is DataFrame functions.  Counts and first occurrences per window are
-pre-aggregated on the map side; occurrences meet them in a join that Spark can split for
-a hot window.  The text is read twice and shuffled at most once, by the final join.
+pre-aggregated on the map side; occurrences meet them in a hash join that Spark can split for
+a hot window.  The text is read three times, shuffled at most once, by the final join, and not sorted.
 
 Defined results: a document is its id with its text, so rows equal in both count as one
 document and get the same result; a null id sorts first; a null text stays null without
@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadsmith.llm.common import staged
+
 WINDOW = 3
 #: White space taken off the ends of a line before it is compared.
 BLANK = " \t\r\x0b\x0c"
@@ -50,19 +52,31 @@ def windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
 
 
 def later_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW, short: bool = False) -> DataFrame:
-    """Per document that loses lines: id, text hash, sorted window numbers of later occurrences."""
+    """Per document that loses lines: id, text hash, sorted window numbers of later occurrences.
+
+    Figures of fixed width tell whether a window has several places (id, text hash, number) and in which id the first
+    lies: a hash aggregate, without a sort of all windows.  The occurrences of repeated windows are staged;
+    only those in the first id are compared place by place."""
     w = windows(docs, id_col, text_col, width, short)
-    at = F.struct("id", "th", "w")
+    spread = [f(c).alias(f"{n}_{c}") for c in ("id", "th", "w") for f, n in ((F.min, "lo"), (F.max, "hi"))]
     # a row that is repeated as it stands has the same place, so it makes no window a repeated one
-    first = w.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").drop("last")
-    later = w.join(first, ["h1", "h2"]).where(~F.struct("id", "th", "w").eqNullSafe(F.col("first")))
+    several = F.count_if(F.col("id").isNull()).between(1, F.count("*") - 1)
+    repeated = (w.groupBy("h1", "h2").agg(*spread, several.alias("mixed"), F.count_if(F.col("id").isNull()).alias("n_null"))
+                .where("mixed or lo_id <> hi_id or lo_th <> hi_th or lo_w <> hi_w"))
+    repeated = repeated.select("h1", "h2", F.when(F.col("n_null") == 0, F.col("lo_id")).alias("first_id"))  # a null id comes first
+    hits = staged(w.join(repeated.hint("shuffle_hash"), ["h1", "h2"])
+                  .select("h1", "h2", "id", "th", "w", F.col("id").eqNullSafe(F.col("first_id")).alias("own")), "line-windows")
+    place = F.struct("th", "w")
+    first = hits.where("own").groupBy("h1", "h2").agg(F.min(place).alias("first"))
+    again = hits.where("own").join(first, ["h1", "h2"]).where(place != F.col("first"))
+    later = hits.where("not own").select("id", "th", "w").unionByName(again.select("id", "th", "w"))
     return later.groupBy("id", "th").agg(F.array_sort(F.collect_set("w")).alias("later"))
 
 
 def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW, short: bool = False) -> DataFrame:
     """The input rows with the text after line dedup, plus _n_lines, _n_windows, _n_later, _n_removed (longs)."""
     gone = later_windows(docs, id_col, text_col, width, short).select(
-        F.col("id").alias("_gid"), F.col("th").alias("_gth"), F.col("later").alias("_later"))
+        F.col("id").alias("_gid"), F.col("th").alias("_gth"), F.col("later").alias("_later")).hint("shuffle_hash")
     rows = docs.withColumn("_th", F.xxhash64(text_col)).join(
         gone, F.col(id_col).eqNullSafe(F.col("_gid")) & (F.col("_th") == F.col("_gth")), "left")
     filled = _filled(F.col(text_col))
@@ -113,8 +127,8 @@ counts AS (
 marked AS (
   SELECT l.doc_id, l.text, l.line, l.pos, fl.f IS NOT NULL AS is_filled, g.f IS NOT NULL AS is_gone
   FROM lines l
-  LEFT JOIN filled fl ON fl.doc_id = l.doc_id AND fl.text = l.text AND fl.pos = l.pos
-  LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.text = l.text AND g.f = fl.f),
+  LEFT JOIN filled fl ON fl.doc_id IS NOT DISTINCT FROM l.doc_id AND fl.text IS NOT DISTINCT FROM l.text AND fl.pos = l.pos
+  LEFT JOIN gone g ON g.doc_id IS NOT DISTINCT FROM l.doc_id AND g.text IS NOT DISTINCT FROM l.text AND g.f = fl.f),
 kept AS (
   SELECT doc_id, text, count(*) FILTER (is_filled) AS n_lines, count(*) FILTER (is_gone) AS n_removed,
          CASE WHEN count(*) FILTER (is_gone) = 0 THEN text
@@ -127,6 +141,6 @@ ORACLE_SQL = "WITH " + ORACLE_CTES.format(docs="documents") + """
 SELECT d.doc_id, k.n_lines::BIGINT AS n_lines, coalesce(c.n_windows, 0)::BIGINT AS n_windows,
        coalesce(c.n_later, 0)::BIGINT AS n_later, k.n_removed::BIGINT AS n_removed,
        length(k.kept_text)::BIGINT AS kept_chars, md5(k.kept_text) AS kept_md5
-FROM documents d JOIN kept k ON k.doc_id = d.doc_id AND k.text = d.text
-LEFT JOIN counts c ON c.doc_id = d.doc_id AND c.text = d.text
+FROM documents d JOIN kept k ON k.doc_id IS NOT DISTINCT FROM d.doc_id AND k.text IS NOT DISTINCT FROM d.text
+LEFT JOIN counts c ON c.doc_id IS NOT DISTINCT FROM d.doc_id AND c.text IS NOT DISTINCT FROM d.text
 """
