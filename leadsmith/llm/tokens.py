@@ -12,6 +12,7 @@ are parted by a special token.  Strings of special tokens inside a text are ordi
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import numpy as np
 
@@ -27,12 +28,29 @@ CONTROL = "\x01"
 SPACE_SIGN, BREAK_SIGN = "\u0120", "\u010a"
 #: Punctuation at a word's end, after a letter, has tokens of its own in both kinds.
 TAIL = ".,;:!?"
+#: The usual word: Latin letters and such punctuation.
+PLAIN = re.compile(f"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)[{TAIL}]*")
 #: Words encoded in one call.
 AT_ONCE = 2048
 #: Words longer than this many characters are not kept.
 LONGEST = 64
 
 
+class Words(dict):
+    """Ids by word.  A word that is asked for and not there gets a place that is filled once all words
+    of the texts at hand are known, so that each occurrence is looked up once."""
+
+    def __init__(self, safe: Callable[[str], bool]):
+        self.safe, self.fresh, self.unsafe = safe, {}, 0
+
+    def __missing__(self, key: str) -> bytearray | bytes:
+        if not self.safe(key):
+            self.unsafe += 1  # this text needs the exact cut
+            return b""
+        held = self[key] = self.fresh[key] = bytearray()
+        return held
+
+
 class WordwiseTokenizer:
     """Ids of whole texts as little-endian unsigned 32-bit bytes; ``kind``: byte_level or word."""
 
@@ -43,7 +61,7 @@ class WordwiseTokenizer:
         self.plain = Tokenizer.from_file(path)
         self.plain.encode_special_tokens = True
         self.parting_id = self.parting.token_to_id(PARTING)
-        self.kind, self.cache = kind, {}
+        self.kind, self.cache = kind, Words(self._safe)
         if kind == "word":
             self.control = self.plain.encode(CONTROL, add_special_tokens=False).ids
         else:
@@ -76,13 +94,15 @@ class WordwiseTokenizer:
 
     def _safe(self, key: str) -> bool:
         """Whether a key starts and ends as cuts need it (other white space or none left in between)."""
-        if self.kind == "word" or key[:1] == "\t":
+        if PLAIN.fullmatch(key) or self.kind == "word" or key[:1] == "\t":
             return True
         inner = key[1:] if key[:1] == "\n" else key
         return bool(inner) and inner == inner.strip()
 
     def _follows(self, key: str) -> bool:
         """Whether a word may stand among others in a call and be told by its tokens."""
+        if PLAIN.fullmatch(key):
+            return True
         if "<|" in key or not key:
             return False
         return CONTROL not in key if self.kind == "word" else key[0] != "\t" and " " not in key and self._safe(key)
@@ -120,22 +140,24 @@ class WordwiseTokenizer:
 
     def _stem(self, key: str) -> str:
         """The word without punctuation behind its last letter; the word vocabulary has no capitals."""
+        if plain := PLAIN.fullmatch(key):
+            return plain[1] if self.kind != "word" or not key.isascii() else plain[1].lower()
         stem = key.rstrip(TAIL)
         if not (stem and stem[-1].isalpha() and stem[-1] < "\u0250" and stem[0] not in "\t\n"):
             return key
         return stem.lower() if self.kind == "word" and stem.isascii() else stem
 
-    def _added(self, fresh: set[str]) -> list[str]:
-        """Put new words into the cache, each from its stem and tail; the entries that are new."""
+    def _fill(self, fresh: dict[str, bytearray]) -> list[str]:
+        """Put ids in place for words just met, each from its stem and tail; the entries that are new."""
         stem_of = {k: self._stem(k) for k in fresh}
-        tails = {k[len(s):] for k, s in stem_of.items()}
-        new = self._encoded(list(set(stem_of.values()).difference(self.cache)))
-        self.cache.update(new)
-        tail_ids = {t: np.array(self.plain.encode(t, add_special_tokens=False).ids, np.uint32).tobytes() for t in tails}
+        found = self._encoded([s for s in dict.fromkeys(stem_of.values()) if s in fresh or s not in self.cache])
+        tail_ids = {t: np.array(self.plain.encode(t, add_special_tokens=False).ids, np.uint32).tobytes()
+                    for t in {k[len(s):] for k, s in stem_of.items()}}
         for k, s in stem_of.items():
-            if k is not s:
-                self.cache[k] = self.cache[s] + tail_ids[k[len(s):]]
-        return [*new, *fresh.difference(new)]
+            fresh[k] += (found[s] if s in found else self.cache[s]) + tail_ids[k[len(s):]]
+        more = {s: v for s, v in found.items() if s not in fresh}
+        self.cache.update(more)
+        return [*fresh, *more]
 
     def count_words(self, words: list[str]) -> np.ndarray:
         """Number of ids of words that follow a space, each on its own (not kept)."""
@@ -161,18 +183,19 @@ class WordwiseTokenizer:
         return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        texts = [t or "" for t in texts]
-        keyed = [self._keys(t) if t else [] for t in texts]
-        fresh = set().union(*keyed).difference(self.cache)
-        unsafe = {k for k in fresh if not self._safe(k)}
-        if unsafe:
-            for i, k in enumerate(keyed):
-                if not unsafe.isdisjoint(k):
-                    keyed[i] = self._exact_keys(texts[i])
-            fresh = set().union(*keyed).difference(self.cache)
-        new = self._added(fresh)
-        out = [b"".join(map(self.cache.__getitem__, k)) for k in keyed]
-        forget(self.cache, new, LONGEST)
+        parts, cache = [], self.cache
+        for t in texts:
+            keys, unsafe = self._keys(t) if t else [], cache.unsafe
+            own = list(map(cache.__getitem__, keys))
+            if cache.unsafe != unsafe:
+                own = list(map(cache.__getitem__, self._exact_keys(t)))
+            parts.append(own)
+        fresh, cache.fresh = cache.fresh, {}
+        new = self._fill(fresh)
+        out = list(map(b"".join, parts))
+        for k, ids in fresh.items():
+            cache[k] = bytes(ids)
+        forget(cache, new, LONGEST)
         return out
 
 

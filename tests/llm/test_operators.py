@@ -247,6 +247,22 @@ def test_seekable_round_trip(spark):
     assert seekable.written_and_read(empty(docs), WORDS).count() == 0
 
 
+def test_seekable_files_of_a_task_are_bounded(spark):
+    docs = odd(spark)
+    whole = sorted(map(tuple, seekable.read(spark, seekable.write(docs, WORDS, files=1)).collect()), key=lambda r: r[1])
+    for most in ({"file_docs": 100, "file_ids": 50}, {"file_docs": 1}):
+        manifest = seekable.write(docs, WORDS, files=1, **most)
+        assert manifest.where("seq > 0").isEmpty()  # a batch of texts is in one file
+        assert sorted(map(tuple, seekable.read(spark, manifest).collect()), key=lambda r: r[1]) == whole
+    many = docs.crossJoin(spark.range(20).withColumnRenamed("id", "copy"))
+    manifest = seekable.write(many, WORDS, files=1, file_docs=100)
+    got = seekable.read(spark, manifest).collect()
+    assert manifest.count() > 1 and len(got) == many.count() == manifest.agg(F.sum("n_docs")).first()[0]
+    got.sort(key=lambda r: r.start)
+    assert [r.start for r in got] == np.cumsum([0] + [r.n_tokens for r in got])[:-1].tolist()
+    assert [key_of(r) for r in got] == sorted(key_of(r) for r in got)
+
+
 def test_seekable_file_format(tmp_path, monkeypatch):
     """Any zstandard reader can read the file; a spoilt frame is found; only asked frames are read."""
     import io
