@@ -70,40 +70,43 @@ class Packer:
             offset += n
         self.number += 1
 
-    def pack(self, leave: int, last: bool = False) -> Iterator[tuple]:
-        """Fill sequences until at most ``leave`` items wait, short ones cut into powers of two (``last`` only marks the task's end)."""
+    def pack(self, leave: int) -> Iterator[tuple]:
+        """Fill sequences until at most ``leave`` items wait, short ones cut into powers of two."""
         if len(self.items) <= leave:
             return
-        demand = np.array([(n, 1, self.loss_of(s, n, p)) for _, _, s, n, p in self.items], float) / self.caps
+        # one column a dimension, as shares of the limits
+        columns = list((np.array([(n, 1, self.loss_of(s, n, p)) for _, _, s, n, p in self.items], float) / self.caps).T.copy())
         items, free = list(self.items), np.ones(len(self.items), bool)
-        left = len(items)
+        sums, left = [float(c.sum()) for c in columns], len(items)
         while left > leave:
-            room, placed = np.ones(3), []
-            weight = demand[free].mean(axis=0)
-            here = np.flatnonzero(free)
-            own = demand[here]
-            while True:
-                fits = (own <= room + 1e-9).all(axis=1)
-                if not fits.any():
+            room, placed = [1.0] * 3, []
+            weight = [x / left for x in sums]
+            while left:
+                fits = free.copy()
+                for c, r in zip(columns, room):
+                    fits &= c <= r + 1e-9
+                value = sum(c * (w * r) for c, w, r in zip(columns, weight, room))
+                best = int(np.where(fits, value, -1.0).argmax())
+                if not fits[best]:
                     break
-                value = np.where(fits, own @ (weight * room), -1.0)
-                best = int(value.argmax())
-                placed.append(items[here[best]])
-                room = room - own[best]
-                free[here[best]] = False
+                placed.append(items[best])
+                free[best] = False
                 left -= 1
-                keep = np.arange(len(here)) != best
-                here, own = here[keep], own[keep]
+                for d, c in enumerate(columns):
+                    room[d] -= c[best]
+                    sums[d] -= c[best]
             gap = int(round(room[0] * self.caps[0]))
-            if gap >= LEAST_CUT and room[1] * self.caps[1] >= 1 - 1e-6 and len(here):
-                j = here[int(own[:, 0].argmax())]  # cut the longest item that waits
+            if gap >= LEAST_CUT and room[1] * self.caps[1] >= 1 - 1e-6 and left:
+                j = int(np.where(free, columns[0], -1.0).argmax())  # cut the longest item that waits
                 doc, ids, s, n, p = items[j]
                 cut = min(gap, n)
                 cut -= max(0, self.loss_of(s, cut, p) - int(round(room[2] * self.caps[2])))
                 if 0 < cut < n:
                     placed.append((doc, ids, s, cut, p))
                     items[j] = (doc, ids, s + cut, n - cut, p)
-                    demand[j] = np.array([n - cut, 1, self.loss_of(s + cut, n - cut, p)]) / self.caps
+                    for d, x in enumerate((n - cut, 1, self.loss_of(s + cut, n - cut, p))):
+                        sums[d] += x / self.caps[d] - columns[d][j]
+                        columns[d][j] = x / self.caps[d]
             total = sum(x[3] for x in placed)
             if total < self.limit:  # closed by another limit, or the task's last
                 yield from self._powers(placed, total)
@@ -155,7 +158,7 @@ def pack(docs: DataFrame, vocabulary: str, limit: int = LIMIT, segments: int = S
                     out.extend(packer.pack(pool // 2))
                 if len(out) > 20_000:
                     yield frame()
-        out.extend(packer.pack(0, last=True))
+        out.extend(packer.pack(0))
         if out:
             yield frame()
     return rows.mapInPandas(run, SCHEMA)

@@ -398,7 +398,7 @@ def test_packing_limits_hold_at_once():
         rows += list(p.add(i, np.zeros(n, "<u4"), int(rng.integers(0, n + 1))))
         if len(p.items) > 50:
             rows += list(p.pack(20))
-    rows += list(p.pack(0, True))
+    rows += list(p.pack(0))
     seq = collections.defaultdict(list)
     for _, _, n, _, _, s, _, loss in rows:
         seq[s].append((n, loss))
@@ -410,7 +410,7 @@ def test_packing_of_short_texts_needs_no_padding():
     """Bins that the segment limit closes in mid-stream are cut into powers of two as well."""
     p = packing.Packer(0, 2048, 64, 2048, 2048)
     rows = [r for i in range(3000) for r in p.add(i, np.zeros(10, "<u4"), 0)]
-    rows += [*p.pack(1024), *p.pack(0, True)]
+    rows += [*p.pack(1024), *p.pack(0)]
     seq = collections.Counter()
     for r in rows:
         seq[r[5]] += r[2]
