@@ -146,19 +146,20 @@ def close_windows(path: str, ts_col: str = "ts", window: str = "1 hour", delay:
     """A ``foreachBatch`` sink for final windows below ``path``.
 
     The watermark of a micro-batch is the largest time of the batches before it, less ``delay``.  Rows whose window
-    ended by then go to ``late``; the others are added to ``partials`` as one row per window and group.  A
+    ended by then, or without a time, go to ``late``; the others are added to ``partials`` as one row per window and group.  A
     window is written to ``windows`` once, by the batch whose rows move the watermark past its end.
     Every row is in exactly one of a final window, a window still open, and the quarantine."""
     sums = [F.sum("events").alias("events"), F.sum("value_sum").alias("value_sum")]
 
     def sink(batch: DataFrame, batch_no: int) -> None:
         spark = batch.sparkSession
+        timeless = batch.where(F.col(ts_col).isNull())  # in no window
         batch = batch.withColumn("_w", F.window(F.col(ts_col).cast("timestamp"), window))
         end = F.col("_w.end").cast("timestamp_ntz")
         marks = _earlier(spark, f"{path}/marks", "mark timestamp_ntz", batch_no)
         mark = marks.agg(F.max("mark")).first()[0]
-        late = F.coalesce(end <= F.lit(mark).cast("timestamp_ntz"), F.lit(False)) | F.col(ts_col).isNull()
-        _put(batch.where(late).drop("_w"), f"{path}/late", batch_no)
+        late = F.coalesce(end <= F.lit(mark).cast("timestamp_ntz"), F.lit(False))
+        _put(batch.where(late).drop("_w").unionByName(timeless), f"{path}/late", batch_no)
         fresh = _put(batch.where(~late).groupBy(F.col("_w.start").cast("timestamp_ntz").alias("window_start"), end.alias("window_end"), by)
                      .agg(F.count("*").alias("events"), F.sum(F.col(value).cast("double")).alias("value_sum")), f"{path}/partials", batch_no)
         top = batch.agg(F.max(F.col(ts_col).cast("timestamp_ntz")).alias("t")).select(
