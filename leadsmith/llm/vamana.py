@@ -12,8 +12,8 @@ A search runs the beam on every shard for a block of queries and merges the best
 window per query.  Scores are exact inner products in double precision of the original
 vectors.  Every row is indexed; the graph (``degree``, ``beam``, ``alpha``) decides recall only.
 
-Defined results: null or zero vectors, vectors with a null or non-finite component or of
-another length than the most common one take no part; rows with equal vectors tie and the
+Defined results: null or zero vectors and vectors with a null or non-finite component take no
+part; vectors of several lengths are searched length by length; rows with equal vectors tie and the
 smaller id comes first; a row repeated under its own id counts once; a query never returns
 its own id; fewer candidates than ``k`` are all returned; extra columns are ignored.
 """
@@ -160,9 +160,7 @@ def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     v = F.col("v")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     finite = F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    rows = rows.where(F.col("id").isNotNull() & v.isNotNull() & finite & F.exists(v, lambda c: c != 0))
-    sizes = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.where(F.size("v") == (sizes["n"] if sizes else -1))
+    return rows.where(F.col("id").isNotNull() & v.isNotNull() & finite & F.exists(v, lambda c: c != 0))
 
 
 def _nodes(rows: DataFrame, keep: int) -> DataFrame:
@@ -175,9 +173,19 @@ def _nodes(rows: DataFrame, keep: int) -> DataFrame:
 def nearest(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding",
             shards: int = SHARDS, shard_rows: int = SHARD_ROWS, degree: int = DEGREE, beam: int = BEAM,
             alpha: float = ALPHA, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """query_id, rank, vec_id, score: the k best other rows of every query (``is_query``: a predicate of the id column)."""
-    spark = vectors.sparkSession
-    rows = _usable(vectors, id_col, vector_col)
+    """query_id, rank, vec_id, score: the k best other rows of every query (``is_query``: a predicate of the id column).
+
+    Vectors of each length are indexed and searched on their own: only equally long ones have an inner product."""
+    rows, out = _usable(vectors, id_col, vector_col), None
+    lengths = sorted(r[0] for r in rows.select(F.size("v")).distinct().collect())
+    for n in lengths or [0]:
+        own = _nearest(rows.where(F.size("v") == n), is_query, k, shards, shard_rows, degree, beam, alpha, query_block)
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def _nearest(rows: DataFrame, is_query, k: int, shards: int, shard_rows: int, degree: int, beam: int, alpha: float, query_block: int) -> DataFrame:
+    """``nearest`` over usable rows (id, v) of one length."""
     members = staged(_nodes(rows, k + 1), "ann-members")  # k others and the query itself
     nodes = members.where("n = 1").select("key", "v", F.col("id").alias("least"))
     n_nodes = nodes.count()

@@ -149,6 +149,18 @@ def test_nearest_odd(spark):
     assert vamana.nearest(empty(df), lambda i: i % 20 == 0).count() == 0
 
 
+def test_vamana_indexes_every_length(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=4 if i % 3 else 7).tolist()) for i in range(240)]
+    got = collections.defaultdict(list)
+    for r in sorted(vamana.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda i: i % 20 == 0, k=5).collect(), key=lambda r: r["rank"]):
+        got[r.query_id].append(r.vec_id)
+    assert set(got) == set(range(0, 240, 20))
+    for q, found in got.items():
+        own = [(-float(np.dot(rows[q][1], v)), i) for i, v in rows if i != q and len(v) == len(rows[q][1])]
+        assert found == [i for _, i in sorted(own)[:5]]
+
+
 # ----------------------------------------------------------------- 4
 
 def test_line_windows_oracle(spark):
