@@ -44,6 +44,8 @@ LANGUAGES_AT_ONCE = 200
 MOST_BROADCAST = 400_000
 #: Code points worked on at once.
 AT_ONCE = 1 << 20
+#: Texts held as dense vectors at once, in learning and in scoring.
+DENSE_AT_ONCE = 128
 #: A text is rejected if its cosine is below this share of what nearly all learning texts of the centroid reach.
 SLACK = 0.3
 MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
@@ -76,26 +78,55 @@ def counts(text: str | None) -> np.ndarray | None:
     return total if seen else None
 
 
-def vectors(rows: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    x = np.log1p(rows.astype(np.float32)) * idf
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+def sparse(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
+    """Dimensions with a count and their counts, in the types that learning rows are kept in."""
+    x = counts(text)
+    if x is None:
+        return None
+    at = np.flatnonzero(x)
+    return at.astype(np.uint16), x[at].astype(np.uint32)
 
 
-def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
-    """At most k unit centroids; the first is the mean, each next starts at the row farthest from all so far."""
-    means = [x.mean(axis=0)]
-    for _ in range(min(k, len(x)) - 1):
-        means.append(x[np.argmin(np.max(x @ np.stack(means).T, axis=1))])
-    c = np.stack(means)
-    for _ in range(rounds):
-        c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
-        near = np.argmax(x @ c.T, axis=1)
-        own = (near == np.arange(len(c))[:, None]).astype(x.dtype)  # sums by a product: no copy of the rows
-        own = own[own.any(axis=1)]
-        c = own @ x / own.sum(axis=1, keepdims=True)
+def weighted(at: np.ndarray, n: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """TF-IDF values at the dimensions ``at``, of unit length together."""
+    v = np.log1p(n.astype(np.float32)) * idf[at]
+    return v / np.maximum(np.linalg.norm(v), np.float32(1e-12))
+
+
+def dense(rows: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[np.ndarray]:
+    """The sparse rows as dense ones, DENSE_AT_ONCE at a time."""
+    for part in blocks(rows, DENSE_AT_ONCE):
+        x = np.zeros((len(part), DIMENSIONS), np.float32)
+        for own, (at, v) in zip(x, part):
+            own[at] = v
+        yield x
+
+
+def cosines(rows: list[tuple[np.ndarray, np.ndarray]], centroids: np.ndarray) -> np.ndarray:
+    return np.concatenate([x @ centroids.T for x in dense(rows)])
+
+
+def _unit(c: np.ndarray) -> np.ndarray:
     return c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
 
 
+def spherical_kmeans(rows: list[tuple[np.ndarray, np.ndarray]], k: int, rounds: int = 10) -> np.ndarray:
+    """At most k unit centroids of sparse unit rows; the first is the mean, each next starts at the row farthest from all so far."""
+    c = sum(x.sum(axis=0, keepdims=True, dtype=np.float64) for x in dense(rows)) / len(rows)
+    for _ in range(min(k, len(rows)) - 1):
+        far = int(cosines(rows, c).max(axis=1).argmin())
+        c = np.concatenate([c, next(dense(rows[far:far + 1]))])
+    for _ in range(rounds):
+        c, sums, sizes = _unit(c), np.zeros(c.shape), np.zeros(len(c))
+        for x in dense(rows):
+            own = x @ c.T
+            own = (own.argmax(axis=1) == np.arange(len(c))[:, None]).astype(np.float32)  # sums by a product: no copy of the rows
+            sums += own @ x
+            sizes += own.sum(axis=1)
+        c = sums[sizes > 0] / sizes[sizes > 0][:, None]
+    return _unit(c)
+
+
 def sample(docs: DataFrame, label_col: str, id_col: str, per_language: int) -> DataFrame:
     """At most ``per_language`` ids of each language, those with the smallest hash of every slice, with all their rows."""
     w = Window.partitionBy("l", "s").orderBy(F.xxhash64("i"), "i")
@@ -113,10 +144,8 @@ def fit(learn: DataFrame, label_col: str = "lang", id_col: str = "doc_id", per_l
     """Model from a bounded sample of every language: IDF, the sorted languages, and a staged table of their centroids and radii."""
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            c = [counts(t) for t in b["text"]]
-            at = [None if x is None else np.flatnonzero(x) for x in c]
-            yield pd.DataFrame({"i": b["i"], "l": b["l"], "at": [None if x is None else x.astype(np.uint16).tobytes() for x in at],
-                                "n": [None if x is None else x[a].astype(np.uint32).tobytes() for x, a in zip(c, at)]})
+            c = [sparse(t) for t in b["text"]]
+            yield pd.DataFrame({"i": b["i"], "l": b["l"], "at": [x and x[0].tobytes() for x in c], "n": [x and x[1].tobytes() for x in c]})
     # an id that is repeated counts once, so the rows gathered below are at most per_language a language
     rows = staged(sample(learn, label_col, id_col, per_language).mapInPandas(featured, "i long, l string, at binary, n binary")
                   .where("at is not null").groupBy("i", "l").agg(F.min(F.struct("at", "n")).alias("m")).select("i", "l", "m.*"), "language-learn")
@@ -135,15 +164,10 @@ def fit(learn: DataFrame, label_col: str = "lang", id_col: str = "doc_id", per_l
 
     def fitted(own: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values(["i", "at", "n"])
-        x = np.zeros((len(own), DIMENSIONS), np.float32)
-        for r, (at, n) in enumerate(zip(own["at"], own["n"])):
-            x[r, np.frombuffer(at, np.uint16)] = np.frombuffer(n, np.uint32)
-        # in place: one language's texts are held once as a dense table
-        np.log1p(x, out=x)
-        x *= idf
-        x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-12)[:, None]
+        at = [np.frombuffer(a, np.uint16) for a in own["at"]]
+        x = [(a, weighted(a, np.frombuffer(n, np.uint32), idf)) for a, n in zip(at, own["n"])]
         c = spherical_kmeans(x, k).astype(np.float32)
-        cos = x @ c.T
+        cos = cosines(x, c)
         near = cos.argmax(axis=1)
         reached = [cos[near == j, j] for j in range(len(c))]
         return pd.DataFrame({"lang": own["l"].iloc[0], "j": range(len(c)), "reach": [float(np.quantile(r, 0.01)) if len(r) else 1.0 for r in reached],
@@ -171,10 +195,10 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", slack: float =
         def run(part: pd.DataFrame, shared=shared) -> pd.DataFrame:
             idf, names, reach, centroids = shared.value
             lang, best_cos, best_reach = part["lang"].to_numpy(object).copy(), part["cos"].to_numpy().copy(), part["reach"].to_numpy().copy()
-            c = [counts(t) for t in part["t"]]
+            c = [sparse(t) for t in part["t"]]
             known = np.flatnonzero([x is not None for x in c]) if names else np.zeros(0, int)
             if len(known):
-                cos = vectors(np.stack([c[i] for i in known]), idf) @ centroids.T
+                cos = cosines([(c[i][0], weighted(*c[i], idf)) for i in known], centroids)
                 best = cos.argmax(axis=1)
                 top = np.clip(cos[np.arange(len(cos)), best].astype(float), 0, 1)
                 more = top > best_cos[known]  # a tie stays with the language before

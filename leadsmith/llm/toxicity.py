@@ -5,9 +5,10 @@ text.  A text's features are the distinct hashes of its words, its pairs of neig
 its pairs with one word between (``BITS`` bits).  Per-coordinate rates and the L1 term leave
 few weights that are not zero; only those are broadcast (at most 2**BITS of them).
 
-Learning takes a bounded sample, the ``most_rows`` labelled rows with the smallest hash of
-their id (documented parameter), in one task over compact feature rows; scoring is one
-Arrow pass over all rows and whole texts.
+Learning takes a bounded sample: of the ``most_rows`` labelled rows with the smallest hash of
+their id those, in the order of that hash, whose feature rows together have at most
+``most_bytes`` bytes (both documented parameters).  It runs in one task over these feature
+rows; scoring is one Arrow pass over all rows and whole texts.
 
 Defined results: a null or empty text is scored by the bias alone; labels other than 0 and 1
 and null labels are not learned from; without learning rows every score is 0.5 (predicted 1 by
@@ -21,14 +22,17 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from leadsmith.llm.common import staged
 from leadsmith.llm.language import fold
 
 BITS = 20
 #: Labelled rows learned from, at most.
 MOST_ROWS = 20_000
+#: Bytes of their feature rows (4 a feature, so at most 4 MiB a row), at most; the task that learns holds them all.
+MOST_BYTES = 1 << 28
 #: Bytes of text worked on at once.
 AT_ONCE = 1 << 20
 ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 4.0, 1.0, 4
@@ -100,7 +104,8 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic", most_rows: int = MOST_ROWS) -> tuple:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic", most_rows: int = MOST_ROWS,
+        most_bytes: int = MOST_BYTES) -> tuple:
     """(feature numbers, weights): the weights that are not zero."""
     y = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).cast("long").alias("i")).agg(F.max(label_col).cast("int").alias("y"))
     picked = y.where("i is not null").orderBy(F.xxhash64("i"), "i").limit(most_rows)
@@ -112,18 +117,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: s
 
     def fitted(r: pd.DataFrame) -> pd.DataFrame:
         r = r.sort_values(["i", "f"])
-        rows = [(np.append(np.frombuffer(f, np.int32), 1 << BITS), y) for f, y in zip(r["f"], r["y"])]
+        found, marks = r["f"].to_numpy(), r["y"].to_numpy()
         order, model = np.random.default_rng(42), Ftrl()
         weight = min(MOST_WEIGHT, (len(r) - r["y"].sum()) / max(1, r["y"].sum()))
         for _ in range(EPOCHS):
-            for j in order.permutation(len(rows)):
-                model.learn(*rows[j], weight)
+            for j in order.permutation(len(r)):
+                model.learn(np.append(np.frombuffer(found[j], np.int32), 1 << BITS), marks[j], weight)
         w = model.weights(slice(None))
         at = np.flatnonzero(w)
         return pd.DataFrame({"at": at, "w": w[at]})
     # an id that is repeated counts once, so at most most_rows rows are gathered
-    once = rows.mapInPandas(featured, "i long, y int, f binary").groupBy("i", "y").agg(F.min("f").alias("f"))
-    model = once.groupBy().applyInPandas(fitted, "at int, w double").toPandas()
+    once = staged(rows.mapInPandas(featured, "i long, y int, f binary").groupBy("i", "y").agg(F.min("f").alias("f")), "toxicity-learn")
+    upto = F.sum(F.length("f")).over(Window.orderBy(F.xxhash64("i"), "i").rowsBetween(Window.unboundedPreceding, 0))
+    room = once.select("i", upto.alias("b")).where(F.col("b") <= most_bytes).select("i")  # numbers of at most most_rows rows
+    model = once.join(F.broadcast(room), "i").groupBy().applyInPandas(fitted, "at int, w double").toPandas()
     return model["at"].to_numpy(np.int32), model["w"].to_numpy(np.float32)
 
 

@@ -329,6 +329,60 @@ def test_toxicity(spark):
     assert toxicity.toxicity(docs, empty(labels)).where("score <> 0.5 or predicted <> 1").count() == 0
 
 
+def plain_features(text):
+    """The features worked out word by word with Python integers."""
+    mask, bits = (1 << 64) - 1, 64 - toxicity.BITS
+
+    def mixed(x):
+        x = (x ^ x >> 31) * 0xBF58476D1CE4E5B9 & mask
+        return (x ^ x >> 29) * 0x94D049BB133111EB & mask
+    found = re.findall(rb"[0-9a-z\x80-\xff]+", (text or "").encode("utf-8", "surrogatepass").lower())
+    h = [mixed(sum((b + 1) * pow(toxicity.ODD, at, 1 << 64) for at, b in enumerate(w)) & mask) for w in found]
+    out = set(h) | {mixed(a * 3 + b & mask) for a, b in zip(h, h[1:])} | {mixed(a * 5 + b & mask) for a, b in zip(h, h[2:])}
+    return sorted({x >> bits for x in out})
+
+
+def plain_ftrl(rows):
+    """FTRL-proximal one coordinate at a time, over dictionaries; rows: (id, label, text)."""
+    z, n, bias = collections.defaultdict(float), collections.defaultdict(float), 1 << toxicity.BITS
+
+    def weight_of(at):
+        if abs(z[at]) <= toxicity.L1:
+            return 0.0
+        return -(z[at] - (1 if z[at] > 0 else -1) * toxicity.L1) / ((toxicity.BETA + n[at] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+    rows = [([*plain_features(t), bias], y) for _, y, t in sorted(rows)]
+    toxic = sum(y for _, y in rows)
+    more, order = min(toxicity.MOST_WEIGHT, (len(rows) - toxic) / max(1, toxic)), np.random.default_rng(42)
+    for _ in range(toxicity.EPOCHS):
+        for j in order.permutation(len(rows)):
+            at, y = rows[j]
+            w = [weight_of(a) for a in at]
+            g = (1 / (1 + np.exp(-sum(w))) - y) * (more if y else 1.0)
+            for a, own in zip(at, w):
+                z[a] += g - ((n[a] + g * g) ** 0.5 - n[a] ** 0.5) / toxicity.ALPHA * own
+                n[a] += g * g
+    return {a: weight_of(a) for a in list(z) if weight_of(a)}
+
+
+def test_toxicity_brute_force(spark):
+    """Weights and scores are those of a plain FTRL; of too many bytes, the rows first in hash order are learned from."""
+    assert all(toxicity.features(t).tolist() == plain_features(t) for t in [*TRICKY, None])
+    rng = np.random.default_rng(1)
+    rows = [(i, int(i % 5 == 0), " ".join([*rng.choice(["blue", "red", "árbol", "x7", "go"], 12), *(["vile"] if i % 5 == 0 else [])])) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, toxic int, text string")
+    in_order = [r[0] for r in docs.orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id").collect()]
+    size = {i: 4 * len(plain_features(t)) for i, _, t in rows}
+    half = sum(size.values()) // 2
+    first = {i for at, i in enumerate(in_order) if sum(size[j] for j in in_order[:at + 1]) <= half}
+    for room, known in ((toxicity.MOST_BYTES, rows), (half, [r for r in rows if r[0] in first])):
+        at, w = toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), most_bytes=room)
+        plain = plain_ftrl(known)
+        assert 40 < len(known) and dict(zip(at.tolist(), w.tolist())) == pytest.approx(plain, rel=1e-4, abs=1e-6) and len(plain) > 1
+        got = {r.doc_id: r.score for r in toxicity.score(docs, (at, w)).collect()}
+        for i, _, t in rows:
+            assert got[i] == pytest.approx(1 / (1 + np.exp(-sum(plain.get(a, 0.0) for a in [*plain_features(t), 1 << toxicity.BITS]))), abs=1e-5)
+
+
 def test_toxicity_features_of_long_text():
     t = "alpha beta gamma delta " * 60_000
     assert (toxicity.features(t) == toxicity.features("alpha beta gamma delta " * 3)).all()
@@ -344,6 +398,52 @@ def test_language(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got.itertuples())
 
 
+def plain_grams(text):
+    """Counts of hashed 2- and 3-grams in a dictionary, or None without a letter."""
+    m, mask = [int(x) for x in language.MULTIPLIERS], (1 << 32) - 1
+    text = (text or "").lower()
+    if not any(c.isalpha() for c in text):
+        return None
+    c = [ord(x) for x in " " + re.sub(" +", " ", "".join(x if x.isalpha() else " " for x in text))]
+    c = c[1:] if c[1:2] == [32] else c
+    two = [(a * m[0] ^ b * m[1]) & mask for a, b in zip(c, c[1:])]
+    three = [(t * m[1] ^ b * m[2]) & mask for t, b in zip(two, c[2:])]
+    return collections.Counter([*((t * m[2] & mask) >> 18 for t in two), *((t * m[0] & mask) >> 18 for t in three)])
+
+
+def test_language_brute_force(spark):
+    """Counts, IDF, cosines, languages and rejections are those of plain dictionaries, given the fitted centroids."""
+    for t in [*TRICKY, None, "Ünder  the_sea 12 "]:
+        own, plain = language.counts(t), plain_grams(t)
+        assert (own is None) == (plain is None) and (own is None or {i: own[i] for i in np.flatnonzero(own)} == plain)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    model, rows = language.fit(docs), docs.collect()
+    with_text = {r.doc_id: (r.lang, plain_grams(r.text)) for r in rows if r.lang is not None and r.text is not None}
+    learnt = [g for _, g in with_text.values() if g is not None]
+    held = collections.Counter(d for g in learnt for d in g)
+    idf = {d: np.log((1 + len(learnt)) / (1 + n)) + 1 for d, n in held.items()}
+    rest = np.log(1 + len(learnt)) + 1
+    assert all(model["idf"][d] == pytest.approx(v, rel=1e-5) for d, v in idf.items())
+    table = [(r.lang, r.reach, np.frombuffer(r.vector, np.float32)) for r in model["table"].orderBy("lang", "j").collect()]
+    assert all(np.linalg.norm(v) == pytest.approx(1, abs=1e-5) for _, _, v in table)
+    got, sure = {r.doc_id: r for r in language.predict(docs, model).collect()}, 0
+    for r in rows:
+        g = plain_grams(r.text)
+        if g is None:
+            assert got[r.doc_id].lang_pred == "und" and got[r.doc_id].rejected
+            continue
+        v = {d: np.log1p(n) * idf.get(d, rest) for d, n in g.items()}
+        length = sum(x * x for x in v.values()) ** 0.5
+        cos = sorted(((sum(x * c[d] for d, x in v.items()) / length, lang, reach) for lang, reach, c in table), reverse=True)
+        assert got[r.doc_id].score == pytest.approx(cos[0][0], abs=1e-4)
+        if cos[0][0] - cos[1][0] > 1e-3:
+            sure += 1
+            assert got[r.doc_id].lang_pred == cos[0][1]
+            if abs(cos[0][0] - language.SLACK * cos[0][2]) > 1e-3:
+                assert got[r.doc_id].rejected == (cos[0][0] < language.SLACK * cos[0][2])
+    assert sure > 0.9 * len(learnt)
+
+
 def test_language_sample_of_repeated_ids(spark):
     """A repeated id counts once, and no language gives more ids than the bound."""
     docs = spark.range(40).select((F.col("id") % 10).alias("doc_id"), F.lit("the cat sat on the mat").alias("text"), F.lit("en").alias("lang"))
