@@ -36,7 +36,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadsmith.llm.tokens import WordwiseTokenizer
+from leadsmith.llm.tokens import WordwiseTokenizer, Words
 
 #: Buckets of the literal maps.
 BUCKETS = 1 << 16
@@ -175,7 +175,7 @@ class RankTokenizer(WordwiseTokenizer):
         for token, i in self.ranks.items():
             self.pieces[i] = token
         self.pattern = regex.compile(pattern)
-        self.kind, self.cache = "byte_level", {}
+        self.kind, self.cache = "byte_level", Words(self._safe)
 
     def fold(self, word: bytes) -> list[int]:
         """Merge the lowest-ranked neighbours until none has a rank."""
@@ -220,9 +220,11 @@ class RankTokenizer(WordwiseTokenizer):
             at = stop[at]
         return out
 
+    def _ids(self, text: str) -> bytes:
+        return np.array([i for w in self.pattern.findall(text) for i in self.fold(w.encode("utf-8", "surrogatepass"))], "<u4").tobytes()
+
     def _encoded(self, keys: list[str]) -> dict[str, bytes]:
-        return {key: np.array([i for w in self.pattern.findall(self._literal(key)) for i in self.fold(w.encode("utf-8", "surrogatepass"))],
-                              "<u4").tobytes() for key in keys}
+        return {key: self._ids(self._literal(key)) for key in keys}
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that ids stand for: their binary pieces, concatenated."""

@@ -119,6 +119,10 @@ class WordwiseTokenizer:
         first = np.flatnonzero(self.starts[ids])
         return (ids, np.append(first[1:], len(ids)), 0) if len(first) == len(part) and first[0] == 0 else None
 
+    def _ids(self, text: str) -> bytes:
+        """Ids of a text as it stands, on its own."""
+        return np.array(self.plain.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+
     def _encoded(self, keys: list[str]) -> dict[str, bytes]:
         out = {}
 
@@ -135,7 +139,7 @@ class WordwiseTokenizer:
             take(part, ids, np.append(np.flatnonzero(ids == self.parting_id), len(ids)), 1)
         for key in keys:
             if key not in out:
-                out[key] = np.array(self.plain.encode(self._literal(key), add_special_tokens=False).ids if key else [], np.uint32).tobytes()
+                out[key] = self._ids(self._literal(key)) if key else b""
         return out
 
     def _stem(self, key: str) -> str:
@@ -151,8 +155,7 @@ class WordwiseTokenizer:
         """Put ids in place for words just met, each from its stem and tail; the entries that are new."""
         stem_of = {k: self._stem(k) for k in fresh}
         found = self._encoded([s for s in dict.fromkeys(stem_of.values()) if s in fresh or s not in self.cache])
-        tail_ids = {t: np.array(self.plain.encode(t, add_special_tokens=False).ids, np.uint32).tobytes()
-                    for t in {k[len(s):] for k, s in stem_of.items()}}
+        tail_ids = {t: self._ids(t) for t in {k[len(s):] for k, s in stem_of.items()}}
         for k, s in stem_of.items():
             fresh[k] += (found[s] if s in found else self.cache[s]) + tail_ids[k[len(s):]]
         more = {s: v for s, v in found.items() if s not in fresh}

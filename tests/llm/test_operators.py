@@ -562,6 +562,16 @@ def test_byte_bpe_long_words():
     assert t.fold(short) == t.fold_long(short) or short in ranks
 
 
+def test_byte_bpe_stems_and_tails():
+    """Words met again, with and without punctuation behind them, in one call and in a later one, have tiktoken's ids."""
+    import tiktoken
+
+    e = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bytebpe.read_ranks(RANKS), special_tokens={})
+    t = bytebpe.RankTokenizer(RANKS, P.PATTERN)
+    for texts in (["end. end, don't!? end", None, "", " end.\n\nend  "], ["\tend end.;:", "don't. 12. caf\u00e9, caf\u00e9! \u00aa? 'll! end,"]):
+        assert t.encode(texts) == [np.array(e.encode_ordinary(x or ""), "<u4").tobytes() for x in texts]
+
+
 # ----------------------------------------------------------------- pipeline
 
 def test_pipeline(spark):
