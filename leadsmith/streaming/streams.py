@@ -9,6 +9,7 @@ reads the result back.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterator
 
@@ -94,64 +95,68 @@ DUP_OUT = T.StructType([
     T.StructField("lead_id", T.StringType()), T.StructField("dup_action", T.StringType()),
     T.StructField("anchor_id", T.StringType()), T.StructField("days_since_anchor", T.LongType()),
 ])
-DUP_STATE = T.StructType([
-    T.StructField("anchor_id", T.StringType()), T.StructField("anchor_ts", T.TimestampType()),
-    T.StructField("status", T.StringType()),
-])
+DUP_STATE = T.StructType([T.StructField("by_email", T.StringType())])
+#: Groups of emails by hash that share one state: a call of the state function costs far more than a row.
+GROUPS = 1024
+DAY = 24 * 3_600_000_000
 
 
 def _dup_state_fn(days: int, allow: tuple[str, ...]):
-    limit = pd.Timedelta(days=days + 1)
+    limit = (days + 1) * DAY
+
+    def keep(state, held: dict) -> None:
+        """Keep the anchors that can still deny or pass on a status, until the first of them can not."""
+        mark = state.getCurrentWatermarkMs()
+        # a re-submittable status keeps its (possibly old) anchor: no expiry; after expiry every later row registers anew
+        held = {em: a for em, a in held.items() if a[2] in allow or (a[1] + limit) // 1000 > mark}
+        if not held:
+            state.remove()
+            return
+        state.update((json.dumps(held),))
+        expiries = [(a[1] + limit) // 1000 for a in held.values() if a[2] not in allow]
+        if expiries:
+            # the anchor can no longer deny anything once the watermark passes anchor + window
+            state.setTimeoutTimestamp(min(expiries))
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state):
+        held = json.loads(state.get[0]) if state.exists else {}
         if state.hasTimedOut:
-            state.remove()
+            keep(state, held)
             return
-        # rows of this key in this micro-batch (bounded by the trigger size), in time order
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["_ts", "lead_id"], kind="stable")
-        if state.exists:
-            anchor_id, anchor_ts, status = state.get
-            anchor_ts = pd.Timestamp(anchor_ts)
-        else:
-            anchor_id, anchor_ts, status = None, None, None
+        # rows of this group in this micro-batch (bounded by the trigger size), in time order
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["_us", "lead_id"], kind="stable")
         acts, anchors, ds = [], [], []
-        for i, t, o, keeps in zip(pdf["lead_id"], pdf["_ts"], pdf["_outcome"], pdf["_keeps"]):
-            t = pd.Timestamp(t)
-            if anchor_id is None or (status not in allow and t - anchor_ts >= limit):
-                anchor_id, anchor_ts, status = i, t, o
+        for i, em, us, o, keeps in zip(pdf["lead_id"], pdf["_em"], pdf["_us"].tolist(), pdf["_outcome"], pdf["_keeps"].tolist()):
+            anchor_id, anchor_us, status = held.get(em, (None, None, None))
+            if anchor_id is None or (status not in allow and us - anchor_us >= limit):
+                held[em] = (i, us, o)
                 acts.append("allow"); anchors.append(i); ds.append(0)
             elif status in allow:
-                status = status if keeps else o
-                acts.append("allow"); anchors.append(anchor_id); ds.append((t - anchor_ts).days)
+                if not keeps:
+                    held[em] = (anchor_id, anchor_us, o)
+                acts.append("allow"); anchors.append(anchor_id); ds.append((us - anchor_us) // DAY)
             else:
-                acts.append("deny"); anchors.append(anchor_id); ds.append((t - anchor_ts).days)
-        expiry_ms = int((anchor_ts + limit).timestamp() * 1000)
-        if status in allow:
-            # a re-submittable status keeps its (possibly old) anchor: no expiry
-            state.update((anchor_id, anchor_ts.to_pydatetime(), status))
-        elif expiry_ms <= state.getCurrentWatermarkMs():
-            state.remove()  # every later row is past the window and registers anew
-        else:
-            state.update((anchor_id, anchor_ts.to_pydatetime(), status))
-            # the anchor can no longer deny anything once the watermark passes anchor + window
-            state.setTimeoutTimestamp(expiry_ms)
+                acts.append("deny"); anchors.append(anchor_id); ds.append((us - anchor_us) // DAY)
+        keep(state, held)
         yield pd.DataFrame({"lead_id": pdf["lead_id"].values, "dup_action": acts, "anchor_id": anchors,
                             "days_since_anchor": pd.Series(ds, dtype="int64")})
     return fn
 
 
 def stream_duplicates(leads: DataFrame, key: str = "email", ts_col: str = "created_at",
-                      outcome=None, watermark: str = "1 day", cfg: dict | None = None, keeps_status=None) -> DataFrame:
-    """The anchored duplicate rule on a stream — keyed state per lower/trimmed email,
-    event-time timeout ``days + 1`` after the anchor; blank emails pass through as allowed."""
+                      outcome=None, watermark: str = "1 day", cfg: dict | None = None, keeps_status=None,
+                      groups: int = GROUPS) -> DataFrame:
+    """The anchored duplicate rule on a stream — an anchor per lower/trimmed email, kept with those of
+    its group, event-time timeout ``days + 1`` after the anchor; blank emails pass through as allowed."""
     p = cfg or DEFAULT["policies"]
     days, allow = p["lookback_days"], tuple(p["allow_resubmit_statuses"])
     em = F.lower(F.trim(F.col(key)))
     base = leads.select("lead_id", F.col(ts_col).cast("timestamp").alias("_ts"), em.alias("_em"),
+                        F.unix_micros(F.col(ts_col).cast("timestamp")).alias("_us"), F.pmod(F.xxhash64(em), F.lit(groups)).cast("int").alias("_group"),
                         (outcome if outcome is not None else F.lit("processing")).alias("_outcome"),
                         F.coalesce(keeps_status if keeps_status is not None else F.lit(False), F.lit(False)).alias("_keeps"))
     keyed = base.filter(F.col("_em").isNotNull() & (F.col("_em") != "")).withWatermark("_ts", watermark)
-    folded = keyed.groupBy("_em").applyInPandasWithState(
+    folded = keyed.groupBy("_group").applyInPandasWithState(
         _dup_state_fn(days, allow), DUP_OUT, DUP_STATE, "append", GroupStateTimeout.EventTimeTimeout)
     blank = base.filter(F.col("_em").isNull() | (F.col("_em") == "")).select(
         "lead_id", F.lit("allow").alias("dup_action"), F.lit(None).cast("string").alias("anchor_id"),
