@@ -5,6 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from leadsmith.operators import duplicates as D
 from leadsmith.operators import policies as P
 
 START = dt.datetime(2024, 1, 1)
@@ -57,3 +58,13 @@ def test_resubmittable_outcomes_and_kept_statuses(spark):
 def test_sparse_rows_and_none(spark):
     check(spark, made(4, 120, 60, 2000, ["processing", "rejected"]))
     check(spark, [])
+
+
+def test_keys_of_few_rows_are_folded_and_others_split(spark, monkeypatch):
+    """A key is folded up to the bound and split by time beyond it, with the same verdicts."""
+    folded = D._folded
+    seen = []
+    monkeypatch.setattr(D, "MOST", 30)
+    monkeypatch.setattr(D, "_folded", lambda rows, span: seen.append(rows.groupBy("key").count().agg(F.max("count")).first()[0]) or folded(rows, span))
+    check(spark, made(5, 600, 30, 500, ["processing", "rejected", "nurture", "accepted", None]))
+    assert 0 < seen[0] <= 30
