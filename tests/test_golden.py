@@ -6,10 +6,13 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from leadsmith.config import DEFAULT
 from leadsmith.operators import lifecycle as L
 from leadsmith.operators import policies as P
 from leadsmith.operators import scoring as S
 from leadsmith.operators import screening as W
+from leadsmith.sources import fixtures as fx
+from tests.conftest import SF_SMALL
 
 COLS = ["lead_id", "first_name", "last_name", "email", "company", "job_title", "company_size", "industry",
         "form_type", "source_channel", "message", "phone", "linkedin_url", "country"]
@@ -288,3 +291,15 @@ def test_risk_and_route_boundaries(spark):
                                                  W.route(F.col("bot"), F.col("q")).alias("route")).collect()]
     assert [g[0] for g in got] == ["low", "medium", "medium", "high", "high", "critical", "critical", "low", "low"]
     assert [g[1] for g in got] == ["review"] * 6 + ["reject", "accept", "review"]
+
+
+def test_patterns_and_flags_of_the_whole_run_are_evaluated_once_a_row(spark):
+    leads, reps = fx.raw_leads(spark, SF_SMALL), fx.sales_reps(spark, SF_SMALL)
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        plan = L.stage_columns(leads, reps, None, None, "2001-08-02 00:00:00")._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    pattern = "(?i)" + next(p for t, p, *_ in DEFAULT["policies"]["pii_patterns"] if t == "ssn")
+    assert 0 < plan.count(pattern) <= len(DEFAULT["policies"]["pii_scan_fields"])
+    assert plan.count("Form submitted in") == 1
