@@ -147,7 +147,7 @@ def stream_duplicates(leads: DataFrame, key: str = "email", ts_col: str = "creat
                       outcome=None, watermark: str = "1 day", cfg: dict | None = None, keeps_status=None,
                       groups: int = GROUPS) -> DataFrame:
     """The anchored duplicate rule on a stream — an anchor per lower/trimmed email, kept with those of
-    its group, event-time timeout ``days + 1`` after the anchor; blank emails pass through as allowed."""
+    its group, event-time timeout ``days + 1`` after the anchor; rows without an email or a time pass through as allowed."""
     p = cfg or DEFAULT["policies"]
     days, allow = p["lookback_days"], tuple(p["allow_resubmit_statuses"])
     em = F.lower(F.trim(F.col(key)))
@@ -155,10 +155,11 @@ def stream_duplicates(leads: DataFrame, key: str = "email", ts_col: str = "creat
                         F.unix_micros(F.col(ts_col).cast("timestamp")).alias("_us"), F.pmod(F.xxhash64(em), F.lit(groups)).cast("int").alias("_group"),
                         (outcome if outcome is not None else F.lit("processing")).alias("_outcome"),
                         F.coalesce(keeps_status if keeps_status is not None else F.lit(False), F.lit(False)).alias("_keeps"))
-    keyed = base.filter(F.col("_em").isNotNull() & (F.col("_em") != "")).withWatermark("_ts", watermark)
+    alone = F.col("_em").isNull() | (F.col("_em") == "") | F.col("_ts").isNull()
+    keyed = base.filter(~alone).withWatermark("_ts", watermark)
     folded = keyed.groupBy("_group").applyInPandasWithState(
         _dup_state_fn(days, allow), DUP_OUT, DUP_STATE, "append", GroupStateTimeout.EventTimeTimeout)
-    blank = base.filter(F.col("_em").isNull() | (F.col("_em") == "")).select(
+    blank = base.filter(alone).select(
         "lead_id", F.lit("allow").alias("dup_action"), F.lit(None).cast("string").alias("anchor_id"),
         F.lit(None).cast("long").alias("days_since_anchor"))
     return folded.unionByName(blank)
